@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _c(col) -> Column:
@@ -20,7 +23,7 @@ def _c(col) -> Column:
 
 def ntz_millis(col) -> Column:
     """Epoch millis of a zone-less timestamp (TIMESTAMP_NTZ), zone-independent."""
-    return F.timestamp_diff("MILLISECOND", _EPOCH_NTZ, _c(col).cast("timestamp_ntz"))
+    return F.timestamp_diff("MILLISECOND", _epoch_ntz(), _c(col).cast("timestamp_ntz"))
 
 
 def millis_to_timestamp(col) -> Column:
@@ -31,7 +34,7 @@ def millis_to_timestamp(col) -> Column:
 def millis_to_ntz(col) -> Column:
     """Epoch millis -> zone-less TIMESTAMP_NTZ (UTC wall clock), independent
     of the session time zone."""
-    return F.timestamp_add("MILLISECOND", _c(col), _EPOCH_NTZ)
+    return F.timestamp_add("MILLISECOND", _c(col), _epoch_ntz())
 
 
 def millis_to_date_text(col) -> Column:
