@@ -113,3 +113,14 @@ def iso_timestamp_text(col) -> Column:
 def file_stamp(col=None) -> Column:
     """'yyyyMMdd_HHmmss' stamp used in snapshot file names."""
     return F.date_format(_c(col) if col is not None else F.current_timestamp(), "yyyyMMdd_HHmmss")
+
+
+def ntz_to_instant(col) -> Column:
+    """Zone-less timestamp read as UTC -> TIMESTAMP (an instant), without
+    depending on the session zone; watermarks need this type."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(col).cast("timestamp_ntz")))
+
+
+def instant_to_ntz(col) -> Column:
+    """TIMESTAMP -> zone-less UTC wall clock, independent of the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), _epoch_ntz())

@@ -1,3 +1,123 @@
-"""Registered plans (filled in below)."""
+"""Streaming plans: each runs a Structured Streaming query to completion
+(availableNow) over a landing that Spark writes from the test tables, then
+returns the sink's content as a DataFrame."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.functions import time as TM
+from tessera.plans import register
+from tessera.plans.analytics import LATEST_COLS, SESSION_GAP_SECONDS, _LATEST_SQL, _money_out
+from tessera.plans.ingest import EVENT_SCHEMA, _EVENT_SQL, _PARTS_SQL, _events_out
+from tessera.plans.oracle_star import with_star
+from tessera.session import scratch_path
+from tessera.sinks.files import TIMESTAMP_OPTIONS
+from tessera.sources import files as SRC
+from tessera.sources import star
+from tessera.streaming import jobs as J
+
+
+def _flat_landing(spark: SparkSession, df: DataFrame, name: str, rows_per_file: int) -> str:
+    """Land ``df`` as flat NDJSON files (the stream's input)."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").options(**TIMESTAMP_OPTIONS).option("maxRecordsPerFile", rows_per_file).json(path)
+    return path
+
+
+@register("stream_hour_sink", f"SELECT {_EVENT_SQL}, {_PARTS_SQL} FROM events")
+def stream_hour_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events streamed (a few files per micro-batch) into the hour
+    partitioned JSON sink, 100 rows per file; the sink read back whole."""
+    src = _flat_landing(spark, star.read_table(spark, sf_dir, "events"), "stream-src", 1000)
+    out, ckpt = scratch_path(spark, "stream-hours"), scratch_path(spark, "stream-hours-ckpt")
+    stream = J.file_stream(spark, src, EVENT_SCHEMA, max_files_per_trigger=4)
+    J.run(J.hour_partitioned_sink(stream, "ts", out, ckpt, 100))
+    return _events_out(SRC.read_landing(spark, out, EVENT_SCHEMA))
+
+
+@register("stream_exactly_once", """
+SELECT 'first' AS run, COUNT(*) AS rows FROM events
+UNION ALL SELECT 'second', COUNT(*) FROM events ORDER BY run""")
+def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same file-source query run twice on one checkpoint: the second
+    run finds no new files and adds no rows."""
+    src = _flat_landing(spark, star.read_table(spark, sf_dir, "events"), "once-src", 1000)
+    out, ckpt = scratch_path(spark, "once-out"), scratch_path(spark, "once-ckpt")
+    counts = []
+    for label in ("first", "second"):
+        J.run(J.parquet_sink(J.file_stream(spark, src, EVENT_SCHEMA), out, ckpt))
+        counts.append(spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows"))
+                      .select(F.lit(label).alias("run"), "rows"))
+    return counts[0].unionByName(counts[1]).orderBy("run")
+
+
+@register("stream_sessions", f"""
+WITH e AS (
+  SELECT user_id, ts,
+         CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                OR epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts))
+                   >= {SESSION_GAP_SECONDS} * 1000000
+              THEN 1 ELSE 0 END AS new_session
+  FROM events WHERE ts IS NOT NULL),
+s AS (SELECT user_id, ts, SUM(new_session) OVER (PARTITION BY user_id ORDER BY ts
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_end, COUNT(*) AS events
+FROM s GROUP BY user_id, sid""")
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gap sessions (30 minutes) computed by a streaming session-window
+    aggregation in complete mode, each result replacing the sink table."""
+    src = _flat_landing(spark, star.read_table(spark, sf_dir, "events"), "sess-src", 2000)
+    out, ckpt = scratch_path(spark, "sess-out"), scratch_path(spark, "sess-ckpt")
+    stream = J.file_stream(spark, src, EVENT_SCHEMA, max_files_per_trigger=2).withColumn(
+        "t", TM.ntz_to_instant("ts"))
+    agg = J.session_counts(stream, "user_id", "t", f"{SESSION_GAP_SECONDS} seconds", "1 hour")
+    J.run(agg.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
+          .foreachBatch(J.overwrite_each_batch(out)))
+    res = spark.read.parquet(out)
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return res.select("user_id", F.date_format(TM.instant_to_ntz("first_ts"), fmt).alias("session_start"),
+                      F.date_format(TM.instant_to_ntz("last_ts"), fmt).alias("session_end"), "events")
+
+
+# Two bulk polls of the fact table, one minute apart (poll times are the
+# stream's event time for the dedup watermark).
+POLL_TIMES = ["2026-08-16 07:00:00", "2026-08-16 07:01:00"]
+
+
+@register("stream_dedup_repolls", with_star("order_lines") + """
+SELECT DISTINCT order_item_id, dt_update FROM order_lines""")
+def stream_dedup_repolls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bulk-mode feed re-publishes the whole table every poll; the stream
+    keeps the first copy of each (key, version) within a 10-minute
+    watermark on poll time."""
+    lines = star.order_lines(spark, sf_dir).select("order_item_id", "dt_update", "quantity")
+    src = scratch_path(spark, "repoll-src")
+    for t in POLL_TIMES:
+        (lines.withColumn("polled_at", F.lit(t).cast("timestamp_ntz")).write.mode("append")
+         .options(**TIMESTAMP_OPTIONS).option("maxRecordsPerFile", 20000).json(src))
+    schema = T.StructType(lines.schema.fields + [T.StructField("polled_at", T.TimestampNTZType())])
+    stream = J.file_stream(spark, src, schema, max_files_per_trigger=2).withColumn(
+        "t", TM.ntz_to_instant("polled_at"))
+    deduped = J.dedup_within_watermark(stream, ["order_item_id", "dt_update"], "t", "10 minutes")
+    out, ckpt = scratch_path(spark, "repoll-out"), scratch_path(spark, "repoll-ckpt")
+    J.run(J.parquet_sink(deduped.drop("t"), out, ckpt))
+    return spark.read.parquet(out).select("order_item_id", "dt_update")
+
+
+@register("stream_upsert_latest", with_star("order_items") + _LATEST_SQL)
+def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact change feed streamed in several micro-batches; each batch is
+    merged into a versioned target keeping the newest row per key.  The
+    final version equals the latest state of every key."""
+    items = star.order_items(spark, sf_dir)
+    src = _flat_landing(spark, items, "upsert-src", 8000)
+    root, ckpt = scratch_path(spark, "upsert-target"), scratch_path(spark, "upsert-ckpt")
+    stream = J.file_stream(spark, src, items.schema, max_files_per_trigger=2)
+    J.run(stream.writeStream.option("checkpointLocation", ckpt)
+          .foreachBatch(J.upsert_each_batch(root, ["order_item_id"], star.fact_sort_keys())))
+    latest = spark.read.parquet(J.current_version(spark, root))
+    return _money_out(latest).select(*LATEST_COLS)
