@@ -40,16 +40,24 @@ def envelope(df: DataFrame, op: Column | str = "c", ts_col: str | None = None) -
     return df.select(F.to_json(env).alias("value"))
 
 
-def unwrap(value_col, row_schema: T.StructType) -> Column:
-    """After-image of a change envelope; for deletes ('d') the before-image
-    marked with ``__deleted``=true (the tombstone)."""
-    env_schema = T.StructType([
+def _envelope_schema(row_schema: T.StructType) -> T.StructType:
+    return T.StructType([
         T.StructField("before", row_schema), T.StructField("after", row_schema),
         T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType())])
-    env = F.from_json(_c(value_col).cast("string"), env_schema)
-    image = F.when(env["op"] == "d", env["before"]).otherwise(env["after"])
-    return F.struct(*[image[f.name].alias(f.name) for f in row_schema.fields],
-                    (env["op"] == "d").alias("__deleted"), env["op"].alias("__op"))
+
+
+def unwrap(df: DataFrame, value_col: str, row_schema: T.StructType) -> DataFrame:
+    """After-images of change envelopes; for deletes ('d') the before-image
+    marked with ``__deleted``=true (the tombstone).
+
+    The JSON is parsed in a projection of its own: referenced from inside
+    CASE branches, a single ``from_json`` would be re-evaluated for every
+    extracted field (no common-subexpression elimination in branches)."""
+    parsed = df.select(F.from_json(F.col(value_col).cast("string"), _envelope_schema(row_schema)).alias("_env"))
+    deleted = F.col("_env.op") == "d"
+    fields = [F.when(deleted, F.col(f"_env.before.{f.name}")).otherwise(F.col(f"_env.after.{f.name}")).alias(f.name)
+              for f in row_schema.fields]
+    return parsed.select(*fields, deleted.alias("__deleted"), F.col("_env.op").alias("__op"))
 
 
 def decimal_to_wire(col, scale: int) -> Column:

@@ -20,6 +20,7 @@ from tessera.plans.oracle_star import with_star
 from tessera.quality.contracts import STAR_CONTRACTS
 from tessera.quality.reconcile import layer_stats, reconcile
 from tessera.quality.validation import FAILED, conform, flag_rules, quarantine_split, schema_violations_list
+from tessera.session import scratch_path
 from tessera.sources import incremental, star
 
 # --------------------------------------------------------------------------
@@ -242,11 +243,14 @@ def bulk_vs_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layers(spark: SparkSession, sf_dir: str, table: str) -> list[DataFrame]:
+    """Summaries of the four layers of one table: source, topic (two bulk
+    polls as JSON change envelopes), bronze (the envelopes parsed back to
+    typed rows) and silver (latest row per key)."""
     c = STAR_CONTRACTS[table]
     src = star.star_table(spark, sf_dir, table)
     keys, ver = list(c.key), c.version_column
     topic = wire.envelope(incremental.bulk_polls(src, 2).drop("_poll"), "c", ver)
-    bronze = topic.select(wire.unwrap("value", src.schema).alias("r")).select("r.*").drop("__deleted", "__op")
+    bronze = wire.unwrap(topic, "value", src.schema).drop("__deleted", "__op")
     silver = latest_per_key(bronze, keys, _order_all(table, bronze.columns))
     key_of_topic = topic.select(*[F.get_json_object("value", f"$.after.{k}").alias(k) for k in keys],
                                 F.get_json_object("value", "$.ts_ms").cast("bigint").alias("_v"))
@@ -451,7 +455,7 @@ def envelope_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows -> JSON change envelopes -> after-images, typed by the schema."""
     lines = star.order_lines(spark, sf_dir)
     env = wire.envelope(lines, "c", "dt_update")
-    back = env.select(wire.unwrap("value", lines.schema).alias("r")).select("r.*")
+    back = wire.unwrap(env, "value", lines.schema)
     return _money_out(back.where(~F.col("__deleted"))).withColumnRenamed("__op", "op").drop("__deleted")
 
 

@@ -18,14 +18,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import time as T
-from tessera.session import guarded_broadcast
+from tessera.session import estimated_size, guarded_broadcast
 
 MONEY = "decimal(12,2)"
 RATE = "decimal(4,2)"
 
 
+# Scans below this many bytes are never spread (see ``read_table``).
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one table, with one safeguard for under-split input.
+
+    A large table stored as a handful of unsplittable row groups is read by
+    as many tasks, so all per-row work before the first shuffle would run
+    on those few cores.  When the scan has fewer partitions than the
+    cluster's default parallelism and is at least ``SPREAD_MIN_BYTES``, its
+    rows are dealt round-robin over the cores (skew-proof, unlike hashing on
+    a key that may hold a third of the rows).  Column pruning and filters
+    still reach the scan below the exchange.  A table written as many files
+    (the normal case at scale) gets no extra exchange."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    limit = int(spark.conf.get("spark.tessera.scan.spreadMinBytes", str(SPREAD_MIN_BYTES)))
+    if limit < 0:
+        return df
+    target = spark.sparkContext.defaultParallelism
+    size = estimated_size(df)
+    if size is not None and size >= limit and df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def brand_code(brand, ptype) -> F.Column:
