@@ -74,7 +74,7 @@ def describe(adj, noun, benefit, plural, pick) -> F.Column:
     vowel = F.lower(F.substring(adj, 1, 1)).isin("a", "e", "i", "o", "u")
     low = F.when(vowel, F.lit("an")).otherwise(F.lit("a"))
     cap = F.when(vowel, F.lit("An")).otherwise(F.lit("A"))
-    idx = F.pmod(pick if not isinstance(pick, str) else F.col(pick), F.lit(len(SINGULAR_TEMPLATES))) + 1
+    idx = (F.pmod(pick if not isinstance(pick, str) else F.col(pick), F.lit(len(SINGULAR_TEMPLATES))) + 1).cast("int")
     sing = F.array(*[_fill(t, adj, noun, benefit, low, cap) for t in SINGULAR_TEMPLATES])
     plur = F.array(*[_fill(t, adj, noun, benefit, low, cap) for t in PLURAL_TEMPLATES])
     return F.when(plural, F.element_at(plur, idx)).otherwise(F.element_at(sing, idx))
@@ -97,3 +97,37 @@ def line_total(unit_price, quantity) -> F.Column:
     unit_price = F.col(unit_price) if isinstance(unit_price, str) else unit_price
     quantity = F.col(quantity) if isinstance(quantity, str) else quantity
     return F.round(unit_price.cast("decimal(12,2)") * quantity.cast("decimal(10,0)"), 2).cast("decimal(12,2)")
+
+
+def pick_scoped(items: DataFrame, candidates: DataFrame, scope_col: str, value_col: str, pick,
+                out_col: str) -> DataFrame:
+    """For every item, one candidate value from its own scope (e.g. a brand
+    of the product's category): the ``pick mod n``-th of the scope's ``n``
+    candidates in value order.  Items whose scope has no candidate (or no
+    scope) fall back to all candidates, picked the same way.
+
+    Candidates are a dimension; the per-scope index and sizes are joined
+    with size-checked broadcasts, the item side is never shuffled for it."""
+    from tessera.operators.sequence import consecutive_index, index_within_group
+    from tessera.session import guarded_broadcast
+    pick = F.col(pick) if isinstance(pick, str) else pick
+    cand = candidates.select(F.col(scope_col).alias("_scope"), F.col(value_col).alias("_v")).distinct()
+    scoped = index_within_group(cand, ["_scope"], ["_v"], "_si", start=0) \
+        .select("_scope", "_si", F.col("_v").alias("_scoped"))
+    sizes = cand.groupBy("_scope").agg(F.count(F.lit(1)).alias("_n"))
+    everyone = consecutive_index(cand.select("_v").distinct(), ["_v"], "_ai", start=0) \
+        .select("_ai", F.col("_v").alias("_any"))
+    n_all = everyone.count()  # one scalar
+    x = items.withColumn("_scope", F.col(scope_col)).withColumn("_pick", pick)
+    x = x.join(guarded_broadcast(sizes), "_scope", "left")
+    any_slot = F.pmod(F.col("_pick"), F.lit(n_all).cast("bigint")) if n_all else F.lit(None).cast("bigint")
+    x = x.withColumns({"_si": F.pmod(F.col("_pick"), F.col("_n")), "_ai": any_slot})
+    x = x.join(guarded_broadcast(scoped), ["_scope", "_si"], "left").join(guarded_broadcast(everyone), "_ai", "left")
+    return x.withColumn(out_col, F.coalesce(F.col("_scoped"), F.col("_any"))) \
+        .drop("_scope", "_pick", "_n", "_si", "_ai", "_scoped", "_any")
+
+
+def capitalized(col) -> F.Column:
+    """First letter upper case, the rest lower case."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))

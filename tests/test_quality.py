@@ -99,3 +99,27 @@ def test_row_set_difference_multiplicity(spark):
     b = spark.createDataFrame([(1,), (3,)], "x int")
     got = sorted((r.side, r.x) for r in row_set_difference(a, b).collect())
     assert got == [("dest_only", 3), ("source_only", 1), ("source_only", 2)]
+
+
+def test_pick_scoped_falls_back_to_all_candidates(spark):
+    from tessera.operators.dimensions import pick_scoped
+    items = spark.createDataFrame([(0, "A"), (1, "A"), (2, "B"), (3, None)], "id bigint, cat string")
+    cands = spark.createDataFrame([("A", "a1"), ("A", "a2"), ("C", "c1")], "cat string, brand string")
+    out = {r.id: r.pick for r in pick_scoped(items, cands, "cat", "brand", "id", "pick").collect()}
+    # scoped: A -> [a1, a2]; B and NULL have none -> all brands [a1, a2, c1]
+    assert out == {0: "a1", 1: "a2", 2: "c1", 3: "a1"}
+
+
+def test_catalog_table_created_then_partition_reloaded(spark, scratch):
+    from tessera.sinks.bronze import with_bronze_metadata
+    from tessera.sinks.catalog import load_partitioned_table, table_exists
+    name = "tessera_test_" + scratch.rsplit("-", 1)[1].lower()
+    day1 = with_bronze_metadata(spark.range(4).withColumnRenamed("id", "k"), "2026-08-16")
+    day2 = with_bronze_metadata(spark.range(2).withColumnRenamed("id", "k"), "2026-08-17")
+    assert not table_exists(spark, name)
+    assert load_partitioned_table(day1, name, f"{scratch}/t") == "created"
+    assert load_partitioned_table(day2, name, f"{scratch}/t") == "reloaded"
+    assert load_partitioned_table(day1, name, f"{scratch}/t") == "reloaded"
+    counts = {str(r[0]): r[1] for r in spark.sql(
+        f"SELECT _processing_date, COUNT(*) FROM {name} GROUP BY 1").collect()}
+    assert counts == {"2026-08-16": 4, "2026-08-17": 2}
