@@ -4,7 +4,8 @@ local[$BENCH_CPUS] and print one JSON line with per-query seconds.
 Each plan is executed in full with the ``noop`` sink (every row is
 computed, nothing is collected to the driver).  A warm-up run per plan
 loads classes and file metadata; the reported time is the best of
-$BENCH_REPEAT timed runs.
+$BENCH_REPEAT timed runs.  $BENCH_CONF ("key=value,key=value") adds
+session settings, for comparing configurations.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     from tessera.plans import load_all
     from tessera.session import build_session
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if "=" in kv)
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, extra=extra)
     plans = load_all()
     timings = {}
     for name in names:

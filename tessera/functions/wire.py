@@ -50,10 +50,13 @@ def unwrap(df: DataFrame, value_col: str, row_schema: T.StructType) -> DataFrame
     """After-images of change envelopes; for deletes ('d') the before-image
     marked with ``__deleted``=true (the tombstone).
 
-    The JSON is parsed in a projection of its own: referenced from inside
-    CASE branches, a single ``from_json`` would be re-evaluated for every
-    extracted field (no common-subexpression elimination in branches)."""
-    parsed = df.select(F.from_json(F.col(value_col).cast("string"), _envelope_schema(row_schema)).alias("_env"))
+    The JSON is parsed once, into a column produced by a generator (a
+    one-element ``explode``).  As a plain projection, the parse would be
+    inlined into every expression that uses it: into each CASE branch, and
+    into any later filter on ``__deleted``, which the optimizer then pushes
+    down to the scan (below a repartition), parsing every message twice."""
+    env = F.from_json(F.col(value_col).cast("string"), _envelope_schema(row_schema))
+    parsed = df.select(F.explode(F.array(env)).alias("_env"))
     deleted = F.col("_env.op") == "d"
     fields = [F.when(deleted, F.col(f"_env.before.{f.name}")).otherwise(F.col(f"_env.after.{f.name}")).alias(f.name)
               for f in row_schema.fields]

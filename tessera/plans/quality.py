@@ -252,8 +252,10 @@ def _layers(spark: SparkSession, sf_dir: str, table: str) -> list[DataFrame]:
     topic = wire.envelope(incremental.bulk_polls(src, 2).drop("_poll"), "c", ver)
     bronze = wire.unwrap(topic, "value", src.schema).drop("__deleted", "__op")
     silver = latest_per_key(bronze, keys, _order_all(table, bronze.columns))
-    key_of_topic = topic.select(*[F.get_json_object("value", f"$.after.{k}").alias(k) for k in keys],
-                                F.get_json_object("value", "$.ts_ms").cast("bigint").alias("_v"))
+    # json_tuple reads each message once per level (get_json_object would
+    # re-parse the whole message for every extracted path)
+    outer = topic.select(F.json_tuple("value", "after", "ts_ms").alias("_after", "_ts"))
+    key_of_topic = outer.select(F.json_tuple("_after", *keys).alias(*keys), F.col("_ts").cast("bigint").alias("_v"))
     return [layer_stats(src, table, "source", keys, ver),
             layer_stats(key_of_topic, table, "topic", keys, "_v" if ver else None),
             layer_stats(bronze, table, "bronze", keys, ver),

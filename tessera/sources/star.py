@@ -28,6 +28,12 @@ RATE = "decimal(4,2)"
 SPREAD_MIN_BYTES = 4 * 1024 * 1024
 
 
+# Source scans already planned in a session: (session id, path, spread
+# limit) -> DataFrame.  The given tables are immutable inputs, so one scan
+# (its file listing, footers and the spread decision) serves every plan.
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table, with one safeguard for under-split input.
 
@@ -39,14 +45,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     a key that may hold a third of the rows).  Column pruning and filters
     still reach the scan below the exchange.  A table written as many files
     (the normal case at scale) gets no extra exchange."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     limit = int(spark.conf.get("spark.tessera.scan.spreadMinBytes", str(SPREAD_MIN_BYTES)))
-    if limit < 0:
-        return df
-    target = spark.sparkContext.defaultParallelism
-    size = estimated_size(df)
-    if size is not None and size >= limit and df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    memo = (id(spark), path, limit)
+    if memo in _SCANS and _SCANS[memo].sparkSession is spark:
+        return _SCANS[memo]
+    df = spark.read.parquet(path)
+    if limit >= 0:
+        target = spark.sparkContext.defaultParallelism
+        size = estimated_size(df)
+        if size is not None and size >= limit and df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    _SCANS[memo] = df
     return df
 
 
