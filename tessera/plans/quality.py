@@ -18,7 +18,7 @@ from tessera.plans import register
 from tessera.plans.analytics import LATEST_COLS, TABLE_ORDER, _LATEST_SQL, _money_out
 from tessera.plans.oracle_star import with_star
 from tessera.quality.contracts import STAR_CONTRACTS
-from tessera.quality.reconcile import layer_stats, reconcile
+from tessera.quality.reconcile import layer_stats, layers_stats, reconcile
 from tessera.quality.validation import FAILED, conform, flag_rules, quarantine_split, schema_violations_list
 from tessera.session import scratch_path
 from tessera.sources import incremental, star
@@ -256,10 +256,8 @@ def _layers(spark: SparkSession, sf_dir: str, table: str) -> list[DataFrame]:
     # re-parse the whole message for every extracted path)
     outer = topic.select(F.json_tuple("value", "after", "ts_ms").alias("_after", "_ts"))
     key_of_topic = outer.select(F.json_tuple("_after", *keys).alias(*keys), F.col("_ts").cast("bigint").alias("_v"))
-    return [layer_stats(src, table, "source", keys, ver),
-            layer_stats(key_of_topic, table, "topic", keys, "_v" if ver else None),
-            layer_stats(bronze, table, "bronze", keys, ver),
-            layer_stats(silver, table, "silver", keys, ver)]
+    return [(table, "source", src, keys, ver), (table, "topic", key_of_topic, keys, "_v" if ver else None),
+            (table, "bronze", bronze, keys, ver), (table, "silver", silver, keys, ver)]
 
 
 def _recon_sql(t: str) -> str:
@@ -280,8 +278,8 @@ def _recon_sql(t: str) -> str:
 @register("reconciliation", with_star(*TABLE_ORDER) + "\nUNION ALL\n".join(
     _recon_sql(t) for t in TABLE_ORDER) + "\nORDER BY table_name, layer")
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = [s for t in TABLE_ORDER for s in _layers(spark, sf_dir, t)]
-    return reconcile(stats).orderBy("table_name", "layer")
+    layers = [x for t in TABLE_ORDER for x in _layers(spark, sf_dir, t)]
+    return reconcile([layers_stats(spark, layers)]).orderBy("table_name", "layer")
 
 
 # --------------------------------------------------------------------------

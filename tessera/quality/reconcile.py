@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,30 @@ def layer_stats(df: DataFrame, table: str, layer: str, keys: list[str],
              F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"), "distinct_keys", "max_version")
 
 
+def layers_stats(spark, layers: list[tuple[str, str, DataFrame, list[str], str | None]]) -> DataFrame:
+    """``layer_stats`` of many (table, layer, frame, keys, version column)
+    at once, as one two-level aggregation over the union of their
+    (table, layer, key, version) rows: two shuffles for all layers instead
+    of two per layer.  One weightless marker row per layer keeps empty
+    layers in the result (rows 0, distinct keys 0)."""
+    def key_of(keys: list[str]) -> Column:
+        return F.col(keys[0]).cast("string") if len(keys) == 1 else F.to_json(F.struct(*keys))
+
+    rows = [df.select(F.lit(t).alias("table_name"), F.lit(layer).alias("layer"), key_of(keys).alias("_k"),
+                      (F.col(ver).cast("bigint") if ver else F.lit(None).cast("bigint")).alias("_ver"),
+                      F.lit(1).alias("_w"))
+            for t, layer, df, keys, ver in layers]
+    markers = spark.createDataFrame([(t, layer) for t, layer, *_ in layers], "table_name string, layer string") \
+        .select("table_name", "layer", F.lit(None).cast("string").alias("_k"),
+                F.lit(None).cast("bigint").alias("_ver"), F.lit(0).alias("_w"))
+    per_key = reduce(DataFrame.unionByName, rows + [markers]).groupBy("table_name", "layer", "_k").agg(
+        F.sum("_w").alias("_n"), F.max("_ver").alias("_v"))
+    return per_key.groupBy("table_name", "layer").agg(
+        F.sum("_n").cast("bigint").alias("rows"),
+        F.count(F.when(F.col("_n") > 0, 1)).cast("bigint").alias("distinct_keys"),
+        F.max("_v").cast("bigint").alias("max_version"))
+
+
 def reconcile(stats: list[DataFrame], source_layer: str = "source") -> DataFrame:
     """Compare every layer with the source layer of the same table:
     loss_rate = 1 - distinct_keys / source distinct_keys,
