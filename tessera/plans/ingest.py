@@ -71,7 +71,7 @@ def landing_day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, COUNT(*) AS events
 FROM events GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""")
 def landing_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small-file landing rewritten with one file per hour directory."""
+    """Small-file landing rewritten into few large files per hour directory."""
     src = events_landing(spark, sf_dir)
     dst = scratch_path(spark, "compacted")
     schema = T.StructType(EVENT_SCHEMA.fields + [T.StructField(c, T.StringType()) for c in SRC.PARTITION_COLS])

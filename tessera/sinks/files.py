@@ -27,12 +27,21 @@ def write_hour_partitioned(df: DataFrame, path: str, ts_col: str, max_records_pe
     """Land rows under year=/month=/day=/hour= of their event time, at most
     ``max_records_per_file`` rows per file.  Late rows land in their own
     (older) hour, never dropped.  Rows are first clustered by hour so each
-    task writes few directories."""
+    task writes few directories (see ``_clustered``)."""
     parts = df.withColumns(hour_parts(ts_col))
-    (parts.repartition(*HOUR_COLS).write.mode(mode).format(fmt).options(**TIMESTAMP_OPTIONS)
+    (_clustered(parts, HOUR_COLS, [F.col(ts_col)]).write.mode(mode).format(fmt).options(**TIMESTAMP_OPTIONS)
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(*HOUR_COLS).save(path))
 
 
+def _clustered(df: DataFrame, partition_cols: list[str], tie_break: list) -> DataFrame:
+    """Cluster rows by output directory with range partitioning on the
+    partition columns plus a tie-break inside them.  Unlike hashing on the
+    partition columns, which sends a hot directory (say an hour holding a
+    third of all rows) to one task, the sampled range bounds split a large
+    directory over several tasks; small ones stay in one."""
+    return df.repartitionByRange(*[F.col(c) for c in partition_cols], *tie_break)
+
+
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     w = df.write.mode(mode).format(fmt)
@@ -88,14 +97,17 @@ def write_json_array_parts(df: DataFrame, path: str) -> None:
 
 def compact(spark: SparkSession, src: str, dst: str, partition_cols: list[str], fmt: str = "json",
             schema=None) -> None:
-    """Rewrite a small-file landing with one file per partition directory.
-    Written to a new location: a job must not overwrite what it reads."""
+    """Rewrite a small-file landing into few large files per partition
+    directory (one, unless the directory is large enough for the range
+    bounds to split it).  Written to a new location: a job must not
+    overwrite what it reads."""
     r = spark.read.format(fmt).option("basePath", src).options(**TIMESTAMP_OPTIONS)
     if schema is not None:
         r = r.schema(schema)
     df = r.load(src)
-    (df.repartition(*partition_cols).write.mode("overwrite").format(fmt).options(**TIMESTAMP_OPTIONS)
-     .partitionBy(*partition_cols).save(dst))
+    data_cols = [c for c in df.columns if c not in partition_cols]
+    (_clustered(df, partition_cols, [F.xxhash64(*data_cols)]).write.mode("overwrite").format(fmt)
+     .options(**TIMESTAMP_OPTIONS).partitionBy(*partition_cols).save(dst))
 
 
 def drop_partitions_before(spark: SparkSession, base: str, cutoff: str) -> list[str]:
