@@ -4,6 +4,7 @@ and by row set, and the product enrichment of the catalogue generator."""
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,3 +179,99 @@ def product_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
         D.price_with_ending("price", "product_id").cast("double").alias("shelf_price"))
     return D.pick_scoped(described, star.brands(spark, sf_dir), "category_code", "brand_code",
                          "product_id", "suggested_brand")
+
+
+# --------------------------------------------------------------------------
+# Topic routing with tombstones, event-time formats, line totals,
+# schema-evolving bronze appends
+
+TOPIC_PREFIX = "ecommerce.brz_"
+
+
+@register("topic_routing", with_star(*TABLE_ORDER) + f"""
+, latest AS ({_LATEST_LINES.replace("order_lines", "order_items").format(where="")}),
+m AS (""" + "\nUNION ALL ".join(
+    f"SELECT '{TOPIC_PREFIX}{t}' AS topic, 0 AS tomb FROM {t}" for t in TABLE_ORDER if t != "order_items") + f"""
+  UNION ALL SELECT '{TOPIC_PREFIX}order_items', CASE WHEN return_flag = 'R' THEN 1 ELSE 0 END FROM latest)
+SELECT topic, substr(topic, {len(TOPIC_PREFIX) + 1}) AS sink_folder,
+       COUNT(*) AS published, CAST(SUM(tomb) AS BIGINT) AS tombstones,
+       CAST(COUNT(*) - SUM(tomb) AS BIGINT) AS written
+FROM m GROUP BY topic ORDER BY topic""")
+def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every star table published to its own topic (prefix + table name)
+    as JSON rows; the fact topic carries the latest version per key, and a
+    tombstone (null value) for each key whose latest line was returned.
+    The sink ignores tombstones and writes into a folder named after the
+    table without the prefix."""
+    from tessera.functions.standardize import strip_prefix
+    from tessera.functions.wire import encode_row
+    from tessera.sources.incremental import route_topic
+    from tessera.streaming.jobs import drop_tombstones
+    feeds = []
+    for t in TABLE_ORDER:
+        df = star.star_table(spark, sf_dir, t)
+        if t == "order_items":
+            df = latest_per_key(df, ["order_item_id"], star.fact_sort_keys())
+            value = F.when(F.col("return_flag") != "R", encode_row(df.columns))
+        else:
+            value = encode_row(df.columns)
+        feeds.append(route_topic(df, TOPIC_PREFIX, t).select(F.col("_topic").alias("topic"), value.alias("value")))
+    messages = reduce(DataFrame.unionByName, feeds)
+    written = drop_tombstones(messages)
+    pub = messages.groupBy("topic").agg(F.count(F.lit(1)).alias("published"),
+                                        F.count(F.when(F.col("value").isNull(), 1)).alias("tombstones"))
+    out = written.groupBy("topic").agg(F.count(F.lit(1)).alias("written"))
+    return pub.join(out, "topic", "left").select(
+        "topic", strip_prefix(F.col("topic"), re.escape(TOPIC_PREFIX)).alias("sink_folder"),
+        "published", "tombstones", F.coalesce("written", F.lit(0)).cast("bigint").alias("written")).orderBy("topic")
+
+
+@register("event_time_formats", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS event_time_iso,
+       strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS event_minute,
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date,
+       CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS date_code,
+       CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS event_millis
+FROM events""")
+def event_time_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as ISO text, minute buckets, date text, date code and
+    epoch millis."""
+    from tessera.functions import time as TM
+    ev = star.read_table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id", TM.iso_timestamp_text("ts").alias("event_time_iso"),
+        F.date_format(TM.minute_floor("ts"), "yyyy-MM-dd HH:mm").alias("event_minute"),
+        F.to_date("ts").cast("string").alias("event_date"), TM.date_code("ts").alias("date_code"),
+        TM.ntz_millis("ts").alias("event_millis"))
+
+
+@register("fact_line_totals", with_star("order_lines", "products") + """
+SELECT l.order_item_id, l.product_id, l.quantity, CAST(p.price AS DOUBLE) AS unit_price,
+       CAST(round(p.price * l.quantity, 2) AS DOUBLE) AS line_total
+FROM order_lines l JOIN products p ON p.product_id = l.product_id""")
+def fact_line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact lines priced from the catalogue: unit price times quantity,
+    rounded to cents in exact decimal arithmetic."""
+    lines = star.order_lines(spark, sf_dir).select("order_item_id", "product_id", "quantity")
+    prices = star.products(spark, sf_dir).select("product_id", F.col("price").alias("unit_price"))
+    return attach(lines, prices, "product_id", "inner").select(
+        "order_item_id", "product_id", "quantity", F.col("unit_price").cast("double").alias("unit_price"),
+        D.line_total("unit_price", "quantity").cast("double").alias("line_total"))
+
+
+@register("bronze_schema_evolution", with_star("customers") + """
+SELECT '2024-01-01' AS processing_date, COUNT(*) AS row_count, CAST(0 AS BIGINT) AS rows_with_city FROM customers
+UNION ALL
+SELECT '2024-01-02', COUNT(*), COUNT(city) FROM customers
+ORDER BY processing_date""")
+def bronze_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily appends to one bronze table, the second with a column the
+    first lacked; read back with merged schemas, the older day has NULLs."""
+    from tessera.sinks.bronze import PROCESSING_DATE, append_evolving, read_evolving
+    path = scratch_path(spark, "evolving")
+    cust = star.customers(spark, sf_dir)
+    append_evolving(with_bronze_metadata(cust.drop("city"), "2024-01-01"), path)
+    append_evolving(with_bronze_metadata(cust, "2024-01-02"), path)
+    back = read_evolving(spark, path)
+    return back.groupBy(F.col(PROCESSING_DATE).cast("string").alias("processing_date")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("city").alias("rows_with_city")).orderBy("processing_date")
