@@ -201,8 +201,9 @@ def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every star table published to its own topic (prefix + table name)
     as JSON rows; the fact topic carries the latest version per key, and a
     tombstone (null value) for each key whose latest line was returned.
-    The sink ignores tombstones and writes into a folder named after the
-    table without the prefix."""
+    The sink ignores tombstones and writes files of at most 1000 messages
+    into a folder named after the table without the prefix; the counts are
+    read back from the written files."""
     from tessera.functions.standardize import strip_prefix
     from tessera.functions.wire import encode_row
     from tessera.sources.incremental import route_topic
@@ -217,13 +218,18 @@ def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
             value = encode_row(df.columns)
         feeds.append(route_topic(df, TOPIC_PREFIX, t).select(F.col("_topic").alias("topic"), value.alias("value")))
     messages = reduce(DataFrame.unionByName, feeds)
-    written = drop_tombstones(messages)
+    # the sink: one folder per table, files of at most 1000 messages,
+    # tombstones ignored
+    path = scratch_path(spark, "topic-sink")
+    (drop_tombstones(messages).withColumn("sink_folder", strip_prefix(F.col("topic"), re.escape(TOPIC_PREFIX)))
+     .write.option("maxRecordsPerFile", 1000).partitionBy("sink_folder").json(path))
+    written = spark.read.schema("topic string, value string, sink_folder string").json(path)
     pub = messages.groupBy("topic").agg(F.count(F.lit(1)).alias("published"),
                                         F.count(F.when(F.col("value").isNull(), 1)).alias("tombstones"))
-    out = written.groupBy("topic").agg(F.count(F.lit(1)).alias("written"))
+    out = written.groupBy("topic", "sink_folder").agg(F.count(F.lit(1)).alias("written"))
     return pub.join(out, "topic", "left").select(
-        "topic", strip_prefix(F.col("topic"), re.escape(TOPIC_PREFIX)).alias("sink_folder"),
-        "published", "tombstones", F.coalesce("written", F.lit(0)).cast("bigint").alias("written")).orderBy("topic")
+        "topic", "sink_folder", "published", "tombstones",
+        F.coalesce("written", F.lit(0)).cast("bigint").alias("written")).orderBy("topic")
 
 
 @register("event_time_formats", """
