@@ -156,12 +156,13 @@ def silver_build_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for t in TABLE_ORDER:
         bronze, passed, quarantined = silver_table(spark, sf_dir, t)
-        n_in = bronze.agg(F.count(F.lit(1)).alias("rows_in"))
-        n_q = quarantined.agg(F.count(F.lit(1)).alias("quarantined"))
-        n_out = passed.agg(F.count(F.lit(1)).alias("rows_out"))
-        # three one-row aggregates side by side via a constant key
-        row = (n_in.withColumn("_k", F.lit(1)).join(n_q.withColumn("_k", F.lit(1)), "_k")
-               .join(n_out.withColumn("_k", F.lit(1)), "_k"))
+        # three counts as labelled rows, folded into one row by a
+        # conditional aggregation (no join between the counts)
+        counts = reduce(DataFrame.unionByName, [
+            df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(label).alias("m"), "n")
+            for label, df in (("rows_in", bronze), ("quarantined", quarantined), ("rows_out", passed))])
+        row = counts.agg(*[F.max(F.when(F.col("m") == label, F.col("n"))).alias(label)
+                           for label in ("rows_in", "quarantined", "rows_out")])
         frames.append(row.select(F.lit(t).alias("table_name"), "rows_in",
                                  (F.col("rows_in") - F.col("quarantined") - F.col("rows_out"))
                                  .alias("duplicates_dropped"), "quarantined", "rows_out"))
