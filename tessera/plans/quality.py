@@ -325,9 +325,10 @@ def _metrics_frame(spark: SparkSession, sf_dir: str, t: str) -> DataFrame:
     if c.version_column:
         # lag of the newest version behind the newest version of the star
         metrics.append(("freshness_lag_hours", (F.col("v") - F.col("v")) / 3600000.0))
-    rows = [s.select(F.lit(t).alias("table_name"), F.lit(d).alias("dimension"),
-                     F.when(F.col("rows") > 0, v).cast("double").alias("value")) for d, v in metrics]
-    return reduce(DataFrame.unionByName, rows)
+    # one wide summary row per table, unpivoted: the aggregation runs once
+    wide = s.select(F.lit(t).alias("table_name"),
+                    *[F.when(F.col("rows") > 0, v).cast("double").alias(d) for d, v in metrics])
+    return wide.unpivot("table_name", [d for d, _ in metrics], "dimension", "value")
 
 
 def _status(col="value", dim="dimension"):
