@@ -80,3 +80,23 @@ def test_t6_versioned_upsert(spark, scratch):
     # a retried batch 1 rebuilds the same version from version 0
     write(spark.createDataFrame([(2, 5, "B"), (3, 5, "c"), (1, 0, "old")], "k int, dt int, v string"), 1)
     assert {r.k: r.v for r in spark.read.parquet(J.current_version(spark, root)).collect()} == got
+
+
+def test_t1_processing_time_trigger_picks_up_new_files(spark, scratch):
+    import time
+    src, out, ckpt = f"{scratch}/src", f"{scratch}/out", f"{scratch}/ckpt"
+    write_text(f"{src}/a.json", _lines([(1, "2026-08-16T07:00:00", "u")]))
+    q = J.run(J.parquet_sink(J.file_stream(spark, src, SCHEMA), out, ckpt), processing_time="1 second")
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and q.lastProgress is None:
+            time.sleep(0.5)
+        write_text(f"{src}/b.json", _lines([(2, "2026-08-16T07:05:00", "u")]))
+        while time.time() < deadline:
+            q.processAllAvailable()
+            if spark.read.parquet(out).count() == 2:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
