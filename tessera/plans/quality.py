@@ -323,8 +323,9 @@ def _metrics_frame(spark: SparkSession, sf_dir: str, t: str) -> DataFrame:
         ("domain_validity", F.col("ok") / F.col("rows")),
     ]
     if c.version_column:
-        # lag of the newest version behind the newest version of the star
-        metrics.append(("freshness_lag_hours", (F.col("v") - F.col("v")) / 3600000.0))
+        # the newest version (epoch millis); ``dq_metrics_frame`` turns it
+        # into the lag behind the newest version anywhere in the star
+        metrics.append(("freshness_lag_hours", F.col("v")))
     # one wide summary row per table, unpivoted: the aggregation runs once
     wide = s.select(F.lit(t).alias("table_name"),
                     *[F.when(F.col("rows") > 0, v).cast("double").alias(d) for d, v in metrics])
@@ -343,24 +344,32 @@ def _status(col="value", dim="dimension"):
 
 
 def dq_metrics_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
     m = reduce(DataFrame.unionByName, [_metrics_frame(spark, sf_dir, t) for t in TABLE_ORDER])
+    fresh = F.col("dimension") == "freshness_lag_hours"
+    newest = F.max(F.when(fresh, F.col("value"))).over(Window.partitionBy())  # over the few summary rows
+    m = m.withColumn("value", F.when(fresh, (newest - F.col("value")) / 3600000.0).otherwise(F.col("value")))
     return m.withColumn("status", F.when(F.col("value").isNull(), "FAIL").otherwise(_status()))
 
 
 def _metrics_sql(spark_free_conformity: dict[str, float]) -> str:
     parts = []
+    versioned = [(t, STAR_CONTRACTS[t].version_column) for t in TABLE_ORDER if STAR_CONTRACTS[t].version_column]
+    star_newest = "(SELECT max(x) FROM (" + " UNION ALL ".join(
+        f"SELECT max({v}) AS x FROM {t}" for t, v in versioned) + ") nv)"
     for t in TABLE_ORDER:
         c = STAR_CONTRACTS[t]
         nulls = " + ".join(f"CASE WHEN {n} IS NULL THEN 1 ELSE 0 END" for n in c.required) or "0"
         dom = " AND ".join(f"coalesce({_duck(e)}, true)" for e in c.rules.values()) or "true"
         key = ", ".join(c.key)
+        newest = f"max({c.version_column})" if c.version_column else "NULL"
         base = (f"(SELECT COUNT(*) AS rows, (SELECT COUNT(*) FROM (SELECT DISTINCT {key} FROM {t}) d) AS keys, "
-                f"SUM({nulls}) AS nulls, SUM(CASE WHEN {dom} THEN 1 ELSE 0 END) AS ok FROM {t})")
+                f"SUM({nulls}) AS nulls, SUM(CASE WHEN {dom} THEN 1 ELSE 0 END) AS ok, {newest} AS v FROM {t})")
         n_req = len(c.required)
         dims = [("completeness", f"1 - nulls / (rows * {n_req})"), ("uniqueness", "keys / rows"),
                 ("schema_conformity", repr(spark_free_conformity[t])), ("domain_validity", "ok / rows")]
         if c.version_column:
-            dims.append(("freshness_lag_hours", "0.0"))
+            dims.append(("freshness_lag_hours", f"({star_newest} - v) / 3600000.0"))
         for d, v in dims:
             parts.append(f"SELECT '{t}' AS table_name, '{d}' AS dimension, CAST({v} AS DOUBLE) AS value FROM {base} b")
     body = "\nUNION ALL\n".join(parts)
