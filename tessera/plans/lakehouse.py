@@ -49,8 +49,16 @@ def catalog_bronze_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
             load_partitioned_table(spark.table(f"incoming_{t}_{tag}"), f"{db}.{t}", f"{root}/{t}")
     selects = [f"SELECT '{t}' AS table_name, COUNT(*) AS total_rows, COUNT(DISTINCT {k}) AS unique_keys "
                f"FROM {db}.{t}" for t, k in _KEYS.items()]
-    return spark.sql("SELECT table_name, total_rows, unique_keys, total_rows - unique_keys AS duplicate_rows "
-                     f"FROM ({' UNION ALL '.join(selects)}) v ORDER BY table_name")
+    report = spark.sql("SELECT table_name, total_rows, unique_keys, total_rows - unique_keys AS duplicate_rows "
+                       f"FROM ({' UNION ALL '.join(selects)}) v")
+    # The report (one row per table) is written next to the tables; the
+    # scratch database and views are then dropped, leaving the catalog as
+    # it was (external tables: dropping them keeps their files).
+    report.write.parquet(f"{root}/_report")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    for t in TABLE_ORDER:
+        spark.catalog.dropTempView(f"incoming_{t}_{tag}")
+    return spark.read.parquet(f"{root}/_report").orderBy("table_name")
 
 
 # --------------------------------------------------------------------------
