@@ -295,11 +295,11 @@ _DISTINCT_TARGETS = [("countries", "customers", "country"), ("cities", "customer
                                   for m, t, c in _DISTINCT_TARGETS) + "\nORDER BY metric")
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct countries, cities, brands, product names and categories, as
-    (metric, distinct_values) rows.  Exact; ``approx_distinct_values`` is the
-    HyperLogLog form for very large columns."""
-    frames = [star.star_table(spark, sf_dir, t).agg(F.countDistinct(c).alias("distinct_values"))
-              .select(F.lit(m).alias("metric"), "distinct_values") for m, t, c in _DISTINCT_TARGETS]
-    return _union(frames).orderBy("metric")
+    (metric, distinct_values) rows.  Exact here; ``distinct_counts(...,
+    approx=True)`` is the HyperLogLog form for very large columns."""
+    from tessera.quality.metrics import distinct_counts
+    return distinct_counts([(m, star.star_table(spark, sf_dir, t), c) for m, t, c in _DISTINCT_TARGETS]) \
+        .orderBy("metric")
 
 
 # --------------------------------------------------------------------------

@@ -24,3 +24,18 @@ def expected_vs_actual(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return j.withColumn("check", F.when(F.col("row_count").isNull(), "MISSING")
                         .when(F.col("row_count") == F.col("expected_rows"), "MATCH")
                         .otherwise("MISMATCH"))
+
+
+def distinct_counts(targets: list[tuple[str, DataFrame, str]], approx: bool = False,
+                    rsd: float = 0.01) -> DataFrame:
+    """(metric, distinct_values) for each (metric name, frame, column).
+
+    Exact counts shuffle every distinct value once (after map-side
+    de-duplication); ``approx=True`` uses HyperLogLog++ sketches of fixed
+    size per task instead, merged in one small final step, with relative
+    standard deviation ``rsd``: the choice for very large columns."""
+    agg = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.countDistinct
+    frames = [df.agg(agg(col).cast("bigint").alias("distinct_values")).select(F.lit(m).alias("metric"),
+                                                                            "distinct_values")
+              for m, df, col in targets]
+    return reduce(DataFrame.unionByName, frames)

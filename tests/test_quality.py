@@ -123,3 +123,12 @@ def test_catalog_table_created_then_partition_reloaded(spark, scratch):
     counts = {str(r[0]): r[1] for r in spark.sql(
         f"SELECT _processing_date, COUNT(*) FROM {name} GROUP BY 1").collect()}
     assert counts == {"2026-08-16": 4, "2026-08-17": 2}
+
+
+def test_distinct_counts_exact_and_approximate(spark):
+    from tessera.quality.metrics import distinct_counts
+    df = spark.range(0, 200_000).selectExpr("id % 50000 AS k")
+    exact = {r.metric: r.distinct_values for r in distinct_counts([("k", df, "k")]).collect()}
+    approx = {r.metric: r.distinct_values for r in distinct_counts([("k", df, "k")], approx=True).collect()}
+    assert exact == {"k": 50000}
+    assert abs(approx["k"] - 50000) / 50000 < 0.05
