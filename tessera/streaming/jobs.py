@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.time import hour_parts
 from tessera.operators.dedup import latest_per_key
+from tessera.session import guarded_broadcast
 from tessera.sinks.files import HOUR_COLS, TIMESTAMP_OPTIONS
 from tessera.sources.files import TIMESTAMP_OPTIONS as READ_TS_OPTIONS
 
@@ -93,15 +94,26 @@ def overwrite_each_batch(path: str):
 def upsert_each_batch(target_root: str, keys: list[str], order_by: list[str]):
     """foreachBatch body keeping the latest row per key.
 
-    Version ``v=<batch_id>`` is built from version ``batch_id - 1`` plus the
-    batch (latest per key over both, a map-side-combined aggregation) and
-    written to its own directory: a job never overwrites what it reads, and
-    a retried batch rewrites the same version."""
+    Version ``v=<batch_id>`` is built from the newest earlier version plus
+    the batch and written to its own directory: a job never overwrites what
+    it reads, and a retried batch rewrites the same version.  Only state
+    rows whose key occurs in the batch are shuffled (with the batch, to
+    pick the latest per key, so a late, older row never replaces a newer
+    one); the rest of the state is carried over by a narrow anti join
+    against the batch's keys, broadcast when that key set is proven small."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = current_version(spark, target_root, below=batch_id)
-        merged = batch if prev is None else spark.read.parquet(prev).unionByName(batch)
-        latest_per_key(merged, keys, order_by).write.mode("overwrite").parquet(f"{target_root}/v={batch_id}")
+        out = f"{target_root}/v={batch_id}"
+        if prev is None:
+            latest_per_key(batch, keys, order_by).write.mode("overwrite").parquet(out)
+            return
+        state = spark.read.parquet(prev)
+        batch_keys = guarded_broadcast(batch.select(*keys).distinct())
+        touched = state.join(batch_keys, keys, "left_semi")
+        untouched = state.join(batch_keys, keys, "left_anti")
+        merged = latest_per_key(touched.unionByName(batch), keys, order_by)
+        untouched.unionByName(merged.select(*state.columns)).write.mode("overwrite").parquet(out)
     return write
 
 
