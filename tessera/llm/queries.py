@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, kd_shards, line_dedup, mixing, quality, secret_scan, token_files
+from tessera.llm import decontaminate, exact_dedup, kd_shards, line_dedup, minhash_dedup, mixing, quality, secret_scan, token_files
 from tessera.llm.common import read_table
 from tessera.session import ensure_checkpoint_dir
 
@@ -26,6 +26,11 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
+@register("op1_bbit_minhash")
+def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.link(read_table(spark, sf_dir, "documents"))
+
+
 @register("op2_entropy_mix")
 def op2_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -64,3 +69,8 @@ def op7_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_unit_dedup")
 def op8_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_units(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@register("op10_template_decontamination")
+def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
