@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, exact_dedup, kd_shards, line_dedup, minhash_dedup, mixing, quality, secret_scan, token_files
+from tessera.llm import bwt_dedup, decontaminate, exact_dedup, kd_shards, line_dedup, minhash_dedup, mixing, quality, secret_scan, token_files
 from tessera.llm.common import read_table
 from tessera.session import ensure_checkpoint_dir
 
@@ -71,6 +71,11 @@ def op8_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_units(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+@register("op9_bwt_substring_dedup")
+def op9_bwt_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 @register("op10_template_decontamination")
 def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
