@@ -112,22 +112,40 @@ def split_level(points: DataFrame, leaf_bytes: float) -> DataFrame:
     return at.withColumn("node", F.col("node") * 2 + F.when(left, 0).otherwise(1)).select(*points.columns)
 
 
-def shards(docs: DataFrame, n_shards: int = 16) -> DataFrame:
-    """Columns: doc_id, size, text_crc32, law, shard, slot, grown_shard.
-    ``n_shards`` is a power of two; a leaf's target is its share of all bytes."""
+def _placed(docs: DataFrame, n_shards: int) -> DataFrame:
+    """doc_id, size, crc, tie, shard, slot of each document."""
     points = materialize(points_of(docs), "points")
     total, rows = points.agg(F.sum("size"), F.count("*")).first()
     leaves = 1
     while leaves < n_shards:
         points = materialize(split_level(points, (total or 0) / n_shards), "level")
         leaves *= 2
-    placed = points.select("doc_id", "size", F.col("crc").alias("text_crc32"), "tie",
-                           (F.col("node") - n_shards).cast("int").alias("shard"),
+    placed = points.select("doc_id", "size", "crc", "tie", (F.col("node") - n_shards).cast("int").alias("shard"),
                            F.pmod(F.xxhash64("doc_id", "tie"), F.lit(blocks_for(rows, ROWS_PER_BLOCK * n_shards))).alias("block"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("shard", "block").agg(F.count("*").alias("n")).select(
         "shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("shard", "block").orderBy("doc_id", "tie")
     return placed.withColumn("at", F.row_number().over(within) - 1).join(offsets, ["shard", "block"]).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("offset") + F.col("at")).cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+        "doc_id", "size", "crc", "tie", "shard", (F.col("offset") + F.col("at")).cast("bigint").alias("slot"))
+
+
+def shards(docs: DataFrame, n_shards: int = 16) -> DataFrame:
+    """Columns: doc_id, size, text_crc32, law, shard, slot, grown_shard.
+    ``n_shards`` is a power of two; a leaf's target is its share of all bytes."""
+    return _placed(docs, n_shards).select("doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+                                          "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def place(docs: DataFrame, n_shards: int = 16) -> DataFrame:
+    """The documents with their shard and slot added; columns of those names
+    are replaced.  Rows alike in doc_id and text are interchangeable."""
+    docs = docs.drop("shard", "slot")
+    tie = (F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 11) / _TWO53).alias("text_tie")
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"), tie)
+    numbered = packed.withColumn("nth", F.row_number().over(Window.partitionBy("row_id", "text_tie").orderBy(F.lit(0))))
+    placed = _placed(docs, n_shards).withColumn(
+        "place_nth", F.row_number().over(Window.partitionBy("doc_id", "tie").orderBy("shard", "slot")))
+    joined = numbered.join(placed, F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("text_tie") == F.col("tie"))
+                           & (F.col("nth") == F.col("place_nth")))
+    return joined.select("row.*", "shard", "slot")

@@ -217,3 +217,18 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     null_safe = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return out.select(null_safe("id").alias("doc_id"), "n_shingles", null_safe("component").alias("component_id"),
                       (F.col("id") == F.col("component")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The document with the least id of each component, with docs' columns;
+    of rows that repeat its id, the one whose text's hash is least."""
+    linked = link(docs, threshold).groupBy(F.col("doc_id").alias("kept_id")).agg(
+        F.first("kept").alias("kept"), F.count("*").alias("n"))
+    chosen = materialize(linked.filter("kept").select("kept_id", "n"), "kept")
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    rows = packed.join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    if chosen.filter("n > 1").isEmpty():
+        return rows.select("row.*")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    many = rows.filter("n > 1").withColumn("nth", F.row_number().over(order)).filter("nth = 1")
+    return rows.filter("n = 1").select("row.*").unionByName(many.select("row.*"))
