@@ -5,8 +5,8 @@ Both models are first-order chains over the characters of keys and
 identifiers, one trained on random strings, one on ordinary identifiers; a
 candidate's log-likelihood ratio is the sum over its transitions.  The
 labelled samples are the values that the fixed patterns find (random) and
-the words of documents without any (ordinary), at most ``MAX_SAMPLES`` of
-each, lowest by hash.  A candidate is a run of 20 or more such characters; it
+the words, shorter than candidates, of ``MAX_SAMPLE_DOCS`` documents without
+any (ordinary), at most ``MAX_SAMPLES`` of each, lowest by hash.  A candidate is a run of 20 or more such characters; it
 is a secret when its ratio reaches ``MIN_RATIO`` and it overlaps no span of a
 fixed pattern.
 
@@ -36,7 +36,8 @@ KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN_MIN = 6
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-ORDINARY = r"[A-Za-z0-9_-]{4,}"
+MIN_CANDIDATE = 20
+ORDINARY = r"[A-Za-z0-9+/_=-]{4,}"
 MAX_SAMPLES = 20_000
 MAX_SAMPLE_DOCS = 500
 MIN_RATIO = 12.0
@@ -103,7 +104,7 @@ def scan(docs: DataFrame) -> DataFrame:
     plain = docs.select("doc_id", text.alias("value")).filter(~F.col("value").rlike(ASSIGN) & ~F.col("value").rlike(HEX))
     words = _lowest(plain, MAX_SAMPLE_DOCS).select(F.explode(F.regexp_extract_all("value", F.lit(ORDINARY), F.lit(0))).alias("value"))
     random = _lowest(base.select("value").distinct(), MAX_SAMPLES)
-    ordinary = _lowest(words.distinct(), MAX_SAMPLES)
+    ordinary = _lowest(words.filter(F.length("value") < MIN_CANDIDATE).distinct(), MAX_SAMPLES)
     model = materialize(train(random, ordinary), "markov_model")
 
     steps = free.select("doc_id", "row_hash", "start", "end", "value",
