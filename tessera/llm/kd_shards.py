@@ -12,8 +12,7 @@ like any other.
 
 Equal texts take the metadata of their group's smallest language and source
 and so stay together, unless the cut falls on a group whose bytes exceed
-``GROUP_SHARE`` of a shard: that one is dealt to both sides by a hash of
-doc_id.  The driver sees one row per node, bin and round.  Slots are numbered
+``GROUP_SHARE`` of a shard: that one is cut along a hash of doc_id.  The driver sees one row per node, bin and round.  Slots are numbered
 in hash blocks of bounded size with offsets from the block counts, so no
 window holds a whole shard.
 
@@ -33,7 +32,7 @@ from tessera.llm.common import blocks_for, materialize, size_bytes
 
 BINS = 256
 ROWS_PER_BLOCK = 20_000
-GROUP_SHARE = 0.02
+GROUP_SHARE = 0.05
 DIMS = ["d_size", "d_lang", "d_source"]
 _CUTS = "node long, axis int, need double, lo double, hi double, stage int, key double, below long"
 _TWO53 = float(1 << 53)
@@ -52,11 +51,16 @@ def points_of(docs: DataFrame) -> DataFrame:
         "doc_id", "size", "crc", "tie", (F.log2("size") / 64).alias("d_size"), "d_lang", "d_source", F.lit(1).cast("bigint").alias("node"))
 
 
-def _on_axis() -> Column:
-    return F.element_at(F.array(*DIMS), F.col("axis") + 1)
+def _order() -> list[Column]:
+    """What a node's documents are ordered by: the cut dimension, the text's
+    hash, a hash of doc_id (anew in each node)."""
+    dealt = F.shiftrightunsigned(F.xxhash64("doc_id", "node"), 11) / _TWO53
+    return [F.element_at(F.array(*DIMS), F.col("axis") + 1), F.col("tie"), dealt]
 
 
-def _find_cuts(points: DataFrame) -> list[dict]:
+def _find_cuts(points: DataFrame, leaf_bytes: float) -> list[dict]:
+    """Each node's cut: the keys (one to three of ``_order``) up to which its
+    documents go left, and whether those on the last key go along."""
     spark = points.sparkSession
     bounds = points.groupBy("node").agg(F.sum("size").alias("bytes"), *[F.min(d).alias(f"lo_{d}") for d in DIMS],
                                         *[F.max(d).alias(f"hi_{d}") for d in DIMS]).collect()
@@ -65,12 +69,15 @@ def _find_cuts(points: DataFrame) -> list[dict]:
         widths = [row[f"hi_{d}"] - row[f"lo_{d}"] for d in DIMS]
         axis = widths.index(max(widths))
         cuts.append({"node": row.node, "axis": axis, "need": row.bytes / 2, "lo": row[f"lo_{DIMS[axis]}"],
-                     "hi": row[f"hi_{DIMS[axis]}"], "stage": 0, "key": 0.0, "below": 0})
-    while live := [c for c in cuts if c["stage"] < 2]:
-        frame = F.broadcast(spark.createDataFrame([tuple(c.values()) for c in live], _CUTS))  # one row per node
-        pos = F.when(F.col("stage") == 0, _on_axis()).otherwise(F.col("tie"))
-        at = points.join(frame, "node").withColumn("pos", pos).filter(
-            F.col("pos").between(F.col("lo"), F.col("hi")) & ((F.col("stage") == 0) | (_on_axis() == F.col("key"))))
+                     "hi": row[f"hi_{DIMS[axis]}"], "keys": [], "below": 0, "with_last": None})
+    while live := [c for c in cuts if c["with_last"] is None]:
+        frame = F.broadcast(spark.createDataFrame(  # one row per node
+            [(c["node"], c["axis"], c["lo"], c["hi"], c["keys"]) for c in live],
+            "node long, axis int, lo double, hi double, keys array<double>"))
+        order, stage = _order(), F.size("keys")
+        pos = F.when(stage == 0, order[0]).when(stage == 1, order[1]).otherwise(order[2])
+        fixed = ((stage < 1) | (order[0] == F.get("keys", F.lit(0)))) & ((stage < 2) | (order[1] == F.get("keys", F.lit(1))))
+        at = points.join(frame, "node").filter(fixed).withColumn("pos", pos).filter(F.col("pos").between(F.col("lo"), F.col("hi")))
         cell = F.when(F.col("hi") > F.col("lo"), F.least(
             F.floor((F.col("pos") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))).otherwise(F.lit(0))
         bins = at.groupBy("node", cell.alias("bin")).agg(
@@ -82,33 +89,27 @@ def _find_cuts(points: DataFrame) -> list[dict]:
                     break
                 cut["below"] += b.bytes
             cut["lo"], cut["hi"] = b.lo, b.hi
-            if b.lo == b.hi and cut["stage"] == 0:  # one value: go on among its documents, by the text's hash
-                cut.update(stage=1, key=b.lo, lo=0.0, hi=1.0)
-            elif b.lo == b.hi:
-                cut["stage"] = 2
+            if b.lo == b.hi:  # one key left
+                cut["keys"] = cut["keys"] + [b.lo]
+                cut["lo"], cut["hi"] = 0.0, 1.0
+                many = len(cut["keys"]) == 1 or (len(cut["keys"]) == 2 and b.bytes > GROUP_SHARE * leaf_bytes)
+                if not many:
+                    cut["with_last"] = cut["need"] - cut["below"] >= b.bytes / 2
     return cuts
 
 
 def split_level(points: DataFrame, leaf_bytes: float) -> DataFrame:
     """Split every node in two halves by bytes: n becomes 2n and 2n + 1."""
-    spark = points.sparkSession
-    cuts = _find_cuts(points)
+    cuts = _find_cuts(points, leaf_bytes)
     if not cuts:
         return points
-    frame = spark.createDataFrame([tuple(c.values()) for c in cuts], _CUTS)
-    side = F.when(_on_axis() != F.col("key"), F.signum(_on_axis() - F.col("key"))).otherwise(F.signum(F.col("tie") - F.col("lo")))
-    at = points.join(F.broadcast(frame), "node").withColumn("side", side)
-    # the documents on the point of the cut are equal texts, so equal in size
-    counts = {r.node: (r.n, r.size) for r in at.filter("side = 0").groupBy("node")
-              .agg(F.count("*").alias("n"), F.min("size").alias("size")).collect()}
-    shares = []
-    for c in cuts:
-        n, size = counts.get(c["node"], (1, 1))
-        share = min(1.0, max(0.0, (c["need"] - c["below"]) / (n * size)))
-        shares.append((c["node"], share if n * size > GROUP_SHARE * leaf_bytes and n > 1 else float(share >= 0.5)))
-    at = at.join(F.broadcast(spark.createDataFrame(shares, "node long, share double")), "node")
-    dealt = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / _TWO53
-    left = (F.col("side") < 0) | ((F.col("side") == 0) & (dealt < F.col("share")))
+    frame = points.sparkSession.createDataFrame([(c["node"], c["axis"], c["keys"], c["with_last"]) for c in cuts],
+                                                "node long, axis int, keys array<double>, with_last boolean")
+    left = F.col("with_last")
+    for k, place in reversed(list(enumerate(_order()))):
+        key = F.get("keys", F.lit(k))
+        left = F.when(key.isNull() | (place == key), left).otherwise(place < key)
+    at = points.join(F.broadcast(frame), "node")
     return at.withColumn("node", F.col("node") * 2 + F.when(left, 0).otherwise(1)).select(*points.columns)
 
 
