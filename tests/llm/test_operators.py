@@ -67,7 +67,7 @@ def test_copies_keep_columns(clashing, none):
     docs = clashing.drop("copies")
     out = mixing.apply_copies(docs, mixing.mix(docs))
     assert out.columns == docs.columns
-    assert out.count() == mixing.mix(docs).agg(F.sum("copies")).first()[0] + 0
+    assert out.count() == mixing.mix(docs).agg(F.sum("copies")).first()[0]
     assert mixing.apply_copies(none, mixing.mix(none)).count() == 0
 
 
@@ -126,7 +126,7 @@ def test_shards(odd, tables, none, clashing):
             homes = defaultdict(set)
             for r in rows:
                 homes[r.text_crc32, r["size"]].add(r.shard)
-            assert all(len(h) == 1 for h in homes.values())
+            assert all(len(h) == 1 for (_, size), h in homes.items() if size < kd_shards.GROUP_SHARE * share / 20)
     assert kd_shards.shards(none).count() == 0 and kd_shards.place(none).count() == 0
 
 
@@ -136,7 +136,7 @@ def test_place_keeps_rows_and_splits_a_hot_group(spark, clashing):
     assert rows_of(placed.drop("shard", "slot")) == rows_of(clashing.drop("shard", "slot"))
     hot = spark.range(3000).selectExpr("id doc_id", "if(id % 3 = 0, 'same text', concat('text ', id)) text", "'en' lang", "'s' source")
     sizes = [r[0] for r in kd_shards.shards(hot).groupBy("shard").agg(F.sum("size")).select("sum(size)").collect()]
-    assert len(sizes) == 16 and max(sizes) < 1.25 * min(sizes)
+    assert len(sizes) == 16 and max(sizes) < 1.1 * min(sizes)
 
 
 def test_token_files(odd, tables, none, clashing, spark):
@@ -184,7 +184,7 @@ def test_token_files_are_written_for_selective_reads(spark, tables, scratch):
 
 
 def test_quality_held_out_accuracy(tables, spark):
-    docs = spark.read.parquet(f"{SF}1/documents.parquet") if False else spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rows = quality.rank(docs, labels).filter("held_out").join(labels, "doc_id").collect()
     assert len(rows) > 50 and sum(r.predicted == r.quality for r in rows) >= 0.97 * len(rows)
