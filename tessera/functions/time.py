@@ -8,11 +8,12 @@ jobs here pin to UTC.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
 def _epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -22,8 +23,16 @@ def _c(col) -> Column:
 
 
 def ntz_millis(col) -> Column:
-    """Epoch millis of a zone-less timestamp (TIMESTAMP_NTZ), zone-independent."""
-    return F.timestamp_diff("MILLISECOND", _epoch_ntz(), _c(col).cast("timestamp_ntz"))
+    """Epoch millis of a zone-less timestamp (TIMESTAMP_NTZ), zone-independent;
+    floors, also before 1970."""
+    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(col).cast("timestamp_ntz"))
+    return F.floor(micros / F.lit(1000).cast("decimal(4,0)")).cast("bigint")
+
+
+def millis_text(millis: int) -> str:
+    """Epoch millis -> timestamp text with millisecond precision (a constant
+    for predicates on raw timestamps)."""
+    return (datetime(1970, 1, 1) + timedelta(milliseconds=millis)).isoformat(sep=" ", timespec="milliseconds")
 
 
 def millis_to_timestamp(col) -> Column:

@@ -6,6 +6,8 @@ All built-in expressions; no Python per row.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,18 +28,22 @@ def parse_value(value_col, schema: T.StructType | str) -> Column:
     return F.from_json(_c(value_col).cast("string"), schema, {"mode": "PERMISSIVE"})
 
 
-def envelope(df: DataFrame, op: Column | str = "c", ts_col: str | None = None) -> DataFrame:
-    """Wrap rows as change envelopes {before, after, op, ts_ms} (JSON text in
-    ``value``); op 'd' rows carry the row as ``before`` and a null ``after``."""
+def envelope_value(columns: list[str], op: Column | str = "c", ts_col: str | None = None) -> Column:
+    """The change envelope {before, after, op, ts_ms} of a row, as JSON text;
+    op 'd' rows carry the row as ``before`` and a null ``after``."""
     op_c = F.lit(op) if isinstance(op, str) else op
-    row = F.struct(*[F.col(c) for c in df.columns])
-    env = F.struct(
+    row = F.struct(*[F.col(c) for c in columns])
+    return F.to_json(F.struct(
         F.when(op_c == "d", row).alias("before"),
         F.when(op_c != "d", row).alias("after"),
         op_c.alias("op"),
         (F.col(ts_col) if ts_col else F.lit(None).cast("bigint")).alias("ts_ms"),
-    )
-    return df.select(F.to_json(env).alias("value"))
+    ))
+
+
+def envelope(df: DataFrame, op: Column | str = "c", ts_col: str | None = None) -> DataFrame:
+    """Wrap rows as change envelopes in ``value``."""
+    return df.select(envelope_value(df.columns, op, ts_col).alias("value"))
 
 
 def _envelope_schema(row_schema: T.StructType) -> T.StructType:
@@ -67,7 +73,8 @@ def decimal_to_wire(col, scale: int) -> Column:
     """DECIMAL -> base64 of the minimal big-endian two's-complement bytes of
     its unscaled value (the JSON converter's default decimal encoding).
     Unscaled values must fit in 64 bits (enough for DECIMAL(18, s))."""
-    unscaled = (_c(col) * F.lit(10 ** scale)).cast("decimal(38,0)").cast("bigint")
+    # a decimal literal of the scale's own precision keeps the product exact
+    unscaled = (_c(col) * F.lit(Decimal(10) ** scale)).cast("decimal(38,0)").cast("bigint")
     h = F.hex(unscaled)
     h = F.when(F.length(h) % 2 == 1, F.concat(F.lit("0"), h)).otherwise(h)
     # positive: add a 00 byte when the top bit is set; negative: drop
@@ -78,13 +85,18 @@ def decimal_to_wire(col, scale: int) -> Column:
 
 
 def wire_to_decimal(col, precision: int, scale: int) -> Column:
-    """base64 unscaled two's-complement bytes -> DECIMAL(precision, scale)."""
+    """base64 unscaled two's-complement bytes -> DECIMAL(precision, scale).
+
+    Exact integer arithmetic: a negative value is minus one minus the number
+    that its inverted bytes spell.  Values of more than 8 bytes give NULL (a
+    validation rule can then send the raw text to quarantine)."""
     h = F.hex(F.unbase64(_c(col)))
-    n = F.length(h) / 2
-    unsigned = F.conv(h, 16, 10).cast("decimal(38,0)")
+    number = lambda digits: F.conv(digits, 16, 10).cast("decimal(20,0)")
+    inverted = F.translate(h, "0123456789ABCDEF", "FEDCBA9876543210")
     negative = F.substring(h, 1, 1).isin(*"89ABCDEF")
-    signed = F.when(negative, unsigned - F.pow(F.lit(256), n).cast("decimal(38,0)")).otherwise(unsigned)
-    return (signed / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
+    signed = F.when(negative, F.lit(-1) - number(inverted)).otherwise(number(h)).cast("decimal(19,0)")
+    value = signed * F.lit(Decimal(1).scaleb(-scale)) if scale else signed
+    return F.when(F.length(h) <= 16, value.cast(f"decimal({precision},{scale})"))
 
 
 def days_to_date(col) -> Column:

@@ -96,7 +96,7 @@ def line_total(unit_price, quantity) -> F.Column:
     """round(unit * qty, 2) in exact decimal arithmetic."""
     unit_price = F.col(unit_price) if isinstance(unit_price, str) else unit_price
     quantity = F.col(quantity) if isinstance(quantity, str) else quantity
-    return F.round(unit_price.cast("decimal(12,2)") * quantity.cast("decimal(10,0)"), 2).cast("decimal(12,2)")
+    return F.round(unit_price.cast("decimal(12,2)") * quantity.cast("decimal(12,2)"), 2).cast("decimal(12,2)")
 
 
 def pick_scoped(items: DataFrame, candidates: DataFrame, scope_col: str, value_col: str, pick,

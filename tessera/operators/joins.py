@@ -29,18 +29,24 @@ def resolved(child: DataFrame, parent: DataFrame, child_col: str, parent_col: st
 def orphan_counts(edges: list[tuple[str, DataFrame, str, str, DataFrame, str]]) -> DataFrame:
     """One row per FK edge (child_table, fk_column, parent_table, orphans,
     child_rows).  ``edges`` holds (child_name, child_df, child_col,
-    parent_name, parent_df, parent_col)."""
+    parent_name, parent_df, parent_col); all edges of one child frame are
+    answered by one pass over it."""
+    children: dict[int, list[tuple]] = {}
+    for edge in edges:
+        children.setdefault(id(edge[1]), []).append(edge)
     rows = []
-    for child_name, child, ccol, parent_name, parent, pcol in edges:
-        keys = parent.select(F.col(pcol).alias("_pk")).distinct().withColumn("_hit", F.lit(1))
-        flagged = child.select(F.col(ccol).alias("_fk")).join(
-            guarded_broadcast(keys), F.col("_fk") == F.col("_pk"), "left")
-        rows.append(flagged.agg(
-            F.sum(F.when(F.col("_fk").isNotNull() & F.col("_hit").isNull(), 1).otherwise(0))
-            .cast("bigint").alias("orphans"),
-            F.count(F.lit(1)).cast("bigint").alias("child_rows"),
-        ).select(F.lit(child_name).alias("child_table"), F.lit(ccol).alias("fk_column"),
-                 F.lit(parent_name).alias("parent_table"), "orphans", "child_rows"))
+    for group in children.values():
+        child_name, child = group[0][:2]
+        flagged = child.select(*[F.col(e[2]).alias(f"_fk{k}") for k, e in enumerate(group)])
+        for k, (_, _, _, _, parent, pcol) in enumerate(group):
+            keys = parent.select(F.col(pcol).alias(f"_pk{k}")).distinct()
+            flagged = flagged.join(guarded_broadcast(keys), F.col(f"_fk{k}") == F.col(f"_pk{k}"), "left")
+        missing = [F.count_if(F.col(f"_fk{k}").isNotNull() & F.col(f"_pk{k}").isNull()).alias(f"_n{k}") for k in range(len(group))]
+        counts = flagged.agg(F.count(F.lit(1)).alias("child_rows"), *missing)
+        per_edge = F.explode(F.array(*[F.struct(F.lit(child_name).alias("child_table"), F.lit(e[2]).alias("fk_column"),
+                                                F.lit(e[3]).alias("parent_table"), F.col(f"_n{k}").alias("orphans"),
+                                                F.col("child_rows")) for k, e in enumerate(group)]))
+        rows.append(counts.select(per_edge.alias("e")).select("e.*"))
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -9,12 +9,8 @@ partitions -- a table whose size is bounded by the partition count.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.session import ensure_checkpoint_dir, guarded_broadcast
 
@@ -27,7 +23,9 @@ def _ranged(df: DataFrame, order_cols: list[str], num_partitions: int | None) ->
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # rows that tie in the order are split by a hash of the row
+    order = [F.col(c) for c in order_cols] + [F.xxhash64(*df.columns)]
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumns({"_pid": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()})
     return tagged.checkpoint(eager=True)
 
@@ -69,46 +67,25 @@ def surrogate_key(index_col: str, prefix: str, width: int) -> F.Column:
 
 
 def first_n_shuffled(df: DataFrame, key_cols: list[str], n: int, seed: int = 42) -> DataFrame:
-    """The first ``n`` rows of a seeded pseudo-random order (hash of the key
-    with the seed): a repeatable sample; Spark plans it as a top-k."""
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
+    """The first ``n`` rows of a seeded pseudo-random order (MD5 of the key
+    and the seed): a repeatable sample; Spark plans it as a top-k."""
+    h = F.md5(F.concat_ws("-", *key_cols, F.lit(seed)))
     return df.orderBy(h, *key_cols).limit(n)
 
 
-def _ffill(value_col: str, out_col: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = None
-        for pdf in batches:
-            s = pdf[value_col]
-            if last is not None and len(s):
-                filled = s.copy()
-                if pd.isna(filled.iloc[0]):
-                    filled.iloc[0] = last
-                filled = filled.ffill()
-            else:
-                filled = s.ffill()
-            nn = s.dropna()
-            if len(nn):
-                last = nn.iloc[-1]
-            pdf[out_col] = filled
-            yield pdf
-    return run
-
-
 def carry_forward(df: DataFrame, value_col: str, order_cols: list[str], out_col: str,
                   num_partitions: int | None = None) -> DataFrame:
     """For every row, the last non-null ``value_col`` at or before it in the
     global order (``last(x, true) over (order by ...)``).
 
-    Each range partition forward-fills locally (pandas, inside the task);
-    rows before the partition's first value take the last value of the
-    preceding partitions, found from one summary row per partition."""
+    Each range partition is filled by a window of its own; rows before the
+    partition's first value take the last value of the preceding partitions,
+    found from one summary row per partition."""
     tagged = _ranged(df, order_cols, num_partitions)
-    schema = T.StructType(tagged.schema.fields + [T.StructField(out_col, tagged.schema[value_col].dataType)])
-    local = tagged.mapInPandas(_ffill(value_col, out_col), schema)
-    order_struct = F.struct(*[F.col(c) for c in order_cols])
+    within = Window.partitionBy("_pid").orderBy("_mono").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = tagged.withColumn(out_col, F.last(value_col, ignorenulls=True).over(within))
     lasts = tagged.groupBy("_pid").agg(
-        F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(), order_struct)).alias("_last"))
+        F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(), F.col("_mono"))).alias("_last"))
     prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = lasts.select("_pid", F.last("_last", ignorenulls=True).over(prev).alias("_carry"))
     out = local.join(F.broadcast(carry), "_pid", "left")

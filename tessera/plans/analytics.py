@@ -36,12 +36,12 @@ def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = star.products(spark, sf_dir).select("product_id", "product_name")
     joined = per_product.join(guarded_broadcast(names), "product_id")
     return joined.groupBy("product_name").agg(
-        F.sum("_qty").cast("bigint").alias("total_sold"),
+        F.sum("_qty").cast("double").alias("total_sold"),
         F.sum("_rev").cast("double").alias("revenue"))
 
 
 @register("top_products_revenue", with_star("order_lines", "products") + """
-SELECT p.product_name, CAST(SUM(oi.quantity) AS BIGINT) AS total_sold,
+SELECT p.product_name, CAST(SUM(oi.quantity) AS DOUBLE) AS total_sold,
        CAST(SUM(oi.total_price) AS DOUBLE) AS revenue
 FROM order_lines oi JOIN products p ON oi.product_id = p.product_id
 GROUP BY p.product_name
@@ -52,7 +52,7 @@ def top_products_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("revenue_by_product", with_star("order_lines", "products") + """
-SELECT p.product_name, CAST(SUM(oi.quantity) AS BIGINT) AS total_sold,
+SELECT p.product_name, CAST(SUM(oi.quantity) AS DOUBLE) AS total_sold,
        CAST(SUM(oi.total_price) AS DOUBLE) AS revenue
 FROM order_lines oi JOIN products p ON oi.product_id = p.product_id
 GROUP BY p.product_name
@@ -99,10 +99,12 @@ FROM order_items oi JOIN customers c ON oi.customer_id = c.customer_id
 GROUP BY c.country
 ORDER BY revenue DESC, c.country""")
 def country_customers_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    oc = _order_country(spark, sf_dir)
-    return (oc.groupBy("country")
-            .agg(F.countDistinct("customer_id").alias("customers"),
-                 F.countDistinct("order_id").alias("orders"),
+    # one row per order, so counting rows per customer counts orders: two
+    # plain aggregations instead of expanding the rows for two distinct counts
+    per_customer = _order_country(spark, sf_dir).groupBy("customer_id", "country").agg(
+        F.count(F.lit(1)).alias("_orders"), F.sum("_rev").alias("_rev"))
+    return (per_customer.groupBy("country")
+            .agg(F.count(F.lit(1)).alias("customers"), F.sum("_orders").cast("bigint").alias("orders"),
                  F.sum("_rev").cast("double").alias("revenue"))
             .orderBy(F.desc("revenue"), F.asc("country")))
 
@@ -117,7 +119,8 @@ def denormalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = star.brands(spark, sf_dir).select("brand_code", "brand_name")
     cats = star.category(spark, sf_dir)
     custs = star.customers(spark, sf_dir).select("customer_id", "country", "state", "city")
-    cal = star.calendar(spark, sf_dir).select("date_code", "year", "quarter", "month", "day_name", "is_weekend")
+    cal = star.calendar(spark, sf_dir, *star.CALENDAR_RANGE).select(
+        "date_code", "year", "quarter", "month", "day_name", "is_weekend")
     out = attach(items, prods, "product_id", "inner")
     out = attach(out, brands, "brand_code", "inner")
     out = attach(out, cats, "category_code", "inner")
@@ -132,7 +135,7 @@ STAR_COLUMNS = ["order_item_id", "order_id", "customer_id", "product_id", "date_
 
 @register("star_denormalized", with_star("order_items", "products", "brands", "category",
                                          "customers", "calendar") + """
-SELECT oi.order_item_id, oi.order_id, oi.customer_id, oi.product_id, oi.date_code, oi.quantity,
+SELECT oi.order_item_id, oi.order_id, oi.customer_id, oi.product_id, oi.date_code, CAST(oi.quantity AS DOUBLE) AS quantity,
        CAST(oi.total_price AS DOUBLE) AS total_price, oi.dt_update, p.product_name, b.brand_name,
        cat.category_name, c.country, c.state, c.city, cal.year, cal.quarter, cal.month,
        cal.day_name, cal.is_weekend
@@ -143,13 +146,12 @@ JOIN category cat ON p.category_code = cat.category_code
 JOIN customers c ON oi.customer_id = c.customer_id
 JOIN calendar cal ON oi.date_code = cal.date_code""")
 def star_denormalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return denormalized(spark, sf_dir).withColumn(
-        "total_price", F.col("total_price").cast("double")).select(*STAR_COLUMNS)
+    return _money_out(denormalized(spark, sf_dir)).select(*STAR_COLUMNS)
 
 
 @register("revenue_by_category_quarter", with_star("order_lines", "products", "category", "calendar") + """
 SELECT cat.category_name, cal.year, cal.quarter, COUNT(*) AS items,
-       CAST(SUM(oi.quantity) AS BIGINT) AS units, CAST(SUM(oi.total_price) AS DOUBLE) AS revenue
+       CAST(SUM(oi.quantity) AS DOUBLE) AS units, CAST(SUM(oi.total_price) AS DOUBLE) AS revenue
 FROM order_lines oi
 JOIN products p ON oi.product_id = p.product_id
 JOIN category cat ON p.category_code = cat.category_code
@@ -163,11 +165,11 @@ def revenue_by_category_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.sum("quantity").alias("_q"), F.sum("total_price").alias("_r"))
     prods = star.products(spark, sf_dir).select("product_id", "category_code")
     cats = star.category(spark, sf_dir)
-    cal = star.calendar(spark, sf_dir).select("date_code", "year", "quarter")
+    cal = star.calendar(spark, sf_dir, *star.CALENDAR_RANGE).select("date_code", "year", "quarter")
     j = attach(attach(attach(lines, prods, "product_id", "inner"), cats, "category_code", "inner"),
                cal, "date_code", "inner")
     return (j.groupBy("category_name", "year", "quarter")
-            .agg(F.sum("_n").cast("bigint").alias("items"), F.sum("_q").cast("bigint").alias("units"),
+            .agg(F.sum("_n").cast("bigint").alias("items"), F.sum("_q").cast("double").alias("units"),
                  F.sum("_r").cast("double").alias("revenue"))
             .orderBy("category_name", "year", "quarter"))
 
@@ -258,18 +260,24 @@ def _orphan_sql() -> str:
             f"CAST(SUM(CASE WHEN x.{col} IS NOT NULL AND NOT EXISTS "
             f"(SELECT 1 FROM {parent} y WHERE y.{pcol} = x.{col}) THEN 1 ELSE 0 END) AS BIGINT) AS orphans, "
             f"COUNT(*) AS child_rows FROM {child} x")
-    return with_star(*TABLE_ORDER) + "\nUNION ALL\n".join(parts) + "\nORDER BY child_table, fk_column"
+    parts.append("SELECT 'order_items', 'customer_id', 'active_customers', CAST(SUM(CASE WHEN NOT EXISTS (SELECT 1 FROM customer y "
+                 "WHERE y.c_acctbal > 0 AND y.c_custkey = x.customer_id) THEN 1 ELSE 0 END) AS BIGINT), COUNT(*) FROM order_items x")
+    return with_star(*TABLE_ORDER) + "\nUNION ALL\n".join(parts) + "\nORDER BY child_table, fk_column, parent_table"
 
 
 @register("orphan_counts", _orphan_sql())
 def orphan_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {n: star.star_table(spark, sf_dir, n) for n in TABLE_ORDER}
+    tables = {n: star.star_table(spark, sf_dir, n) for n in TABLE_ORDER if n != "calendar"}
+    tables["calendar"] = star.calendar(spark, sf_dir, *star.CALENDAR_RANGE)
     edges = [(c, tables[c], col, p, tables[p], pcol) for c, col, p, pcol in FK_EDGES]
-    return orphan_counts(edges).orderBy("child_table", "fk_column")
+    # active customers only (a positive balance) are parents in a second check, which has orphans to find
+    active = star.read_table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("customer_id"))
+    edges.append(("order_items", tables["order_items"], "customer_id", "active_customers", active, "customer_id"))
+    return orphan_counts(edges).orderBy("child_table", "fk_column", "parent_table")
 
 
 @register("resolved_order_items", with_star("order_items", "customers", "products", "calendar") + """
-SELECT order_item_id, order_id, customer_id, product_id, date_code, quantity,
+SELECT order_item_id, order_id, customer_id, product_id, date_code, CAST(quantity AS DOUBLE) AS quantity,
        CAST(total_price AS DOUBLE) AS total_price, dt_update
 FROM order_items oi
 WHERE EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = oi.customer_id)
@@ -280,9 +288,9 @@ def resolved_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = star.order_items(spark, sf_dir)
     items = resolved(items, star.customers(spark, sf_dir), "customer_id", "customer_id")
     items = resolved(items, star.products(spark, sf_dir), "product_id", "product_id")
-    items = resolved(items, star.calendar(spark, sf_dir), "date_code", "date_code")
-    return items.select("order_item_id", "order_id", "customer_id", "product_id", "date_code", "quantity",
-                        F.col("total_price").cast("double").alias("total_price"), "dt_update")
+    items = resolved(items, star.calendar(spark, sf_dir, *star.CALENDAR_RANGE), "date_code", "date_code")
+    return _money_out(items).select("order_item_id", "order_id", "customer_id", "product_id", "date_code", "quantity",
+                                    "total_price", "dt_update")
 
 
 _DISTINCT_TARGETS = [("countries", "customers", "country"), ("cities", "customers", "city"),
@@ -319,7 +327,7 @@ LATEST_COLS = ["order_item_id", "order_id", "customer_id", "product_id", "suppli
 
 
 def _money_out(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in ("total_price", "discount", "tax")
+    return df.withColumns({c: F.col(c).cast("double") for c in ("quantity", "total_price", "discount", "tax")
                            if c in df.columns})
 
 
@@ -328,7 +336,7 @@ def latest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LATEST_SQL = """
-SELECT order_item_id, order_id, customer_id, product_id, supplier_id, date_code, quantity,
+SELECT order_item_id, order_id, customer_id, product_id, supplier_id, date_code, CAST(quantity AS DOUBLE) AS quantity,
        CAST(total_price AS DOUBLE) AS total_price, CAST(discount AS DOUBLE) AS discount,
        CAST(tax AS DOUBLE) AS tax, return_flag, line_status, dt_update
 FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id
@@ -344,7 +352,7 @@ def latest_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("latest_10_items", with_star("order_lines") + """
-SELECT order_item_id, order_id, product_id, quantity, CAST(total_price AS DOUBLE) AS total_price, dt_update
+SELECT order_item_id, order_id, product_id, CAST(quantity AS DOUBLE) AS quantity, CAST(total_price AS DOUBLE) AS total_price, dt_update
 FROM order_lines
 ORDER BY dt_update DESC, order_item_id DESC, product_id DESC, supplier_id DESC, quantity DESC,
          total_price DESC, discount DESC, tax DESC
@@ -353,8 +361,7 @@ def latest_10_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = star.order_lines(spark, sf_dir)
     top = lines.orderBy(*[F.desc(c) for c in ("dt_update", "order_item_id", "product_id", "supplier_id",
                                               "quantity", "total_price", "discount", "tax")]).limit(10)
-    return top.select("order_item_id", "order_id", "product_id", "quantity",
-                      F.col("total_price").cast("double").alias("total_price"), "dt_update")
+    return _money_out(top).select("order_item_id", "order_id", "product_id", "quantity", "total_price", "dt_update")
 
 
 # --------------------------------------------------------------------------
@@ -364,9 +371,16 @@ EVENT_OUT_SQL = ("event_id, user_id, event_type, value, "
                  "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time")
 
 
-def _event_out(df: DataFrame) -> DataFrame:
+def _event_out(df: DataFrame, **more) -> DataFrame:
     return df.select("event_id", "user_id", "event_type", "value",
-                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"))
+                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
+                     *[c.alias(name) for name, c in more.items()])
+
+
+def _between(events: DataFrame, low: str, high: str) -> DataFrame:
+    """Events of a half-open range of the raw timestamp: both bounds reach the
+    parquet scan (row-group skipping)."""
+    return events.where((F.col("ts") >= F.lit(low).cast("timestamp_ntz")) & (F.col("ts") < F.lit(high).cast("timestamp_ntz")))
 
 
 @register("hour_slice", f"""
@@ -376,10 +390,8 @@ FROM events
 WHERE strftime(ts, '%Y') = '2024' AND strftime(ts, '%m') = '01' AND strftime(ts, '%d') = '15'
   AND strftime(ts, '%H') = '07'""")
 def hour_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").withColumns(T.hour_parts("ts"))
-    sl = ev.where((F.col("year") == "2024") & (F.col("month") == "01") & (F.col("day") == "15")
-                  & (F.col("hour") == "07"))
-    return _event_out(sl).join(sl.select("event_id", "year", "month", "day", "hour"), "event_id")
+    hour = _between(read_table(spark, sf_dir, "events"), "2024-01-15 07:00:00", "2024-01-15 08:00:00")
+    return _event_out(hour, **T.hour_parts("ts"))
 
 
 @register("day_slice_counts", """
@@ -388,12 +400,7 @@ FROM events
 WHERE strftime(ts, '%Y') = '2024' AND strftime(ts, '%m') = '01' AND strftime(ts, '%d') = '16'
 GROUP BY 1, 2 ORDER BY 1, 2""")
 def day_slice_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A day slice as a half-open range on the raw timestamp, so the
-    # predicate reaches the parquet scan (row-group min/max skipping).
-    ev = read_table(spark, sf_dir, "events")
-    lo = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    hi = F.lit("2024-01-17 00:00:00").cast("timestamp_ntz")
-    day = ev.where((F.col("ts") >= lo) & (F.col("ts") < hi))
+    day = _between(read_table(spark, sf_dir, "events"), "2024-01-16 00:00:00", "2024-01-17 00:00:00")
     return (day.groupBy(F.date_format("ts", "HH").alias("hour"), "event_type")
             .agg(F.count(F.lit(1)).alias("events")).orderBy("hour", "event_type"))
 
@@ -409,10 +416,11 @@ SELECT {EVENT_OUT_SQL}, CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS ts_millis,
 FROM events
 WHERE floor(epoch_us(ts) / 1000) >= {RANGE_LO_MS} AND floor(epoch_us(ts) / 1000) < {RANGE_HI_MS}""")
 def millis_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").withColumn("ts_millis", T.ntz_millis("ts"))
-    sl = ev.where((F.col("ts_millis") >= RANGE_LO_MS) & (F.col("ts_millis") < RANGE_HI_MS))
+    """Whole milliseconds become bounds of the raw timestamp."""
+    low, high = (T.millis_text(ms) for ms in (RANGE_LO_MS, RANGE_HI_MS))
+    events = _between(read_table(spark, sf_dir, "events"), low, high).withColumn("ts_millis", T.ntz_millis("ts"))
     back = F.date_format(T.millis_to_ntz("ts_millis"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return _event_out(sl).join(sl.select("event_id", "ts_millis", back.alias("ts_from_millis")), "event_id")
+    return _event_out(events, ts_millis=F.col("ts_millis"), ts_from_millis=back)
 
 
 @register("event_histogram", """

@@ -129,7 +129,7 @@ def bronze_load_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.orderBy("table")
 
 
-_LINES_SQL = ("order_item_id, order_id, product_id, supplier_id, date_code, quantity, "
+_LINES_SQL = ("order_item_id, order_id, product_id, supplier_id, date_code, CAST(quantity AS DOUBLE) AS quantity, "
               "CAST(total_price AS DOUBLE) AS total_price, CAST(discount AS DOUBLE) AS discount, "
               "CAST(tax AS DOUBLE) AS tax, return_flag, line_status, dt_update")
 _LINE_COLS = ["order_item_id", "order_id", "product_id", "supplier_id", "date_code", "quantity",
@@ -156,19 +156,28 @@ def bronze_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")).orderBy("processing_date"))
 
 
-@register("json_format_probe", with_star("order_lines") + f"SELECT {_LINES_SQL} FROM order_lines")
+@register("json_format_probe", with_star("order_lines") + f"""
+SELECT 'good' AS side, {_LINES_SQL} FROM order_lines WHERE NOT (return_flag = 'N' AND order_id % 50 = 0)
+UNION ALL SELECT 'quarantined', order_item_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM order_lines WHERE return_flag = 'N' AND order_id % 50 = 0""")
 def json_format_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A landing mixing NDJSON files and JSON-array files (rows with return
-    flag R as arrays): the probe reads each file in its own layout, so no
-    row is lost (reading everything with multiLine would keep only the
-    first record of each NDJSON file)."""
+    """A landing mixing NDJSON files, some of whose lines were cut short, and
+    JSON-array files (rows with return flag R): every file is read in its own
+    layout, cut lines are quarantined with their raw text, and good plus
+    quarantined rows are the input (reading everything with multiLine would
+    keep only the first record of each NDJSON file)."""
     root = scratch_path(spark, "mixed-json")
     lines = star.order_lines(spark, sf_dir)
-    lines.where(F.col("return_flag") != "R").write.mode("overwrite").option("maxRecordsPerFile", 5000) \
-        .json(f"{root}/ndjson")
+    text = F.to_json(F.struct(*lines.columns))
+    cut = (F.col("return_flag") == "N") & (F.col("order_id") % 50 == 0)
+    lines.where(F.col("return_flag") != "R").select(F.when(cut, F.left(text, F.lit(60))).otherwise(text).alias("value")) \
+        .write.option("maxRecordsPerFile", 5000).text(f"{root}/ndjson")
     SK.write_json_array_parts(lines.where(F.col("return_flag") == "R"), f"{root}/arrays")
-    back = SRC.read_json_auto(spark, [f"{root}/ndjson", f"{root}/arrays"], lines.schema)
-    return _money_out(back).select(*_LINE_COLS)
+    good, bad = SRC.read_json_auto(spark, [f"{root}/ndjson", f"{root}/arrays"], lines.schema)
+    good = _money_out(good).select(F.lit("good").alias("side"), *_LINE_COLS)
+    key = F.regexp_extract("raw", '"order_item_id":"([^"]*)"', 1)
+    quarantined = bad.select(F.lit("quarantined").alias("side"), key.alias("order_item_id"))
+    return good.unionByName(quarantined, allowMissingColumns=True)
 
 
 @register("corrupt_record_split", with_star("order_lines") + """
@@ -193,12 +202,19 @@ def corrupt_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.unionByName(b).orderBy("side")
 
 
-@register("raw_text_sample")
+@register("raw_text_sample", """
+SELECT event_id, user_id, event_type FROM (
+  SELECT event_id, user_id, event_type, CAST(event_id AS VARCHAR) || '|' || CAST(user_id AS VARCHAR) || '|' || event_type AS line
+  FROM events) t ORDER BY line LIMIT 5""")
 def raw_text_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First five raw lines of a landing (inspection of unreadable input)."""
+    """The first five raw lines, in text order, of a landing of events, shown
+    as fields (inspection of unreadable input)."""
     root = scratch_path(spark, "text-sample")
-    star.order_lines(spark, sf_dir).write.mode("overwrite").json(root)
-    return SRC.read_text_sample(spark, root, 5)
+    events = star.read_table(spark, sf_dir, "events")
+    events.select(F.concat_ws("|", "event_id", "user_id", "event_type").alias("value")).write.text(root)
+    fields = F.split("value", r"\|")
+    return SRC.read_text_sample(spark, root, 5).select(
+        fields[0].cast("bigint").alias("event_id"), fields[1].cast("bigint").alias("user_id"), fields[2].alias("event_type"))
 
 
 # --------------------------------------------------------------------------

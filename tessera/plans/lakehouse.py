@@ -260,7 +260,7 @@ def event_time_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("fact_line_totals", with_star("order_lines", "products") + """
-SELECT l.order_item_id, l.product_id, l.quantity, CAST(p.price AS DOUBLE) AS unit_price,
+SELECT l.order_item_id, l.product_id, CAST(l.quantity AS DOUBLE) AS quantity, CAST(p.price AS DOUBLE) AS unit_price,
        CAST(round(p.price * l.quantity, 2) AS DOUBLE) AS line_total
 FROM order_lines l JOIN products p ON p.product_id = l.product_id""")
 def fact_line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +269,7 @@ def fact_line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = star.order_lines(spark, sf_dir).select("order_item_id", "product_id", "quantity")
     prices = star.products(spark, sf_dir).select("product_id", F.col("price").alias("unit_price"))
     return attach(lines, prices, "product_id", "inner").select(
-        "order_item_id", "product_id", "quantity", F.col("unit_price").cast("double").alias("unit_price"),
+        "order_item_id", "product_id", F.col("quantity").cast("double").alias("quantity"), F.col("unit_price").cast("double").alias("unit_price"),
         D.line_total("unit_price", "quantity").cast("double").alias("line_total"))
 
 

@@ -9,7 +9,7 @@ STAR_SQL = {
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_item_id,
                l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS supplier_id,
                CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER) AS date_code,
-               CAST(l_quantity AS INTEGER) AS quantity,
+               CAST(l_quantity AS DECIMAL(12,2)) AS quantity,
                CAST(l_extendedprice AS DECIMAL(12,2)) AS total_price,
                CAST(l_discount AS DECIMAL(4,2)) AS discount,
                CAST(l_tax AS DECIMAL(4,2)) AS tax,
@@ -23,24 +23,24 @@ STAR_SQL = {
         FROM order_lines ol JOIN orders o ON ol.order_id = o.o_orderkey""",
     "customers": """
         SELECT c.c_custkey AS customer_id,
-               '+' || CAST(n.n_nationkey + 10 AS VARCHAR) || lpad(CAST(c.c_custkey AS VARCHAR), 9, '0') AS phone,
-               'N' || lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS country_code,
+               '+' || CAST(n.n_nationkey + 10 AS VARCHAR) || printf('%09d', c.c_custkey) AS phone,
+               printf('N%02d', n.n_nationkey) AS country_code,
                n.n_name AS country, r.r_name AS state, c.c_mktsegment AS city
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
                         JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "products": """
         SELECT p_partkey AS product_id, p_name AS product_name,
-               'BRD-' || upper(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) || '-' || substr(p_type, 1, 4) AS brand_code,
-               'CAT-' || substr(p_type, 1, 4) AS category_code,
+               'BRD-' || p_brand || '-' || p_type AS brand_code, 'CAT-' || p_type AS category_code,
                CAST(p_retailprice AS DECIMAL(10,2)) AS price, p_size AS size
         FROM part""",
     "brands": """
         SELECT DISTINCT
-               'BRD-' || upper(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) || '-' || substr(p_type, 1, 4) AS brand_code,
-               p_brand AS brand_name, 'CAT-' || substr(p_type, 1, 4) AS category_code
+               'BRD-' || p_brand || '-' || p_type AS brand_code, p_brand AS brand_name,
+               'BRD-' || upper(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) || '-' || substr(p_type, 1, 4) AS brand_label,
+               'CAT-' || p_type AS category_code
         FROM part""",
     "category": """
-        SELECT DISTINCT 'CAT-' || substr(p_type, 1, 4) AS category_code, p_type AS category_name FROM part""",
+        SELECT DISTINCT 'CAT-' || p_type AS category_code, p_type AS category_name FROM part""",
     "calendar": """
         SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_code,
                d AS full_date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,

@@ -54,7 +54,9 @@ def events_last_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "user_id", "event_type", F.col("last_purchase_id").cast("bigint"))
 
 
-@register("sample_products")
+@register("sample_products", with_star("products") + """
+SELECT product_id, product_name FROM products
+ORDER BY md5(CAST(product_id AS VARCHAR) || '-42'), product_id LIMIT 20""")
 def sample_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty products in a seeded pseudo-random order (repeatable sample)."""
     return SEQ.first_n_shuffled(star.products(spark, sf_dir).select("product_id", "product_name"),
@@ -62,7 +64,7 @@ def sample_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("topic_log_roundtrip", with_star("order_lines") + """
-SELECT order_item_id, order_id, product_id, supplier_id, date_code, quantity,
+SELECT order_item_id, order_id, product_id, supplier_id, date_code, CAST(quantity AS DOUBLE) AS quantity,
        CAST(total_price AS DOUBLE) AS total_price, CAST(discount AS DOUBLE) AS discount,
        CAST(tax AS DOUBLE) AS tax, return_flag, line_status, dt_update, 'order_items' AS topic,
        CAST(order_id % 3 AS INTEGER) AS partition,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import time as TM
+from tessera.functions import wire
 from tessera.plans import register
 from tessera.plans.analytics import LATEST_COLS, SESSION_GAP_SECONDS, _LATEST_SQL, _money_out
 from tessera.plans.ingest import EVENT_SCHEMA, _EVENT_SQL, _PARTS_SQL, _events_out
@@ -77,7 +78,7 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = J.session_counts(stream, "user_id", "t", f"{SESSION_GAP_SECONDS} seconds", "1 hour")
     J.run(agg.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
           .foreachBatch(J.overwrite_each_batch(out)))
-    res = spark.read.parquet(out)
+    res = spark.read.parquet(J.current_version(spark, out))
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return res.select("user_id", F.date_format(TM.instant_to_ntz("first_ts"), fmt).alias("session_start"),
                       F.date_format(TM.instant_to_ntz("last_ts"), fmt).alias("session_end"), "events")
@@ -119,5 +120,29 @@ def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = J.file_stream(spark, src, items.schema, max_files_per_trigger=2)
     J.run(stream.writeStream.option("checkpointLocation", ckpt)
           .foreachBatch(J.upsert_each_batch(root, ["order_item_id"], star.fact_sort_keys())))
-    latest = spark.read.parquet(J.current_version(spark, root))
-    return _money_out(latest).select(*LATEST_COLS)
+    return _money_out(J.read_target(spark, root, items.schema)).select(*LATEST_COLS)
+
+
+@register("stream_upsert_deletes", with_star("order_lines") + """
+SELECT order_item_id, dt_update, CAST(quantity AS DOUBLE) AS quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_item_id
+      ORDER BY dt_update DESC, quantity DESC, return_flag DESC) AS rn FROM order_lines) t
+WHERE rn = 1 AND return_flag <> 'R'""")
+def stream_upsert_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change envelopes of the fact, deletes (op 'd') for returned lines,
+    streamed in micro-batches, unwrapped in the batch and applied by key: a
+    key whose latest change is a delete is gone, an older change that
+    arrives later doesn't bring it back."""
+    lines = star.order_lines(spark, sf_dir).select("order_item_id", "dt_update", "quantity", "return_flag")
+    op = F.when(F.col("return_flag") == "R", "d").otherwise("c")
+    src = scratch_path(spark, "delete-src")
+    wire.envelope(lines, op, "dt_update").write.option("maxRecordsPerFile", 8000).text(src)
+    root, ckpt = scratch_path(spark, "delete-target"), scratch_path(spark, "delete-ckpt")
+    apply = J.upsert_each_batch(root, ["order_item_id"], ["dt_update", "quantity", "return_flag"], op_col="__op")
+
+    def unwrapped(batch: DataFrame, batch_id: int) -> None:
+        apply(wire.unwrap(batch, "value", lines.schema).drop("__deleted"), batch_id)
+    stream = J.file_stream(spark, src, T.StructType([T.StructField("value", T.StringType())]), "text", 2)
+    J.run(stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(unwrapped))
+    return J.read_target(spark, root, lines.schema).select(
+        "order_item_id", "dt_update", F.col("quantity").cast("double").alias("quantity"))

@@ -67,16 +67,16 @@ def _cols(*specs: tuple) -> tuple[ColumnSpec, ...]:
 STAR_CONTRACTS: dict[str, Contract] = {
     "category": Contract(
         "category", 1, _cols(("category_code", "string", False), ("category_name", "string", False)),
-        ("category_code",), rules={"category_code_format": "category_code RLIKE '^CAT-[A-Z]{1,4}$'"}),
+        ("category_code",), rules={"category_code_format": "category_code RLIKE '^CAT-.+$'"}),
     "brands": Contract(
         "brands", 1, _cols(("brand_code", "string", False), ("brand_name", "string", False),
-                           ("category_code", "string")),
+                           ("brand_label", "string"), ("category_code", "string")),
         ("brand_code",), rules={"brand_code_format": "brand_code RLIKE '^BRD-'"},
         foreign_keys={"category_code": ("category", "category_code")}),
     "customers": Contract(
         "customers", 1, _cols(("customer_id", "bigint", False), ("phone", "string"), ("country_code", "string"),
                               ("country", "string"), ("state", "string"), ("city", "string")),
-        ("customer_id",), rules={"phone_format": "phone RLIKE '^[+][0-9]{8,15}$'",
+        ("customer_id",), rules={"phone_format": "phone RLIKE '^[+][0-9]{8,}$'",
                                  "country_code_format": "country_code RLIKE '^[A-Z0-9]{2,3}$'"}),
     "calendar": Contract(
         "calendar", 1, _cols(("date_code", "int", False), ("full_date", "date", False), ("year", "int"),
@@ -93,7 +93,7 @@ STAR_CONTRACTS: dict[str, Contract] = {
     "order_items": Contract(
         "order_items", 1, _cols(("order_item_id", "string", False), ("order_id", "bigint", False),
                                 ("customer_id", "bigint"), ("product_id", "bigint"), ("supplier_id", "bigint"),
-                                ("date_code", "int"), ("quantity", "int"), ("total_price", "decimal(12,2)"),
+                                ("date_code", "int"), ("quantity", "decimal(12,2)"), ("total_price", "decimal(12,2)"),
                                 ("discount", "decimal(4,2)"), ("tax", "decimal(4,2)"),
                                 ("return_flag", "string"), ("line_status", "string"), ("dt_update", "bigint")),
         ("order_item_id",), version_column="dt_update",
@@ -118,6 +118,14 @@ SOURCE_ORDER_ITEMS = Contract(
     ("order_item_id",), version_column="dt_update")
 
 
+def contract_of(table: str, schema: T.StructType, like: Contract) -> Contract:
+    """A contract that states ``schema`` as it is, with the key and the
+    nullability of ``like`` (new columns nullable)."""
+    required = set(like.required)
+    return Contract(table, like.version + 1, tuple(ColumnSpec(f.name, f.dataType.simpleString(), f.name not in required)
+                                                   for f in schema.fields), like.key, like.version_column)
+
+
 def export_all(contracts: dict[str, Contract] | None = None) -> dict[str, str]:
     """table -> JSON text, for writing next to the tables."""
     return {name: c.to_json() for name, c in (contracts or STAR_CONTRACTS).items()}

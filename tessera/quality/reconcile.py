@@ -71,6 +71,42 @@ def reconcile(stats: list[DataFrame], source_layer: str = "source") -> DataFrame
     )
 
 
+def windowed_reconcile(layers: list[tuple[str, DataFrame]], window_col: str, key_col: str, version_col: str) -> DataFrame:
+    """Layers 'source', 'topic', 'bronze' (and 'silver' = bronze's distinct
+    keys) compared per window and over all ('all'): (time_window, layer,
+    row_count, distinct_keys, lost_keys, loss_rate, duplication_rate, lag_ms).
+    A layer without rows in one of the source's windows counts as 0 rows.
+
+    Keys are counted by aggregation at two levels, combined before the
+    shuffle, so a hot key or month is no hot task; what is compared in the
+    end is one row per window and layer."""
+    rows = reduce(DataFrame.unionByName, [df.select(
+        F.lit(layer).alias("layer"), F.col(window_col).cast("string").alias("w"), F.col(key_col).alias("k"),
+        F.col(version_col).alias("v")) for layer, df in layers])
+    per_key = rows.groupBy("layer", "w", "k").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v"))
+    counts = [F.sum("n").cast("bigint").alias("row_count"), F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
+              F.max("v").alias("version")]
+    months = per_key.groupBy("layer", F.col("w").alias("time_window")).agg(*counts)
+    whole = per_key.groupBy("layer", "k").agg(F.sum("n").alias("n"), F.max("v").alias("v")) \
+        .groupBy("layer", F.lit("all").alias("time_window")).agg(*counts)
+    found = months.unionByName(whole)
+    found = found.select("*", F.explode(F.when(F.col("layer") == "bronze", F.array(F.lit("bronze"), F.lit("silver")))
+                                        .otherwise(F.array("layer"))).alias("as_layer"))
+    stat = F.struct(F.when(F.col("as_layer") == "silver", F.col("distinct_keys")).otherwise(F.col("row_count")).alias("row_count"),
+                    "distinct_keys", "version")
+    # windows by layers is a small table: one row per window, a column per layer
+    names = ["source", "topic", "bronze", "silver"]
+    wide = found.groupBy("time_window").agg(*[F.max(F.when(F.col("as_layer") == n, stat)).alias(n) for n in names])
+    each = wide.where(F.col("source").isNotNull()).select("time_window", "source", F.explode(F.array(
+        *[F.struct(F.lit(n).alias("layer"), F.col(n).alias("s")) for n in names])).alias("e"))
+    keys, total = F.coalesce("e.s.distinct_keys", F.lit(0)), F.coalesce("e.s.row_count", F.lit(0))
+    return each.select(
+        "time_window", "e.layer", total.alias("row_count"), keys.alias("distinct_keys"),
+        (F.col("source.distinct_keys") - keys).alias("lost_keys"), (1 - keys / F.col("source.distinct_keys")).alias("loss_rate"),
+        F.when(total > 0, 1 - keys / total).alias("duplication_rate"),
+        (F.col("source.version") - F.col("e.s.version")).alias("lag_ms"))
+
+
 def row_set_difference(source: DataFrame, dest: DataFrame) -> DataFrame:
     """Rows (with multiplicity) present in one side only:
     (side, row columns...) with side 'source_only' or 'dest_only'."""

@@ -1,8 +1,8 @@
 """Contract validation: schema comparison, row rules, quarantine split.
 
 Row rules produce ``_dq_failed_rules`` (sorted array of rule names):
-``not_null:<col>``, ``duplicate_key``, ``fk:<col>`` and the contract's
-domain rules.  ``quarantine_split`` routes rows with any failure to the
+``not_null:<col>``, ``cast:<col>``, ``duplicate_key``, ``fk:<col>`` and the
+contract's domain rules.  ``quarantine_split`` routes rows with any failure to the
 quarantine frame, so passed + quarantined = input, with nothing dropped.
 """
 
@@ -16,6 +16,7 @@ from tessera.quality.contracts import Contract
 from tessera.session import guarded_broadcast
 
 FAILED = "_dq_failed_rules"
+UNCASTABLE = "_dq_uncastable"
 
 VIOLATION_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -48,17 +49,25 @@ def schema_violations(spark: SparkSession, contract: Contract, schema: T.StructT
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """Cast every contract column with ``try_cast`` (failures become NULL
-    and are caught by the not-null rules); missing columns become typed
-    NULLs, extra columns are kept."""
-    cols = []
-    present = set(df.columns)
+    """Cast every contract column with ``try_cast``; missing columns become
+    typed NULLs, extra columns are kept.  Where a column needs a cast, values
+    that fail it are kept as text in ``_dq_uncastable`` (column, raw), which
+    ``flag_rules`` turns into ``cast:<col>`` failures: nothing becomes NULL
+    unseen."""
+    cols, failures = [], []
+    present = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     for c in contract.columns:
         if c.name in present:
-            cols.append(F.expr(f"try_cast(`{c.name}` AS {c.type})").alias(c.name))
+            cast = F.expr(f"try_cast(`{c.name}` AS {c.type})")
+            cols.append(cast.alias(c.name))
+            if present[c.name] != c.type:
+                failures.append(F.when(F.col(c.name).isNotNull() & cast.isNull(), F.struct(
+                    F.lit(c.name).alias("column"), F.col(c.name).cast("string").alias("raw"))))
         else:
             cols.append(F.lit(None).cast(c.type).alias(c.name))
     extra = [F.col(n) for n in df.columns if n not in {c.name for c in contract.columns}]
+    if failures:
+        extra.append(F.filter(F.array(*failures), lambda x: x.isNotNull()).alias(UNCASTABLE))
     return df.select(*cols, *extra)
 
 
@@ -89,7 +98,10 @@ def flag_rules(df: DataFrame, contract: Contract, parents: dict[str, DataFrame]
             .withColumn(f"_hit_{col}", F.lit(True))
         out = out.join(guarded_broadcast(keys), F.col(col) == F.col(f"_fk_{col}"), "left")
         checks.append(F.when(F.col(col).isNotNull() & F.col(f"_hit_{col}").isNull(), F.lit(f"fk:{col}")))
-    failed = F.array_sort(F.filter(F.array(*checks), lambda x: x.isNotNull()))
+    failed = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    if UNCASTABLE in df.columns:
+        failed = F.concat(failed, F.transform(UNCASTABLE, lambda x: F.concat(F.lit("cast:"), x["column"])))
+    failed = F.array_sort(failed)
     helper = [c for c in out.columns if c == "_dup" or c.startswith("_fk_") or c.startswith("_hit_")]
     return out.withColumn(FAILED, failed).drop(*helper)
 
@@ -97,7 +109,7 @@ def flag_rules(df: DataFrame, contract: Contract, parents: dict[str, DataFrame]
 def quarantine_split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(passed, quarantined): quarantined rows keep their failed rules and
     get the validation time."""
-    passed = flagged.where(F.size(FAILED) == 0).drop(FAILED)
+    passed = flagged.where(F.size(FAILED) == 0).drop(FAILED, UNCASTABLE)
     quarantined = flagged.where(F.size(FAILED) > 0).withColumn("_dq_validated_at", F.current_timestamp())
     return passed, quarantined
 

@@ -28,10 +28,6 @@ SESSION_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-# Dimensions larger than this are never broadcast by ``guarded_broadcast``.
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
@@ -50,14 +46,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``.  Only when the session has none (local tests)
-    is a private folder chosen and set."""
+    ``spark.checkpoint.dir``.  Where the session names none, a local master
+    gets a private folder; on a cluster that is an error, since executors
+    don't share local folders."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -80,11 +79,11 @@ def estimated_size(df: DataFrame) -> int | None:
 
 
 def broadcast_limit(spark: SparkSession) -> int:
-    try:
-        value = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("b"))
-    except ValueError:
-        value = 10 * 1024 * 1024
-    return max(value, DEFAULT_BROADCAST_LIMIT) if value > 0 else DEFAULT_BROADCAST_LIMIT
+    """The session's own broadcast threshold in bytes; 0 when it forbids
+    broadcasts."""
+    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    return max(0, int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(value))
+               if not value.lstrip("-").isdigit() else int(value))
 
 
 def guarded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
@@ -96,6 +95,6 @@ def guarded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     partitions AQE splits."""
     limit = max_bytes if max_bytes is not None else broadcast_limit(df.sparkSession)
     size = estimated_size(df)
-    if size is not None and size <= limit:
+    if size is not None and 0 < limit and size <= limit:
         return F.broadcast(df)
     return df

@@ -3,7 +3,6 @@ append with schema evolution, many-table runs with error isolation."""
 
 from __future__ import annotations
 
-import traceback
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +27,27 @@ def with_bronze_metadata(df: DataFrame, processing_date: str, source_file: bool
     return df.withColumns(cols)
 
 
+def drop_partition(spark: SparkSession, path: str, partition_col: str, value: str) -> None:
+    """Remove one partition directory of a table, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={value}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        fs.delete(target, True)
+
+
 def reload_partition(df: DataFrame, path: str, partition_col: str = PROCESSING_DATE,
-                     fmt: str = "parquet") -> None:
+                     fmt: str = "parquet", day: str | None = None) -> None:
     """Idempotent load of the partitions present in ``df``.
 
     With dynamic partition overwrite, only the partitions that ``df``
     contains are replaced and the others stay; the first run creates the
-    table.  Replacing is one job commit, so a crash cannot leave the day
-    deleted but not reloaded (the delete-then-append pattern can)."""
+    table.  The new files are complete before the commit deletes the old
+    ones and renames; a crash in between is mended by running the load
+    again.  An empty ``df`` names no partition, so give the ``day`` that the
+    load is for: its rows then go, as delete-then-append would have it."""
+    if day is not None and df.isEmpty():
+        drop_partition(df.sparkSession, path, partition_col, day)
+        return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).format(fmt).save(path))
 
@@ -72,6 +84,5 @@ def run_tables(spark: SparkSession, tables: list[str],
         try:
             results.append((name, "SUCCESS", int(load_one(name)), None))
         except Exception as exc:  # isolate the failing table
-            msg = f"{type(exc).__name__}: {exc}".splitlines()[0][:500]
-            results.append((name, "FAILED", None, msg or traceback.format_exc(limit=1)))
+            results.append((name, "FAILED", None, f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(results, RESULT_SCHEMA)

@@ -29,7 +29,8 @@ def write_hour_partitioned(df: DataFrame, path: str, ts_col: str, max_records_pe
     (older) hour, never dropped.  Rows are first clustered by hour so each
     task writes few directories (see ``_clustered``)."""
     parts = df.withColumns(hour_parts(ts_col))
-    (_clustered(parts, HOUR_COLS, [F.col(ts_col)]).write.mode(mode).format(fmt).options(**TIMESTAMP_OPTIONS)
+    # rows of one batch may share one timestamp: a hash of the row splits them
+    (_clustered(parts, HOUR_COLS, [F.col(ts_col), F.xxhash64(*df.columns)]).write.mode(mode).format(fmt).options(**TIMESTAMP_OPTIONS)
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(*HOUR_COLS).save(path))
 
 

@@ -16,7 +16,7 @@ from tessera.functions.time import parse_day_first
 
 # Microsecond timestamp text, as written by tessera.sinks.files.
 TIMESTAMP_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][X]",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]",
 }
 
@@ -30,6 +30,13 @@ def with_corrupt_column(schema: T.StructType, name: str = CORRUPT) -> T.StructTy
     return T.StructType(schema.fields + [T.StructField(name, T.StringType(), True)])
 
 
+def _reads(schema: T.StructType) -> F.Column:
+    """Always true, but refers to a data column: Spark refuses to answer from
+    a raw file's corrupt-record column alone."""
+    first = next(f.name for f in schema.fields if f.name not in (CORRUPT, *PARTITION_COLS))
+    return F.hash(F.col(f"`{first}`")) >= F.lit(-(1 << 31))
+
+
 def read_ndjson(spark: SparkSession, path, schema: T.StructType, base_path: str | None = None,
                 keep_corrupt: bool = True) -> DataFrame:
     """One JSON object per line.  Malformed lines are kept whole in
@@ -53,35 +60,46 @@ def read_json_array(spark: SparkSession, path, schema: T.StructType, base_path:
     return r.schema(schema).json(path)
 
 
+def _text_lines(spark: SparkSession, path) -> DataFrame:
+    """file, place (order within the file), v (trimmed, non-blank)."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.trim("value").alias("v"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("place"))
+    return lines.where(F.length("v") > 0)
+
+
 def probe_json(spark: SparkSession, path) -> DataFrame:
-    """Classify every file under ``path`` as 'ndjson' (each non-blank line
-    is a complete object) or 'document' (anything else: arrays, pretty
-    printing).  Distributed: one aggregation over the text lines; only the
-    per-file verdicts (one row per file) come back."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("v"))
-    lines = lines.where(F.length("v") > 0)
-    line_ok = F.col("v").startswith("{") & F.col("v").endswith("}")
-    return lines.groupBy("file").agg(F.bool_and(line_ok).alias("_nd")).select(
-        "file", F.when(F.col("_nd"), "ndjson").otherwise("document").alias("layout"))
-
-
-def read_json_auto(spark: SparkSession, path, schema: T.StructType, base_path: str | None = None) -> DataFrame:
-    """Read a mix of NDJSON and JSON-array files without losing rows: probe
-    each file's layout, read each group with the right mode, union."""
-    verdicts = probe_json(spark, path).collect()  # one small row per file
-    nd = [r.file for r in verdicts if r.layout == "ndjson"]
-    docs = [r.file for r in verdicts if r.layout == "document"]
-    frames = []
-    if nd:
-        frames.append(read_ndjson(spark, nd, schema, base_path, keep_corrupt=False))
-    if docs:
-        frames.append(read_json_array(spark, docs, schema, base_path))
-    if not frames:
-        return spark.createDataFrame([], schema)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """Classify every file under ``path``: 'document' when its first character
+    is ``[`` or none of its lines is a whole object, else 'ndjson' (damaged
+    lines included).  One aggregation over the text lines, one row per file."""
+    whole = F.col("v").startswith("{") & F.col("v").endswith("}")
+    per_file = _text_lines(spark, path).groupBy("file").agg(
+        F.min_by(F.substring("v", 1, 1), "place").alias("first"), F.count_if(whole).alias("objects"))
+    return per_file.select("file", F.when((F.col("first") == "[") | (F.col("objects") == 0), "document")
+                           .otherwise("ndjson").alias("layout"))
+
+
+def read_json_auto(spark: SparkSession, path, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Read a mix of NDJSON and JSON-document files without losing rows:
+    (good rows, quarantined (file, raw text)).
+
+    The verdict per file stays a DataFrame: NDJSON lines and documents are
+    both read and each kept only where the file's verdict says so.  A line
+    that is no whole object of the schema, and a document that doesn't parse,
+    go to quarantine whole."""
+    verdicts = probe_json(spark, path)
+    kept = lambda df, layout: df.join(verdicts.where(F.col("layout") == layout), "file", "left_semi")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **TIMESTAMP_OPTIONS}
+    parsed = kept(_text_lines(spark, path), "ndjson").select(
+        "file", "v", F.from_json("v", with_corrupt_column(schema), options).alias("row"))
+    documents = spark.read.options(**options).option("multiLine", "true").schema(with_corrupt_column(schema)).json(path) \
+        .select(F.col("_metadata.file_path").alias("file"), F.struct(*[F.col(f"`{n}`") for n in schema.fieldNames()], F.col(CORRUPT)).alias("row"))
+    first = F.col(f"row.`{schema.fieldNames()[0]}`")
+    documents = kept(documents, "document").where(F.hash(first) >= F.lit(-(1 << 31))).withColumn("v", F.col(f"row.{CORRUPT}"))
+    both = parsed.unionByName(documents)
+    good = both.where(F.col(f"row.{CORRUPT}").isNull()).select(*[F.col(f"row.`{n}`").alias(n) for n in schema.fieldNames()])
+    bad = both.where(F.col(f"row.{CORRUPT}").isNotNull()).select("file", F.col("v").alias("raw"))
+    return good, bad
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -97,11 +115,13 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_text_sample(spark: SparkSession, path, n: int = 5) -> DataFrame:
-    """First lines of raw text, to inspect an unreadable input."""
-    return spark.read.text(path).limit(n)
+    """The first lines of raw text in text order, to inspect an unreadable
+    input (planned as a top-k)."""
+    return spark.read.text(path).orderBy("value").limit(n)
 
 
-def read_landing(spark: SparkSession, base: str, schema: T.StructType, sub: str | None = None) -> DataFrame:
+def read_landing(spark: SparkSession, base: str, schema: T.StructType, sub: str | None = None,
+                 keep_corrupt: bool = False) -> DataFrame:
     """NDJSON under hive directories year=/month=/day=/hour=.  Reading a
     sub-directory keeps every partition column thanks to ``basePath``;
     the partition columns are declared as text in the schema, so '08'
@@ -109,7 +129,9 @@ def read_landing(spark: SparkSession, base: str, schema: T.StructType, sub: str
     schema = T.StructType([f for f in schema.fields if f.name not in PARTITION_COLS]
                           + [T.StructField(c, T.StringType()) for c in PARTITION_COLS])
     path = f"{base.rstrip('/')}/{sub}" if sub else base
-    return read_ndjson(spark, path, schema, base_path=base, keep_corrupt=False)
+    rows = read_ndjson(spark, path, schema, base_path=base)
+    # a malformed line is no row of NULLs: take it with keep_corrupt and split_corrupt
+    return rows if keep_corrupt else rows.where(F.col(CORRUPT).isNull() & _reads(schema)).drop(CORRUPT)
 
 
 def day_slice(df: DataFrame, year: str, month: str, day: str) -> DataFrame:

@@ -6,14 +6,16 @@
 * timestamp+incrementing: the cursor is (version, id), so rows sharing a
   version with the last delivered row are not lost or repeated.
 
-All are plain filters and unions: the predicates reach the parquet scan.
+All are plain filters and unions.  Bounds on the raw version column reach
+the parquet scan; a mark is read before a poll, and committed once the poll's
+rows are in the sink.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,15 +37,34 @@ def timestamp_id_window(df: DataFrame, version_col: str, id_col: str, last_versi
                         high=None) -> DataFrame:
     """Rows after the cursor (last_version, last_id) in lexicographic order."""
     v, i = F.col(version_col), F.col(id_col)
-    cond = (v > F.lit(last_version)) | ((v == F.lit(last_version)) & (i > F.lit(last_id)))
+    # the first bound alone can be pushed to the scan; the second is exact
+    cond = (v >= F.lit(last_version)) & ((v > F.lit(last_version)) | (i > F.lit(last_id)))
     if high is not None:
         cond = cond & (v <= F.lit(high))
     return df.where(cond)
 
 
-def high_water_mark(df: DataFrame, version_col: str) -> DataFrame:
-    """One-row frame with the largest version seen (the next poll's low)."""
-    return df.agg(F.max(version_col).alias("high_water_mark"))
+def high_water_mark(df: DataFrame, version_col: str, id_col: str):
+    """The last row's (version, id) in cursor order; None when empty."""
+    last = df.agg(F.max(F.struct(F.col(version_col).alias("version"), F.col(id_col).alias("id"))).alias("m")).first()
+    return None if last is None or last.m is None else (last.m.version, last.m.id)
+
+
+def read_mark(spark: SparkSession, path: str, initial: tuple) -> tuple:
+    """The last committed mark under ``path``, or ``initial``."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return initial
+    row = spark.read.json(path).agg(F.max(F.struct("poll", "version", "id")).alias("m")).first().m
+    return row.version, row.id
+
+
+def commit_mark(spark: SparkSession, path: str, poll: int, mark: tuple) -> None:
+    """Append the mark of a poll whose rows are in the sink."""
+    spark.createDataFrame([(poll, *mark)], "poll int, version timestamp_ntz, id long").withColumn(
+        "version", F.col("version").cast("string")).write.mode("append").json(path)
 
 
 def timestamp_polls(df: DataFrame, version_col: str, marks: list) -> DataFrame:

@@ -18,74 +18,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import time as T
-from tessera.session import estimated_size, guarded_broadcast
+from tessera.session import guarded_broadcast
 
 MONEY = "decimal(12,2)"
 RATE = "decimal(4,2)"
 
 
-# Scans below this many bytes are never spread (see ``read_table``).
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of one table.  Splits follow the session's
+    ``spark.sql.files.maxPartitionBytes`` and ``minPartitionNum``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Source scans already planned in a session: (session id, path, spread
-# limit) -> DataFrame.  The given tables are immutable inputs, so one scan
-# (its file listing, footers and the spread decision) serves every plan.
-_SCANS: dict[tuple, DataFrame] = {}
+def brand_code(brand, ptype) -> F.Column:
+    """Key of a brand within a type: both values in full, so two brands or
+    types never share a code."""
+    return F.concat(F.lit("BRD-"), brand, F.lit("-"), ptype)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one table, with one safeguard for under-split input.
-
-    A large table stored as a handful of unsplittable row groups is read by
-    as many tasks, so all per-row work before the first shuffle would run
-    on those few cores.  When the scan has fewer partitions than the
-    cluster's default parallelism and is at least ``SPREAD_MIN_BYTES``, its
-    rows are dealt round-robin over the cores (skew-proof, unlike hashing on
-    a key that may hold a third of the rows).  Column pruning and filters
-    still reach the scan below the exchange.  A table written as many files
-    (the normal case at scale) gets no extra exchange."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    limit = int(spark.conf.get("spark.tessera.scan.spreadMinBytes", str(SPREAD_MIN_BYTES)))
-    memo = (id(spark), path, limit)
-    if memo in _SCANS and _SCANS[memo].sparkSession is spark:
-        return _SCANS[memo]
-    df = spark.read.parquet(path)
-    if limit >= 0:
-        target = spark.sparkContext.defaultParallelism
-        size = estimated_size(df)
-        if size is not None and size >= limit and df.rdd.getNumPartitions() < target:
-            df = df.repartition(target)
-    _SCANS[memo] = df
-    return df
+def category_code(ptype) -> F.Column:
+    return F.concat(F.lit("CAT-"), ptype)
 
 
-def brand_code(brand, ptype) -> F.Column:
+def brand_label(brand, ptype) -> F.Column:
+    """Display code of a brand: upper case, letters and digits of its name,
+    then the type's first four letters.  Not a key."""
     return F.concat(F.lit("BRD-"), F.upper(F.regexp_replace(brand, "[^A-Za-z0-9]", "")),
                     F.lit("-"), F.substring(ptype, 1, 4))
 
 
-def category_code(ptype) -> F.Column:
-    return F.concat(F.lit("CAT-"), F.substring(ptype, 1, 4))
-
-
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows from lineitem alone (no customer): use this whenever the
     customer is not needed, to avoid the lineitem x orders shuffle join."""
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.select(
+    return lines_of(read_table(spark, sf_dir, "lineitem"))
+
+
+def lines_of(lineitem: DataFrame, *more: str) -> DataFrame:
+    """Fact lines of raw lineitem rows, with the columns ``more`` kept."""
+    return lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("supplier_id"),
         T.date_code("l_shipdate").alias("date_code"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_quantity").cast(MONEY).alias("quantity"),
         F.col("l_extendedprice").cast(MONEY).alias("total_price"),
         F.col("l_discount").cast(RATE).alias("discount"),
         F.col("l_tax").cast(RATE).alias("tax"),
         F.col("l_returnflag").alias("return_flag"),
         F.col("l_linestatus").alias("line_status"),
-        T.ntz_millis("l_shipdate").alias("dt_update"),
+        T.ntz_millis("l_shipdate").alias("dt_update"), *more,
     )
 
 
@@ -116,8 +98,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust.join(geo, cust.c_nationkey == geo.n_nationkey).select(
         F.col("c_custkey").alias("customer_id"),
         F.concat(F.lit("+"), (F.col("n_nationkey") + 10).cast("string"),
-                 F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("phone"),
-        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("country_code"),
+                 F.format_string("%09d", F.col("c_custkey"))).alias("phone"),
+        F.format_string("N%02d", F.col("n_nationkey")).alias("country_code"),
         F.col("n_name").alias("country"),
         F.col("r_name").alias("state"),
         F.col("c_mktsegment").alias("city"),
@@ -129,8 +111,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
-        brand_code("p_brand", "p_type").alias("brand_code"),
-        category_code("p_type").alias("category_code"),
+        brand_code(F.col("p_brand"), F.col("p_type")).alias("brand_code"),
+        category_code(F.col("p_type")).alias("category_code"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
         F.col("p_size").alias("size"),
     )
@@ -139,20 +121,29 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     return part.select(
-        brand_code("p_brand", "p_type").alias("brand_code"),
+        brand_code(F.col("p_brand"), F.col("p_type")).alias("brand_code"),
         F.col("p_brand").alias("brand_name"),
-        category_code("p_type").alias("category_code"),
+        brand_label("p_brand", "p_type").alias("brand_label"),
+        category_code(F.col("p_type")).alias("category_code"),
     ).distinct()
 
 
 def category(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
-    return part.select(category_code("p_type").alias("category_code"),
+    return part.select(category_code(F.col("p_type")).alias("category_code"),
                        F.col("p_type").alias("category_name")).distinct()
 
 
-def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Days that joins and foreign-key checks look up: a generated dimension needs
+# no pass over the fact for its bounds.
+CALENDAR_RANGE = ("1900-01-01", "2199-12-31")
+
+
+def calendar(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Days from ``start`` to ``end``; without them, those of the fact."""
     from tessera.operators.dimensions import calendar_between
+    if start and end:
+        return calendar_between(spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end")))
     bounds = read_table(spark, sf_dir, "lineitem").agg(
         F.min(F.to_date("l_shipdate")).alias("start"), F.max(F.to_date("l_shipdate")).alias("end"))
     return calendar_between(bounds)

@@ -17,11 +17,13 @@ from pyspark.sql import types as T
 
 from tessera.functions.time import hour_parts
 from tessera.operators.dedup import latest_per_key
-from tessera.session import guarded_broadcast
 from tessera.sinks.files import HOUR_COLS, TIMESTAMP_OPTIONS
 from tessera.sources.files import TIMESTAMP_OPTIONS as READ_TS_OPTIONS
 
 
+HOUR_TASKS = 8
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Incremental file source: each file is read once; progress is kept in
@@ -56,8 +58,11 @@ def hour_partitioned_sink(df: DataFrame, ts_col: str, path: str, checkpoint: str
                           max_records_per_file: int = 100):
     """Append to year=/month=/day=/hour= directories of the event time,
     rolling files at ``max_records_per_file`` rows (time rotation is the
-    trigger interval).  Late rows go to their own hour: nothing is dropped."""
-    parts = df.withColumns(hour_parts(ts_col))
+    trigger interval).  Late rows go to their own hour: nothing is dropped.
+    Each hour's rows go to ``HOUR_TASKS`` tasks by a hash of the row, so one
+    timestamp shared by a whole batch is not one task."""
+    parts = df.withColumns(hour_parts(ts_col)).repartition(
+        *HOUR_COLS, F.pmod(F.xxhash64(*df.columns), F.lit(HOUR_TASKS)))
     return (parts.writeStream.format("json").options(**TIMESTAMP_OPTIONS).outputMode("append")
             .option("maxRecordsPerFile", max_records_per_file).partitionBy(*HOUR_COLS)
             .option("checkpointLocation", checkpoint).option("path", path))
@@ -85,51 +90,110 @@ def session_counts(df: DataFrame, user_col: str, time_col: str, gap: str, delay:
 
 
 def overwrite_each_batch(path: str):
-    """foreachBatch body for complete-mode results: replace the table."""
+    """foreachBatch body for complete-mode results: each batch writes a
+    version of its own, the newest complete one is the table
+    (``current_version``), and older ones but the last are dropped."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        expire_versions(batch.sparkSession, path, keep=2)
     return write
 
 
-def upsert_each_batch(target_root: str, keys: list[str], order_by: list[str]):
+DELETED = "__deleted"
+UPSERT_BUCKETS = 16
+
+
+def upsert_each_batch(target_root: str, keys: list[str], order_by: list[str], op_col: str | None = None,
+                      buckets: int = UPSERT_BUCKETS, keep: int = 3):
     """foreachBatch body keeping the latest row per key.
 
-    Version ``v=<batch_id>`` is built from the newest earlier version plus
-    the batch and written to its own directory: a job never overwrites what
-    it reads, and a retried batch rewrites the same version.  Only state
-    rows whose key occurs in the batch are shuffled (with the batch, to
-    pick the latest per key, so a late, older row never replaces a newer
-    one); the rest of the state is carried over by a narrow anti join
-    against the batch's keys, broadcast when that key set is proven small."""
+    The target is split in hash buckets of the key.  Version ``v=<batch_id>``
+    holds only the buckets that the batch touches, each rebuilt from its
+    newest earlier version and the batch; all other buckets stay where they
+    are.  A job never overwrites what it reads, and a retried batch rewrites
+    its own version.  With ``op_col``, a key whose latest change is 'd' stays
+    as a marked row, so a late older change can't bring it back;
+    ``read_target`` leaves marked rows out.  The batch is computed once
+    (persisted), and bucket versions beyond the newest ``keep`` expire."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = current_version(spark, target_root, below=batch_id)
-        out = f"{target_root}/v={batch_id}"
-        if prev is None:
-            latest_per_key(batch, keys, order_by).write.mode("overwrite").parquet(out)
-            return
-        state = spark.read.parquet(prev)
-        batch_keys = guarded_broadcast(batch.select(*keys).distinct())
-        touched = state.join(batch_keys, keys, "left_semi")
-        untouched = state.join(batch_keys, keys, "left_anti")
-        merged = latest_per_key(touched.unionByName(batch), keys, order_by)
-        untouched.unionByName(merged.select(*state.columns)).write.mode("overwrite").parquet(out)
+        deleted = F.coalesce(F.col(op_col) == "d", F.lit(False)) if op_col else F.lit(False)
+        rows = batch.withColumn(DELETED, deleted)
+        rows = (rows.drop(op_col) if op_col else rows).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        changes = latest_per_key(rows, keys, order_by).persist()
+        try:
+            touched = {r[0] for r in changes.select("_bucket").distinct().collect()}  # at most ``buckets``
+            old = [path for b, path in bucket_paths(spark, target_root, below=batch_id).items() if b in touched]
+            if old:
+                state = spark.read.schema(changes.drop("_bucket").schema).parquet(*old) \
+                    .withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+                changes_and_state = latest_per_key(changes.unionByName(state), keys, order_by)
+            else:
+                changes_and_state = changes
+            changes_and_state.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_bucket").parquet(f"{target_root}/v={batch_id}")
+        finally:
+            changes.unpersist()
+        expire_versions(spark, target_root, keep, per_bucket=True)
     return write
 
 
-def current_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
-    """Path of the newest committed version directory (listing only)."""
+def read_target(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The live rows of an upsert target (``schema``: its data columns)."""
+    paths = list(bucket_paths(spark, root).values())
+    full = T.StructType(schema.fields + [T.StructField(DELETED, T.BooleanType())])
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(full).parquet(*paths).where(~F.col(DELETED)).drop(DELETED)
+
+
+def _listing(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name[2:])
-            if (below is None or v < below) and (best is None or v > best):
-                best = v
-    return None if best is None else f"{root.rstrip('/')}/v={best}"
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    return jvm, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed versions, ascending (directory names only)."""
+    jvm, path, fs = _listing(spark, root)
+    if not fs.exists(path):
+        return []
+    found = [st.getPath() for st in fs.listStatus(path) if st.isDirectory() and st.getPath().getName().startswith("v=")]
+    return sorted(int(p.getName()[2:]) for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def bucket_paths(spark: SparkSession, root: str, below: int | None = None) -> dict[int, str]:
+    """bucket -> its newest committed directory."""
+    jvm, _, fs = _listing(spark, root)
+    out: dict[int, str] = {}
+    for v in _versions(spark, root):
+        if below is None or v < below:
+            for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v={v}")):
+                name = st.getPath().getName()
+                if name.startswith("_bucket="):
+                    out[int(name[8:])] = f"{root.rstrip('/')}/v={v}/{name}"
+    return out
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Path of the newest committed version directory (listing only)."""
+    versions = _versions(spark, root)
+    return f"{root.rstrip('/')}/v={versions[-1]}" if versions else None
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int, per_bucket: bool = False) -> None:
+    """Delete versions (with ``per_bucket``: a bucket's directories) but the
+    newest ``keep``; readers that started on an older one may finish."""
+    jvm, _, fs = _listing(spark, root)
+    versions = _versions(spark, root)
+    if not per_bucket:
+        for v in versions[:-keep]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/v={v}"), True)
+        return
+    seen: dict[str, int] = {}
+    for v in reversed(versions):
+        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v={v}")):
+            name = st.getPath().getName()
+            if name.startswith("_bucket="):
+                seen[name] = seen.get(name, 0) + 1
+                if seen[name] > keep:
+                    fs.delete(st.getPath(), True)
