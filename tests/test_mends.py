@@ -111,7 +111,7 @@ def test_carry_forward_keeps_large_longs(spark):
                                              (-(1 << 63), 9), (128, 0), (-129, 3)])
 def test_wire_decimals_are_exact(spark, unscaled, scale):
     import base64
-    n = max(1, (unscaled.bit_length() + 8) // 8)
+    n = (unscaled + (unscaled < 0)).bit_length() // 8 + 1
     text = base64.b64encode(unscaled.to_bytes(n, "big", signed=True)).decode()
     got = spark.range(1).select(wire.wire_to_decimal(F.lit(text), 38, scale).alias("d")).first().d
     assert got == Decimal(unscaled).scaleb(-scale)
