@@ -26,7 +26,19 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
-@register("op1_bbit_minhash")
+@register("op1_bbit_minhash", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' '))) END AS grams FROM w),
+g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 75 * (a.n + b.n - COUNT(*))),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, p.y FROM r JOIN p ON p.x = r.reached),
+c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.grams) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN c ON c.doc_id = s.doc_id""")
 def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.link(read_table(spark, sf_dir, "documents"))
 
@@ -71,7 +83,23 @@ def op8_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_units(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
-@register("op9_bwt_substring_dedup")
+@register("op9_bwt_substring_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+r AS (SELECT w.doc_id, w.i, lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS before
+      FROM w JOIN m ON m.s = w.s WHERE m.first < w.doc_id),
+k AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+t AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, run),
+g AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_byte FROM t),
+c AS (SELECT g.doc_id, string_agg(substr(h, 2 * from_byte + 1, 2 * (a - from_byte)), '' ORDER BY a) AS head, max(b) AS last,
+             sum(b - a) AS gone, COUNT(*) AS spans FROM g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id""")
 def op9_bwt_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
