@@ -156,6 +156,39 @@ def bronze_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")).orderBy("processing_date"))
 
 
+@register("bronze_rows", with_star("order_lines") + f"""
+SELECT order_item_id, order_id, product_id, dt_update, 36 AS row_id_length, true AS has_source_file, true AS has_ingestion_time,
+       '{RUN_DATE}' AS processing_date
+FROM order_lines""")
+def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze fact's rows with their lineage: row id, source file (one of
+    the landing's), ingestion time, processing date."""
+    root = scratch_path(spark, "bronze-rows")
+    lines = star.order_lines(spark, sf_dir)
+    lines.write.option("maxRecordsPerFile", 5000).json(f"{root}/landing")
+    good, _ = SRC.split_corrupt(SRC.read_ndjson(spark, f"{root}/landing", lines.schema))
+    B.reload_partition(B.with_bronze_metadata(good, RUN_DATE, source_file=True), f"{root}/bronze", day=RUN_DATE)
+    return spark.read.parquet(f"{root}/bronze").select(
+        "order_item_id", "order_id", "product_id", "dt_update", F.length("_row_id").alias("row_id_length"),
+        F.col("_source_file").contains("/landing/part-").alias("has_source_file"),
+        F.col("_ingested_at").isNotNull().alias("has_ingestion_time"),
+        F.col(B.PROCESSING_DATE).cast("string").alias("processing_date"))
+
+
+@register("bronze_reload_empty_day", with_star("order_lines") + f"""
+SELECT '{NEXT_RUN_DATE}' AS processing_date, COUNT(*) AS rows FROM order_lines""")
+def bronze_reload_empty_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days loaded, the first then reloaded from an empty input: its rows
+    go, the other day's stay."""
+    path = f"{scratch_path(spark, 'bronze-empty')}/bronze"
+    lines = star.order_lines(spark, sf_dir)
+    for day in (RUN_DATE, NEXT_RUN_DATE):
+        B.reload_partition(B.with_bronze_metadata(lines, day), path, day=day)
+    B.reload_partition(B.with_bronze_metadata(lines.limit(0), RUN_DATE), path, day=RUN_DATE)
+    return spark.read.parquet(path).groupBy(F.col(B.PROCESSING_DATE).cast("string").alias("processing_date")) \
+        .agg(F.count(F.lit(1)).alias("rows"))
+
+
 @register("json_format_probe", with_star("order_lines") + f"""
 SELECT 'good' AS side, {_LINES_SQL} FROM order_lines WHERE NOT (return_flag = 'N' AND order_id % 50 = 0)
 UNION ALL SELECT 'quarantined', order_item_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL

@@ -45,7 +45,7 @@ def reload_partition(df: DataFrame, path: str, partition_col: str = PROCESSING_D
     ones and renames; a crash in between is mended by running the load
     again.  An empty ``df`` names no partition, so give the ``day`` that the
     load is for: its rows then go, as delete-then-append would have it."""
-    if day is not None and df.isEmpty():
+    if day is not None and not df.take(1):  # all columns: raw JSON refuses a bare count
         drop_partition(df.sparkSession, path, partition_col, day)
         return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
