@@ -154,8 +154,9 @@ def _checked(texts: DataFrame, groups: DataFrame) -> DataFrame:
     If any bytes differ (one digest, different texts), the rows of that
     digest are grouped by their bytes instead."""
     rows = materialize(texts.join(groups, "digest"), "repeats")
-    winners = (rows.filter(F.col("doc_id").eqNullSafe(F.col("winner")))
-               .groupBy("digest").agg(F.min("text").alias("winner_text")))
+    # written first: then the join has two plain inputs, and AQE can split a hot digest
+    winners = materialize(rows.filter(F.col("doc_id").eqNullSafe(F.col("winner")))
+                          .groupBy("digest").agg(F.min("text").alias("winner_text")), "winners")
     compared = materialize(rows.join(winners, "digest").withColumn("same", F.col("text") == F.col("winner_text"))
                            .drop("text", "winner_text"), "compared")
     differ = compared.filter("not same").select("digest").distinct()
