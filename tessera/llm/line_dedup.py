@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import materialize
+
 # Where a text is cut: after these, units tile the text.
 CUTS = {
     "line": re.compile(r"(?<=\n)"),
@@ -109,4 +111,4 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 def dedup_units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """Remove every unit that an earlier document, or an earlier place of the
     same one, holds: see ``remove_spans`` for the columns."""
-    return remove_spans(docs, repeated_units(hashed_units(docs, unit, min_words)))
+    return remove_spans(docs, repeated_units(materialize(hashed_units(docs, unit, min_words), "units")))
