@@ -31,12 +31,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blocks_for, materialize, n_words
+from tessera.llm.common import materialize, n_words
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 CAP = 2
-ROWS_PER_BLOCK = 20_000
+ROWS_PER_BLOCK = 2_000
 STEPS = 60
 TOLERANCE = 1e-9
 
@@ -99,7 +99,7 @@ def tilts(sizes: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
             F.when(known & ~near, F.lit(1.0)).otherwise(F.lit(0.0)).alias("gap")), "tilts")
         if state.filter("tilt is not null and gap > 0").isEmpty():
             break
-    return state.select("source", "source_size", "target", "mean", "tilt")
+    return state.select("source", "source_size", "source_rows", "target", "mean", "tilt")
 
 
 def _round(cap: int):
@@ -124,12 +124,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     goals = materialize(targets(sizes, weights, budget, cap), "targets")
     solved = tilts(sizes, goals, cap)
     solved = solved.withColumnRenamed("source", "of")
-    rows = goals.agg(F.max("source_rows")).first()[0] or 0
     rate = F.when(F.col("tilt").isNull(), F.lit(float(cap))).otherwise(
         cap / (1 + (cap - 1) * F.exp(-F.col("tilt") * F.col("size") / F.col("mean"))))
     rated = sizes.join(solved, F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "source", "size", "source_size", "target", rate.alias("rate"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(blocks_for(rows, ROWS_PER_BLOCK))).alias("block"))
+        F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("source_rows") / ROWS_PER_BLOCK)).alias("block"))
     out = rated.groupBy("source", "block").applyInPandas(
         _round(cap), "doc_id long, source string, size long, source_size long, target double, rate double, block long, copies long")
     return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
