@@ -5,8 +5,9 @@ Both models are first-order chains over the characters of keys and
 identifiers, one trained on random strings, one on ordinary identifiers; a
 candidate's log-likelihood ratio is the sum over its transitions.  The
 labelled samples are the values that the fixed patterns find (random) and
-the words, shorter than candidates, of ``MAX_SAMPLE_DOCS`` documents without
-any (ordinary), at most ``MAX_SAMPLES`` of each, lowest by hash.  A candidate is a run of 20 or more such characters; it
+the words, shorter than candidates, of ``MAX_SAMPLE_DOCS`` texts that hold
+neither an assignment nor a candidate (ordinary), at most ``MAX_SAMPLES`` of
+each, lowest by hash.  A candidate is a run of 20 or more such characters; it
 is a secret when its ratio reaches ``MIN_RATIO`` and it overlaps no span of a
 fixed pattern.
 
@@ -101,10 +102,13 @@ def scan(docs: DataFrame) -> DataFrame:
             F.col("c.start") < F.col("s.end"), F.col("s.start") < F.col("c.end")]
     free = materialize(candidates.alias("c").join(base.alias("s"), same, "left_anti"), "candidates")
 
-    plain = docs.select("doc_id", text.alias("value")).filter(~F.col("value").rlike(ASSIGN) & ~F.col("value").rlike(HEX))
-    words = _lowest(plain, MAX_SAMPLE_DOCS).select(F.explode(F.regexp_extract_all("value", F.lit(ORDINARY), F.lit(0))).alias("value"))
-    random = _lowest(base.select("value").distinct(), MAX_SAMPLES)
-    ordinary = _lowest(words.filter(F.length("value") < MIN_CANDIDATE).distinct(), MAX_SAMPLES)
+    # the sample's documents are those up to the n-th least hash: one number, no text, meets in one task
+    hashes = rows.select("row_hash").join(texts.select("row_hash"), "row_hash", "left_anti").distinct()
+    last = hashes.orderBy("row_hash").limit(MAX_SAMPLE_DOCS).agg(F.max("row_hash")).first()[0]
+    plain = rows.filter((F.col("row_hash") <= F.lit(last).cast("bigint")) & ~hit)
+    words = plain.select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("value"))
+    random = materialize(_lowest(base.select("value").distinct(), MAX_SAMPLES), "random")
+    ordinary = materialize(_lowest(words.filter(F.length("value") < MIN_CANDIDATE).distinct(), MAX_SAMPLES), "ordinary")
     model = materialize(train(random, ordinary), "markov_model")
 
     steps = free.select("doc_id", "row_hash", "start", "end", "value",
