@@ -11,7 +11,7 @@ equal groups of bits and correcting for chance collisions,
 Equal sets are one node from the start.  Within a key no list of all pairs
 is made: first its least node is compared with all others, the confirmed
 links are joined to components, and only keys that still hold more than one
-component go on, with the next ``CENTRES`` nodes compared with the nodes of
+component go on, with more and more further nodes compared with the nodes of
 other components.  The rounds end when no key has a pair left that was not
 compared and lies in two components, so no link within a key is lost.  With
 these bands a pair at the threshold shares no key once in 200,000.
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import textnp
 from tessera.llm.common import materialize
-from tessera.llm.components import connected_components
+from tessera.llm.components import connected_components, merge_labels
 
 HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
@@ -46,7 +46,7 @@ LONGS = HASHES * BITS // 64
 SHINGLE = 5
 THRESHOLD = 75  # percent
 SLACK = 4.5
-CENTRES = 256
+CENTRES = 2  # after the first; sixteen times as many in each later round
 NULL_ID = -(1 << 63)
 
 _A = (textnp.constants(HASHES, 21) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -189,7 +189,7 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     pairs = members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = materialize(confirm(_screened(pairs, in_key, least), sets, threshold).unionByName(same_id), "links")
     labels = connected_components(links)
-    done = 1
+    done, centres_now = 1, CENTRES
     while True:
         placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
         split = (placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("n").alias("n"))
@@ -198,7 +198,7 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         if open_keys.isEmpty():
             break
         order = Window.partitionBy("key").orderBy("node")
-        centres = (open_keys.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= done + CENTRES)
+        centres = (open_keys.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= done + centres_now)
                    .filter(F.col("rank") > done).select("key", F.col("node").alias("a"), F.col("label").alias("label_a")))
         sig_a = in_key.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
         sig_b = in_key.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
@@ -206,8 +206,8 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         near = centres.join(sig_a, "a").join(others, "key").filter(
             (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & (estimate("sig_a", "sig_b") >= least))
         more = materialize(confirm(near.select("a", "b").distinct(), sets, threshold), "links")
-        labels = connected_components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
-        done += CENTRES
+        labels = merge_labels(labels, more)
+        done, centres_now = done + centres_now, centres_now * 16
 
     named = ids.select("id", "node", "n_shingles").join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     named = named.select("id", "n_shingles", F.coalesce("label", "node").alias("label"))
