@@ -81,7 +81,7 @@ class Templates:
             inside = inside | inner
         starts, ends = textnp.runs(inside, off)
         value_codes = np.where(inside, _CODES[data], np.uint64(0))
-        self.values = _hash_spans(value_codes, starts, ends)
+        self.values = textnp.value_hashes(value_codes, starts, ends)
         self.first = np.searchsorted(starts, off)
         kind = np.zeros(len(starts), np.uint8)
         if len(starts):
@@ -115,20 +115,6 @@ class Templates:
         return hashes, good
 
 
-def _hash_spans(value_codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """As ``textnp.span_hashes`` for codes that are already looked up."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    longest = int((ends - starts).max())
-    powers = np.full(longest, 0x9E3779B97F4A7C15 | 1, np.uint64)
-    powers[0] = 1
-    powers = np.cumprod(powers, dtype=np.uint64)
-    seg = value_codes[starts[0]:ends[-1]]
-    at = np.arange(starts[0], ends[-1]) - np.repeat(starts, np.diff(np.append(starts, ends[-1])))
-    return textnp.mix64(np.add.reduceat(seg * powers[np.minimum(at, longest - 1)], starts - starts[0])
-                        + (ends - starts).astype(np.uint64))
-
-
 class Index:
     """Windows of a block of benchmark items."""
 

@@ -39,10 +39,7 @@ def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; nulls are empty."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    if pa.types.is_string(col.type) or pa.types.is_large_string(col.type):
-        col = col.cast(pa.large_binary())
-    else:
-        col = col.cast(pa.large_binary())
+    col = col.cast(pa.large_binary())
     if col.null_count:
         col = col.fill_null(b"")
     off = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
@@ -79,23 +76,24 @@ def runs(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(inside & ~left), np.flatnonzero(inside & ~right) + 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span ``data[starts:ends]``; ``codes`` gives each
-    byte's value (0: the byte doesn't count).  Spans ascend and don't overlap;
-    bytes between them must have code 0."""
+def value_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of per-byte ``values`` (0: the byte doesn't
+    count).  Spans ascend and don't overlap; between them all values are 0."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
     longest = int((ends - starts).max())
-    powers = np.full(longest, 0x9E3779B97F4A7C15 | 1, np.uint64)
+    powers = np.full(longest, 0x9E3779B97F4A7C15, np.uint64)
     powers[0] = 1
     powers = np.cumprod(powers, dtype=np.uint64)
-    seg = data[starts[0]:ends[-1]]
-    gap = np.repeat(starts, np.diff(np.append(starts, ends[-1])))
-    at = np.arange(starts[0], ends[-1], dtype=np.int64) - gap
+    at = np.arange(starts[0], ends[-1], dtype=np.int64) - np.repeat(starts, np.diff(np.append(starts, ends[-1])))
     np.minimum(at, longest - 1, out=at)
-    value = codes[seg]
-    value *= powers[at]
-    return mix64(np.add.reduceat(value, starts - starts[0]) + (ends - starts).astype(np.uint64))
+    weighed = values[starts[0]:ends[-1]] * powers[at]
+    return mix64(np.add.reduceat(weighed, starts - starts[0]) + (ends - starts).astype(np.uint64))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """``value_hashes`` of bytes by their ``codes``."""
+    return value_hashes(codes[data], starts, ends)
 
 
 def word_codes(lower_ascii: bool, counted: np.ndarray) -> np.ndarray:
