@@ -9,9 +9,9 @@ ids.  ``read_ids`` reads files back; ``with_offsets`` adds each document's
 first token's place from per-part totals (one row per written part) and sums
 within the part.
 
-Encoding: byte-level BPE never joins what lies on two sides of a single
-space that follows a visible character, so a text is cut there, and each
-distinct piece is encoded once per worker (a cache of bounded size).  The
+Encoding: texts are cut where byte-level BPE has a token bound for certain
+(``Encoder``), and each distinct piece is encoded once per worker (a cache of
+bounded size).  The
 tokenizer file is read on the workers from a path given as a parameter.
 
 Defined results: a null or empty text is the end id alone; a null doc_id
@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,40 +39,111 @@ from tessera.session import scratch_path
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 1_000
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
+SEEN_BITS = 1 << 24
+
+GROUP = 64
 
 # A space that a piece may start with: the character before it is visible for certain.
-_CUT = re.compile(r"(?<=[!-~¡-ᙿぁ-鿿]) ")
-_DOUBT = re.compile(r"[^!-~¡-ᙿぁ-鿿] ")
+_VISIBLE = "!-~\u00a1-\u167f\u3041-\u9fff"
+_CUT = re.compile(f"(?<=[{_VISIBLE}]) ")
+_PLAIN = re.compile(f"\n?[{_VISIBLE}]*[{_VISIBLE}]")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE's letter for each byte: itself where it is printable
+    Latin-1, else the next code point from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class Encoder:
-    """Encodes texts to little-endian 32-bit ids by cached pieces."""
+    """Encodes texts to little-endian 32-bit ids by cached pieces.
+
+    Three places are token bounds for certain: before a single space between
+    visible characters, around a single newline between visible characters,
+    and between a letter and one point or comma that ends a word.  Texts are
+    cut there; what is left is encoded by the tokenizer, words of letters by
+    its model alone (one word is one unit for it).  A piece is cached when it
+    comes a second time (a bit table remembers the first).  A text that holds
+    any other white space is cut at the certain spaces only."""
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, encoded in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.known[piece] = np.array(encoded.ids, "<u4").tobytes()
+        self.word = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
+        self.space = self.letters[32]
+        self.known: dict[str, bytes] = {}  # pieces after a space, without it; those after a newline, with it
+        self.heads: dict[str, bytes] = {}  # pieces as they are
+        self.met = bytearray(SEEN_BITS)
+        self._learn_heads(["\n", ".", ","])
+        self.newline, self.marks = self.heads["\n"], {m: self.heads[m] for m in ".,"}
+
+    def _raw(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _learn_heads(self, pieces: list[str]) -> None:
+        if len(self.heads) > CACHE_PIECES:
+            self.heads.clear()
+        self.heads.update(zip(pieces, self._raw(pieces)))
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Learn the plain ones among ``pieces``."""
+        if len(self.known) > CACHE_PIECES:
+            self.known.clear()
+        known, marks, word, letters = self.known, self.marks, self.word, self.letters
+        rest = []
+        for piece in pieces:
+            line = piece[:1] == "\n"
+            stem = piece[1:] if line else piece
+            mark = stem[-1:] in marks and stem[-2:-1].isalpha()
+            body = stem[:-1] if mark else stem
+            if not body.isalpha() or not (body.isascii() or max(body) < "\u0250"):
+                if _PLAIN.fullmatch(piece):
+                    rest.append(piece)
+                continue
+            unit = body if body.isascii() else body.encode().decode("latin-1").translate(letters)
+            ids = array("I", [t.id for t in word(unit if line else self.space + unit)]).tobytes()
+            known[piece] = (self.newline if line else b"") + ids + (marks[stem[-1]] if mark else b"")
+        if rest:
+            known.update(zip(rest, self._raw([p if p[0] == "\n" else " " + p for p in rest])))
+
+    def _forget_firsts(self, pieces: set[str]) -> None:
+        """Drop those of ``pieces`` that came for the first time."""
+        met, known = self.met, self.known
+        for piece in pieces:
+            at = hash(piece) & (SEEN_BITS - 1)
+            if not met[at]:
+                met[at] = 1
+                known.pop(piece, None)
+
+    def _plainly(self, text: str) -> bytes:
+        parts = _CUT.split(text)
+        pieces = [parts[0], *[" " + p for p in parts[1:]]]
+        if missing := [p for p in set(pieces) if p not in self.heads]:
+            self._learn_heads(missing)
+        return b"".join([self.heads[p] for p in pieces])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for k in range(0, len(texts), GROUP):
+            # the first piece is taken like one after a newline, less that newline
+            cut = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts[k:k + GROUP]]
+            missing = set(chain.from_iterable(cut)).difference(self.known)
+            self._learn(missing)
+            for text, pieces in zip(texts[k:k + GROUP], cut):
+                try:
+                    out.append(b"".join(map(self.known.__getitem__, pieces))[len(self.newline):])
+                except KeyError:
+                    out.append(self._plainly(text))
+            self._forget_firsts(missing)
+        return out
 
     def encode(self, text: str) -> bytes:
-        if _DOUBT.search(text) or text[:1] == " ":
-            parts = _CUT.split(text)
-        else:
-            parts = text.split(" ")
-        pieces = [parts[0], *[" " + p for p in parts[1:]]] if parts[0] else [" " + p for p in parts[1:]]
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            if len(known) > CACHE_PIECES:
-                known.clear()
-            self._learn(list({p for p in pieces if p not in known}))
-            return b"".join(map(known.__getitem__, pieces))
+        return self.encode_all([text])[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -97,7 +170,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for batch in batches:
-            raw = [enc.encode(t) + end for t in batch.column(1).to_pylist()]
+            raw = [r + end for r in enc.encode_all(batch.column(1).to_pylist())]
             counts = np.array([len(r) // 4 for r in raw], np.int64)
             ids = np.frombuffer(b"".join(raw), "<u4").astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids))
