@@ -194,16 +194,14 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
         split = (placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("n").alias("n"))
                  .filter((F.col("lo") != F.col("hi")) & (F.col("n") > done + 1)).select("key"))
-        open_keys = materialize(placed.join(split, "key"), "open")
+        open_keys = materialize(placed.join(split, "key").join(in_key.select("node", "sig"), "node"), "open")
         if open_keys.isEmpty():
             break
         order = Window.partitionBy("key").orderBy("node")
         centres = (open_keys.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= done + centres_now)
-                   .filter(F.col("rank") > done).select("key", F.col("node").alias("a"), F.col("label").alias("label_a")))
-        sig_a = in_key.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
-        sig_b = in_key.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-        others = open_keys.select("key", F.col("node").alias("b"), F.col("label").alias("label_b")).join(sig_b, "b")
-        near = centres.join(sig_a, "a").join(others, "key").filter(
+                   .filter(F.col("rank") > done).select("key", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("sig").alias("sig_a")))
+        others = open_keys.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("sig").alias("sig_b"))
+        near = centres.join(others, "key").filter(
             (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & (estimate("sig_a", "sig_b") >= least))
         more = materialize(confirm(near.select("a", "b").distinct(), sets, threshold), "links")
         labels = merge_labels(labels, more)
