@@ -60,7 +60,7 @@ def test_near_duplicates_awkward_tables(none, clashing, odd):
 
 def test_rounds_find_links_between_members_that_the_first_centre_lacks(spark, monkeypatch):
     """One key shared by all, links only along a chain: needs later centres."""
-    monkeypatch.setattr(minhash_dedup, "CENTRES", 2)
+    monkeypatch.setattr(minhash_dedup, "CENTRES", 1)
     words = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(words[i * 12:i * 12 + 130])) for i in range(20)] + [(100 + i, f"lone{i} " * 3 + "a b c d e f") for i in range(6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -89,6 +89,13 @@ def test_connected_components(spark):
     assert found == {**{i: 0 for i in range(1, 41)}, 150: 100, 200: 100, **{300 + k: 300 for k in range(1, 50)}}
 
 
+def test_merge_labels(spark):
+    labels = spark.createDataFrame([(2, 1), (3, 1), (5, 4), (8, 7)], "node long, label long")
+    links = spark.createDataFrame([(3, 5), (9, 8), (11, 10)], "a long, b long")
+    got = dict(components.merge_labels(labels, links).collect())
+    assert got == {2: 1, 3: 1, 4: 1, 5: 1, 8: 7, 9: 7, 11: 10}
+
+
 def expect_exact(docs):
     rows = docs.collect()
     groups = defaultdict(list)
@@ -149,6 +156,13 @@ def test_substring_dedup_matches_brute_force(odd, tables, none, clashing):
         assert got == expect_cut([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_substring_dedup_spreads_hot_minimizers(odd, tables, monkeypatch):
+    monkeypatch.setattr(bwt_dedup, "HOT", 1)
+    for docs in (odd, tables["documents"]):
+        got = rows_of(bwt_dedup.remove_repeats(docs).drop("kept"))
+        assert got == expect_cut([(r.doc_id, r.text) for r in docs.collect()])
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text("ab", min_size=60, max_size=84), min_size=1, max_size=12, unique=True))
 def test_collection_index_matches_sorting(tmp_path_factory, texts):
