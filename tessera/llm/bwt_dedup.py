@@ -26,8 +26,11 @@ and fragments of one minimizer go to one bucket.
 4. Each bucket builds its collection's transform and reports covered ranges.
 5. Ranges are united per document and cut from the texts.
 
-Bucket counts follow the input, so buckets stay of bounded size; a fragment
-value that many documents share is one entry of the collection.
+Bucket counts follow the input, so buckets stay of bounded size.  A fragment
+that many documents share is one entry of the collection.  Where a minimizer
+occurs more than ``HOT`` times (an edge of a line that very many documents
+hold has another fragment in each), its strings travel one by one, dealt by
+their own bytes, so no bucket gets them all.
 
 Defined results: a null text has no bytes; texts shorter than ``WIDTH`` lose
 nothing; a null doc_id is smaller than all others; rows that repeat a doc_id
@@ -41,6 +44,7 @@ import hashlib
 import os
 import tempfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pandas as pd
@@ -55,11 +59,13 @@ WIDTH = 50
 SEED = 16
 RUN = 35
 KEYS_PER_BUCKET = 1_000_000
-FRAGMENT_BYTES_PER_BUCKET = 8 << 20
+FRAGMENT_BYTES_PER_BUCKET = 2 << 20
+HOT = 20_000
 NULL_ID = -(1 << 63)
 
 _U = np.uint64
 _CODES = textnp.constants(256, 31)
+_STRING = textnp.constants(WIDTH, 33)
 _STEP = textnp.constants(4, 32) | _U(1)
 
 
@@ -119,6 +125,37 @@ def _binary_rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
                                        *[pa.array([r[k] for r in rows], pa.binary()) for k in range(1, len(names))]], names=names)
 
 
+def _squeeze(raw: bytes) -> bytes:
+    """Zstandard-compressed bytes after their length; shuffles take these."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _expand(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _column(rows: pd.DataFrame, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(map(_expand, rows[name])), kind)
+
+
+def _pack(columns: list[np.ndarray], at: np.ndarray) -> tuple:
+    return tuple(_squeeze(c[at].tobytes()) for c in columns)
+
+
+def squeezed(texts: DataFrame) -> DataFrame:
+    """doc_id, id, row_key, packed (the compressed text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = textnp.column_bytes(batch.column(3))
+            packed = pa.array([_squeeze(data[a:b].tobytes()) for a, b in zip(off[:-1], off[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], packed], names=["doc_id", "id", "row_key", "packed"])
+    return texts.select("doc_id", "id", "row_key", "text").mapInArrow(run, "doc_id long, id long, row_key long, packed binary")
+
+
+def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return textnp.column_bytes(pa.array([_expand(x) for x in column.to_pylist()], pa.binary()))
+
+
 def _longs(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -139,23 +176,27 @@ def packed_minimizers(texts: DataFrame, n_buckets: int) -> DataFrame:
             start = np.concatenate([p[1] for _, p in parts]).astype(np.int32)
             value = np.concatenate([p[3] for _, p in parts])
             mark = value.astype(np.uint32)
-            yield _binary_rows([(b, mark[at].tobytes(), ids[row[at]].tobytes(), keys[row[at]].tobytes(), start[at].tobytes())
-                                for b, at in _by_bucket(value, n_buckets)], names)
+            columns = [mark, ids[row], keys[row], start]
+            yield _binary_rows([(b, *_pack(columns, at)) for b, at in _by_bucket(value, n_buckets)], names)
     return texts.select("id", "row_key", "text").mapInArrow(
         run, "bucket int, marks binary, ids binary, row_keys binary, starts binary")
 
 
 def shared_starts(packed: DataFrame) -> DataFrame:
     """id, row_key, starts: fragments whose minimizer occurs in two documents
-    or more."""
+    or more; -1 - start for minimizers that occur more than ``HOT`` times."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        mark, doc, key, start = (np.frombuffer(b"".join(rows[c]), kind) for c, kind in (
+        mark, doc, key, start = (_column(rows, c, kind) for c, kind in (
             ("marks", np.uint32), ("ids", np.int64), ("row_keys", np.int64), ("starts", np.int32)))
         order = np.argsort(mark, kind="stable")
         ranked = mark[order]
         heads = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+        count = np.diff(np.append(heads, len(order)))
         many = np.minimum.reduceat(doc[order], heads) != np.maximum.reduceat(doc[order], heads)
-        keep = np.sort(order[np.repeat(many, np.diff(np.append(heads, len(order))))])
+        start = start.copy()
+        hot = order[np.repeat(many & (count > HOT), count)]
+        start[hot] = -1 - start[hot]  # to be spread by string instead of by minimizer
+        keep = np.sort(order[np.repeat(many, count)])
         parts = _runs_of(doc[keep], key[keep])
         return pd.DataFrame({"id": [int(doc[keep[a]]) for a, _ in parts], "row_key": [int(key[keep[a]]) for a, _ in parts],
                              "starts": [start[keep[a:b]].tobytes() for a, b in parts]})
@@ -175,54 +216,73 @@ def _runs_of(*columns: np.ndarray) -> list[tuple[int, int]]:
 
 
 def packed_fragments(texts: DataFrame, n_buckets: int) -> DataFrame:
-    """bucket, ids, row_keys, starts, lengths, bytes of the fragments to
-    compare.  ``texts`` has id, row_key, text and parts (packed starts)."""
-    names = ["bucket", "ids", "row_keys", "starts", "lengths", "bytes"]
+    """bucket, marks, ids, row_keys, starts, lengths, bytes of the fragments to
+    compare.  ``texts`` has id, row_key, packed and parts (packed starts)."""
+    names = ["bucket", "marks", "ids", "row_keys", "starts", "lengths", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = _longs(batch.column(0)), _longs(batch.column(1))
             wanted = [np.frombuffer(b"".join(p), np.int32) for p in batch.column(3).to_pylist()]
-            data, off = textnp.column_bytes(batch.column(2))
+            data, off = _texts(batch.column(2))
+            parts = []
             for a, b, d, o in textnp.chunks(data, off):
                 row, start, length, value = minimizers(d, o)
                 bounds = np.searchsorted(row, np.arange(b - a + 1))
-                take = np.concatenate([lo + np.searchsorted(start[lo:hi], w) for lo, hi, w in
-                                       zip(bounds[:-1], bounds[1:], wanted[a:b])]).astype(np.int64)
-                row, start, length, value = row[take], start[take], length[take] + WIDTH - 1, value[take]
-                out = []
-                for bucket, at in _by_bucket(value, n_buckets):
-                    size = length[at]
-                    flat = np.arange(size.sum()) + np.repeat(o[row[at]] + start[at] - (np.cumsum(size) - size), size)
-                    out.append((bucket, ids[a + row[at]].tobytes(), keys[a + row[at]].tobytes(),
-                                start[at].astype(np.int32).tobytes(), size.astype(np.uint8).tobytes(), d[flat].tobytes()))
-                yield _binary_rows(out, names)
-    return texts.select("id", "row_key", "text", "parts").mapInArrow(
-        run, "bucket int, ids binary, row_keys binary, starts binary, lengths binary, bytes binary")
+                places = [(lo + np.searchsorted(start[lo:hi], np.where(w < 0, -1 - w, w)), w < 0) for lo, hi, w in
+                          zip(bounds[:-1], bounds[1:], wanted[a:b])]
+                take = np.concatenate([p for p, _ in places]).astype(np.int64)
+                hot = np.concatenate([h for _, h in places])
+                row, start, length, value = row[take], start[take], length[take], value[take]
+                if hot.any():  # each string of these on its own, dealt by its own bytes
+                    many = np.where(hot, length, 1)
+                    within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                    row, hot, length, value = (np.repeat(c, many) for c in (row, hot, length, value))
+                    start = np.repeat(start, many) + np.where(hot, within, 0)
+                    length[hot] = 1
+                    strings = d[(o[row[hot]] + start[hot])[:, None] + np.arange(WIDTH)]
+                    value[hot] = textnp.mix64((strings * _STRING).sum(axis=1, dtype=np.uint64))
+                parts.append((a + row, off[a] + o[row] + start, start.astype(np.int32), length + WIDTH - 1, value))
+            row, begin, start, size, value = (np.concatenate(c) for c in zip(*parts))
+            columns = [value.astype(np.uint32), ids[row], keys[row], start, size.astype(np.uint8)]
+            out = []
+            for bucket, at in _by_bucket(value, n_buckets):
+                flat = np.arange(size[at].sum()) + np.repeat(begin[at] - (np.cumsum(size[at]) - size[at]), size[at])
+                out.append((bucket, *_pack(columns, at), _squeeze(data[flat].tobytes())))
+            yield _binary_rows(out, names)
+    return texts.select("id", "row_key", "packed", "parts").mapInArrow(
+        run, "bucket int, marks binary, ids binary, row_keys binary, starts binary, lengths binary, bytes binary")
 
 
 class Columns:
     """A round's columns of the index, in files of the task's own folder: each
-    round reads its predecessor's from front to back and writes its own."""
-
-    KINDS = (("symbols", np.uint8), ("places", np.int32), ("lengths", np.uint8), ("common", np.uint8))
+    round reads its predecessor's from front to back and writes its own.  The
+    files stay open and are overwritten in place (columns only grow)."""
 
-    def __init__(self, folder: str):
-        self.folder, self.turn = folder, 0
+    KINDS = (("symbols", np.uint8), ("places", np.int32), ("offsets", np.uint8), ("common", np.uint8))
 
-    def _path(self, name: str) -> str:
-        return os.path.join(self.folder, f"{name}.{self.turn % 2}")
+    def __init__(self, folder: str, stack: ExitStack):
+        self.files = [[stack.enter_context(open(os.path.join(folder, f"{name}.{k}"), "w+b")) for k in (0, 1)]
+                      for name, _ in self.KINDS]
+        self.turn, self.length = 0, 0
 
     def write(self, *columns: tuple[np.ndarray, np.ndarray]) -> None:
         """Each column as two parts, one after the other."""
-        self.turn += 1
-        for (name, kind), parts in zip(self.KINDS, columns):
-            with open(self._path(name), "wb") as out:
-                for part in parts:
-                    part.astype(kind, copy=False).tofile(out)
+        self.turn ^= 1
+        self.length = sum(map(len, columns[0]))
+        for pair, (_, kind), parts in zip(self.files, self.KINDS, columns):
+            pair[self.turn].seek(0)
+            for part in parts:
+                pair[self.turn].write(part.astype(kind, copy=False).data)
 
     def read(self) -> list[np.ndarray]:
-        return [np.fromfile(self._path(name), kind) for name, kind in self.KINDS]
+        out = []
+        for pair, (_, kind) in zip(self.files, self.KINDS):
+            pair[self.turn].seek(0)
+            column = np.empty(self.length, kind)
+            pair[self.turn].readinto(column.data)
+            out.append(column)
+        return out
 
 
 def _least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -241,99 +301,116 @@ def _least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         k += 1
 
 
-def collection_index(text: np.ndarray, ends: np.ndarray, rounds: int, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, lengths, common): the collection's suffixes in order, as places
-    in ``text``, their lengths, and each one's common prefix with the one
-    before, at most WIDTH.
+def collection_index(text: np.ndarray, ends: np.ndarray, sizes: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray]:
+    """(places, common): the collection's suffixes in order, as places in
+    ``text``, and each one's common prefix with the one before, at most WIDTH.
 
     ``text`` has no symbol 0 but one before each of its texts; ``ends`` is one
-    past each text's last symbol.  In each round every text that has one left
-    gets one symbol.  Sorting the transform's symbols, stably, gives the order
-    of the suffixes that they start (the place of a suffix cX is the rank of
-    its c).  Old neighbours keep their common prefix; a new suffix and its
-    successor get 1 + the least between the two suffixes that they extend."""
-    m = len(ends)
-    zeros = np.zeros(m, np.uint8)
-    last = text[ends - 1]
-    columns = Columns(folder)
-    none = zeros[:0]
-    columns.write((last, none), (ends, none), (zeros, none), (zeros, none))  # the empty suffixes
-    for turn in range(1, rounds + 1):
-        symbols, places, lengths, common = columns.read()
-        live = np.flatnonzero(symbols)
-        order = np.argsort(symbols[live], kind="stable")
-        source = live[order]
-        place, length = places[source] - 1, lengths[source] + np.uint8(1)
-        symbol = symbols[source]
-        new = length == turn
-        out = np.zeros(len(source), np.uint8)
-        out[~new] = common[m:]
-        again = new.copy()
-        again[1:] |= new[:-1]
-        heads = np.append(True, symbol[1:] != symbol[:-1])
-        out[again & heads] = 0
-        rest = np.flatnonzero(again & ~heads)
-        out[rest] = np.minimum(_least(common, source[rest - 1] + 1, source[rest] + 1) + np.uint8(1), WIDTH)
-        columns.write((last, text[place - 1]), (ends, place), (zeros, length), (zeros, out))
-    _, places, lengths, common = columns.read()
-    return places[m:], lengths[m:], common[m:]
+    past each text's last symbol, ``sizes`` (descending) their lengths.  In
+    each round every text gets one symbol; shorter texts begin later, so that
+    all end together.  Sorting the transform's symbols, stably, gives the
+    order of the suffixes that they start (the place of a suffix cX is the
+    rank of its c).  Old neighbours keep their common prefix; a new suffix and
+    its successor get 1 + the least between the two suffixes that they
+    extend."""
+    rounds = int(sizes[0])
+    begun = np.searchsorted(-sizes, -np.arange(rounds, 0, -1), side="right")  # texts that have begun, by round
+    last, ends, sizes = text[ends - 1], ends.astype(np.int32), sizes.astype(np.uint8)
+    zeros = np.zeros(len(ends), np.uint8)
+    symbols, places, offsets, common = zeros[:0], ends[:0], zeros[:0], zeros[:0]
+    with ExitStack() as stack:
+        columns = Columns(folder, stack)
+        for turn, m in enumerate(begun.tolist(), start=1):
+            # the empty suffixes of the texts that have begun come first
+            columns.write((last[:m], symbols), (ends[:m], places), (sizes[:m], offsets), (zeros[:m], common))
+            symbols, places, offsets, common = columns.read()
+            counts = np.bincount(symbols, minlength=256)
+            source = np.argsort(symbols, kind="stable")[counts[0]:]
+            places, offsets = places.take(source), offsets.take(source)
+            places -= 1
+            offsets -= np.uint8(1)
+            added = np.flatnonzero(offsets == rounds - turn)
+            found = np.empty(len(source), np.uint8)
+            kept = np.ones(len(source), bool)
+            kept[added] = False
+            found[kept] = common[m:]
+            # a new suffix and its successor, unless they are the first of their symbol
+            heads = np.zeros(len(source) + 1, bool)
+            heads[np.cumsum(counts[1:])] = True
+            heads[0] = True
+            again = np.zeros(len(source) + 1, bool)
+            again[added] = again[added + 1] = True
+            found[(again & heads)[:-1]] = 0
+            rest = np.flatnonzero((again & ~heads)[:-1])
+            found[rest] = np.minimum(_least(common, source[rest - 1] + 1, source[rest] + 1) + np.uint8(1), WIDTH)
+            symbols, common = text.take(places - 1), found
+    return places, common
 
 
 def least_owners(pieces: list[bytes], owners: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray]:
     """For distinct pieces and each one's least document: (first, least),
     where ``least[first[i] + w]`` is the least document that holds the
     WIDTH-byte string at ``w`` of piece i."""
-    size = np.array([len(p) for p in pieces])
-    joined = np.frombuffer(b"\xff".join([b"", *pieces]), np.uint8)
+    order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
+    sizes = np.array([len(pieces[i]) for i in order])
+    joined = np.frombuffer(b"\xff".join([b"", *[pieces[i] for i in order]]), np.uint8)
     # UTF-8 has no byte FF: it marks the bounds (0 there), and stands for byte 0
     text = joined.copy()
     text[joined == 0] = 0xFF
-    bounds = np.append(0, np.cumsum(size[:-1] + 1))
+    bounds = np.append(0, np.cumsum(sizes[:-1] + 1))
     text[bounds] = 0
-    ends = bounds + 1 + size
-    places, lengths, common = collection_index(text, ends, int(size.max()), folder)
-    whole = lengths >= WIDTH
-    # shorter suffixes share less than WIDTH with any other, so runs stay runs without them
+    ends = bounds + 1 + sizes
+    places, common = collection_index(text, ends, sizes, folder)
+    piece = np.repeat(np.arange(len(pieces)), sizes + 1)
+    # suffixes shorter than WIDTH share less with any other, so runs stay runs without them
+    whole = places <= ends[piece[places]] - WIDTH
     places, common = places[whole], common[whole]
     heads = np.flatnonzero(np.append(True, common[1:] < WIDTH))
-    piece = np.repeat(np.arange(len(pieces)), size + 1)
-    best = np.minimum.reduceat(owners[piece[places]], heads)
+    best = np.minimum.reduceat(owners[np.array(order)][piece[places]], heads)
     least = np.empty(len(text), np.int64)
     least[places] = np.repeat(best, np.diff(np.append(heads, len(places))))
-    return bounds + 1, least
+    first = np.empty(len(pieces), np.int64)
+    first[order] = bounds + 1
+    return first, least
 
 
 def covered_ranges(packed: DataFrame) -> DataFrame:
     """id, row_key, ranges: packed (start, end) byte ranges to remove."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        doc, key, start, size = (np.frombuffer(b"".join(rows[c]), kind) for c, kind in (
-            ("ids", np.int64), ("row_keys", np.int64), ("starts", np.int32), ("lengths", np.uint8)))
-        raw = b"".join(rows["bytes"])
+        mark, doc, key, start, size = (_column(rows, c, kind) for c, kind in (
+            ("marks", np.uint32), ("ids", np.int64), ("row_keys", np.int64), ("starts", np.int32), ("lengths", np.uint8)))
+        raw = b"".join(map(_expand, rows["bytes"]))
         cut = np.append(0, np.cumsum(size.astype(np.int64))).tolist()
         number: dict[bytes, int] = {}
         piece = np.array([number.setdefault(raw[a:b], len(number)) for a, b in zip(cut[:-1], cut[1:])], np.int64)
         pieces = list(number)
         owners = np.full(len(pieces), np.iinfo(np.int64).max)
         np.minimum.at(owners, piece, doc)
-        with tempfile.TemporaryDirectory() as folder:
-            first, least = least_owners(pieces, owners, folder)
         found: dict[tuple[int, int], list[int]] = {}
         later = doc > owners[piece]  # an earlier document has the whole fragment
         for i in np.flatnonzero(later).tolist():
             found.setdefault((int(doc[i]), int(key[i])), []).extend((int(start[i]), int(start[i]) + int(size[i])))
-        # the fragments of a least owner: its strings may start earlier in another fragment
-        windows = size.astype(np.int64) - WIDTH + 1
-        own = np.flatnonzero(~later)
-        count = windows[own]
-        at = np.repeat(first[piece[own]] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        gone = np.append(least[at] < np.repeat(doc[own], count), False)
-        bounds = np.append(0, np.cumsum(count))
-        hit = np.flatnonzero(np.add.reduceat(gone, bounds[:-1])) if len(own) else own
-        for k in hit.tolist():
-            i, flags = own[k], np.append(np.append(False, gone[bounds[k]:bounds[k + 1]]), False).astype(np.int8)
-            change = np.diff(flags)
-            for a, b in zip(np.flatnonzero(change == 1).tolist(), np.flatnonzero(change == -1).tolist()):
-                found.setdefault((int(doc[i]), int(key[i])), []).extend((int(start[i]) + a, int(start[i]) + b + WIDTH - 1))
+        # a least owner's strings may start earlier in another fragment of the same minimizer
+        mark_of = np.empty(len(pieces), np.uint32)
+        mark_of[piece] = mark
+        _, group, members = np.unique(mark_of, return_inverse=True, return_counts=True)
+        several = members[group] > 1
+        own = np.flatnonzero(~later & several[piece])
+        if len(own):
+            chosen = np.flatnonzero(several)
+            first = np.zeros(len(pieces), np.int64)
+            with tempfile.TemporaryDirectory() as folder:
+                first[chosen], least = least_owners([pieces[i] for i in chosen.tolist()], owners[chosen], folder)
+            count = size[own].astype(np.int64) - WIDTH + 1
+            bounds = np.append(0, np.cumsum(count))
+            at = np.repeat(first[piece[own]] - bounds[:-1], count) + np.arange(bounds[-1])
+            gone = least[at] < np.repeat(doc[own], count)
+            for k in np.flatnonzero(np.add.reduceat(gone, bounds[:-1])).tolist():
+                i, flags = own[k], np.zeros(int(count[k]) + 2, np.int8)
+                flags[1:-1] = gone[bounds[k]:bounds[k + 1]]
+                change = np.diff(flags)
+                for a, b in zip(np.flatnonzero(change == 1).tolist(), np.flatnonzero(change == -1).tolist()):
+                    found.setdefault((int(doc[i]), int(key[i])), []).extend((int(start[i]) + a, int(start[i]) + b + WIDTH - 1))
         return pd.DataFrame({"id": [k[0] for k in found], "row_key": [k[1] for k in found],
                              "ranges": [np.array(v, np.int32).tobytes() for v in found.values()]})
     return packed.groupBy("bucket").applyInPandas(run, "id long, row_key long, ranges binary")
@@ -341,10 +418,10 @@ def covered_ranges(packed: DataFrame) -> DataFrame:
 
 def cut_ranges(texts: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of rows with
-    doc_id, text, copy (an earlier document has the whole text) and parts."""
+    doc_id, packed, copy (an earlier document has the whole text) and parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, off = textnp.column_bytes(batch.column(1))
+            data, off = _texts(batch.column(1))
             out: list[tuple] = []
             for copy, parts, a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), off[:-1], off[1:]):
                 raw, n = data[a:b], int(b - a)
@@ -379,14 +456,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packed = packed_minimizers(texts, blocks_for(size // 18, KEYS_PER_BUCKET))
-    shared = materialize(shared_starts(packed), "shared").join(copies, ["id", "row_key"], "left_anti")
+    shared = shared_starts(packed).join(copies, ["id", "row_key"], "left_anti")
     shared = materialize(shared.groupBy("id", "row_key").agg(F.array_sort(F.collect_set("starts")).alias("parts"),
                                                              F.sum(F.octet_length("starts") / 4).alias("n")), "shared")
     total = int(shared.agg(F.sum("n")).first()[0] or 0)
-    chosen = texts.select("id", "row_key", "text").join(shared.select("id", "row_key", "parts"), ["id", "row_key"])
+    small = squeezed(texts)
+    chosen = small.select("id", "row_key", "packed").join(shared.select("id", "row_key", "parts"), ["id", "row_key"])
     fragments = packed_fragments(chosen, blocks_for(total * (WIDTH + RUN // 2), FRAGMENT_BYTES_PER_BUCKET))
     ranges = materialize(covered_ranges(fragments), "ranges")
     cuts = ranges.groupBy("id", "row_key").agg(F.collect_list("ranges").alias("parts"), F.lit(False).alias("copy"))
     whole = copies.select("id", "row_key", F.array().cast("array<binary>").alias("parts"), F.lit(True).alias("copy"))
-    joined = texts.join(cuts.unionByName(whole), ["id", "row_key"], "left")
-    return cut_ranges(joined.select("doc_id", "text", "copy", "parts"))
+    joined = small.join(cuts.unionByName(whole), ["id", "row_key"], "left")
+    return cut_ranges(joined.select("doc_id", "packed", "copy", "parts"))
