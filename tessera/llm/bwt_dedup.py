@@ -59,7 +59,7 @@ WIDTH = 50
 SEED = 16
 RUN = 35
 KEYS_PER_BUCKET = 1_000_000
-FRAGMENT_BYTES_PER_BUCKET = 2 << 20
+FRAGMENT_BYTES_PER_BUCKET = 1 << 20
 HOT = 20_000
 NULL_ID = -(1 << 63)
 
