@@ -3,15 +3,17 @@
 Texts are cut into units that tile them; a unit's words are normalised and
 hashed, the digests are grouped over the whole corpus, the occurrence that
 ranks first (smallest doc_id, then smallest offset) stays, and every other
-one is removed, with its original offsets kept.
+one is removed, with its original offsets kept.  Unit ``all`` hashes
+sentences, lines and paragraphs and removes the union of their spans, which
+nest; of nested spans the outermost is listed.
 
 The first occurrences come from a two-level aggregation (``min`` of the rank
 combines before the shuffle), so a line that a third of all documents share
 is one row per task; they are joined back with a join whose skewed
 partitions AQE splits.
 
-Defined results: a null text is empty and has no units; units of fewer than
-``min_words`` words always stay; a null doc_id ranks first; rows that repeat
+Defined results: a null text is empty and has no units; units without words
+always stay; a null doc_id ranks first; rows that repeat
 a doc_id are copies of one document, so an occurrence at the first one's
 doc_id and offset stays in each of them; an empty table gives no rows.  Only
 ``doc_id`` and ``text`` are read, so other columns can't clash.
@@ -36,7 +38,7 @@ CUTS = {
     "sentence": re.compile(r"(?<=\n)|(?<=[.!?])(?=[\x20\x09])"),
 }
 _NOT_WORD = re.compile(r"[\W_]+")
-MIN_WORDS = 8
+MIN_WORDS = 1
 
 
 def units_of(text: str, unit: str) -> Iterator[tuple[int, int, str]]:
@@ -48,15 +50,51 @@ def units_of(text: str, unit: str) -> Iterator[tuple[int, int, str]]:
             at += len(piece)
 
 
-def hashed_units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+def nested_units(text: str) -> Iterator[tuple[int, int, str]]:
+    """The sentences, lines and paragraphs of a text, as ``units_of`` gives
+    them.  A line is left out where only one of its sentences has words, a
+    paragraph where only one of its lines has: that unit stands for it."""
+    line_at = paragraph_at = end = 0
+    line: list[str] = []
+    paragraph: list[str] = []
+
+    def close_line() -> Iterator[tuple[int, int, str]]:
+        if line:
+            words = " ".join(line)
+            if len(line) > 1:
+                yield line_at, end, words
+            paragraph.append(words)
+            line.clear()
+
+    def close_paragraph() -> Iterator[tuple[int, int, str]]:
+        if len(paragraph) > 1:
+            yield paragraph_at, end, " ".join(paragraph)
+        paragraph.clear()
+
+    for start, stop, words in units_of(text, "sentence"):
+        if start and text[start - 1] == "\n":
+            yield from close_line()
+            line_at = start
+            if text[start] != "\n" and text[start - 2:start] == "\n\n":
+                yield from close_paragraph()
+                paragraph_at = start
+        if words:
+            line.append(words)
+            yield start, stop, words
+        end = stop
+    yield from close_line()
+    yield from close_paragraph()
+
+
+def hashed_units(docs: DataFrame, unit: str = "all", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per unit of ``min_words`` words or more: doc_id, start, end
     (code points), digest (128 bits of the normalised words)."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: tuple[list, list, list, list] = ([], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for start, end, words in units_of(text or "", unit):
-                    if words.count(" ") + 1 >= min_words:
+                for start, end, words in nested_units(text or "") if unit == "all" else units_of(text or "", unit):
+                    if words and words.count(" ") + 1 >= min_words:
                         digest = hashlib.blake2b(words.encode("utf-8", "surrogatepass"), digest_size=16).digest()
                         for column, value in zip(rows, (doc_id, start, end, digest)):
                             column.append(value)
@@ -88,7 +126,11 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
             for doc_id, text, starts, ends, keeps in zip(*[c.to_pylist() for c in batch.columns]):
                 text = text or ""
                 kept, at, runs, last = [], 0, 0, -1
-                for start, end in zip(starts or (), ends or ()):
+                outer: list[tuple[int, int, int]] = []
+                for start, end, keep in sorted(zip(starts or (), ends or (), keeps or ()), key=lambda s: (s[0], -s[1])):
+                    if not outer or end > outer[-1][1]:  # spans nest or are apart
+                        outer.append((start, end, keep))
+                for start, end, _ in outer:
                     kept.append(text[at:start])
                     runs += start != last
                     at = last = end
@@ -96,7 +138,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
                 raw, whole = kept.encode(), len(text.encode())
                 out.append({"doc_id": doc_id, "kept_text": kept, "n_bytes": whole, "n_removed": whole - len(raw),
                             "n_spans": runs, "kept_sha256": hashlib.sha256(raw).hexdigest(),
-                            "spans": ",".join(f"{s}:{e}:{k}" for s, e, k in zip(starts or (), ends or (), keeps or ()))})
+                            "spans": ",".join(f"{s}:{e}:{k}" for s, e, k in outer)})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
     schema = pa.schema([("doc_id", pa.int64()), ("kept_text", pa.string()), ("n_bytes", pa.int64()),
                         ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
@@ -108,7 +150,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
                                   "kept_sha256 string, spans string")
 
 
-def dedup_units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_units(docs: DataFrame, unit: str = "all", min_words: int = MIN_WORDS) -> DataFrame:
     """Remove every unit that an earlier document, or an earlier place of the
     same one, holds: see ``remove_spans`` for the columns."""
     return remove_spans(docs, repeated_units(materialize(hashed_units(docs, unit, min_words), "units")))

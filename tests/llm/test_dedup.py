@@ -205,3 +205,20 @@ def test_unit_dedup_matches_brute_force(odd, tables, none, clashing):
 def test_repeated_passage_goes_from_the_later_document(odd):
     rows = {r.doc_id: r for r in line_dedup.dedup_units(odd).collect() if r.doc_id in (10, 11)}
     assert rows[10].n_removed == 0 and rows[11].n_removed > 300 and rows[11].spans.endswith(":10")
+
+
+def test_short_sentences_lines_and_paragraphs_go_as_a_whole(spark):
+    poem = "Red sky. Calm sea.\nNo wind.\n\n"
+    rows = [(1, poem + "Alpha one."), (2, "Beta two.\n\n" + poem + "Red sky. Gamma three."), (3, "\u6625\u7720\u4e0d\u89c9\u6653\n***\n"),
+            (4, "\u6625\u7720\u4e0d\u89c9\u6653\n***\n"), (5, "x. Mr. A went.\ny"), (6, "mr a. went\nz")]
+    got = {r.doc_id: r for r in line_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.kept_text for i, r in got.items()} == {**dict(rows), 2: "Beta two.\n\n Gamma three.", 4: "***\n"}
+    assert got[2].spans == "11:40:1,40:48:1" and got[2].n_spans == 1
+
+
+def test_nested_units_agree_with_each_cut(odd):
+    for text in [r.text for r in odd.collect() if r.text] + ["a b. c\n\n\nd e. f\ng\n", "\n\na. b", "x\n\n"]:
+        nested = set(line_dedup.nested_units(text))
+        plain = {unit: [u for u in line_dedup.units_of(text, unit) if u[2]] for unit in line_dedup.CUTS}
+        assert set(plain["sentence"]) <= nested and {u[2] for unit in plain.values() for u in unit} == {u[2] for u in nested}
+        assert {(a, b) for a, b, _ in nested} <= {u[:2] for unit in plain for u in line_dedup.units_of(text, unit)}
