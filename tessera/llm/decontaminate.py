@@ -8,8 +8,10 @@ documents.  The windows that match are lined up by their distance in the
 item and in the document; along each line the placeholders' values must map
 consistently (one value of the item always to the same value of the
 document), so a re-parameterised question counts and a chance agreement of
-placeholders doesn't.  A document holds an item when consistent lines cover
-``COVERAGE`` of the item's words, or ``LONG_RUN`` of them.
+placeholders doesn't.  Of a line that is not consistent, the windows whose
+words all keep their own value (verbatim) still count.  A document holds an
+item when consistent lines cover ``COVERAGE`` of the item's words, or they
+and verbatim windows more than that share, or ``LONG_RUN`` words.
 
 The benchmark is the build side.  It is read in blocks of at most
 ``BLOCK_WINDOWS`` windows (a checked size bound), each broadcast to the
@@ -155,6 +157,7 @@ def matches(index: Index, data: np.ndarray, off: np.ndarray) -> dict[int, list[t
         for q, p, n in found:
             lines[int(index.owner[q]), p - q].append((q, n))
         covered: dict[int, set] = defaultdict(set)
+        verbatim: dict[int, set] = defaultdict(set)  # of lines that are not consistent
         changed: dict[int, bool] = defaultdict(bool)
         for (item, shift), spans in lines.items():
             words = {q + k for q, n in spans for k in range(n)}
@@ -163,10 +166,15 @@ def matches(index: Index, data: np.ndarray, off: np.ndarray) -> dict[int, list[t
             if len(mapped) == len({m[:2] for m in mapped}):  # one value, one value
                 covered[item] |= words
                 changed[item] |= any(a != b for _, a, b in mapped)
+            else:
+                moved = {w for w in slots if index.values[w] != t.values[w + shift]}
+                verbatim[item] |= {w for q, n in spans if moved.isdisjoint(range(q, q + n)) for w in range(q, q + n)}
         held = []
-        for item, words in covered.items():
+        for item in covered.keys() | verbatim.keys():
             length = int(index.first[item + 1] - index.first[item])
-            if len(words) >= min(LONG_RUN, COVERAGE * length):
+            words = covered[item] | verbatim[item]
+            if (len(covered[item]) >= min(LONG_RUN, COVERAGE * length) or len(words) >= LONG_RUN
+                    or len(words) > COVERAGE * length):
                 held.append((int(index.ids[item]), len(words), changed[item]))
         if held:
             out[row] = sorted(held)

@@ -226,6 +226,17 @@ def test_decontaminate_finds_items_and_templates(spark):
                    (8, (6,), False, False), (9, (), True, False)}
 
 
+def test_decontaminate_keeps_verbatim_windows_of_a_conflicting_line(spark):
+    item = f"{prose(60, 25)} 120 {prose(61, 25)} and 120 {prose(62, 4)}"
+    rows = [(1, f"{prose(1, 20)} {item.replace('and 120', 'and 75')} {prose(2, 20)}"),
+            (2, " ".join(item.replace("and 120", "and 75").split()[-14:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: (r.kept, r.n_words) for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == {1: (False, 52), 2: (True, 0)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [2]
+
+
 def test_decontaminate_against_plain_windows(tables, odd, none, clashing, monkeypatch):
     docs, bench = tables["documents"], tables["benchmark"]
     grams = defaultdict(set)
