@@ -4,10 +4,11 @@ A document's score is linear in shape features of its text (shares of
 character classes, word lengths, repetition).  The weights are learnt from
 preference pairs (a document labelled 1 beats one labelled 0): logistic loss
 on the difference of their features, by Newton steps with a small ridge.
-The threshold is the score quantile at the share of labels 0, and scores are
-mapped to 0..1 so that the threshold lies at ``THRESHOLD``.
+The threshold is the score quantile at the share of labels 0, over all agreed
+labelled documents outside the held-out fold (exact, from histograms), and
+scores are mapped to 0..1 so that the threshold lies at ``THRESHOLD``.
 
-Learning uses at most ``MAX_LABELLED`` labelled rows of each class, those
+The weights are learnt from at most ``MAX_LABELLED`` labelled rows of each class, those
 lowest by a hash of doc_id (a documented bound: only their feature vectors
 reach the driver); every document is scored over its whole text.
 
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textnp
+from tessera.llm.common import materialize
 
 MAX_LABELLED = 10_000
 PAIRS_PER_ROW = 8
@@ -84,12 +86,17 @@ def features(column: pa.Array) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros((0, N_FEATURES))
 
 
+def _agreed(labels: DataFrame) -> DataFrame:
+    """label_id, label of the documents with one label, without the held-out."""
+    return (labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id")
+            .agg(F.min("quality").alias("label"), F.max("quality").alias("most")).filter("label = most")
+            .filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != HELD_OUT)
+            .select(F.col("doc_id").alias("label_id"), "label"))
+
+
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """label, features of the training rows: (label int, n_rows long, f array)."""
-    agreed = (labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id")
-              .agg(F.min("quality").alias("label"), F.max("quality").alias("most")).filter("label = most")
-              .filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != HELD_OUT)
-              .select(F.col("doc_id").alias("label_id"), "label"))
+    agreed = _agreed(labels)
     picked = [agreed.filter(F.col("label") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_LABELLED) for k in (0, 1)]
     texts = docs.select("doc_id", "text")
     rows = texts.join(picked[0].unionByName(picked[1]), F.col("doc_id") == F.col("label_id")).select("doc_id", "label", "text")
@@ -102,6 +109,35 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.mapInArrow(extract, "doc_id long, label int, f array<double>").dropDuplicates(["doc_id"])
 
 
+def _ordered(bits: np.ndarray) -> np.ndarray:
+    """Doubles' bits as longs of the same order, and back."""
+    return np.where(bits < 0, bits ^ np.int64((1 << 63) - 1), bits)
+
+
+def _threshold(docs: DataFrame, labels: DataFrame, weights: np.ndarray) -> float:
+    """The value of f . weights with as many labelled documents below it as
+    there are labels 0: between the two scores on either side."""
+    @F.arrow_udf("long")
+    def key(column: pa.Array) -> pa.Array:
+        return pa.array(_ordered((features(column) @ weights + 0.0).view(np.int64)))
+    keys = docs.select("doc_id", key(F.col("text")).alias("key"))
+    rows = materialize(keys.join(_agreed(labels), F.col("doc_id") == F.col("label_id")).select("label", "key"), "labelled_scores")
+    below = rows.filter("label = 0").count()
+    prefix = None
+    for shift in (48, 32, 16, 0):  # 65,536 bins each; the last ones are single scores
+        inside = rows if prefix is None else rows.filter(F.shiftright("key", shift + 16) == prefix)
+        bins = sorted(inside.groupBy(F.shiftright("key", shift).alias("bin")).count().collect())
+        for prefix, n in bins:  # noqa: B007
+            if below <= n:
+                break
+            below -= n
+    lower = upper = prefix
+    if below == n:  # no further score equals the lower one
+        upper = rows.filter(F.col("key") > lower).agg(F.min("key")).first()[0]
+    ends = _ordered(np.array([lower, lower if upper is None else upper], np.int64)).view(np.float64)
+    return float(ends.mean())
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
     """(weights, offset) so that sigmoid(f . weights + offset) is the score."""
     rows = sorted((r.doc_id, r.label, r.f) for r in _labelled(docs, labels).collect())  # bounded: 2 * MAX_LABELLED rows
@@ -126,17 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
         w += step
         if np.abs(step).max() < 1e-8:
             break
-    # the threshold: the quantile of scores at the share of labels 0
-    scores = x @ w
-    counts = labels.filter("quality in (0, 1)").groupBy("quality").count().collect()
-    share = {r["quality"]: r["count"] for r in counts}
-    weight = np.where(label == 1, share[1] / len(good), share[0] / len(bad))
-    order = np.argsort(scores, kind="stable")
-    reached = np.cumsum(weight[order])
-    at = min(int(np.searchsorted(reached, share[0] * (1 + 1e-9))), len(order) - 1)
-    cut = (scores[order[max(at - 1, 0)]] + scores[order[at]]) / 2
     weights = w / scale
-    return weights, float(np.log(THRESHOLD / (1 - THRESHOLD)) - cut - mean @ weights)
+    return weights, float(np.log(THRESHOLD / (1 - THRESHOLD)) - _threshold(docs, labels, weights))
 
 
 def score(text: Column, model: tuple[np.ndarray, float] | None) -> Column:

@@ -199,6 +199,18 @@ def test_quality_ignores_held_out_labels(tables, spark):
     assert np.allclose(one[0], two[0])
 
 
+def test_quality_threshold_is_that_of_all_labels_but_the_held_out(tables, monkeypatch):
+    docs, labels = tables["documents"], tables["labels"]
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    wrong = labels.withColumn("quality", F.when(held, F.lit(0)).otherwise(F.col("quality")))
+    monkeypatch.setattr(quality, "MAX_LABELLED", 12)
+    one, two = quality.fit(docs, labels), quality.fit(docs, wrong)
+    assert np.array_equal(one[0], two[0]) and one[1] == two[1]
+    agreed = labels.filter(~held).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("z")).filter("q = z")
+    rows = quality.rank(docs, labels).join(agreed, "doc_id").collect()
+    assert len(rows) > 24 and sum(r.predicted == 0 for r in rows) == sum(r.q == 0 for r in rows)
+
+
 def test_quality_awkward_tables(odd, none, clashing, tables, spark):
     labels = spark.createDataFrame([(1, 1, 0), (3, 1, 0), (16, 0, 1), (-5, 0, 0), (None, 1, 1), (7, None, None), (8, 1, 0), (8, 0, 0),
                                     (999, 1, 0), (10, 1, 0), (13, 0, 0)], "doc_id long, quality int, toxic int")
