@@ -18,9 +18,12 @@ The benchmark is the build side.  It is read in blocks of at most
 tasks; a larger benchmark takes more passes over the documents and no other
 path.  Documents never leave their partition and no pairs of documents arise.
 
+Windows that are less than half literal, and whole items of fewer than
+``MIN_ITEM`` words, match by their words' own values only.
+
 Defined results: a null or empty text holds nothing; items of fewer than
-``MIN_ITEM`` template words or with mostly placeholders are too common to
-tell and match nothing, null items likewise; repeated items and repeated
+``MIN_EXACT`` words are held only by a text that is nothing else; null items
+and items without words match nothing; repeated items and repeated
 rows answer each for itself; empty tables match nothing.  Columns of the
 documents pass through untouched, whatever their names.
 """
@@ -39,6 +42,7 @@ from tessera.llm import textnp
 
 WINDOW = 8
 MIN_ITEM = 5
+MIN_EXACT = 3
 COVERAGE = 0.5
 LONG_RUN = 20
 BLOCK_WINDOWS = 500_000
@@ -106,15 +110,16 @@ class Templates:
         self.words = np.where(kind == LITERAL, self.values, _PLACEHOLDERS[kind])
         self.literals = np.append(0, np.cumsum(kind == LITERAL))
 
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash of the window at each word, whether it is within a text and
-        at least half literal)."""
-        hashes = textnp.window_hashes(self.words, n, 400 + n)
-        good = np.ones(len(hashes), bool)
+    def windows(self, n: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash of the window at each word, of the words' own values if
+        ``exact``; whether it is within a text; whether at least half is
+        literal)."""
+        hashes = textnp.window_hashes(self.values if exact else self.words, n, 400 + n)
+        inside = np.ones(len(hashes), bool)
         for end in self.first[1:]:
-            good[max(0, end - n + 1):end] = False
-        good &= 2 * (self.literals[n:] - self.literals[:-n]) >= n if len(hashes) else good
-        return hashes, good
+            inside[max(0, end - n + 1):end] = False
+        literal = 2 * (self.literals[n:] - self.literals[:-n]) >= n if len(hashes) else inside
+        return hashes, inside, literal
 
 
 class Index:
@@ -127,16 +132,17 @@ class Index:
         self.values, self.kind, self.first = t.values, t.kind, t.first
         lengths = np.diff(t.first)
         owner = np.repeat(np.arange(len(items)), lengths)
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for n in range(MIN_ITEM, WINDOW + 1):
-            hashes, good = t.windows(n)
+        self.by_length: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n, exact in [(n, e) for n in range(1, WINDOW + 1) for e in (False, True)]:
+            hashes, inside, literal = t.windows(n, exact)
             own = lengths[owner[:len(hashes)]]
-            at = np.flatnonzero(good & (own >= WINDOW if n == WINDOW else own == n))
+            by_template = literal & (n >= MIN_ITEM)
+            at = np.flatnonzero(inside & (by_template != exact) & (own >= WINDOW if n == WINDOW else own == n))
             if len(at):
                 order = np.argsort(hashes[at], kind="stable")
                 seen = np.zeros(1 << 20, bool)
                 seen[(hashes[at] & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-                self.by_length[n] = (hashes[at][order], at[order], seen)
+                self.by_length[n, exact] = (hashes[at][order], at[order], seen)
         self.owner = owner
 
 
@@ -144,8 +150,13 @@ def matches(index: Index, data: np.ndarray, off: np.ndarray) -> dict[int, list[t
     """row -> (item_id, item words covered, re-parameterised) of held items."""
     t = Templates(data, off)
     hits: dict[int, list] = defaultdict(list)
-    for n, (keys, places, seen) in index.by_length.items():
-        hashes, good = t.windows(n)
+    lengths = np.diff(t.first)
+    for (n, exact), (keys, places, seen) in index.by_length.items():
+        hashes, good, literal = t.windows(n, exact)
+        if not exact:
+            good &= literal
+        elif n < MIN_EXACT:
+            good &= np.repeat(lengths == n, lengths)[:len(good)]
         at = np.flatnonzero(good & seen[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
         lo, hi = np.searchsorted(keys, hashes[at]), np.searchsorted(keys, hashes[at], side="right")
         for p, a, b in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):

@@ -249,6 +249,17 @@ def test_decontaminate_keeps_verbatim_windows_of_a_conflicting_line(spark):
     assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [2]
 
 
+def test_decontaminate_finds_verbatim_items_of_placeholders_and_short_items(spark):
+    items = [(1, "Compute 12 + 7 - 3 + 44 / 2"), (2, "Ask Anna Berg Carl Dorn Emil Falk Gerd Hahn Ivo Jung"), (3, "who wrote faust"),
+             (4, "Why?")]
+    texts = [f"{prose(1, 9)}. {items[0][1]} {prose(2, 9)}", f"{prose(1, 9)}. {items[0][1].replace('44', '45')} {prose(2, 9)}",
+             f"{prose(3, 9)}. {items[1][1]}. {prose(4, 9)}", f"{prose(3, 9)}. Who wrote Faust? {prose(4, 9)}", "why", "why not", "who wrote it"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == {0: [1], 1: [], 2: [2], 3: [3], 4: [4], 5: [], 6: []}
+
+
 def test_decontaminate_against_plain_windows(tables, odd, none, clashing, monkeypatch):
     docs, bench = tables["documents"], tables["benchmark"]
     grams = defaultdict(set)
