@@ -2,7 +2,8 @@
 
 Texts are cut into units that tile them; a unit's words are normalised and
 hashed, the digests are grouped over the whole corpus, the occurrence that
-ranks first (smallest doc_id, then smallest offset) stays, and every other
+ranks first (smallest doc_id, then smallest hash of the text, then smallest
+offset) stays, and every other
 one is removed, with its original offsets kept.  Unit ``all`` hashes
 sentences, lines and paragraphs and removes the union of their spans, which
 nest; of nested spans the outermost is listed.
@@ -13,9 +14,10 @@ is one row per task; they are joined back with a join whose skewed
 partitions AQE splits.
 
 Defined results: a null text is empty and has no units; units without words
-always stay; a null doc_id ranks first; rows that repeat
-a doc_id are copies of one document, so an occurrence at the first one's
-doc_id and offset stays in each of them; an empty table gives no rows.  Only
+always stay; a null doc_id ranks first; rows that repeat a doc_id and
+a text are copies of one document, so what the first one keeps stays in each
+of them; rows with one doc_id (or none) and other texts are told apart by a
+hash of the text; an empty table gives no rows.  Only
 ``doc_id`` and ``text`` are read, so other columns can't clash.
 """
 
@@ -26,7 +28,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize
@@ -50,6 +52,10 @@ def units_of(text: str, unit: str) -> Iterator[tuple[int, int, str]]:
             at += len(piece)
 
 
+def row_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def nested_units(text: str) -> Iterator[tuple[int, int, str]]:
     """The sentences, lines and paragraphs of a text, as ``units_of`` gives
     them.  A line is left out where only one of its sentences has words, a
@@ -87,33 +93,37 @@ def nested_units(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def hashed_units(docs: DataFrame, unit: str = "all", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit of ``min_words`` words or more: doc_id, start, end
-    (code points), digest (128 bits of the normalised words)."""
+    """One row per unit of ``min_words`` words or more: doc_id, row_hash (of
+    the text), span (start and end in code points, 32 bits each), digest (128
+    bits of the normalised words)."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: tuple[list, list, list, list] = ([], [], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text, row_hash in zip(*[c.to_pylist() for c in batch.columns]):
                 for start, end, words in nested_units(text or "") if unit == "all" else units_of(text or "", unit):
                     if words and words.count(" ") + 1 >= min_words:
                         digest = hashlib.blake2b(words.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                        for column, value in zip(rows, (doc_id, start, end, digest)):
+                        for column, value in zip(rows, (doc_id, row_hash, start << 32 | end, digest)):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()),
                                               pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.binary())],
-                                             names=["doc_id", "start", "end", "digest"])
-    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, start long, end long, digest binary")
+                                             names=["doc_id", "row_hash", "span", "digest"])
+    return docs.select("doc_id", "text", row_hash().alias("row_hash")).mapInArrow(
+        cut, "doc_id long, row_hash long, span long, digest binary")
 
 
 def repeated_units(units: DataFrame) -> DataFrame:
-    """One row per document that loses units: doc_id, starts, ends, keep_ids
-    (arrays in ascending order of start)."""
-    firsts = (units.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
+    """One row per document that loses units: doc_id, row_hash, starts, ends,
+    keep_ids (arrays in ascending order of start)."""
+    firsts = (units.groupBy("digest").agg(F.min(F.struct("doc_id", "row_hash", "span")).alias("first"), F.count("*").alias("n"))
               .filter("n > 1").select("digest", "first"))
     repeats = units.join(firsts, "digest").filter(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))))
-    spans = repeats.groupBy("doc_id").agg(F.array_sort(F.collect_set(
-        F.struct("start", "end", F.col("first.doc_id").alias("keep_id")))).alias("spans"))
-    return spans.select("doc_id", *[F.col(f"spans.{c}").alias(f"{c}s") for c in ("start", "end", "keep_id")])
+        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row_hash") == F.col("first.row_hash"))
+          & (F.col("span") == F.col("first.span"))))
+    spans = repeats.groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set(
+        F.struct(F.shiftright("span", 32).alias("start"), F.col("span").bitwiseAND(F.lit((1 << 32) - 1)).alias("end"),
+                 F.col("first.doc_id").alias("keep_id")))).alias("spans"))
+    return spans.select("doc_id", "row_hash", *[F.col(f"spans.{c}").alias(f"{c}s") for c in ("start", "end", "keep_id")])
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -143,8 +153,9 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("kept_text", pa.string()), ("n_bytes", pa.int64()),
                         ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
                         ("spans", pa.string())])
-    named = spans.withColumnRenamed("doc_id", "span_doc_id")
-    joined = (docs.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("span_doc_id")), "left")
+    named = spans.withColumnsRenamed({"doc_id": "span_doc_id", "row_hash": "span_hash"})
+    same = F.col("doc_id").eqNullSafe(F.col("span_doc_id")) & (F.col("row_hash") == F.col("span_hash"))
+    joined = (docs.select("doc_id", "text", row_hash().alias("row_hash")).join(named, same, "left")
               .select("doc_id", "text", "starts", "ends", "keep_ids"))
     return joined.mapInArrow(cut, "doc_id long, kept_text string, n_bytes long, n_removed long, n_spans long, "
                                   "kept_sha256 string, spans string")

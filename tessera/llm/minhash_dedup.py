@@ -22,8 +22,9 @@ skewed partitions AQE splits.
 
 Defined results: a document without words links with nothing; fewer than
 five words are one shingle; a null text has no words; a null doc_id counts
-as the least id; rows that repeat a doc_id are one document, linked through
-each of their sets; an empty table gives no rows.
+as the least id, and rows with a null doc_id are told apart by a hash of the
+text (the least one is kept); rows that repeat another doc_id are one
+document, linked through each of their sets; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -88,8 +89,13 @@ def _list_column(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(values.ravel()))
 
 
+def _tie() -> Column:
+    """Tells rows with a null doc_id apart; 0 for the others."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(F.lit(0).cast("bigint"))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set, null if empty), sig
+    """doc_id, tie, n_shingles, node (digest of the set, null if empty), sig
     (packed bits), keys (band keys)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,16 +106,16 @@ def signatures(docs: DataFrame) -> DataFrame:
                 minima = _minima(filled)
                 nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
-                     _list_column(_packed(minima)), _list_column(_band_keys(minima))],
-                    names=["doc_id", "n_shingles", "node", "sig", "keys"])
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node binary, sig array<long>, keys array<long>")
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(nodes, pa.binary()), _list_column(_packed(minima)), _list_column(_band_keys(minima))],
+                    names=["doc_id", "tie", "n_shingles", "node", "sig", "keys"])
+    return docs.select("doc_id", "text", _tie().alias("tie")).mapInArrow(
+        run, "doc_id long, tie long, n_shingles long, node binary, sig array<long>, keys array<long>")
 
 
 def shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, grams (its sorted 64-bit shingle hashes) of the given nodes
-    (node, any_id: a document that has the node's set)."""
+    (node, any_id and any_tie: a document that has the node's set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = textnp.column_bytes(batch.column(1))
@@ -119,7 +125,8 @@ def shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 keep = pa.array([x == y for x, y in zip(digests, batch.column(0).slice(a, b - a).to_pylist())], pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(grams, pa.binary())],
                                                  names=["node", "grams"]).filter(keep)
-    found = (docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("any_id"), "text").join(nodes.select("node", "any_id"), "any_id")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("any_id"), _tie().alias("any_tie"), "text")
+    found = (texts.join(nodes.select("node", "any_id", "any_tie"), ["any_id", "any_tie"])
              .select("node", "text").mapInArrow(run, "node binary, grams binary"))
     return found.groupBy("node").agg(F.min("grams").alias("grams"))  # repeated rows give a set twice
 
@@ -167,23 +174,24 @@ def _screened(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(estimate("sig_a", "sig_b") >= least).select("a", "b")
 
 
-def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+def _linked(docs: DataFrame, threshold: int) -> DataFrame:
+    """``link``, with each row's ``tie``."""
     rows = materialize(signatures(docs), "signatures")
-    ids = rows.select("n_shingles", "node", "sig", "keys", F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"))
+    ids = rows.select("tie", "n_shingles", "node", "sig", "keys", F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"))
     filled = ids.filter("node is not null")
-    reps = materialize(filled.groupBy("node").agg(F.min(F.struct("id", "sig", "keys")).alias("rep"))
-                       .select("node", F.col("rep.id").alias("any_id"), "rep.sig", "rep.keys"), "nodes")
+    reps = materialize(filled.groupBy("node").agg(F.min(F.struct("id", "tie", "sig", "keys")).alias("rep"))
+                       .select("node", F.col("rep.id").alias("any_id"), F.col("rep.tie").alias("any_tie"), "rep.sig", "rep.keys"), "nodes")
     least = floor_of(threshold / 100)
 
     bands = reps.select("node", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1")
     members = materialize(bands.join(shared, "key"), "members")
-    sigs = reps.select("node", "any_id", "sig")
+    sigs = reps.select("node", "any_id", "any_tie", "sig")
     in_key = materialize(sigs.join(members.select("node").distinct(), "node"), "candidates")
     # a document may have several sets only where rows repeat its doc_id
-    several = filled.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z")
-    same_id = filled.join(several, "id").filter("node != a").select("a", F.col("node").alias("b")).distinct()
+    named_rows = filled.filter(F.col("id") != NULL_ID)
+    several = named_rows.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z")
+    same_id = named_rows.join(several, "id").filter("node != a").select("a", F.col("node").alias("b")).distinct()
 
     sets = materialize(shingle_table(docs, in_key), "sets")
     pairs = members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
@@ -207,26 +215,32 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         labels = merge_labels(labels, more)
         done, centres_now = done + centres_now, centres_now * 16
 
-    named = ids.select("id", "node", "n_shingles").join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-    named = named.select("id", "n_shingles", F.coalesce("label", "node").alias("label"))
-    owners = named.filter("label is not null").groupBy("label").agg(F.min("id").alias("component"))
-    out = named.join(owners.withColumnRenamed("label", "owner"), F.col("label") == F.col("owner"), "left")
-    out = out.select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
+    named = ids.select("id", "tie", "node", "n_shingles").join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+    named = named.select(F.struct("id", "tie").alias("who"), "n_shingles", F.coalesce("label", "node").alias("label"))
+    owners = named.filter("label is not null").groupBy("label").agg(F.min("who").alias("owner"))
+    out = named.join(owners.withColumnRenamed("label", "owned"), F.col("label") == F.col("owned"), "left")
+    out = out.select("who", "n_shingles", F.coalesce("owner", "who").alias("owner"))
     null_safe = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return out.select(null_safe("id").alias("doc_id"), "n_shingles", null_safe("component").alias("component_id"),
-                      (F.col("id") == F.col("component")).alias("kept"))
+    return out.select(null_safe("who.id").alias("doc_id"), F.col("who.tie").alias("tie"), "n_shingles",
+                      null_safe("owner.id").alias("component_id"), (F.col("who") == F.col("owner")).alias("kept"))
+
+
+def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    return _linked(docs, threshold).drop("tie")
 
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The document with the least id of each component, with docs' columns;
-    of rows that repeat its id, the one whose text's hash is least."""
-    linked = link(docs, threshold).groupBy(F.col("doc_id").alias("kept_id")).agg(
-        F.first("kept").alias("kept"), F.count("*").alias("n"))
-    chosen = materialize(linked.filter("kept").select("kept_id", "n"), "kept")
-    packed = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    rows = packed.join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    of rows that repeat its id (null: its id and text), the one whose text's
+    hash is least."""
+    linked = _linked(docs, threshold).groupBy(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie")).agg(
+        F.bool_and("kept").alias("kept"), F.count("*").alias("n"))
+    chosen = materialize(linked.filter("kept").select("kept_id", "kept_tie", "n"), "kept")
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", "text", _tie().alias("tie"))
+    rows = packed.join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("tie") == F.col("kept_tie")))
     if chosen.filter("n > 1").isEmpty():
         return rows.select("row.*")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    order = Window.partitionBy("doc_id", "tie").orderBy(F.xxhash64("text"), "text")
     many = rows.filter("n > 1").withColumn("nth", F.row_number().over(order)).filter("nth = 1")
     return rows.filter("n = 1").select("row.*").unionByName(many.select("row.*"))

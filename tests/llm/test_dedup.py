@@ -222,3 +222,24 @@ def test_nested_units_agree_with_each_cut(odd):
         plain = {unit: [u for u in line_dedup.units_of(text, unit) if u[2]] for unit in line_dedup.CUTS}
         assert set(plain["sentence"]) <= nested and {u[2] for unit in plain.values() for u in unit} == {u[2] for u in nested}
         assert {(a, b) for a, b, _ in nested} <= {u[:2] for unit in plain for u in line_dedup.units_of(text, unit)}
+
+
+def test_rows_without_an_id_are_told_apart(spark):
+    from tests.llm.conftest import prose
+    texts = {k: prose(70 + k, 60) for k in range(4)}
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " tail"), (None, texts[2]), (None, texts[2]), (None, ""),
+            (5, texts[0] + " end"), (6, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = rows_of(minhash_dedup.keep_one(docs))
+    assert len(kept) == 5 and {t[:50] for _, t in kept} == {t[:50] for t in texts.values()} | {""}
+    linked = rows_of(minhash_dedup.link(docs))
+    assert (5, 57, None, False) in linked and (6, 56, 6, True) in linked
+    assert sum(r[0] is None and r[3] for r in linked) == 5  # the two equal rows are one document
+
+
+def test_units_of_rows_that_share_an_id_are_told_apart(spark):
+    for i in (None, 9):
+        rows = [(i, "One here. Same line.\nx"), (i, "Two other there. Same line.\ny"), (i, "Two other there. Same line.\ny")]
+        got = sorted(r.kept_text for r in line_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        lost = [[rows[0][1].replace(" Same line.\n", ""), *[rows[1][1]] * 2], [rows[0][1], *["Two other there.y"] * 2]]
+        assert got in [sorted(x) for x in lost]
