@@ -70,7 +70,7 @@ def op5_mphf_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_parquet_token_lists")
 def op6_parquet_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    return token_files.encode_to_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.encode_to_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 @register("op7_bradley_terry_quality")

@@ -11,8 +11,9 @@ within the part.
 
 Encoding: texts are cut where byte-level BPE has a token bound for certain
 (``Encoder``), and each distinct piece is encoded once per worker (a cache of
-bounded size).  The
-tokenizer file is read on the workers from a path given as a parameter.
+bounded size).  With ``added_tokens`` the strings of the tokenizer's added
+tokens are those tokens, as in the library by itself; without, they are
+ordinary text.  The tokenizer file is read on the workers from a path given as a parameter.
 
 Defined results: a null or empty text is the end id alone; a null doc_id
 sorts first; rows that repeat a doc_id follow each other in any fixed order
@@ -67,12 +68,15 @@ class Encoder:
     cut there; what is left is encoded by the tokenizer, words of letters by
     its model alone (one word is one unit for it).  A piece is cached when it
     comes a second time (a bit table remembers the first).  A text that holds
-    any other white space is cut at the certain spaces only."""
+    any other white space is cut at the certain spaces only.  A text that
+    holds an added token's string is encoded by the tokenizer as a whole
+    where ``added_tokens`` are asked for."""
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.word = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.space = self.letters[32]
@@ -128,6 +132,13 @@ class Encoder:
         return b"".join([self.heads[p] for p in pieces])
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        whole = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
+        if not whole:
+            return self._encode_plain(texts)
+        plain = iter(self._encode_plain([t for k, t in enumerate(texts) if k not in whole]))
+        return [self._raw([t])[0] if k in whole else next(plain) for k, t in enumerate(texts)]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for k in range(0, len(texts), GROUP):
             # the first piece is taken like one after a newline, less that newline
@@ -146,17 +157,18 @@ class Encoder:
         return self.encode_all([text])[0]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(tokenizer_path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if tokenizer_path not in _ENCODERS:
-        _ENCODERS[tokenizer_path] = Encoder(tokenizer_path)
-    return _ENCODERS[tokenizer_path]
+def encoder(tokenizer_path: str, added_tokens: bool = False) -> Encoder:
+    """One encoder per worker process, file and treatment of added tokens."""
+    key = tokenizer_path, added_tokens
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, added_tokens: bool = False) -> DataFrame:
     """doc_id, part, n_tokens, ids in ascending doc_id order within and over
     parts."""
     spark = docs.sparkSession
@@ -168,7 +180,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, added_tokens)
         for batch in batches:
             raw = [r + end for r in enc.encode_all(batch.column(1).to_pylist())]
             counts = np.array([len(r) // 4 for r in raw], np.int64)
@@ -207,9 +219,9 @@ def with_offsets(spark: SparkSession, path: str) -> DataFrame:
     return out.select("doc_id", (F.col("base") + F.col("inner")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")
 
 
-def encode_to_files(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def encode_to_files(docs: DataFrame, tokenizer_path: str, added_tokens: bool = False) -> DataFrame:
     """Write the ids under the shared folder and return ``with_offsets``."""
     spark = docs.sparkSession
     path = scratch_path(spark, "token_ids")
-    write_ids(tokenized(docs, tokenizer_path), path)
+    write_ids(tokenized(docs, tokenizer_path, added_tokens=added_tokens), path)
     return with_offsets(spark, path)

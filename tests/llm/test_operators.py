@@ -168,6 +168,22 @@ def test_encoder_cuts_change_nothing(text):
     assert np.frombuffer(enc.encode(text), "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_query_encodes_added_tokens_as_the_library_does(odd, scratch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tessera.llm import queries
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "a <|endoftext|> b c", "<|endoftext|>", "x y\n<|endoftext|>\n z", "a b", "<|endoftext|", ""]
+    ids = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    enc = token_files.encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    assert 50256 in ids[0] and [np.frombuffer(r, "<u4").tolist() for r in enc.encode_all(texts)] == ids
+    odd.write.parquet(f"{scratch}/documents.parquet")
+    want = sorted((repr(r.doc_id), len(plain.encode(r.text or "", add_special_tokens=False).ids) + 1) for r in odd.collect())
+    got = queries.QUERIES["op6_parquet_token_lists"](odd.sparkSession, scratch).collect()
+    assert sorted((repr(r.doc_id), r.n_tokens) for r in got) == want
+
+
 def test_token_files_are_written_for_selective_reads(spark, tables, scratch):
     import glob
 
