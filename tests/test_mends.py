@@ -219,3 +219,10 @@ def test_reconciliation_finds_the_faults(spark):
     assert rows["199706", "topic"].lost_keys > 0 and rows["199707", "bronze"].lost_keys > 0
     assert rows["all", "bronze"].lag_ms > 0 and rows["all", "topic"].duplication_rate > 0.4
     assert rows["all", "source"].lost_keys == 0
+
+
+def test_reconciliation_covers_the_other_tables(spark):
+    rows = {(r.table_name, r.layer): r for r in load_all()["reconciliation_dimensions"][0](spark, SF_SMOKE).collect()}
+    assert {t for t, _ in rows} == {"category", "brands", "customers", "calendar", "products"} and len(rows) == 20
+    assert rows["customers", "topic"].lost_keys > 0 and rows["products", "topic"].lost_keys == 0 < rows["products", "silver"].lost_keys
+    assert all(rows[t, "silver"].lost_keys == 0 and rows[t, "bronze"].duplication_rate == 0.5 for t in ("category", "brands", "calendar"))
