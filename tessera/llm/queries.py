@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bwt_dedup, decontaminate, exact_dedup, kd_shards, line_dedup, minhash_dedup, mixing, quality, secret_scan, token_files
+from tessera.llm import (bpe_trie, bwt_dedup, decontaminate, exact_dedup, kd_shards, line_dedup, minhash_dedup, mixing,
+                         quality, secret_scan, token_files)
 from tessera.llm.common import read_table
 from tessera.session import ensure_checkpoint_dir
 
@@ -107,3 +109,11 @@ def op9_bwt_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_template_decontamination")
 def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op11_trie_bpe")
+def op11_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = bpe_trie.decode(bpe_trie.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
