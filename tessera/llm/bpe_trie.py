@@ -1,15 +1,15 @@
 """BPE encoding and decoding with end-of-word marks over a trie of words.
 
-A batch's distinct unknown words enter a trie (symbols: UTF-8 bytes, the
+A batch's distinct unknown words form a trie (symbols: UTF-8 bytes, the
 word's last byte marked).  Each node stands for one prefix and has one state:
-the last token of that prefix's encoding.  A depth-first walk over the new
-nodes gives a child its state from its ancestors' states: among the tokens
-that end the prefix, the right one is whole by itself and stays apart from
-the last token of what is before it.  A word's ids follow by stepping back
-from its leaf, so what words share at the front is encoded once.  The trie
-and the table of known words live as long as the worker, each within a bound
-beyond which it starts anew.  Words above ``LONG`` bytes get the same
-states along a chain of their own.
+the last token of that prefix's encoding.  The walk is depth-first: in sorted
+order each word goes back to the node where it leaves the word before, and
+states follow from there down, so what words share at the front is encoded
+once and only the path to the present node is held.  A child gets its state
+from its ancestors': among the tokens that end the prefix, the right one is
+whole by itself and stays apart from the last token of what is before it.  A
+word's ids follow by stepping back from its leaf.  Known words live as long as
+the worker, within a bound beyond which all but the present ones go.
 
 Texts become words as the tokenizer file says: added tokens are cut out
 first; the rest is normalised (NFC, lower case) and split.  Texts of code
@@ -30,17 +30,18 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-LONG = 200           # bytes of a word beyond which it isn't kept in the trie
-MAX_NODES = 800_000  # nodes of a worker's trie
-MAX_WORDS = 400_000  # words a worker knows
-MAX_PAIRS = 400_000  # pairs of tokens a worker has judged
-GROUP = 256          # texts whose words enter the trie together
+from tessera.llm.textnp import column_bytes
+
+MAX_WORDS = 250_000  # words a worker knows
+MAX_PAIRS = 250_000  # pairs of tokens a worker has judged
+PART_BYTES = 4 << 20  # texts that a worker takes at once
 PLAIN_END = 0x250
 
 _PLAIN = re.compile(f"[\0-{chr(PLAIN_END - 1)}]*")
@@ -89,7 +90,9 @@ class Merges:
             made = vocab[self.strings[a] + self.strings[b]]
             self.rank[a, b] = at, made
             self.parts[made] = at, a, b
-        self.tails = {s[k:] for s in self.ids for k in range(len(s))}
+        self.longest: dict[str, int] = {}  # of the tokens that end in a symbol
+        for s in self.ids:
+            self.longest[s[-1]] = max(len(s), self.longest.get(s[-1], 0))
         self.whole: dict[int, bool] = {}
         self.known_fits: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = {}, {}
@@ -137,182 +140,135 @@ class Merges:
                     return False
         return True
 
-    def step(self, path: str, depth: int, last: list[int]) -> tuple[int, int]:
-        """(last token, its start) of the prefix ``path[:depth]``, from the
-        last tokens at each lesser depth (``last[0]`` is -1)."""
-        ids, tails, known = self.ids, self.tails, self.known_fits
-        candidates = []
-        for start in range(depth - 1, -1, -1):
-            tail = path[start:depth]
-            if tail not in tails:
-                break
-            if tail in ids:
-                candidates.append((ids[tail], start))
-        for token, start in reversed(candidates):
-            key = last[start] << 20 | token
-            fits = known.get(key)
-            if fits is None:
-                if len(known) > MAX_PAIRS:
-                    known.clear()
-                fits = known[key] = self.fits(last[start], token)
-            if fits:
-                return token, start
-        raise ValueError("a byte that the vocabulary doesn't hold")
-
-
-class Trie:
-    """Prefixes of words with the last token of each prefix's encoding."""
-
-    def __init__(self, merges: Merges):
-        self.merges = merges
-        self.edge: dict[int, int] = {}  # node and symbol in one number
-        self.parent, self.symbol = array("i", [-1]), [""]
-        self.last, self.start = array("i", [-1]), array("i", [0])
-
-    def insert(self, words: list[str]) -> list[int]:
-        """Leaves of ``words``; the new nodes get their states."""
-        edge, parent, symbol = self.edge, self.parent, self.symbol
-        first_new, leaves = len(parent), []
-        below: dict[int, list[int]] = {}
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of ``words``, which are distinct and sorted: a depth-first walk
+        over their trie.  ``last[d]`` is the last token of the present path's
+        first ``d`` symbols, ``start[d]`` where it starts."""
+        token_of, longest, known = self.ids.get, self.longest, self.known_fits
+        out, before, last, start = [], "", [-1], [0]
         for word in words:
-            node = 0
-            for s in word:
-                key = node << 9 | ord(s)
-                child = edge.get(key)
-                if child is None:
-                    child = edge[key] = len(parent)
-                    parent.append(node)
-                    symbol.append(s)
-                    below.setdefault(node, []).append(child)
-                node = child
-            leaves.append(node)
-        new = len(parent) - first_new
-        self.last.extend([-1] * new)
-        self.start.extend([0] * new)
-        for top in [n for n in below if n < first_new]:
-            self._walk(top, below)
-        return leaves
-
-    def _walk(self, top: int, below: dict[int, list[int]]) -> None:
-        """Depth-first from an old node over its new descendants."""
-        path, last, node = [], [], top
-        while node:
-            path.append(self.symbol[node])
-            last.append(self.last[node])
-            node = self.parent[node]
-        path, last = "".join(reversed(path)), [-1, *reversed(last)]
-        stack = [(n, len(path)) for n in below[top]]
-        while stack:
-            node, depth = stack.pop()
-            path = path[:depth] + self.symbol[node]
-            token, start = self.merges.step(path, depth + 1, last)
-            last[depth + 1:] = [token]
-            self.last[node], self.start[node] = token, start
-            stack.extend((n, depth + 1) for n in below.get(node, ()))
-
-    def ids(self, leaf: int, depth: int) -> list[int]:
-        """Ids of the word that ends at ``leaf``, stepping back by tokens."""
-        out = []
-        while depth:
-            out.append(self.last[leaf])
-            for _ in range(depth - self.start[leaf]):
-                depth, leaf = depth - 1, self.parent[leaf]
-        return out[::-1]
-
-
-def chain_ids(merges: Merges, word: str) -> list[int]:
-    """Ids of one word by the states along it alone."""
-    last, starts = [-1], [0]
-    for depth in range(1, len(word) + 1):
-        token, start = merges.step(word, depth, last)
-        last.append(token)
-        starts.append(start)
-    out, depth = [], len(word)
-    while depth:
-        out.append(last[depth])
-        depth = starts[depth]
-    return out[::-1]
+            shared, both = 0, min(len(word), len(before))
+            while shared < both and word[shared] == before[shared]:
+                shared += 1
+            del last[shared + 1:], start[shared + 1:]
+            for end in range(shared + 1, len(word) + 1):
+                at = max(0, end - longest[word[end - 1]])
+                while True:
+                    token = token_of(word[at:end])
+                    if token is not None:
+                        key = last[at] << 20 | token
+                        fits = known.get(key)
+                        if fits is None:
+                            if len(known) > MAX_PAIRS:
+                                known.clear()
+                            fits = known[key] = self.fits(last[at], token)
+                        if fits:
+                            break
+                    at += 1
+                last.append(token)
+                start.append(at)
+            ids, at = [], len(word)
+            while at:
+                ids.append(last[at])
+                at = start[at]
+            ids.reverse()
+            out.append(ids)
+            before = word
+        return out
 
 
 class Coder:
-    """Encodes and decodes by one tokenizer file."""
+    """Encodes by one tokenizer file."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as fh:
             spec = json.load(fh)
         model, splits = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
+        self.path, self.library = path, None
         self.merges = Merges(model["vocab"], model["merges"], model["end_of_word_suffix"])
-        self.library = Tokenizer.from_file(path)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings = self.merges.strings | {k: t for t, k in self.added.items()}
         self.cut_added = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
         self.byte = {ord(letter): b for b, letter in enumerate(byte_letters())}
         # the alternatives before the classes are literal strings
         self.plain = plain_pattern(splits[0]["pattern"]["Regex"].split("|[", 1)[0])
-        self.trie = Trie(self.merges)
         self.known: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         low = text.lower()
         if low.isascii() or _PLAIN.fullmatch(text) and _PLAIN.fullmatch(low):
             return self.plain.findall(low)
+        if self.library is None:
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_file(self.path)
         units = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes(w.translate(self.byte).encode("latin-1")).decode("utf-8", "surrogateescape") for w, _ in units]
 
     def learn(self, words: set[str]) -> None:
-        if len(self.trie.parent) > MAX_NODES:
-            self.trie = Trie(self.merges)
-        short, marked = [], []
+        marked = {}
         for word in words:
             raw = word.encode("utf-8", "surrogateescape").decode("latin-1")
-            raw = raw[:-1] + chr(ord(raw[-1]) + 256)
-            if len(raw) > LONG:
-                self.known[word] = np.array(chain_ids(self.merges, raw), "<u4").tobytes()
-            else:
-                short.append(word)
-                marked.append(raw)
-        for word, raw, leaf in zip(short, marked, self.trie.insert(marked)):
-            self.known[word] = np.array(self.trie.ids(leaf, len(raw)), "<u4").tobytes()
+            marked[raw[:-1] + chr(ord(raw[-1]) + 256)] = word
+        order = sorted(marked)
+        for raw, ids in zip(order, self.merges.encode(order)):
+            self.known[marked[raw]] = array("I", ids).tobytes()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        out: list[bytes] = []
-        for k in range(0, len(texts), GROUP):
-            cut = []
-            for text in texts[k:k + GROUP]:
-                parts = self.cut_added.split(text) if "<" in text else [text]
-                cut.append([p if n % 2 else self.words(p) for n, p in enumerate(parts)])
-            wanted = set(chain.from_iterable(p for parts in cut for p in parts if isinstance(p, list)))
-            if len(self.known) > MAX_WORDS:
-                self.known = {w: self.known[w] for w in wanted if w in self.known}
-            self.learn(wanted.difference(self.known))
-            ids = self.known.__getitem__
-            for parts in cut:
-                out.append(b"".join(b"".join(map(ids, p)) if isinstance(p, list)
-                                    else self.added[p].to_bytes(4, "little") for p in parts))
+        cut = []
+        for text in texts:
+            parts = self.cut_added.split(text) if "<" in text else [text]
+            cut.append([p if n % 2 else self.words(p) for n, p in enumerate(parts)])
+        wanted = set(chain.from_iterable(p for parts in cut for p in parts if isinstance(p, list)))
+        if len(self.known) > MAX_WORDS:
+            self.known = {w: self.known[w] for w in wanted if w in self.known}
+        self.learn(wanted.difference(self.known))
+        ids, out = self.known.__getitem__, []
+        for parts in cut:
+            out.append(b"".join(b"".join(map(ids, p)) if isinstance(p, list)
+                                else self.added[p].to_bytes(4, "little") for p in parts))
         return out
 
+
+class Decoder:
+    """Decodes by one tokenizer file."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as fh:
+            spec = json.load(fh)
+        self.strings = {k: t for t, k in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+
     def decode_all(self, packed: list[bytes]) -> list[str]:
         """The tokens' strings, joined by spaces."""
         string = self.strings.__getitem__
         return [" ".join(map(string, np.frombuffer(ids, "<u4").tolist())) for ids in packed]
 
 
-_CODERS: dict[str, Coder] = {}
+@lru_cache(maxsize=4)
+def coder(path: str) -> Coder:
+    """One per worker process and file."""
+    return Coder(path)
+
 
+@lru_cache(maxsize=4)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
-def coder(path: str) -> Coder:
-    """One coder per worker process and file."""
-    if path not in _CODERS:
-        _CODERS[path] = Coder(path)
-    return _CODERS[path]
+
+def parts_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut by the bytes of one column."""
+    for batch in batches:
+        _, off = column_bytes(batch.column(column))
+        a = 0
+        while a < len(batch):
+            b = max(a + 1, int(np.searchsorted(off, off[a] + PART_BYTES, side="right")) - 1)
+            yield batch.slice(a, b - a)
+            a = b
 
 
 def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed little-endian unsigned 32-bit)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, 1):
             packed = coder(tokenizer_path).encode_all([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
                                               pa.array(packed, pa.binary())], names=["doc_id", "n_tokens", "ids"])
@@ -322,8 +278,8 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 def decode(tokens: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids, decoded from the columns of ``encode``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = coder(tokenizer_path).decode_all([p or b"" for p in batch.column(2).to_pylist()])
+        for batch in parts_of(batches, 2):
+            text = decoder(tokenizer_path).decode_all([p or b"" for p in batch.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())],
                                              names=["doc_id", "n_tokens", "ids", "decoded"])
     return tokens.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
