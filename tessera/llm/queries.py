@@ -134,13 +134,13 @@ o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM x p, x q, x r,
 g AS (SELECT part, filter_order, n, good, toxic, CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) + CAST(d AS INT) + CAST(e AS INT) AS fails,
              list_filter([CASE WHEN a THEN instr(filter_order, 'A') END, CASE WHEN b THEN instr(filter_order, 'B') END,
                           CASE WHEN c THEN instr(filter_order, 'C') END, CASE WHEN d THEN instr(filter_order, 'D') END,
-                          CASE WHEN e THEN instr(filter_order, 'E') END], lambda y: y IS NOT NULL) AS at FROM m, o),
-h AS (SELECT *, coalesce(list_min(at), 9) AS gone FROM g),
+                          CASE WHEN e THEN instr(filter_order, 'E') END], lambda y: y IS NOT NULL) AS steps FROM m, o),
+h AS (SELECT *, coalesce(list_min(steps), 9) AS gone FROM g),
 s AS (SELECT part, filter_order, CAST(step AS INT) AS step, substr(filter_order, step, 1) AS letter,
              CAST(sum(CASE WHEN gone > step THEN n ELSE 0 END) AS BIGINT) AS kept,
              CAST(sum(CASE WHEN gone = step THEN n ELSE 0 END) AS BIGINT) AS removed,
-             CAST(sum(CASE WHEN gone < step AND list_contains(at, step) THEN n ELSE 0 END) AS BIGINT) AS redundant,
-             CAST(sum(CASE WHEN fails = 1 AND list_contains(at, step) THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+             CAST(sum(CASE WHEN gone < step AND list_contains(steps, step) THEN n ELSE 0 END) AS BIGINT) AS redundant,
+             CAST(sum(CASE WHEN fails = 1 AND list_contains(steps, step) THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
              CAST(sum(CASE WHEN gone = step THEN good ELSE 0 END) AS BIGINT) AS good_lost,
              CAST(sum(CASE WHEN gone = step THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
       FROM h, (SELECT unnest(range(1, 6)) AS step) GROUP BY part, filter_order, step)
