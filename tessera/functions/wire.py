@@ -88,15 +88,30 @@ def wire_to_decimal(col, precision: int, scale: int) -> Column:
     """base64 unscaled two's-complement bytes -> DECIMAL(precision, scale).
 
     Exact integer arithmetic: a negative value is minus one minus the number
-    that its inverted bytes spell.  Values of more than 8 bytes give NULL (a
-    validation rule can then send the raw text to quarantine)."""
-    h = F.hex(F.unbase64(_c(col)))
-    number = lambda digits: F.conv(digits, 16, 10).cast("decimal(20,0)")
-    inverted = F.translate(h, "0123456789ABCDEF", "FEDCBA9876543210")
+    that its inverted bytes spell.  A value that DECIMAL(precision, scale)
+    can't hold, or text that isn't base64, gives NULL;
+    ``quality.validation.keep_lost`` keeps its text for quarantine."""
+    h = F.hex(F.try_to_binary(_c(col), F.lit("base64")))
     negative = F.substring(h, 1, 1).isin(*"89ABCDEF")
-    signed = F.when(negative, F.lit(-1) - number(inverted)).otherwise(number(h)).cast("decimal(19,0)")
+    spelled = F.when(negative, F.translate(h, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(h)
+    number = lambda digits: F.conv(digits, 16, 10).cast("decimal(20,0)")
+    signed = F.when(negative, F.lit(-1) - number(spelled)).otherwise(number(spelled)).cast("decimal(19,0)")
     value = signed * F.lit(Decimal(1).scaleb(-scale)) if scale else signed
-    return F.when(F.length(h) <= 16, value.cast(f"decimal({precision},{scale})"))
+    short = F.when(h != "", value).try_cast(f"decimal({precision},{scale})")
+    return F.when(F.length(h) <= 16, short).otherwise(_long_decimal(spelled, negative, precision, scale))
+
+
+def _long_decimal(spelled: Column, negative: Column, precision: int, scale: int) -> Column:
+    """Hex digits of more than 8 bytes, in two halves.  The point is set in
+    the number's text, since products of such decimals lose digits."""
+    plain = F.regexp_replace(spelled, "^0+(?=.)", "")
+    half = lambda digits: F.conv(digits, 16, 10).cast("decimal(20,0)")
+    high = F.coalesce(half(F.left(plain, F.greatest(F.length(plain) - 16, F.lit(0)))), F.lit(0).cast("decimal(20,0)"))
+    size = F.try_add(F.try_multiply(high, F.lit(Decimal(1 << 64))), half(F.right(plain, F.lit(16))))
+    digits = F.try_add(size, F.when(negative, 1).otherwise(0).cast("decimal(1,0)")).cast("string")
+    digits = F.when(F.length(digits) > scale, digits).otherwise(F.lpad(digits, scale + 1, "0"))
+    text = F.concat(F.when(negative, "-").otherwise(""), F.left(digits, F.length(digits) - scale), F.lit("."), F.right(digits, F.lit(scale)))
+    return F.when(F.length(plain) <= 32, text.try_cast(f"decimal({precision},{scale})"))
 
 
 def days_to_date(col) -> Column:

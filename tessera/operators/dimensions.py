@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import time as T
@@ -16,18 +16,14 @@ def calendar_between(bounds: DataFrame, start_col: str = "start", end_col: str =
     days = bounds.select(F.explode(F.sequence(F.col(start_col), F.col(end_col),
                                               F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     d = F.col("full_date")
-    return days.select(
-        T.date_code(d).alias("date_code"),
-        d.alias("full_date"),
-        F.year(d).alias("year"),
-        F.quarter(d).alias("quarter"),
-        F.month(d).alias("month"),
-        T.month_name(d).alias("month_name"),
-        F.dayofmonth(d).alias("day"),
-        T.iso_weekday(d).alias("day_of_week"),
-        T.day_name(d).alias("day_name"),
-        T.is_weekend(d).alias("is_weekend"),
-    )
+    return days.select(T.date_code(d).alias("date_code"), d, *(c.alias(n) for n, c in calendar_parts(d).items()))
+
+
+def calendar_parts(d: Column) -> dict[str, Column]:
+    """The calendar's attributes as functions of a date: a fact that has the
+    date needs no join with the calendar for them."""
+    return {"year": F.year(d), "quarter": F.quarter(d), "month": F.month(d), "month_name": T.month_name(d), "day": F.dayofmonth(d),
+            "day_of_week": T.iso_weekday(d), "day_name": T.day_name(d), "is_weekend": T.is_weekend(d)}
 
 
 # The description templates and price endings of the

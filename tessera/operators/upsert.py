@@ -4,8 +4,8 @@ result = latest(batch) UNION ALL (target LEFT ANTI JOIN batch keys)
 
 The anti join needs only the batch's keys; they are broadcast when proven
 small (the usual micro-batch case), otherwise both sides shuffle on the key
-and AQE splits skewed partitions.  Writing the result over the table it was
-read from needs a new location (see ``tessera.sinks.files.swap_write``).
+and AQE splits skewed partitions.  The result is a frame; a table that is to
+change in place is upserted by ``tessera.sinks.versioned.upsert``.
 """
 
 from __future__ import annotations

@@ -28,5 +28,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # Importing the modules fills REGISTRY.
-    from tessera.plans import analytics, quality, ingest, ordering, streams, lakehouse  # noqa: F401
+    from tessera.plans import analytics, quality, ingest, ordering, streams, lakehouse, versions  # noqa: F401
     return REGISTRY

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import time as T
 from tessera.operators.dedup import duplicate_stats, latest_per_key
+from tessera.operators.dimensions import calendar_parts
 from tessera.operators.joins import attach, orphan_counts
 from tessera.operators.sessions import sessions_by_gap
 from tessera.plans import register
@@ -119,13 +120,13 @@ def denormalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = star.brands(spark, sf_dir).select("brand_code", "brand_name")
     cats = star.category(spark, sf_dir)
     custs = star.customers(spark, sf_dir).select("customer_id", "country", "state", "city")
-    cal = star.calendar(spark, sf_dir, *star.CALENDAR_RANGE).select(
-        "date_code", "year", "quarter", "month", "day_name", "is_weekend")
+    # year to weekend flag are functions of the date: no join with the calendar
+    parts = calendar_parts(star.day_of("date_code"))
+    items = items.where("date_code is not null").withColumns({n: parts[n] for n in ("year", "quarter", "month", "day_name", "is_weekend")})
     out = attach(items, prods, "product_id", "inner")
     out = attach(out, brands, "brand_code", "inner")
     out = attach(out, cats, "category_code", "inner")
-    out = attach(out, custs, "customer_id", "inner")
-    return attach(out, cal, "date_code", "inner")
+    return attach(out, custs, "customer_id", "inner")
 
 
 STAR_COLUMNS = ["order_item_id", "order_id", "customer_id", "product_id", "date_code", "quantity",
@@ -165,9 +166,9 @@ def revenue_by_category_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.sum("quantity").alias("_q"), F.sum("total_price").alias("_r"))
     prods = star.products(spark, sf_dir).select("product_id", "category_code")
     cats = star.category(spark, sf_dir)
-    cal = star.calendar(spark, sf_dir, *star.CALENDAR_RANGE).select("date_code", "year", "quarter")
-    j = attach(attach(attach(lines, prods, "product_id", "inner"), cats, "category_code", "inner"),
-               cal, "date_code", "inner")
+    parts = calendar_parts(star.day_of("date_code"))
+    lines = lines.where("date_code is not null").withColumns({n: parts[n] for n in ("year", "quarter")})
+    j = attach(attach(lines, prods, "product_id", "inner"), cats, "category_code", "inner")
     return (j.groupBy("category_name", "year", "quarter")
             .agg(F.sum("_n").cast("bigint").alias("items"), F.sum("_q").cast("double").alias("units"),
                  F.sum("_r").cast("double").alias("revenue"))
@@ -268,7 +269,7 @@ def _orphan_sql() -> str:
 @register("orphan_counts", _orphan_sql())
 def orphan_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {n: star.star_table(spark, sf_dir, n) for n in TABLE_ORDER if n != "calendar"}
-    tables["calendar"] = star.calendar(spark, sf_dir, *star.CALENDAR_RANGE)
+    tables["calendar"] = star.calendar_keys(spark, sf_dir)
     edges = [(c, tables[c], col, p, tables[p], pcol) for c, col, p, pcol in FK_EDGES]
     # active customers only (a positive balance) are parents in a second check, which has orphans to find
     active = star.read_table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("customer_id"))
@@ -288,7 +289,7 @@ def resolved_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = star.order_items(spark, sf_dir)
     items = resolved(items, star.customers(spark, sf_dir), "customer_id", "customer_id")
     items = resolved(items, star.products(spark, sf_dir), "product_id", "product_id")
-    items = resolved(items, star.calendar(spark, sf_dir, *star.CALENDAR_RANGE), "date_code", "date_code")
+    items = resolved(items, star.calendar_keys(spark, sf_dir), "date_code", "date_code")
     return _money_out(items).select("order_item_id", "order_id", "customer_id", "product_id", "date_code", "quantity",
                                     "total_price", "dt_update")
 

@@ -36,7 +36,7 @@ STAR_SQL = {
     "brands": """
         SELECT DISTINCT
                'BRD-' || p_brand || '-' || p_type AS brand_code, p_brand AS brand_name,
-               'BRD-' || upper(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) || '-' || substr(p_type, 1, 4) AS brand_label,
+               'BRD-' || upper(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) || '-' || p_type AS brand_label,
                'CAT-' || p_type AS category_code
         FROM part""",
     "category": """

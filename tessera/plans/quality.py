@@ -21,6 +21,7 @@ from tessera.quality.contracts import SOURCE_ORDER_ITEMS, STAR_CONTRACTS, classi
 from tessera.quality.reconcile import layer_stats, windowed_reconcile
 from tessera.quality.validation import FAILED, conform, flag_rules, quarantine_split, schema_violations, schema_violations_list
 from tessera.session import scratch_path
+from tessera.sinks import versioned
 from tessera.sources import incremental, star
 
 # --------------------------------------------------------------------------
@@ -65,7 +66,7 @@ def _flagged_sql(table: str, source: str | None = None) -> str:
 
 
 def _parents(spark: SparkSession, sf_dir: str, table: str) -> dict[str, DataFrame]:
-    return {p: star.calendar(spark, sf_dir, *star.CALENDAR_RANGE) if p == "calendar" else star.star_table(spark, sf_dir, p)
+    return {p: star.calendar_keys(spark, sf_dir) if p == "calendar" else star.star_table(spark, sf_dir, p)
             for p, _ in STAR_CONTRACTS[table].foreign_keys.values()}
 
 
@@ -296,20 +297,23 @@ SELECT {_CURSOR_COLS}, CASE WHEN dt_update <= epoch_ms(TIMESTAMP '{CURSOR_LOW}')
 WHERE dt_update <= epoch_ms(TIMESTAMP '{CURSOR_HIGH}')""")
 def cursor_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two polls from a stored mark: read the mark, pull what lies after it up
-    to the poll's upper bound, commit the mark once the rows are in the sink.
-    Together they deliver every row once, rows that share a version and an id
-    included."""
-    root = scratch_path(spark, "cursor")
-    marks, sink = f"{root}/marks", f"{root}/sink"
-    for poll, high in enumerate((CURSOR_LOW, CURSOR_HIGH), start=1):
-        version, last_id = incremental.read_mark(spark, marks, ("0001-01-01 00:00:00", -1))
+    to the poll's upper bound, and commit rows and new mark as one version.
+    Before the second poll, the same poll writes its rows and dies short of
+    the commit.  Every row is delivered once, rows that share a version and
+    an id included."""
+    sink = scratch_path(spark, "cursor")
+    for poll, high, dies in ((1, CURSOR_LOW, False), (2, CURSOR_HIGH, True), (2, CURSOR_HIGH, False)):
+        version, last_id = versioned.load(spark, sink).marks.get("lineitem", ("0001-01-01 00:00:00", -1))
         rows = incremental.timestamp_id_window(star.read_table(spark, sf_dir, "lineitem").withColumn("line_id", F.expr(_LINE_ID)),
-                                               "l_shipdate", "line_id", _ntz(str(version)), int(last_id), _ntz(high))
-        rows.withColumn("poll", F.lit(poll)).write.mode("append").parquet(sink)
-        mark = incremental.high_water_mark(spark.read.parquet(sink).where(F.col("poll") == poll), "l_shipdate", "line_id")
+                                               "l_shipdate", "line_id", _ntz(version), int(last_id), _ntz(high))
+        rows = rows.withColumn("poll", F.lit(poll))
+        if dies:
+            versioned.stage(rows, sink, F.col("poll").cast("string"))
+            continue
+        mark = incremental.high_water_mark(rows, "l_shipdate", "line_id")
         if mark is not None:
-            incremental.commit_mark(spark, marks, poll, mark)
-    back = spark.read.parquet(sink)
+            versioned.append(rows, sink, "poll", {"lineitem": [str(mark[0]), mark[1]]})
+    back = versioned.read(spark, sink)
     return _money_out(star.lines_of(back, "poll")).select("order_item_id", "order_id", "product_id", "quantity", "total_price", "dt_update", "poll")
 
 
@@ -354,9 +358,9 @@ def _fact_layers(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]
     root = scratch_path(spark, "reconcile")
     lines = star.order_lines(spark, sf_dir).withColumn("month", F.floor(F.col("date_code") / 100).cast("int"))
     body = wire.envelope_value([c for c in lines.columns if c != "month"], "c", "dt_update")
-    sent = lines.where(f"NOT ({_LOST})").select(
-        "month", "order_item_id", "dt_update", F.when(F.expr(_CUT), F.left(body, F.lit(40))).otherwise(body).alias("value"),
-        F.explode(F.sequence(F.lit(1), F.lit(2))).alias("poll"))
+    value = F.when(F.expr(_CUT), F.left(body, F.lit(40))).otherwise(body)
+    # the message is made once and then polled twice: as an element it isn't computed per poll
+    sent = lines.where(f"NOT ({_LOST})").select("month", "order_item_id", "dt_update", F.posexplode(F.array_repeat(value, 2)).alias("poll", "value"))
     sent.write.parquet(f"{root}/topic")
     topic = spark.read.parquet(f"{root}/topic")
     rows = wire.unwrap(topic, "value", lines.drop("month").schema).where(F.col("order_item_id").isNotNull() & F.expr(_LOADED))

@@ -4,20 +4,27 @@ returns the sink's content as a DataFrame."""
 
 from __future__ import annotations
 
+import re
+from datetime import timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import time as TM
 from tessera.functions import wire
+from tessera.functions.standardize import strip_prefix
 from tessera.plans import register
 from tessera.plans.analytics import LATEST_COLS, SESSION_GAP_SECONDS, _LATEST_SQL, _money_out
 from tessera.plans.ingest import EVENT_SCHEMA, _EVENT_SQL, _PARTS_SQL, _events_out
+from tessera.plans.lakehouse import TOPIC_PREFIX
 from tessera.plans.oracle_star import with_star
 from tessera.session import scratch_path
-from tessera.sinks.files import TIMESTAMP_OPTIONS
+from tessera.sinks import versioned
+from tessera.sinks.files import TIMESTAMP_OPTIONS, write_hour_partitioned
 from tessera.sources import files as SRC
-from tessera.sources import star
+from tessera.sources import incremental, star
+from tessera.streaming import evolving
 from tessera.streaming import jobs as J
 
 
@@ -55,6 +62,37 @@ def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).orderBy("run")
 
 
+SESSION_RUNS = 4
+
+
+def run_sessions(spark: SparkSession, sf_dir: str) -> tuple[str, list[dict[str, int]]]:
+    """Land the events in ``SESSION_RUNS`` spans of their time, and run the
+    session stream to its end after each, as a scheduled job would.  A last
+    landing holds only the closing record, after which no session is open.
+    Returns the sink and the progress of each run; a row dropped as late is
+    an error, since its event would be lost."""
+    events = star.read_table(spark, sf_dir, "events").where("ts is not null")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    src, out, ckpt = scratch_path(spark, "sess-src"), scratch_path(spark, "sess-out"), scratch_path(spark, "sess-ckpt")
+    if first is None:
+        spark.createDataFrame([], "user_id long, events long, first_ts timestamp, last_ts timestamp").write.parquet(out)
+        return out, []
+    span = (last - first) / SESSION_RUNS
+    bounds = [first + span * k for k in range(SESSION_RUNS)] + [last + timedelta(microseconds=1)]
+    closing = last + timedelta(days=2)
+    landings = [events.where((F.col("ts") >= F.lit(a)) & (F.col("ts") < F.lit(b))) for a, b in zip(bounds, bounds[1:])]
+    landings.append(spark.range(1).select(*(F.lit(closing if f.name == "ts" else None).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA)))
+    steps = []
+    for landing in landings:
+        landing.write.mode("append").options(**TIMESTAMP_OPTIONS).json(src)
+        stream = J.file_stream(spark, src, EVENT_SCHEMA).withColumn("t", TM.ntz_to_instant("ts"))
+        closed = J.closed_sessions(stream, "user_id", "t", f"{SESSION_GAP_SECONDS} seconds", "1 hour", closing.replace(tzinfo=timezone.utc))
+        steps.append(J.progress_of(J.run(J.parquet_sink(closed, out, ckpt))))
+        if steps[-1]["late_rows"]:
+            raise RuntimeError(f"{steps[-1]['late_rows']} late events")
+    return out, steps
+
+
 @register("stream_sessions", f"""
 WITH e AS (
   SELECT user_id, ts,
@@ -69,16 +107,9 @@ SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
        strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_end, COUNT(*) AS events
 FROM s GROUP BY user_id, sid""")
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gap sessions (30 minutes) computed by a streaming session-window
-    aggregation in complete mode, each result replacing the sink table."""
-    src = _flat_landing(spark, star.read_table(spark, sf_dir, "events"), "sess-src", 2000)
-    out, ckpt = scratch_path(spark, "sess-out"), scratch_path(spark, "sess-ckpt")
-    stream = J.file_stream(spark, src, EVENT_SCHEMA, max_files_per_trigger=2).withColumn(
-        "t", TM.ntz_to_instant("ts"))
-    agg = J.session_counts(stream, "user_id", "t", f"{SESSION_GAP_SECONDS} seconds", "1 hour")
-    J.run(agg.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
-          .foreachBatch(J.overwrite_each_batch(out)))
-    res = spark.read.parquet(J.current_version(spark, out))
+    """Gap sessions (30 minutes) by a streaming session-window aggregation in
+    append mode."""
+    res = spark.read.schema("user_id long, events long, first_ts timestamp, last_ts timestamp").parquet(run_sessions(spark, sf_dir)[0])
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return res.select("user_id", F.date_format(TM.instant_to_ntz("first_ts"), fmt).alias("session_start"),
                       F.date_format(TM.instant_to_ntz("last_ts"), fmt).alias("session_end"), "events")
@@ -119,8 +150,8 @@ def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, ckpt = scratch_path(spark, "upsert-target"), scratch_path(spark, "upsert-ckpt")
     stream = J.file_stream(spark, src, items.schema, max_files_per_trigger=2)
     J.run(stream.writeStream.option("checkpointLocation", ckpt)
-          .foreachBatch(J.upsert_each_batch(root, ["order_item_id"], star.fact_sort_keys())))
-    return _money_out(J.read_target(spark, root, items.schema)).select(*LATEST_COLS)
+          .foreachBatch(J.upsert_versions(root, ["order_item_id"], star.fact_sort_keys())))
+    return _money_out(versioned.live(versioned.read(spark, root))).select(*LATEST_COLS)
 
 
 @register("stream_upsert_deletes", with_star("order_lines") + """
@@ -138,11 +169,60 @@ def stream_upsert_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = scratch_path(spark, "delete-src")
     wire.envelope(lines, op, "dt_update").write.option("maxRecordsPerFile", 8000).text(src)
     root, ckpt = scratch_path(spark, "delete-target"), scratch_path(spark, "delete-ckpt")
-    apply = J.upsert_each_batch(root, ["order_item_id"], ["dt_update", "quantity", "return_flag"], op_col="__op")
+    apply = J.upsert_versions(root, ["order_item_id"], ["dt_update", "quantity", "return_flag"], op_col="__op")
 
     def unwrapped(batch: DataFrame, batch_id: int) -> None:
         apply(wire.unwrap(batch, "value", lines.schema).drop("__deleted"), batch_id)
     stream = J.file_stream(spark, src, T.StructType([T.StructField("value", T.StringType())]), "text", 2)
     J.run(stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(unwrapped))
-    return J.read_target(spark, root, lines.schema).select(
+    return versioned.live(versioned.read(spark, root)).select(
         "order_item_id", "dt_update", F.col("quantity").cast("double").alias("quantity"))
+
+
+# The events landed first without, later with the column ``value``: before and
+# from this event_id on.
+EVOLVES_AT = 400
+
+
+@register("stream_evolving_load", f"""
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 1000 < {EVOLVES_AT} THEN NULL ELSE value END AS value,
+       'ecommerce.brz_events' AS kafka_topic, strftime(ts, '%Y-%m-%d %H') AS blob_partition_hour, 0 AS rescued
+FROM events""")
+def stream_evolving_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed per hour in two goes, the second with one column more;
+    the load runs after each, on one checkpoint.  All rows of both goes come
+    back under the wider schema, with topic and hour of their files."""
+    events = star.read_table(spark, sf_dir, "events")
+    landing, root, ckpt = scratch_path(spark, "evolving"), scratch_path(spark, "evolving-target"), scratch_path(spark, "evolving-ckpt")
+    early = F.col("event_id") % 1000 < EVOLVES_AT
+    for rows in (events.where(early).select("event_id", "ts", "user_id", "event_type"),
+                 events.where(~early).select("event_id", "ts", "user_id", "event_type", "value")):
+        write_hour_partitioned(rows, f"{landing}/ecommerce.brz_events", "ts", 1000)
+        J.run(evolving.evolving_load(spark, landing, root, ckpt, T.StructType([f for f in EVENT_SCHEMA if f.name == "ts"])))
+    back = versioned.read(spark, root)
+    return back.select("event_id", "user_id", "event_type", F.col("value").cast("double").alias("value"),
+                       F.col("_kafka_topic").alias("kafka_topic"), F.col("_blob_partition_hour").alias("blob_partition_hour"),
+                       F.when(F.col(evolving.RESCUED).isNull(), 0).otherwise(1).alias("rescued"))
+
+
+@register("stream_fan_out", with_star("order_lines", "products", "customers") + """
+, m AS (SELECT 'order_lines' AS sink_folder, order_item_id AS key, return_flag = 'R' AS tomb FROM order_lines
+  UNION ALL SELECT 'products', CAST(product_id AS VARCHAR), false FROM products
+  UNION ALL SELECT 'customers', CAST(customer_id AS VARCHAR), false FROM customers)
+SELECT sink_folder, key, COUNT(*) AS messages FROM m WHERE NOT tomb GROUP BY sink_folder, key""")
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three topics in one landing of messages (a returned line is a null
+    value), filed by one streaming query into a folder per topic."""
+    feeds = [(star.order_lines(spark, sf_dir), "order_lines", "order_item_id", F.col("return_flag") == "R"),
+             (star.products(spark, sf_dir), "products", "product_id", F.lit(False)),
+             (star.customers(spark, sf_dir), "customers", "customer_id", F.lit(False))]
+    src, out, ckpt = scratch_path(spark, "fan-src"), scratch_path(spark, "fan-out"), scratch_path(spark, "fan-ckpt")
+    for df, table, key, gone in feeds:
+        incremental.route_topic(df, TOPIC_PREFIX, table).select(
+            F.col("_topic").alias("topic"), F.col(key).cast("string").alias("key"),
+            F.when(~gone, wire.encode_row(df.columns)).alias("value")).write.mode("append").option("maxRecordsPerFile", 20_000).parquet(src)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("topic", "key", "value")])
+    messages = J.file_stream(spark, src, schema, "parquet", 8)
+    J.run(J.fan_out(messages, strip_prefix(F.col("topic"), re.escape(TOPIC_PREFIX)), out, ckpt))
+    back = spark.read.schema("key string, sink_folder string").json(out)
+    return back.groupBy("sink_folder", "key").agg(F.count(F.lit(1)).alias("messages"))

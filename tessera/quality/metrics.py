@@ -39,3 +39,18 @@ def distinct_counts(targets: list[tuple[str, DataFrame, str]], approx: bool = Fa
                                                                             "distinct_values")
               for m, df, col in targets]
     return reduce(DataFrame.unionByName, frames)
+
+
+SKETCH_BITS = 12  # log2 of the registers: relative standard error 0.83 / sqrt(2^12), 1.3 %
+
+
+def daily_sketches(df: DataFrame, day, column: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """(day, sketch, rows): a HyperLogLog sketch of ``column`` per day, of
+    fixed size whatever the day holds.  Stored, it answers distinct counts
+    over any set of days without their rows."""
+    return df.groupBy(day.alias("day")).agg(F.hll_sketch_agg(column, F.lit(bits)).alias("sketch"), F.count(F.lit(1)).alias("rows"))
+
+
+def merged_distinct(sketches: DataFrame, *by) -> DataFrame:
+    """Distinct counts over groups of days, from their sketches alone."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"), F.sum("rows").alias("rows"))

@@ -8,7 +8,7 @@ quarantine frame, so passed + quarantined = input, with nothing dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,42 @@ def schema_violations(spark: SparkSession, contract: Contract, schema: T.StructT
     return spark.createDataFrame(schema_violations_list(contract, schema), VIOLATION_SCHEMA)
 
 
+def landed_columns(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """(column_name, found_type, rows) of the fields of landed JSON lines, one
+    row per field, from the lines themselves: ``rows`` counts the lines that
+    give it a value, ``found_type`` is the JSON type over all of them."""
+    objects = lines.select(F.try_parse_json(value_col).alias("_v")).where("_v is not null")
+    fields = objects.lateralJoin(lines.sparkSession.tvf.variant_explode(F.col("_v").outer())).select("key", "value")
+    return (fields.where("key is not null").groupBy(F.col("key").alias("column_name"))
+            .agg(F.lower(F.schema_of_variant_agg("value")).alias("found_type"),
+                 F.count_if(~F.is_variant_null("value")).alias("rows")))
+
+
+# Contract types by what JSON can say of them: a date or time lands as text.
+_LANDS_AS = [("^(tinyint|smallint|int|bigint)$", "^(bigint|void)$"), ("^(decimal.*|double|float)$", "^(bigint|decimal.*|double|float|void)$"),
+             ("^boolean$", "^(boolean|void)$"), ("^(string|date|timestamp.*)$", "^(string|void)$")]
+
+
+def landed_violations(lines: DataFrame, contract: Contract, value_col: str = "value") -> DataFrame:
+    """(table_name, column_name, violation, expected_type, found_type, rows)
+    of landed lines against the contract: ``missing`` and ``extra`` columns,
+    ``type_mismatch``, and ``incomplete`` (a required column that some lines
+    don't give; ``rows`` counts those that do)."""
+    spark = lines.sparkSession
+    declared = spark.createDataFrame([(c.name, c.type, not c.nullable) for c in contract.columns],
+                                     "column_name string, expected_type string, required boolean")
+    total = lines.agg(F.count_if(F.try_parse_json(value_col).isNotNull()).alias("total")).scalar()
+    fits = F.lit(False)
+    for expected, found in _LANDS_AS:
+        fits = fits | (F.col("expected_type").rlike(expected) & F.col("found_type").rlike(found))
+    violation = (F.when(F.coalesce("rows", F.lit(0)) == 0, F.when(F.col("expected_type").isNotNull(), "missing"))
+                 .when(F.col("expected_type").isNull(), "extra").when(~fits, "type_mismatch")
+                 .when(F.col("required") & (F.col("rows") < total), "incomplete"))
+    both = declared.join(landed_columns(lines, value_col), "column_name", "full_outer")
+    return both.select(F.lit(contract.table).alias("table_name"), "column_name", violation.alias("violation"), "expected_type",
+                       "found_type", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")).where("violation is not null")
+
+
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Cast every contract column with ``try_cast``; missing columns become
     typed NULLs, extra columns are kept.  Where a column needs a cast, values
@@ -71,6 +107,20 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*cols, *extra)
 
 
+def keep_lost(df: DataFrame, parsed: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Add or replace columns (name -> (column of raw text, parsed value)),
+    and keep the raw text of each value that parsing lost in
+    ``_dq_uncastable``, as ``conform`` does: ``flag_rules`` makes it a
+    ``cast:<col>`` failure, so the row goes to quarantine.  Blank text is no
+    value."""
+    lost = [F.when((F.trim(raw) != "") & value.isNull(), F.struct(F.lit(name).alias("column"), F.col(raw).cast("string").alias("raw")))
+            for name, (raw, value) in parsed.items()]
+    found = F.filter(F.array(*lost), lambda x: x.isNotNull())
+    if UNCASTABLE in df.columns:
+        found = F.concat(UNCASTABLE, found)
+    return df.withColumns({name: value for name, (_, value) in parsed.items()} | {UNCASTABLE: found})
+
+
 def flag_rules(df: DataFrame, contract: Contract, parents: dict[str, DataFrame] | None = None,
                check_duplicates: bool = True) -> DataFrame:
     """Add ``_dq_failed_rules``.

@@ -134,3 +134,48 @@ def drop_partitions_before(spark: SparkSession, base: str, cutoff: str) -> list[
                     fs.delete(d, True)
                     removed.append(day)
     return sorted(removed)
+
+
+def landed_files(spark: SparkSession, base: str) -> DataFrame:
+    """(path, folder, modified, bytes, day, snapshot) of all files below
+    ``base``, listed by Spark; no file is opened.  ``day`` is the date of
+    year=/month=/day= folders, ``snapshot`` that of a snapshot_ts= folder."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+             .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes")))
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    day = F.regexp_extract("path", r"/year=(\d+)/month=(\d+)/day=(\d+)/", 0)
+    date = F.regexp_replace(day, r"^/year=(\d+)/month=(\d+)/day=(\d+)/$", "$1-$2-$3")
+    stamp = F.regexp_extract("path", r"/snapshot_ts=(\d{4}-?\d{2}-?\d{2})", 1)
+    stamp = F.regexp_replace(stamp, r"^(\d{4})-?(\d{2})-?(\d{2})$", "$1-$2-$3")
+    return files.withColumns({"folder": folder, "day": F.when(day != "", date).cast("date"), "snapshot": F.when(stamp != "", stamp).cast("date")})
+
+
+SNAPSHOT_DAYS, STREAM_DAYS = 7, 90
+
+
+def expired_files(files: DataFrame, today, snapshot_days: int = SNAPSHOT_DAYS, stream_days: int = STREAM_DAYS) -> DataFrame:
+    """Files past their age on ``today``: snapshots and streamed hours by the
+    date in their path, others by the time they were modified."""
+    age = lambda at: F.date_diff(F.lit(today).cast("date"), at)
+    return files.where(F.when(F.col("snapshot").isNotNull(), age(F.col("snapshot")) > snapshot_days)
+                       .when(F.col("day").isNotNull(), age(F.col("day")) > stream_days)
+                       .otherwise(age(F.to_date("modified")) > stream_days))
+
+
+def retain(spark: SparkSession, base: str, today, snapshot_days: int = SNAPSHOT_DAYS, stream_days: int = STREAM_DAYS) -> int:
+    """Delete what is past its age, and return the number of files.  A folder
+    whose files all go is deleted whole; the driver handles one name per such
+    folder, and one per file only where a folder keeps others."""
+    files = landed_files(spark, base).withColumn("gone", F.lit(False))
+    old = expired_files(files.drop("gone"), today, snapshot_days, stream_days).select("path", F.lit(True).alias("gone"))
+    marked = files.drop("gone").join(old, "path", "left")
+    per_folder = marked.groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.count("gone").alias("gone"),
+                                              F.collect_list(F.when(F.col("gone"), F.col("path"))).alias("paths"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for row in per_folder.where("gone > 0").select("folder", "gone", F.when(F.col("gone") < F.col("files"), F.col("paths")).alias("paths")).toLocalIterator():
+        for name in row.paths or [row.folder]:
+            target = jvm.org.apache.hadoop.fs.Path(name)
+            target.getFileSystem(conf).delete(target, True)
+        removed += row.gone
+    return removed

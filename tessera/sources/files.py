@@ -141,11 +141,15 @@ def day_slice(df: DataFrame, year: str, month: str, day: str) -> DataFrame:
 
 
 def read_decimal_comma_csv(spark: SparkSession, path, columns: list[str], decimals: dict[str, str],
-                           day_first_dates: list[str], sep: str = ";") -> DataFrame:
+                           day_first_dates: list[str], sep: str = ";", keep: bool = False) -> DataFrame:
     """CSV with ``sep`` separators, decimal commas and dd/MM/yyyy dates.
     Read as text (no inference), then parse with tolerant casts: a bad
-    value becomes NULL rather than failing the load."""
+    value becomes NULL rather than failing the load.  With ``keep``, its
+    text stays in ``_dq_uncastable`` (``quality.validation.keep_lost``)."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = spark.read.schema(schema).option("header", "true").option("sep", sep).csv(path)
-    return raw.withColumns({**{c: decimal_comma(c, t) for c, t in decimals.items()},
-                            **{c: parse_day_first(c) for c in day_first_dates}})
+    parsed = {**{c: decimal_comma(c, t) for c, t in decimals.items()}, **{c: parse_day_first(c) for c in day_first_dates}}
+    if keep:
+        from tessera.quality.validation import keep_lost
+        return keep_lost(raw, {c: (c, value) for c, value in parsed.items()})
+    return raw.withColumns(parsed)

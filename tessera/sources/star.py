@@ -42,9 +42,8 @@ def category_code(ptype) -> F.Column:
 
 def brand_label(brand, ptype) -> F.Column:
     """Display code of a brand: upper case, letters and digits of its name,
-    then the type's first four letters.  Not a key."""
-    return F.concat(F.lit("BRD-"), F.upper(F.regexp_replace(brand, "[^A-Za-z0-9]", "")),
-                    F.lit("-"), F.substring(ptype, 1, 4))
+    then the type.  Not a key."""
+    return F.concat(F.lit("BRD-"), F.upper(F.regexp_replace(brand, "[^A-Za-z0-9]", "")), F.lit("-"), F.col(ptype))
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,19 +133,31 @@ def category(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("p_type").alias("category_name")).distinct()
 
 
-# Days that joins and foreign-key checks look up: a generated dimension needs
-# no pass over the fact for its bounds.
-CALENDAR_RANGE = ("1900-01-01", "2199-12-31")
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of the fact, from its first to its last."""
+    from tessera.operators.dimensions import calendar_between
+    return calendar_between(_fact_bounds(spark, sf_dir))
 
 
-def calendar(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Days from ``start`` to ``end``; without them, those of the fact."""
-    from tessera.operators.dimensions import calendar_between
-    if start and end:
-        return calendar_between(spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end")))
-    bounds = read_table(spark, sf_dir, "lineitem").agg(
+def _fact_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").agg(
         F.min(F.to_date("l_shipdate")).alias("start"), F.max(F.to_date("l_shipdate")).alias("end"))
-    return calendar_between(bounds)
+
+
+def calendar_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``calendar`` for foreign-key checks: its two bounds are read first
+    (one pass over the date column), so the planner knows that the days
+    generated from them are few and can broadcast them."""
+    from tessera.operators.dimensions import calendar_between
+    bounds = _fact_bounds(spark, sf_dir).first()
+    days = spark.range(0 if bounds.start is None else 1)
+    return calendar_between(days.select(F.lit(bounds.start).cast("date").alias("start"), F.lit(bounds.end).cast("date").alias("end")))
+
+
+def day_of(date_code) -> F.Column:
+    """The date of a yyyymmdd code."""
+    code = F.col(date_code) if isinstance(date_code, str) else date_code
+    return F.make_date(F.floor(code / 10000).cast("int"), (F.floor(code / 100) % 100).cast("int"), (code % 100).cast("int"))
 
 
 STAR_TABLES = {

@@ -11,12 +11,13 @@ committed offsets say.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.time import hour_parts
 from tessera.operators.dedup import latest_per_key
+from tessera.sinks import versioned
 from tessera.sinks.files import HOUR_COLS, TIMESTAMP_OPTIONS
 from tessera.sources.files import TIMESTAMP_OPTIONS as READ_TS_OPTIONS
 
@@ -89,6 +90,41 @@ def session_counts(df: DataFrame, user_col: str, time_col: str, gap: str, delay:
                  F.max(time_col).alias("last_ts")))
 
 
+def closed_sessions(df: DataFrame, user_col: str, time_col: str, gap: str, delay: str, closing) -> DataFrame:
+    """``session_counts`` for append mode: a session comes out once, when the
+    watermark has passed its end, and its state goes.  A record at the time
+    ``closing`` (later than all events) ends the feed: it moves the watermark
+    over every session and is no event itself.  Its filter names the time
+    column, so it stays above the watermark."""
+    marked = df.withWatermark(time_col, delay).where(F.col(time_col) < F.lit(closing))
+    return (marked.groupBy(F.col(user_col), F.session_window(F.col(time_col), gap).alias("session"))
+            .agg(F.count(F.lit(1)).alias("events"), F.min(time_col).alias("first_ts"), F.max(time_col).alias("last_ts"))
+            .drop("session"))
+
+
+def progress_of(query) -> dict[str, int]:
+    """State rows left after a drained query, and rows it dropped as late."""
+    steps = [p["stateOperators"] for p in query.recentProgress if p["stateOperators"]]
+    return {"state_rows": sum(s["numRowsTotal"] for s in steps[-1]) if steps else 0,
+            "late_rows": sum(s["numRowsDroppedByWatermark"] for ops in steps for s in ops)}
+
+
+FAN_OUT_EVERY = "300 seconds"
+
+
+def fan_out(messages: DataFrame, folder: Column, path: str, checkpoint: str, max_records_per_file: int = 1000):
+    """A configured writer that files each message under its topic's folder:
+    one query for all topics, tombstones left out, JSON files of at most
+    ``max_records_per_file`` messages.  Below a topic's folder each batch has
+    its own, which a repeated batch replaces.  Run it every
+    ``FAN_OUT_EVERY`` (``run(writer, FAN_OUT_EVERY)``), or drained."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", max_records_per_file).partitionBy("sink_folder", "_batch").json(path))
+    return (drop_tombstones(messages).withColumn("sink_folder", folder).writeStream
+            .option("checkpointLocation", checkpoint).foreachBatch(write))
+
+
 def overwrite_each_batch(path: str):
     """foreachBatch body for complete-mode results: each batch writes a
     version of its own, the newest complete one is the table
@@ -99,6 +135,17 @@ def overwrite_each_batch(path: str):
     return write
 
 
+def upsert_versions(root: str, keys: list[str], order_by: list[str], op_col: str | None = None, name: str = "batch", keep: int = 3, **how):
+    """foreachBatch body that upserts each batch into a versioned table: one
+    atomic commit per batch with its number, so that a repeated batch does
+    nothing; buckets grow with the table and markers of deleted keys go after
+    a number of versions (``versioned.stage_upsert``)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        versioned.upsert(batch, root, keys, order_by, op_col, mark=(name, batch_id), **how)
+        versioned.expire(batch.sparkSession, root, keep)
+    return write
+
+
 DELETED = "__deleted"
 UPSERT_BUCKETS = 16
 
