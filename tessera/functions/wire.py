@@ -84,13 +84,14 @@ def decimal_to_wire(col, scale: int) -> Column:
     return F.base64(F.unhex(F.when(unscaled >= 0, pos).otherwise(neg)))
 
 
-def wire_to_decimal(col, precision: int, scale: int) -> Column:
+def wire_to_decimal(col, precision: int, scale: int, max_bytes: int = 8) -> Column:
     """base64 unscaled two's-complement bytes -> DECIMAL(precision, scale).
 
     Exact integer arithmetic: a negative value is minus one minus the number
-    that its inverted bytes spell.  A value that DECIMAL(precision, scale)
-    can't hold, or text that isn't base64, gives NULL;
-    ``quality.validation.keep_lost`` keeps its text for quarantine."""
+    that its inverted bytes spell.  A value of more than ``max_bytes`` (at
+    most 16) or that DECIMAL(precision, scale) can't hold, or text that isn't
+    base64, gives NULL; ``quality.validation.keep_lost`` keeps its text for
+    quarantine."""
     h = F.hex(F.try_to_binary(_c(col), F.lit("base64")))
     negative = F.substring(h, 1, 1).isin(*"89ABCDEF")
     spelled = F.when(negative, F.translate(h, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(h)
@@ -98,11 +99,14 @@ def wire_to_decimal(col, precision: int, scale: int) -> Column:
     signed = F.when(negative, F.lit(-1) - number(spelled)).otherwise(number(spelled)).cast("decimal(19,0)")
     value = signed * F.lit(Decimal(1).scaleb(-scale)) if scale else signed
     short = F.when(h != "", value).try_cast(f"decimal({precision},{scale})")
-    return F.when(F.length(h) <= 16, short).otherwise(_long_decimal(spelled, negative, precision, scale))
+    if max_bytes <= 8:
+        return F.when(F.length(h) <= 2 * max_bytes, short)
+    long = F.when(F.length(h) <= 2 * min(max_bytes, 16), _long_decimal(spelled, negative, precision, scale))
+    return F.when(F.length(h) <= 16, short).otherwise(long)
 
 
 def _long_decimal(spelled: Column, negative: Column, precision: int, scale: int) -> Column:
-    """Hex digits of more than 8 bytes, in two halves.  The point is set in
+    """Hex digits of 9 to 16 bytes, in two halves.  The point is set in
     the number's text, since products of such decimals lose digits."""
     plain = F.regexp_replace(spelled, "^0+(?=.)", "")
     half = lambda digits: F.conv(digits, 16, 10).cast("decimal(20,0)")
@@ -111,7 +115,7 @@ def _long_decimal(spelled: Column, negative: Column, precision: int, scale: int)
     digits = F.try_add(size, F.when(negative, 1).otherwise(0).cast("decimal(1,0)")).cast("string")
     digits = F.when(F.length(digits) > scale, digits).otherwise(F.lpad(digits, scale + 1, "0"))
     text = F.concat(F.when(negative, "-").otherwise(""), F.left(digits, F.length(digits) - scale), F.lit("."), F.right(digits, F.lit(scale)))
-    return F.when(F.length(plain) <= 32, text.try_cast(f"decimal({precision},{scale})"))
+    return text.try_cast(f"decimal({precision},{scale})")
 
 
 def days_to_date(col) -> Column:

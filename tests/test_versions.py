@@ -303,10 +303,10 @@ def test_wire_decimals_beyond_eight_bytes(spark):
         return base64.b64encode(n.to_bytes(size, "big", signed=True)).decode()
     big = [0, 5, -5, 255, -256, 2 ** 63 - 1, -2 ** 63, 2 ** 63, 2 ** 64, -2 ** 64 - 1, 10 ** 38 - 1, -(10 ** 38 - 1)]
     for scale in (0, 4):
-        got = spark.createDataFrame([(encoded(n),) for n in big], "v string").select(wire.wire_to_decimal("v", 38, scale)).collect()
+        got = spark.createDataFrame([(encoded(n),) for n in big], "v string").select(wire.wire_to_decimal("v", 38, scale, 16)).collect()
         assert [r[0] for r in got] == [Decimal(f"{n}e-{scale}") for n in big]
     lost = [encoded(10 ** 38), encoded(2 ** 126 + 2 ** 125 + 2 ** 124), encoded(2 ** 200), encoded(10 ** 11), "!!", ""]
     df = spark.createDataFrame([(v,) for v in lost], "v string")
-    out = V.keep_lost(df, {"price": ("v", wire.wire_to_decimal("v", 10, 0))})
+    out = V.keep_lost(df, {"price": ("v", wire.wire_to_decimal("v", 10, 0, 16))})
     assert [r.price for r in out.collect()] == [None] * len(lost)
     assert [[x.raw for x in r[V.UNCASTABLE]] for r in out.collect()] == [[v] if v else [] for v in lost]
