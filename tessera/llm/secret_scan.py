@@ -44,6 +44,8 @@ MAX_SAMPLE_DOCS = 500
 MIN_RATIO = 12.0
 SMOOTHING = 0.5
 ALPHABET = 66  # characters of a candidate
+CODES = 128  # all of them ASCII
+PIECE = 1 << 16
 
 
 def _matches(texts: DataFrame, pattern: str, kind: str) -> DataFrame:
@@ -58,11 +60,25 @@ def _matches(texts: DataFrame, pattern: str, kind: str) -> DataFrame:
         "doc_id", "row_hash", F.lit(kind).alias("kind"), "start", (F.col("start") + F.length("value")).alias("end"), "value")
 
 
+def _pieces(strings: DataFrame, *more: str) -> DataFrame:
+    """``more``, chars: the characters of ``value`` in pieces of ``PIECE``,
+    each with the first character of the next, so that a long string is one
+    bounded row per piece and its work stays in proportion to its length."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length("value") - 1, F.lit(1)), F.lit(PIECE))
+    cut = strings.select(*more, "value", F.explode(starts).alias("at"))
+    return cut.select(*more, F.split(F.substring("value", F.col("at"), F.lit(PIECE + 1)), "").alias("chars"))
+
+
+def _steps(step) -> Column:
+    """``step(a, b)`` of each two successive characters of ``chars``."""
+    many = F.greatest(F.size("chars") - 1, F.lit(0))
+    return F.zip_with(F.slice("chars", F.lit(1), many), F.slice("chars", F.lit(2), many), step)
+
+
 def _transitions(samples: DataFrame) -> DataFrame:
     """a, b, n: counts of successive characters in ``value``."""
-    pairs = samples.select(F.explode(F.sequence(F.lit(1), F.length("value") - 1)).alias("i"), "value")
-    return pairs.select(F.substring("value", F.col("i"), F.lit(1)).alias("a"),
-                        F.substring("value", F.col("i") + 1, F.lit(1)).alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
+    pairs = _pieces(samples).select(F.explode(_steps(lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p"))
+    return pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
 
 
 def _conditional(counts: DataFrame, name: str) -> DataFrame:
@@ -83,6 +99,14 @@ def train(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     return out.select("a", "b", (F.col("log_random") - F.col("log_ordinary")).alias("ratio"))
 
 
+def _ratio_table(model: DataFrame) -> DataFrame:
+    """One row, ratios: an array of CODES squared numbers, 0 for transitions
+    that neither sample has."""
+    code = F.ascii("a") * CODES + F.ascii("b")
+    seen = model.agg(F.map_from_entries(F.collect_list(F.struct(code, "ratio"))).alias("seen"))
+    return seen.select(F.transform(F.sequence(F.lit(0), F.lit(CODES * CODES - 1)), lambda k: F.coalesce(F.col("seen")[k], F.lit(0.0))))
+
+
 def _lowest(df: DataFrame, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64("value"), "value").limit(n)
 
@@ -111,12 +135,11 @@ def scan(docs: DataFrame) -> DataFrame:
     ordinary = materialize(_lowest(words.filter(F.length("value") < MIN_CANDIDATE).distinct(), MAX_SAMPLES), "ordinary")
     model = materialize(train(random, ordinary), "markov_model")
 
-    steps = free.select("doc_id", "row_hash", "start", "end", "value",
-                        F.explode(F.sequence(F.lit(1), F.length("value") - 1)).alias("i")).select(
-        "doc_id", "row_hash", "start", "end", F.substring("value", F.col("i"), F.lit(1)).alias("a"),
-        F.substring("value", F.col("i") + 1, F.lit(1)).alias("b"))
-    scored = steps.join(model, ["a", "b"], "left").groupBy("doc_id", "row_hash", "start", "end").agg(
-        F.sum(F.coalesce("ratio", F.lit(0.0))).alias("ratio"))
+    # the model as one array by the codes of both characters: a look-up is one step
+    ratios = _ratio_table(model).scalar()
+    total = F.aggregate(_steps(lambda a, b: F.get(F.col("ratios"), F.ascii(a) * CODES + F.ascii(b))), F.lit(0.0), lambda s, r: s + r)
+    pieces = _pieces(free, "doc_id", "row_hash", "start", "end").withColumn("ratios", ratios)
+    scored = pieces.groupBy("doc_id", "row_hash", "start", "end").agg(F.sum(total).alias("ratio"))
     found = scored.filter(F.col("ratio") >= MIN_RATIO).select("doc_id", "row_hash", F.lit("markov").alias("kind"), "start", "end")
 
     spans = base.select("doc_id", "row_hash", "kind", "start", "end").unionByName(found)
