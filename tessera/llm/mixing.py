@@ -14,12 +14,15 @@ combines before the shuffle, so a hot source is no hot task.
 
 Copies: rates are rounded by error diffusion over (source, hash block)
 groups of bounded size, largest documents first, so a source misses its
-target by little more than a small document per block.
+target by little more than a small document per block.  Rows alike in doc_id,
+source and text are one entry with their number there, however many they are;
+the entry's copies are dealt to them as evenly as can be.
 
 Defined results: a null text has no words; documents without words take
 none; a null source is a source of its own, last in order; a table without
-words takes none; repeated rows are documents of their own; reruns agree.
-Only doc_id, text and source are read.
+words takes none; repeated rows are documents of their own; rows with a null or
+reused doc_id are told apart by a hash of the text; reruns agree.  A tilt that
+doesn't converge is an error.  Only doc_id, text and source are read.
 """
 
 from __future__ import annotations
@@ -99,48 +102,78 @@ def tilts(sizes: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
             F.when(known & ~near, F.lit(1.0)).otherwise(F.lit(0.0)).alias("gap")), "tilts")
         if state.filter("tilt is not null and gap > 0").isEmpty():
             break
+    else:
+        raise RuntimeError(f"no tilt within {STEPS} Newton steps")
     return state.select("source", "source_size", "source_rows", "target", "mean", "tilt")
 
 
 def _round(cap: int):
     def group(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "doc_id"], ascending=[False, True], ignore_index=True, kind="stable")
-        copies = np.zeros(len(rows), np.int64)
+        rows = rows.sort_values(["size", "doc_id", "text_hash"], ascending=[False, True, True], ignore_index=True, kind="stable")
+        total = np.zeros(len(rows), np.int64)
         carried = 0.0
-        for i, (size, rate) in enumerate(zip(rows["size"].to_numpy(), rows["rate"].to_numpy())):
+        for i, (size, rate, many) in enumerate(zip(rows["size"].to_numpy(), rows["rate"].to_numpy(), rows["many"].to_numpy())):
             if size > 0:
-                carried += size * rate
-                copies[i] = min(cap, max(0, int(np.floor(carried / size + 0.5))))
-                carried -= copies[i] * size
-        rows["copies"] = copies
+                carried += size * rate * many
+                total[i] = min(cap * many, max(0, int(np.floor(carried / size + 0.5))))
+                carried -= total[i] * size
+        rows["total"] = total
         return rows
     return group
 
 
+CHUNK = 10_000  # rows of one entry that are made from one row at a time
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, cap: int = CAP) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, rate,
-    copies, taken (= copies * size)."""
-    sizes = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "words")
+    """One row per document: doc_id, source, size, text_hash, source_size,
+    target, rate, copies, taken (= copies * size)."""
+    sizes = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash")), "words")
     goals = materialize(targets(sizes, weights, budget, cap), "targets")
     solved = tilts(sizes, goals, cap)
     solved = solved.withColumnRenamed("source", "of")
     rate = F.when(F.col("tilt").isNull(), F.lit(float(cap))).otherwise(
         cap / (1 + (cap - 1) * F.exp(-F.col("tilt") * F.col("size") / F.col("mean"))))
-    rated = sizes.join(solved, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "source", "size", "source_size", "target", rate.alias("rate"),
-        F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("source_rows") / ROWS_PER_BLOCK)).alias("block"))
-    out = rated.groupBy("source", "block").applyInPandas(
-        _round(cap), "doc_id long, source string, size long, source_size long, target double, rate double, block long, copies long")
-    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                      (F.col("copies") * F.col("size")).alias("taken"))
+    entries = sizes.groupBy("doc_id", "source", "size", "text_hash").agg(F.count("*").alias("many"))
+    rated = entries.join(solved, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "source", "size", "text_hash", "many", "source_size", "target", rate.alias("rate"),
+        F.pmod(F.xxhash64("doc_id", "text_hash"), F.ceil(F.col("source_rows") / ROWS_PER_BLOCK)).alias("block"))
+    planned = rated.groupBy("source", "block").applyInPandas(
+        _round(cap), "doc_id long, source string, size long, text_hash long, many long, source_size long, target double, rate double, "
+                     "block long, total long")
+    # an entry's rows again: the first ``total mod many`` of them get one copy more
+    chunked = planned.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("many") - 1, F.lit(CHUNK).cast("bigint"))))
+    rows = chunked.withColumn("nth", F.explode(F.sequence("at", F.least(F.col("at") + CHUNK, F.col("many")) - 1)))
+    copies = F.floor(F.col("total") / F.col("many")) + (F.col("nth") < F.col("total") % F.col("many")).cast("bigint")
+    return rows.withColumn("copies", copies).select("doc_id", "source", "size", "text_hash", "source_size", "target", "rate", "copies",
+                                                    (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def apply_copies(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them, with docs' columns.  Rows
-    alike in doc_id, source and size are taken alike."""
-    plan = (mixed.filter("copies > 0").groupBy(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"),
-                                               F.col("size").alias("mix_size")).agg(F.max("copies").alias("copies")))
-    packed = docs.select(F.struct("*").alias("row"), "doc_id", "source", n_words(F.col("text")).alias("size"))
+    """The documents as often as the mix takes them, with docs' columns.  The
+    copies planned for rows alike in doc_id, source and text are dealt to
+    them by number: in all, what is planned is taken."""
+    plan = (mixed.groupBy(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("text_hash").alias("mix_hash"))
+            .agg(F.sum("copies").alias("total"), F.count("*").alias("many")).filter("total > 0"))
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", "source", F.xxhash64("text").alias("text_hash"), F.spark_partition_id().alias("part"))
     joined = packed.join(plan, F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source"))
-                         & (F.col("size") == F.col("mix_size")))
-    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+                         & (F.col("text_hash") == F.col("mix_hash")))
+    times = lambda df, n: df.select("row", F.explode(F.sequence(F.lit(1), n.cast("int")))).select("row.*")
+    even = F.col("total") % F.col("many") == 0
+    share = F.floor(F.col("total") / F.col("many"))
+    out = times(joined.filter(even & (share > 0)), share)
+    if plan.filter(~even).isEmpty():
+        return out
+    # Rows that can't be taken alike are numbered: within the partition that
+    # they were read in, after the rows of earlier partitions.
+    uneven = materialize(joined.filter(~even).select("row", "mix_id", "mix_source", "mix_hash", "part", "total", "many"), "uneven")
+    entry = ["mix_id", "mix_source", "mix_hash"]
+    earlier = Window.partitionBy(*entry).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = uneven.groupBy(*entry, "part").agg(F.count("*").alias("here"))
+    before = counts.select(*(F.col(c).alias(f"of_{c}") for c in (*entry, "part")), F.coalesce(F.sum("here").over(earlier), F.lit(0)).alias("before"))
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*entry, "part")]
+    within = F.row_number().over(Window.partitionBy(*entry, "part").orderBy(F.lit(0))) - 1
+    numbered = uneven.withColumn("nth", within).join(before, same)
+    copies = share + (F.col("before") + F.col("nth") < F.col("total") % F.col("many")).cast("bigint")
+    numbered = numbered.withColumn("copies", copies).filter("copies > 0")
+    return out.unionByName(times(numbered, F.col("copies")))
