@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.textnp import column_bytes
+from tessera.llm.textnp import cut_by_bytes
 
 MAX_WORDS = 250_000  # words a worker knows
 MAX_PAIRS = 250_000  # pairs of tokens a worker has judged
@@ -254,21 +254,10 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
-def parts_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut by the bytes of one column."""
-    for batch in batches:
-        _, off = column_bytes(batch.column(column))
-        a = 0
-        while a < len(batch):
-            b = max(a + 1, int(np.searchsorted(off, off[a] + PART_BYTES, side="right")) - 1)
-            yield batch.slice(a, b - a)
-            a = b
-
-
 def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed little-endian unsigned 32-bit)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts_of(batches, 1):
+        for batch in chain.from_iterable(cut_by_bytes(b, 1, PART_BYTES) for b in batches):
             packed = coder(tokenizer_path).encode_all([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
                                               pa.array(packed, pa.binary())], names=["doc_id", "n_tokens", "ids"])
@@ -278,7 +267,7 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 def decode(tokens: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids, decoded from the columns of ``encode``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts_of(batches, 2):
+        for batch in chain.from_iterable(cut_by_bytes(b, 2, PART_BYTES) for b in batches):
             text = decoder(tokenizer_path).decode_all([p or b"" for p in batch.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())],
                                              names=["doc_id", "n_tokens", "ids", "decoded"])

@@ -58,6 +58,16 @@ def chunks(data: np.ndarray, off: np.ndarray, limit: int = CHUNK_BYTES) -> Itera
         a = b
 
 
+def cut_by_bytes(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``limit`` bytes of one column (or one row)."""
+    _, off = column_bytes(batch.column(column))
+    a = 0
+    while a < len(batch):
+        b = max(a + 1, int(np.searchsorted(off, off[a] + limit, side="right")) - 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def runs(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of maximal runs of True that stay within a document."""
     n = len(inside)

@@ -5,13 +5,14 @@ as one row per document (doc_id, part, n_tokens, ids).  Writer settings:
 Parquet format 2 pages (delta-encoded integers, dictionary where it pays),
 row groups of bounded bytes, pages of bounded rows with column indexes, so a
 reader can take metadata columns or a doc_id range without touching other
-ids.  ``read_ids`` reads files back; ``with_offsets`` adds each document's
-first token's place from per-part totals (one row per written part) and sums
-within the part.
+ids.  Each row holds the number of ids that its part has before it, so a
+document's place in the whole is that and the totals of earlier parts (one
+row per written part): ``with_offsets`` reads both back with the ids.
 
 Encoding: texts are cut where byte-level BPE has a token bound for certain
 (``Encoder``), and each distinct piece is encoded once per worker (a cache of
-bounded size).  With ``added_tokens`` the strings of the tokenizer's added
+bounded size, in two generations: what the older one holds is kept when it
+is met again).  With ``added_tokens`` the strings of the tokenizer's added
 tokens are those tokens, as in the library by itself; without, they are
 ordinary text.  The tokenizer file is read on the workers from a path given as a parameter.
 
@@ -35,13 +36,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize
+from tessera.llm.textnp import cut_by_bytes
 from tessera.session import scratch_path
 
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 1_000
-CACHE_PIECES = 500_000
-SEEN_BITS = 1 << 24
+CACHE_PIECES = 250_000  # of each generation
+BATCH_IDS = 1 << 28  # ids that a list column's 32-bit offsets safely hold
 
 GROUP = 64
 
@@ -66,8 +68,7 @@ class Encoder:
     visible characters, around a single newline between visible characters,
     and between a letter and one point or comma that ends a word.  Texts are
     cut there; what is left is encoded by the tokenizer, words of letters by
-    its model alone (one word is one unit for it).  A piece is cached when it
-    comes a second time (a bit table remembers the first).  A text that holds
+    its model alone (one word is one unit for it).  A text that holds
     any other white space is cut at the certain spaces only.  A text that
     holds an added token's string is encoded by the tokenizer as a whole
     where ``added_tokens`` are asked for."""
@@ -82,7 +83,7 @@ class Encoder:
         self.space = self.letters[32]
         self.known: dict[str, bytes] = {}  # pieces after a space, without it; those after a newline, with it
         self.heads: dict[str, bytes] = {}  # pieces as they are
-        self.met = bytearray(SEEN_BITS)
+        self.older: dict[str, bytes] = {}  # ``known`` before it was full
         self._learn_heads(["\n", ".", ","])
         self.newline, self.marks = self.heads["\n"], {m: self.heads[m] for m in ".,"}
 
@@ -97,10 +98,14 @@ class Encoder:
     def _learn(self, pieces: set[str]) -> None:
         """Learn the plain ones among ``pieces``."""
         if len(self.known) > CACHE_PIECES:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         known, marks, word, letters = self.known, self.marks, self.word, self.letters
         rest = []
+        older = self.older
         for piece in pieces:
+            if piece in older:
+                known[piece] = older[piece]
+                continue
             line = piece[:1] == "\n"
             stem = piece[1:] if line else piece
             mark = stem[-1:] in marks and stem[-2:-1].isalpha()
@@ -115,15 +120,6 @@ class Encoder:
         if rest:
             known.update(zip(rest, self._raw([p if p[0] == "\n" else " " + p for p in rest])))
 
-    def _forget_firsts(self, pieces: set[str]) -> None:
-        """Drop those of ``pieces`` that came for the first time."""
-        met, known = self.met, self.known
-        for piece in pieces:
-            at = hash(piece) & (SEEN_BITS - 1)
-            if not met[at]:
-                met[at] = 1
-                known.pop(piece, None)
-
     def _plainly(self, text: str) -> bytes:
         parts = _CUT.split(text)
         pieces = [parts[0], *[" " + p for p in parts[1:]]]
@@ -143,14 +139,13 @@ class Encoder:
         for k in range(0, len(texts), GROUP):
             # the first piece is taken like one after a newline, less that newline
             cut = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts[k:k + GROUP]]
-            missing = set(chain.from_iterable(cut)).difference(self.known)
-            self._learn(missing)
+            wanted = set(chain.from_iterable(cut))
+            self._learn(wanted if len(self.known) > CACHE_PIECES else wanted.difference(self.known))
             for text, pieces in zip(texts[k:k + GROUP], cut):
                 try:
                     out.append(b"".join(map(self.known.__getitem__, pieces))[len(self.newline):])
                 except KeyError:
                     out.append(self._plainly(text))
-            self._forget_firsts(missing)
         return out
 
     def encode(self, text: str) -> bytes:
@@ -169,26 +164,30 @@ def encoder(tokenizer_path: str, added_tokens: bool = False) -> Encoder:
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, added_tokens: bool = False) -> DataFrame:
-    """doc_id, part, n_tokens, ids in ascending doc_id order within and over
-    parts."""
+    """doc_id, part, before (ids of the part ahead of the row), n_tokens, ids
+    in ascending doc_id order within and over parts.  Rows of one doc_id
+    follow each other by their text's hash, equal ones as they are read."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tie = F.xxhash64("text")
-    ordered = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-               .repartitionByRange(parts, "doc_id", tie).sortWithinPartitions("doc_id", tie)
-               .withColumn("part", F.spark_partition_id()))
+    tie = [F.xxhash64("text"), F.col("at")]
+    ordered = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("at"))
+               .repartitionByRange(parts, "doc_id", *tie).sortWithinPartitions("doc_id", *tie)
+               .select("doc_id", "text", F.spark_partition_id().alias("part")))
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path, added_tokens)
-        for batch in batches:
-            raw = [r + end for r in enc.encode_all(batch.column(1).to_pylist())]
-            counts = np.array([len(r) // 4 for r in raw], np.int64)
-            ids = np.frombuffer(b"".join(raw), "<u4").astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts), lists],
-                                             names=["doc_id", "part", "n_tokens", "ids"])
-    return ordered.mapInArrow(encode, "doc_id long, part int, n_tokens long, ids array<int>")
+        enc, before = encoder(tokenizer_path, added_tokens), 0
+        for whole in batches:  # a batch lies in one part
+            for batch in cut_by_bytes(whole, 1, BATCH_IDS):  # no text has more ids than bytes
+                raw = [r + end for r in enc.encode_all(batch.column(1).to_pylist())]
+                counts = np.array([len(r) // 4 for r in raw], np.int64)
+                ends = np.append(0, np.cumsum(counts))
+                ids = np.frombuffer(b"".join(raw), "<u4").astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(before + ends[:-1]), pa.array(counts), lists],
+                                                 names=["doc_id", "part", "before", "n_tokens", "ids"])
+                before += int(ends[-1])
+    return ordered.mapInArrow(encode, "doc_id long, part int, before long, n_tokens long, ids array<int>")
 
 
 def write_ids(tokens: DataFrame, path: str) -> None:
@@ -198,25 +197,23 @@ def write_ids(tokens: DataFrame, path: str) -> None:
 
 
 def read_ids(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    return spark.read.parquet(path).select(*(columns or ["doc_id", "part", "n_tokens", "ids"]))
+    return spark.read.parquet(path).select(*(columns or ["doc_id", "part", "before", "n_tokens", "ids"]))
 
 
 def with_offsets(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 from the written files."""
     def checksum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(3)
+            lists = batch.column(4)
             values = np.ascontiguousarray(np.asarray(lists.values), "<u4")
             off = np.asarray(lists.offsets)
             crc = [zlib.crc32(values[a:b]) for a, b in zip(off[:-1], off[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())],
-                                             names=["doc_id", "part", "n_tokens", "ids_crc32"])
-    sums = materialize(read_ids(spark, path).mapInArrow(checksum, "doc_id long, part int, n_tokens long, ids_crc32 long"), "sums")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
-    parts = sums.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("part").orderBy("doc_id", "ids_crc32", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    out = sums.withColumn("inner", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(parts, "part")
-    return out.select("doc_id", (F.col("base") + F.col("inner")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(off), pa.int64()), pa.array(crc, pa.int64())],
+                                             names=["doc_id", "part", "before", "n_tokens", "ids_crc32"])
+    sums = materialize(read_ids(spark, path).mapInArrow(checksum, "doc_id long, part int, before long, n_tokens long, ids_crc32 long"), "sums")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    parts = sums.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    return sums.join(parts, "part").select("doc_id", (F.col("base") + F.col("before")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")
 
 
 def encode_to_files(docs: DataFrame, tokenizer_path: str, added_tokens: bool = False) -> DataFrame:

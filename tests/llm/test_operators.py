@@ -308,3 +308,85 @@ def test_pipeline_stages(spark, tables, odd, none):
             docs = out
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and out.filter("shard < 0 or shard > 15").count() == 0
+
+
+def test_long_strings_are_scanned_in_proportion(spark):
+    """A megabyte without a break: pieces of bounded size, the same ratio as
+    in one piece."""
+    import base64
+    import random
+    import time
+    rng = random.Random(1)
+    blob = base64.b64encode(rng.randbytes(750_000)).decode()
+    rows = [(k, f"token = {base64.b64encode(rng.randbytes(30)).decode()} and the ordinary words of a plain text {prose(k, 30)}") for k in range(40)]
+    rows += [(100 + k, prose(100 + k, 60)) for k in range(40)] + [(1000, "x " + blob + " y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    begin = time.time()
+    found = {r.doc_id: r.spans for r in secret_scan.scan(docs).collect()}
+    assert time.time() - begin < 60
+    assert found[1000] == f"markov:2:{2 + len(blob)}"
+
+
+def test_pieces_keep_every_transition(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "PIECE", 3)
+    values = ["abcdefg", "ab", "a", "abc", "abcd", "xyzxyzx"]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    expect = defaultdict(int)
+    for v in values:
+        for a, b in zip(v, v[1:]):
+            expect[a, b] += 1
+    assert {(r.a, r.b): r.n for r in secret_scan._transitions(df).collect()} == expect
+
+
+def test_mix_tells_null_ids_apart_and_takes_what_it_plans(spark):
+    rows = [(None if k % 2 else k, prose(k, 5 + k % 60), "abc"[k % 3], k) for k in range(1_500)]
+    rows += [(None, prose(9_999, 40), "a", 0)] * 333 + [(7, prose(9_998, 41), "b", 0)] * 334  # equal rows, and a reused id
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long").repartition(7)
+    mixed = mixing.mix(docs)
+    assert mixed.count() == len(rows)
+    planned = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum("taken").alias("n")).collect()}
+    applied = mixing.apply_copies(docs, mixed)
+    words = F.size(F.split("text", " "))
+    assert {r.source: r.n for r in applied.groupBy("source").agg(F.sum(words).alias("n")).collect()} == planned
+    goals = {r.source: r.target for r in mixed.select("source", "target").distinct().collect()}
+    assert all(abs(planned[s] - goals[s]) <= max(0.01 * goals[s], 60) for s in goals)
+    assert applied.groupBy("doc_id", "text", "extra").count().agg(F.max("count")).first()[0] <= 2 * 334
+    decided = lambda m: rows_of(m.select("doc_id", "source", "text_hash", "copies"))
+    assert decided(mixing.mix(docs.repartition(3))) == decided(mixed)
+
+
+def test_mix_raises_where_no_tilt_is_found(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    docs = spark.createDataFrame([(k, prose(k, 5 + k), "ab"[k % 2]) for k in range(60)], "doc_id long, text string, source string")
+    with pytest.raises(RuntimeError):
+        mixing.mix(docs)
+
+
+def test_starts_are_places_in_the_files(spark, scratch):
+    """One doc_id twelve times, null ids and equal rows."""
+    rows = [(5, "word " * k) for k in range(12)] + [(None, "a b")] * 3 + [(None, None), (7, "tail"), (1, "x y z")] + [(k, prose(k, 9)) for k in range(20, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    import public_tokenizers
+    path = f"{scratch}/ids"
+    token_files.write_ids(token_files.tokenized(docs, public_tokenizers.path("byte_bpe_50k.json")), path)
+    flat, at, expect = [], 0, []
+    files = spark.read.parquet(path).collect()
+    for r in sorted(files, key=lambda r: (r.part, r.before)):
+        expect.append((r.doc_id, at, r.n_tokens, zlib.crc32(np.array(r.ids, "<u4").tobytes())))
+        at += len(r.ids)
+        flat.append(r.doc_id)
+    assert flat == sorted(flat, key=lambda d: (d is not None, d or 0))
+    assert rows_of(token_files.with_offsets(spark, path)) == sorted(expect, key=repr)
+    assert sorted(r.n_tokens for r in files if r.doc_id == 5) == sorted(e[2] for e in expect if e[0] == 5)
+
+
+def test_piece_cache_in_two_generations(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(token_files, "CACHE_PIECES", 40)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [prose(k % 7, 30) + "\n" + prose(k, 20) + ", end." for k in range(200)]
+    coder = token_files.Encoder(path, added_tokens=True)
+    ids = [np.frombuffer(b, "<u4").tolist() for k in range(0, len(texts), 5) for b in coder.encode_all(texts[k:k + 5])]
+    assert ids == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert len(coder.known) < 2_000 and len(coder.older) < 2_000
