@@ -9,16 +9,19 @@ equal groups of bits and correcting for chance collisions,
 (``SLACK`` standard deviations) are dropped, the rest confirmed on full sets.
 
 Equal sets are one node from the start.  Within a key no list of all pairs
-is made: first its least node is compared with all others, the confirmed
-links are joined to components, and only keys that still hold more than one
-component go on, with more and more further nodes compared with the nodes of
-other components.  The rounds end when no key has a pair left that was not
-compared and lies in two components, so no link within a key is lost.  With
-these bands a pair at the threshold shares no key once in 200,000.
-
-A key that a third of all rows share is pre-aggregated (least node, count)
-before the shuffle; members, signatures and sets are joined with joins whose
-skewed partitions AQE splits.
+is made.  First each node is compared with one other: the least node of the
+keys it has, that with which it shares most of them.  These links are joined
+to components.  Keys that then lie in one component are settled.  In the
+others the members of different components are compared in blocks: a task
+gets the sets of two blocks of a key's members (each bounded in rows and in
+shingles), counts their common shingles, and emits links between components
+only, at most one less than it has components.  So every two nodes that share
+a key end in one component or have been compared on full sets; with these
+bands a pair at the threshold shares no key once in 200,000.
+
+A key that a third of all rows share is pre-aggregated (least node, counts)
+before the shuffle; its blocks go to tasks of their own.  Signatures and sets
+are joined with joins whose skewed partitions AQE splits.
 
 Defined results: a document without words links with nothing; fewer than
 five words are one shingle; a null text has no words; a null doc_id counts
@@ -47,7 +50,8 @@ LONGS = HASHES * BITS // 64
 SHINGLE = 5
 THRESHOLD = 75  # percent
 SLACK = 4.5
-CENTRES = 2  # after the first; sixteen times as many in each later round
+BLOCK_NODES = 512
+BLOCK_SHINGLES = 1 << 20
 NULL_ID = -(1 << 63)
 
 _A = (textnp.constants(HASHES, 21) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -174,46 +178,87 @@ def _screened(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(estimate("sig_a", "sig_b") >= least).select("a", "b")
 
 
+def _compare(threshold: int):
+    """Links between components among the rows of one pair of blocks."""
+    def group(table: pa.Table) -> pa.Table:
+        nodes, sides = table.column("node").to_pylist(), np.array(table.column("side").to_pylist())
+        _, label = np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)
+        grams, off = textnp.column_bytes(table.column("grams"))
+        values, at = grams.view(np.uint64), off // 8
+        size, owner = np.diff(at), np.repeat(np.arange(len(nodes)), np.diff(at))
+        order = np.argsort(values, kind="stable")
+        ranked, owners = values[order], owner[order]
+        up = np.arange(label.max() + 1)
+        out: tuple[list, list] = [], []
+
+        def root(k: int) -> int:
+            while up[k] != k:
+                up[k] = up[up[k]]
+                k = up[k]
+            return k
+        alone = (sides == 0).all()  # a block with itself
+        for j in np.flatnonzero(sides == (0 if alone else 1)):
+            mine = values[at[j]:at[j + 1]]
+            lo, hi = np.searchsorted(ranked, mine, "left"), np.searchsorted(ranked, mine, "right")
+            n = hi - lo
+            places = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+            both = np.bincount(owners[places], minlength=len(nodes))
+            near = 100 * both >= threshold * (size + size[j] - both)
+            near &= (np.arange(len(nodes)) < j) if alone else (sides == 0)
+            for i in np.flatnonzero(near).tolist():
+                x, y = root(label[i]), root(label[j])
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+                    out[0].append(nodes[i])
+                    out[1].append(nodes[j])
+        return pa.table({"a": pa.array(out[0], pa.binary()), "b": pa.array(out[1], pa.binary())})
+    return group
+
+
+def block_links(members: DataFrame, tried: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """a, b: links between nodes that share a key and lie in different
+    components.  A key of two nodes that were tried already has none."""
+    placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = placed.join(tried.select(F.col("b").alias("node"), F.col("a").alias("with")), "node", "left")
+    is_open = (F.col("lo") != F.col("hi")) & ((F.col("n") > 2) | (F.col("tried") == 0))
+    stats = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("n").alias("n"),
+                                      F.max("shingles").alias("shingles"), F.count_if(F.col("with") == F.col("first")).alias("tried"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    opened = placed.select("key", "node", "label").join(stats.filter(is_open).select("key", blocks.alias("blocks")), "key")
+    mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    with_sets = opened.withColumn("mine", mine).join(sets, "node")
+    rows = with_sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"),
+        (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "label", "grams")
+    return rows.groupBy("key", "one", "two").applyInArrow(_compare(threshold), "a binary, b binary")
+
+
 def _linked(docs: DataFrame, threshold: int) -> DataFrame:
     """``link``, with each row's ``tie``."""
     rows = materialize(signatures(docs), "signatures")
     ids = rows.select("tie", "n_shingles", "node", "sig", "keys", F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"))
     filled = ids.filter("node is not null")
-    reps = materialize(filled.groupBy("node").agg(F.min(F.struct("id", "tie", "sig", "keys")).alias("rep"))
-                       .select("node", F.col("rep.id").alias("any_id"), F.col("rep.tie").alias("any_tie"), "rep.sig", "rep.keys"), "nodes")
-    least = floor_of(threshold / 100)
-
-    bands = reps.select("node", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    members = materialize(bands.join(shared, "key"), "members")
-    sigs = reps.select("node", "any_id", "any_tie", "sig")
-    in_key = materialize(sigs.join(members.select("node").distinct(), "node"), "candidates")
+    reps = materialize(filled.groupBy("node").agg(F.min(F.struct("id", "tie", "sig", "keys", "n_shingles")).alias("rep"))
+                       .select("node", F.col("rep.id").alias("any_id"), F.col("rep.tie").alias("any_tie"), "rep.sig", "rep.keys", "rep.n_shingles"), "nodes")
+
+    bands = reps.select("node", "n_shingles", F.explode("keys").alias("key"))
+    shared = bands.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).filter("n > 1")
+    members = materialize(bands.drop("n_shingles").join(shared, "key"), "members")
+    in_key = materialize(reps.select("node", "any_id", "any_tie", "sig").join(members.select("node").distinct(), "node"), "candidates")
     # a document may have several sets only where rows repeat its doc_id
     named_rows = filled.filter(F.col("id") != NULL_ID)
     several = named_rows.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z")
     same_id = named_rows.join(several, "id").filter("node != a").select("a", F.col("node").alias("b")).distinct()
 
     sets = materialize(shingle_table(docs, in_key), "sets")
-    pairs = members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialize(confirm(_screened(pairs, in_key, least), sets, threshold).unionByName(same_id), "links")
-    labels = connected_components(links)
-    done, centres_now = 1, CENTRES
-    while True:
-        placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-        split = (placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("n").alias("n"))
-                 .filter((F.col("lo") != F.col("hi")) & (F.col("n") > done + 1)).select("key"))
-        open_keys = materialize(placed.join(split, "key").join(in_key.select("node", "sig"), "node"), "open")
-        if open_keys.isEmpty():
-            break
-        order = Window.partitionBy("key").orderBy("node")
-        centres = (open_keys.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= done + centres_now)
-                   .filter(F.col("rank") > done).select("key", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("sig").alias("sig_a")))
-        others = open_keys.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("sig").alias("sig_b"))
-        near = centres.join(others, "key").filter(
-            (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & (estimate("sig_a", "sig_b") >= least))
-        more = materialize(confirm(near.select("a", "b").distinct(), sets, threshold), "links")
+    firsts = members.filter("node != first").groupBy("node", "first").agg(F.count("*").alias("common"))
+    tried = materialize(firsts.groupBy(F.col("node").alias("b")).agg(F.max(F.struct("common", "first")).alias("most"))
+                        .select(F.col("most.first").alias("a"), "b"), "tried")
+    links = confirm(_screened(tried, in_key, floor_of(threshold / 100)), sets, threshold).unionByName(same_id)
+    labels = connected_components(materialize(links, "links"))
+    more = materialize(block_links(members, tried, labels, sets, threshold), "links")
+    if not more.isEmpty():
         labels = merge_labels(labels, more)
-        done, centres_now = done + centres_now, centres_now * 16
 
     named = ids.select("id", "tie", "node", "n_shingles").join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     named = named.select(F.struct("id", "tie").alias("who"), "n_shingles", F.coalesce("label", "node").alias("label"))

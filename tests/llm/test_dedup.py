@@ -60,7 +60,7 @@ def test_near_duplicates_awkward_tables(none, clashing, odd):
 
 def test_rounds_find_links_between_members_that_the_first_centre_lacks(spark, monkeypatch):
     """One key shared by all, links only along a chain: needs later centres."""
-    monkeypatch.setattr(minhash_dedup, "CENTRES", 1)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_NODES", 3)
     words = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(words[i * 12:i * 12 + 130])) for i in range(20)] + [(100 + i, f"lone{i} " * 3 + "a b c d e f") for i in range(6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -243,3 +243,35 @@ def test_units_of_rows_that_share_an_id_are_told_apart(spark):
         got = sorted(r.kept_text for r in line_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect())
         lost = [[rows[0][1].replace(" Same line.\n", ""), *[rows[1][1]] * 2], [rows[0][1], *["Two other there.y"] * 2]]
         assert got in [sorted(x) for x in lost]
+
+
+def test_blocks_find_links_that_no_first_comparison_sees(spark, monkeypatch):
+    """Two families around one passage: within a family neighbours in a chain
+    link, the ends don't; keys hold both families; blocks smaller than keys."""
+    import random
+    monkeypatch.setattr(minhash_dedup, "BLOCK_NODES", 4)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_SHINGLES", 400)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    passage, rows = [word() for _ in range(60)], []
+    for family in range(3):
+        body = passage + [word() for _ in range(60)]
+        for k in range(25):
+            body = list(body)
+            body[rng.randrange(60, 120)] = word()
+            rows.append((family * 1_000 + k * 7 % 25, " ".join(body)))
+    rows += [(5_000 + k, " ".join(passage + [word() for _ in range(50)])) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(minhash_dedup.link(docs)) == expect_link(docs)
+
+
+def test_block_links_are_fewer_than_components(spark):
+    import pyarrow as pa
+    sets = [np.arange(k, 40 + k, dtype=np.uint64) for k in range(12)]
+    table = pa.table({"key": pa.array([1] * 12), "side": pa.array([0] * 12), "node": pa.array([b"%02d" % k for k in range(12)]),
+                      "label": pa.array([b"%02d" % k for k in range(12)]), "grams": pa.array([s.tobytes() for s in sets])})
+    out = minhash_dedup._compare(75)(table).to_pydict()
+    assert len(out["a"]) == 11
+    two = table.set_column(1, "side", pa.array([k % 2 for k in range(12)]))
+    got = minhash_dedup._compare(75)(two).to_pydict()
+    assert all((int(a) + int(b)) % 2 for a, b in zip(got["a"], got["b"])) and 0 < len(got["a"]) <= 11
