@@ -42,7 +42,7 @@ from tessera.session import scratch_path
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 1_000
-CACHE_PIECES = 250_000  # of each generation
+CACHE_PIECES = 400_000  # of each generation
 BATCH_IDS = 1 << 28  # ids that a list column's 32-bit offsets safely hold
 
 GROUP = 64
@@ -95,29 +95,47 @@ class Encoder:
             self.heads.clear()
         self.heads.update(zip(pieces, self._raw(pieces)))
 
+    def _word_ids(self, piece: str) -> bytes | None:
+        """Ids of a piece that is one word of letters, by the model alone."""
+        line = piece[:1] == "\n"
+        body = piece[1:] if line else piece
+        if not body.isalpha():
+            return None
+        if not body.isascii():
+            if max(body) >= "\u0250":
+                return None
+            body = body.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [t.id for t in self.word(body if line else self.space + body)]).tobytes()
+        return self.newline + ids if line else ids
+
     def _learn(self, pieces: set[str]) -> None:
-        """Learn the plain ones among ``pieces``."""
+        """Learn the plain ones among ``pieces``.  A mark at the end of a word
+        is a unit of its own, so such a piece follows from the word's."""
         if len(self.known) > CACHE_PIECES:
             self.older, self.known = self.known, {}
-        known, marks, word, letters = self.known, self.marks, self.word, self.letters
-        rest = []
-        older = self.older
+        known, older, marks, word_ids = self.known, self.older, self.marks, self._word_ids
+        rest, marked = [], []
         for piece in pieces:
-            if piece in older:
-                known[piece] = older[piece]
-                continue
-            line = piece[:1] == "\n"
-            stem = piece[1:] if line else piece
-            mark = stem[-1:] in marks and stem[-2:-1].isalpha()
-            body = stem[:-1] if mark else stem
-            if not body.isalpha() or not (body.isascii() or max(body) < "\u0250"):
-                if _PLAIN.fullmatch(piece):
+            ids = older.get(piece)
+            if ids is None:
+                if piece[-1:] in marks:
+                    marked.append(piece)
+                    continue
+                ids = word_ids(piece)
+                if ids is None:
                     rest.append(piece)
-                continue
-            unit = body if body.isascii() else body.encode().decode("latin-1").translate(letters)
-            ids = array("I", [t.id for t in word(unit if line else self.space + unit)]).tobytes()
-            known[piece] = (self.newline if line else b"") + ids + (marks[stem[-1]] if mark else b"")
-        if rest:
+                    continue
+            known[piece] = ids
+        for piece in marked:
+            stem = piece[:-1]
+            ids = known.get(stem) or older.get(stem)
+            if ids is None and (ids := word_ids(stem)) is not None:
+                known[stem] = ids
+            if ids is not None and stem[-1].isalpha() and stem[-1] < "\u0250":
+                known[piece] = ids + marks[piece[-1]]
+            else:
+                rest.append(piece)
+        if rest := [p for p in rest if _PLAIN.fullmatch(p)]:
             known.update(zip(rest, self._raw([p if p[0] == "\n" else " " + p for p in rest])))
 
     def _plainly(self, text: str) -> bytes:
