@@ -15,7 +15,8 @@ reach the driver); every document is scored over its whole text.
 Defined results: a null or empty text has zero features and is scored like
 any other; labels that are null, repeat with different values, or have no
 document are ignored; without both classes there is no model and every score
-is 1; repeated rows are scored alike.  Labels, lang, source and doc_id are
+is 1; repeated rows are scored alike; of a labelled doc_id with several texts
+the one with the least hash is learned from.  Labels, lang, source and doc_id are
 never features.
 """
 
@@ -34,6 +35,7 @@ from tessera.llm.common import materialize
 MAX_LABELLED = 10_000
 PAIRS_PER_ROW = 8
 RIDGE = 1e-3
+STEPS = 50
 THRESHOLD = 0.7
 HELD_OUT = 2
 
@@ -98,15 +100,17 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """label, features of the training rows: (label int, n_rows long, f array)."""
     agreed = _agreed(labels)
     picked = [agreed.filter(F.col("label") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_LABELLED) for k in (0, 1)]
-    texts = docs.select("doc_id", "text")
-    rows = texts.join(picked[0].unionByName(picked[1]), F.col("doc_id") == F.col("label_id")).select("doc_id", "label", "text")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    rows = texts.join(picked[0].unionByName(picked[1]), F.col("doc_id") == F.col("label_id")).select("doc_id", "label", "text", "h")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             f = features(batch.column(2))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(f) + 1) * N_FEATURES, pa.int32()), pa.array(f.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "label", "f"])
-    return rows.mapInArrow(extract, "doc_id long, label int, f array<double>").dropDuplicates(["doc_id"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), lists], names=["doc_id", "label", "h", "f"])
+    found = rows.mapInArrow(extract, "doc_id long, label int, h long, f array<double>")
+    # of a doc_id's texts the one with the least hash
+    return found.groupBy("doc_id").agg(F.min(F.struct("h", "label", "f")).alias("r")).select("doc_id", "r.label", "r.f")
 
 
 def _ordered(bits: np.ndarray) -> np.ndarray:
@@ -154,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
     rng = np.random.default_rng(0)
     difference = x[good[rng.permutation(pairs) % len(good)]] - x[bad[k % len(bad)]]
     w = np.zeros(x.shape[1])
-    for _ in range(50):
+    for _ in range(STEPS):
         p = 1 / (1 + np.exp(np.clip(difference @ w, -500, 500)))  # chance that the pair is ranked wrongly
         gradient = difference.T @ p / pairs - RIDGE * w
         hessian = (difference * (p * (1 - p))[:, None]).T @ difference / pairs + RIDGE * np.eye(len(w))
@@ -162,6 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
         w += step
         if np.abs(step).max() < 1e-8:
             break
+    else:
+        raise RuntimeError(f"no weights within {STEPS} Newton steps")
     weights = w / scale
     return weights, float(np.log(THRESHOLD / (1 - THRESHOLD)) - _threshold(docs, labels, weights))
 

@@ -390,3 +390,73 @@ def test_piece_cache_in_two_generations(monkeypatch):
     ids = [np.frombuffer(b, "<u4").tolist() for k in range(0, len(texts), 5) for b in coder.encode_all(texts[k:k + 5])]
     assert ids == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
     assert len(coder.known) < 2_000 and len(coder.older) < 2_000
+
+
+def test_quality_learns_from_one_text_of_a_doc_id(spark, tables):
+    """A doc_id with two texts: the fit doesn't depend on the order of rows."""
+    docs, labels = tables["documents"], tables["labels"]
+    twice = docs.unionByName(docs.withColumn("text", F.concat(F.lit("Other words. "), F.reverse("text"))))
+    models = [quality.fit(df, labels) for df in (twice.repartition(5), twice.orderBy(F.desc("text")))]
+    assert models[0][1] == models[1][1] and (models[0][0] == models[1][0]).all()
+
+
+def test_quality_raises_without_convergence(tables, monkeypatch):
+    monkeypatch.setattr(quality, "STEPS", 1)
+    with pytest.raises(RuntimeError):
+        quality.fit(tables["documents"], tables["labels"])
+
+
+def test_pipeline_stages_follow_their_rules(spark, tables):
+    """Each stage on what the one before it kept, against its rule done
+    plainly: scores one by one, all pairs of sets, the flags of the leak
+    search, word counts per source, bytes per shard."""
+    from collections import Counter
+
+    import corpus_pipeline
+    import pyarrow as pa
+    from tests.llm.test_dedup import components_of
+
+    from tessera.llm.common import materialize
+    docs, left = tables["documents"], {}
+    for name, stage in corpus_pipeline.STAGES:
+        left[name] = (docs, materialize(stage(spark, docs, SF), f"rules_{name}"))
+        docs = left[name][1]
+    ids = lambda df: sorted(r.doc_id for r in df.collect())
+
+    before, after = left["quality"]
+    weights, offset = quality.fit(before, tables["labels"])
+    plain = [(r.doc_id, 1 / (1 + np.exp(-(quality.features(pa.array([r.text])) @ weights + offset)[0]))) for r in before.collect()]
+    assert ids(after) == sorted(d for d, s in plain if s >= 0.7)
+
+    before, after = left["near_dedup"]
+    assert ids(after) == sorted(i for i, _, least in components_of([(r.doc_id, r.text) for r in before.collect()]) if i == least)
+
+    before, after = left["decontaminate"]
+    flagged = decontaminate.decontaminate(before, tables["benchmark"]).collect()
+    assert ids(after) == sorted(r.doc_id for r in flagged if r.kept)
+    items = [WORD.findall(r.text.lower()) for r in tables["benchmark"].collect()]
+    windows = {tuple(w[k:k + 20]) for w in items for k in range(len(w) - 19)}
+    for r in after.collect():  # 20 words of an item, word for word, never stay
+        words = WORD.findall((r.text or "").lower())
+        assert not windows & {tuple(words[k:k + 20]) for k in range(len(words) - 19)}
+
+    before, after = left["mix"]
+    size = lambda t: len(WORD.findall(t or ""))
+    sizes, taken = Counter(), Counter()
+    for r in before.collect():
+        sizes[r.source] += size(r.text)
+    for r in after.collect():
+        taken[r.source] += size(r.text)
+    goals, largest = expect_targets(sizes), max(size(r.text) for r in before.collect())
+    assert all(abs(taken[s] - goals[s]) <= largest for s in goals)
+    assert max(Counter(ids(after)).values()) <= 2 and set(ids(after)) <= set(ids(before))
+
+    before, after = left["shard"]
+    assert ids(before) == ids(after)
+    loads, slots = Counter(), defaultdict(list)
+    for r in after.collect():
+        loads[r.shard] += len((r.text or "").encode()) + 1
+        slots[r.shard].append(r.slot)
+    assert set(loads) <= set(range(16)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    groups = Counter(r.text or "" for r in after.collect())
+    assert max(loads.values()) - min(loads.values()) <= 4 * max(n * (len(t.encode()) + 1) for t, n in groups.items())
