@@ -50,7 +50,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix), ("shard", shard)]
 
-# A trained classifier isn't SQL; tests compare the stages with brute force.
+# A trained classifier isn't SQL; tests/llm holds each stage against a plain
+# form of its rule on the rows that the stage before it left.
 ORACLE_SQL = None
 
 

@@ -16,9 +16,10 @@ from tessera.plans.ingest import NEXT_RUN_DATE, RUN_DATE
 from tessera.plans.oracle_star import with_star
 from tessera.plans.quality import UPSERT_SPLIT_MS
 from tessera.quality import quarantine as Q
+from tessera.quality import registry as R
 from tessera.quality.contracts import STAR_CONTRACTS, ColumnSpec, Contract
 from tessera.quality.metrics import SKETCH_BITS, daily_sketches, merged_distinct
-from tessera.quality.validation import FAILED, UNCASTABLE, flag_rules, landed_violations, quarantine_split
+from tessera.quality.validation import FAILED, UNCASTABLE, flag_rules, landed_columns, landed_violations, quarantine_split
 from tessera.session import scratch_path
 from tessera.sinks import bronze as B
 from tessera.sinks import files
@@ -299,3 +300,29 @@ def brand_seeded_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = categories.agg(F.sort_array(F.collect_list("category_code")).alias("all"))
     picked = first.withColumn("place", place.cast("bigint")).withColumn("all", dealt.scalar())
     return picked.select("place", "brand_code", F.get("all", F.col("place") % F.size("all")).alias("dealt_category"))
+
+
+# Three landings of the events, as a feed that grows: the second adds a column
+# and leaves another out in places, the third turns a number into text.
+_FEEDS = [["event_id", "user_id", "props"], ["event_id", "user_id", "some_props AS props", "value"],
+          ["event_id", "CAST(user_id AS STRING) AS user_id", "some_props AS props", "value"]]
+
+
+@register("contract_changes", """
+WITH e AS (SELECT *, CASE WHEN event_type <> 'error' THEN props END AS some_props FROM events),
+n AS (SELECT COUNT(*) AS rows, COUNT(some_props) AS some, COUNT(props) AS props, COUNT(value) AS value FROM e)
+SELECT 'events' AS table_name, from_version, from_version + 1 AS to_version, column_name, change, kind FROM (
+  SELECT 1 AS from_version, 'value' AS column_name, 'added' AS change, CASE WHEN value = rows THEN 'breaking' ELSE 'additive' END AS kind FROM n WHERE value > 0
+  UNION ALL SELECT 1, 'props', 'nullable', 'additive' FROM n WHERE props = rows AND some BETWEEN 1 AND rows - 1
+  UNION ALL SELECT 2, 'user_id', 'type bigint -> string', 'breaking' FROM n WHERE rows > 0) v""")
+def contract_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each landing's columns, found in its lines, registered as a version of
+    the feed's contract; every version against the one before it."""
+    events = star.read_table(spark, sf_dir, "events").withColumn("some_props", F.when(F.col("event_type") != "error", F.col("props")))
+    root = scratch_path(spark, "contracts")
+    for k, columns in enumerate(_FEEDS):
+        landing = scratch_path(spark, f"feed-{k}")
+        events.selectExpr(*columns).write.json(landing)
+        lines = spark.read.text(landing)
+        R.register(spark, root, "events", R.columns_found(landed_columns(lines), lines.count(), ["event_id"]))
+    return R.changes(V.read(spark, root))

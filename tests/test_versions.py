@@ -310,3 +310,24 @@ def test_wire_decimals_beyond_eight_bytes(spark):
     out = V.keep_lost(df, {"price": ("v", wire.wire_to_decimal("v", 10, 0, 16))})
     assert [r.price for r in out.collect()] == [None] * len(lost)
     assert [[x.raw for x in r[V.UNCASTABLE]] for r in out.collect()] == [[v] if v else [] for v in lost]
+
+
+# -- contract registry
+
+
+def test_registry_classifies_as_the_policy(spark, scratch):
+    import random
+
+    from tessera.quality import registry as R
+    from tessera.quality.contracts import classify_change
+    rng, root = random.Random(4), f"{scratch}/r"
+    types = ["int", "bigint", "tinyint", "float", "double", "string", "decimal(10,2)", "decimal(12,2)", "decimal(12,4)", "decimal(20,0)"]
+    contracts = []
+    for _ in range(8):
+        columns = [ColumnSpec("k", "string", False)] + [ColumnSpec(c, rng.choice(types), rng.random() < 0.5) for c in "abcdef" if rng.random() < 0.8]
+        contracts.append(Contract("t", len(contracts) + 1, tuple(columns), ("k",)))
+        assert R.register(spark, root, "t", R.columns_of(spark, contracts[-1])) == len(contracts)
+    assert R.register(spark, root, "other", R.columns_of(spark, contracts[0])) == 1
+    got = sorted(map(tuple, R.changes(versioned.read(spark, root)).collect()))
+    expect = sorted(("t", n, n + 1, *c) for n, (a, b) in enumerate(zip(contracts, contracts[1:]), start=1) for c in classify_change(a, b))
+    assert got == expect and len({c[-1] for c in expect}) == 2
