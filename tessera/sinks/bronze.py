@@ -99,5 +99,6 @@ def run_tables(spark: SparkSession, tables: list[str],
     if at_once == 1:
         return spark.createDataFrame([load(t) for t in tables], RESULT_SCHEMA)
     with ThreadPoolExecutor(at_once) as pool:
-        results = list(pool.map(inheritable_thread_target(spark)(load), tables))
+        # wrapped once per table: a wrapped function's calls share their properties
+        results = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(load), t) for t in tables]]
     return spark.createDataFrame(results, RESULT_SCHEMA)
