@@ -52,6 +52,7 @@ THRESHOLD = 75  # percent
 SLACK = 4.5
 BLOCK_NODES = 512
 BLOCK_SHINGLES = 1 << 20
+MATCHES = 1 << 20  # common shingles that a task counts at once
 NULL_ID = -(1 << 63)
 
 _A = (textnp.constants(HASHES, 21) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -196,15 +197,22 @@ def _compare(threshold: int):
                 up[k] = up[up[k]]
                 k = up[k]
             return k
+        # two nodes of different components aren't both of the largest one
+        largest = int(np.bincount(label, weights=size).argmax())
         alone = (sides == 0).all()  # a block with itself
-        for j in np.flatnonzero(sides == (0 if alone else 1)):
+        for j in np.flatnonzero(label != largest):
             mine = values[at[j]:at[j + 1]]
             lo, hi = np.searchsorted(ranked, mine, "left"), np.searchsorted(ranked, mine, "right")
-            n = hi - lo
-            places = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-            both = np.bincount(owners[places], minlength=len(nodes))
-            near = 100 * both >= threshold * (size + size[j] - both)
-            near &= (np.arange(len(nodes)) < j) if alone else (sides == 0)
+            n, both = hi - lo, np.zeros(len(nodes), np.int64)
+            ends, k = np.cumsum(n), 0
+            while k < len(mine):
+                stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + MATCHES, "right")))
+                part = n[k:stop]
+                places = np.repeat(lo[k:stop] - np.append(0, np.cumsum(part)[:-1]), part) + np.arange(part.sum())
+                both += np.bincount(owners[places], minlength=len(nodes))
+                k = stop
+            near = (100 * both >= threshold * (size + size[j] - both)) & (label != label[j])
+            near &= ((label == largest) | (np.arange(len(nodes)) < j)) if alone else (sides != sides[j])
             for i in np.flatnonzero(near).tolist():
                 x, y = root(label[i]), root(label[j])
                 if x != y:

@@ -251,6 +251,7 @@ def test_blocks_find_links_that_no_first_comparison_sees(spark, monkeypatch):
     import random
     monkeypatch.setattr(minhash_dedup, "BLOCK_NODES", 4)
     monkeypatch.setattr(minhash_dedup, "BLOCK_SHINGLES", 400)
+    monkeypatch.setattr(minhash_dedup, "MATCHES", 7)
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
     passage, rows = [word() for _ in range(60)], []
