@@ -156,18 +156,16 @@ def distinct_users_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sketches")
     daily_sketches(events, day, "user_id").write.parquet(path)
     sketches = spark.read.schema("day date, sketch binary, rows long").parquet(path)
-    week = lambda d: F.trunc(d, "week")
-    nothing = F.lit(None).cast("date")
-    frames = []
-    for period, of_day, of_row in (("day", F.col("day"), day), ("week", week("day"), week("ts")), ("all", nothing, nothing)):
-        merged = merged_distinct(sketches, of_day.alias("starts"))
-        exact = events.groupBy(of_row.alias("starts")).agg(F.countDistinct("user_id").alias("distinct_users"))
-        error = 4 * 0.83 / 2 ** (SKETCH_BITS / 2)
-        both = merged.join(exact, merged.starts.eqNullSafe(exact.starts)).select(
-            F.lit(period).alias("period"), merged.starts.cast("string").alias("starts"), "rows", "distinct_users",
-            (F.abs(F.col("distinct_values") - F.col("distinct_users")) <= F.greatest(F.lit(1.0), error * F.col("distinct_users"))).alias("within_error"))
-        frames.append(both)
-    return reduce(DataFrame.unionByName, frames)
+    week = lambda d: F.trunc(d, "week").cast("string")
+    periods = (("day", F.col("day").cast("string"), day.cast("string")), ("week", week("day"), week("ts")), ("all", F.lit("whole"), F.lit("whole")))
+    merged = reduce(DataFrame.unionByName, [merged_distinct(sketches, F.lit(p).alias("period"), k.alias("key")) for p, k, _ in periods])
+    exact = reduce(DataFrame.unionByName, [events.groupBy(F.lit(p).alias("period"), k.alias("key")).agg(F.countDistinct("user_id").alias("distinct_users"))
+                                           for p, _, k in periods])
+    off = F.abs(F.col("distinct_values") - F.col("distinct_users"))
+    error = 4 * 0.83 / 2 ** (SKETCH_BITS / 2)
+    return merged.join(exact, ["period", "key"]).select(
+        "period", F.when(F.col("period") != "all", F.col("key")).alias("starts"), "rows", "distinct_users",
+        (off <= F.greatest(F.lit(1.0), error * F.col("distinct_users"))).alias("within_error"))
 
 
 # The events' last days are kept as streamed hours, snapshots for a week.
@@ -310,10 +308,10 @@ _FEEDS = [["event_id", "user_id", "props"], ["event_id", "user_id", "some_props
 
 @register("contract_changes", """
 WITH e AS (SELECT *, CASE WHEN event_type <> 'error' THEN props END AS some_props FROM events),
-n AS (SELECT COUNT(*) AS rows, COUNT(some_props) AS some, COUNT(props) AS props, COUNT(value) AS value FROM e)
+n AS (SELECT COUNT(*) AS rows, COUNT(some_props) AS given, COUNT(props) AS props, COUNT(value) AS value FROM e)
 SELECT 'events' AS table_name, from_version, from_version + 1 AS to_version, column_name, change, kind FROM (
   SELECT 1 AS from_version, 'value' AS column_name, 'added' AS change, CASE WHEN value = rows THEN 'breaking' ELSE 'additive' END AS kind FROM n WHERE value > 0
-  UNION ALL SELECT 1, 'props', 'nullable', 'additive' FROM n WHERE props = rows AND some BETWEEN 1 AND rows - 1
+  UNION ALL SELECT 1, 'props', 'nullable', 'additive' FROM n WHERE props = rows AND given BETWEEN 1 AND rows - 1
   UNION ALL SELECT 2, 'user_id', 'type bigint -> string', 'breaking' FROM n WHERE rows > 0) v""")
 def contract_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each landing's columns, found in its lines, registered as a version of
