@@ -41,7 +41,7 @@ def stream_hour_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     partitioned JSON sink, 100 rows per file; the sink read back whole."""
     src = _flat_landing(spark, star.read_table(spark, sf_dir, "events"), "stream-src", 1000)
     out, ckpt = scratch_path(spark, "stream-hours"), scratch_path(spark, "stream-hours-ckpt")
-    stream = J.file_stream(spark, src, EVENT_SCHEMA, max_files_per_trigger=4)
+    stream = J.file_stream(spark, src, EVENT_SCHEMA, max_files_per_trigger=J.files_per_batch(spark, src, 4))
     J.run(J.hour_partitioned_sink(stream, "ts", out, ckpt, 100))
     return _events_out(SRC.read_landing(spark, out, EVENT_SCHEMA))
 
@@ -132,11 +132,11 @@ def stream_dedup_repolls(spark: SparkSession, sf_dir: str) -> DataFrame:
         (lines.withColumn("polled_at", F.lit(t).cast("timestamp_ntz")).write.mode("append")
          .options(**TIMESTAMP_OPTIONS).option("maxRecordsPerFile", 20000).json(src))
     schema = T.StructType(lines.schema.fields + [T.StructField("polled_at", T.TimestampNTZType())])
-    stream = J.file_stream(spark, src, schema, max_files_per_trigger=2).withColumn(
+    stream = J.file_stream(spark, src, schema, max_files_per_trigger=J.files_per_batch(spark, src, 2)).withColumn(
         "t", TM.ntz_to_instant("polled_at"))
     deduped = J.dedup_within_watermark(stream, ["order_item_id", "dt_update"], "t", "10 minutes")
     out, ckpt = scratch_path(spark, "repoll-out"), scratch_path(spark, "repoll-ckpt")
-    J.run(J.parquet_sink(deduped.drop("t"), out, ckpt))
+    J.run(J.parquet_sink(deduped.drop("t"), out, ckpt), spark=spark)
     return spark.read.parquet(out).select("order_item_id", "dt_update")
 
 
@@ -148,7 +148,7 @@ def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = star.order_items(spark, sf_dir)
     src = _flat_landing(spark, items, "upsert-src", 8000)
     root, ckpt = scratch_path(spark, "upsert-target"), scratch_path(spark, "upsert-ckpt")
-    stream = J.file_stream(spark, src, items.schema, max_files_per_trigger=2)
+    stream = J.file_stream(spark, src, items.schema, max_files_per_trigger=J.files_per_batch(spark, src, 2))
     J.run(stream.writeStream.option("checkpointLocation", ckpt)
           .foreachBatch(J.upsert_versions(root, ["order_item_id"], star.fact_sort_keys())))
     return _money_out(versioned.live(versioned.read(spark, root))).select(*LATEST_COLS)
@@ -173,7 +173,7 @@ def stream_upsert_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def unwrapped(batch: DataFrame, batch_id: int) -> None:
         apply(wire.unwrap(batch, "value", lines.schema).drop("__deleted"), batch_id)
-    stream = J.file_stream(spark, src, T.StructType([T.StructField("value", T.StringType())]), "text", 2)
+    stream = J.file_stream(spark, src, T.StructType([T.StructField("value", T.StringType())]), "text", J.files_per_batch(spark, src, 2))
     J.run(stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(unwrapped))
     return versioned.live(versioned.read(spark, root)).select(
         "order_item_id", "dt_update", F.col("quantity").cast("double").alias("quantity"))
@@ -222,7 +222,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("_topic").alias("topic"), F.col(key).cast("string").alias("key"),
             F.when(~gone, wire.encode_row(df.columns)).alias("value")).write.mode("append").option("maxRecordsPerFile", 20_000).parquet(src)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("topic", "key", "value")])
-    messages = J.file_stream(spark, src, schema, "parquet", 8)
+    messages = J.file_stream(spark, src, schema, "parquet", J.files_per_batch(spark, src, 8))
     J.run(J.fan_out(messages, strip_prefix(F.col("topic"), re.escape(TOPIC_PREFIX)), out, ckpt))
     back = spark.read.schema("key string, sink_folder string").json(out)
     return back.groupBy("sink_folder", "key").agg(F.count(F.lit(1)).alias("messages"))

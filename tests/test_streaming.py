@@ -100,3 +100,17 @@ def test_t1_processing_time_trigger_picks_up_new_files(spark, scratch):
     finally:
         q.stop()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_a_backlog_takes_a_fixed_number_of_batches(spark, scratch):
+    src, out, ckpt = f"{scratch}/src", f"{scratch}/out", f"{scratch}/ckpt"
+    for n in range(30):
+        write_text(f"{src}/{n}.json", _lines([(n, "2026-08-16T07:00:00", "u")]))
+    per_batch = J.files_per_batch(spark, src, 2)
+    assert per_batch * J.BACKLOG_BATCHES >= 30 and J.files_per_batch(spark, f"{scratch}/none", 2) == 2
+    stream = J.dedup_within_watermark(J.file_stream(spark, src, SCHEMA, max_files_per_trigger=per_batch), ["id"], "ts", "10 minutes")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    q = J.run(J.parquet_sink(stream, out, ckpt), timeout_s=120, spark=spark)
+    assert 2 <= len({p["batchId"] for p in q.recentProgress if p["numInputRows"]}) <= J.BACKLOG_BATCHES
+    assert spark.read.parquet(out).count() == 30
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
