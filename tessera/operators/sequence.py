@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir, guarded_broadcast
+from tessera.session import ensure_checkpoint_dir, guarded_broadcast, measured
 
 
 def _ranged(df: DataFrame, order_cols: list[str], num_partitions: int | None) -> DataFrame:
@@ -48,9 +48,10 @@ def consecutive_index(df: DataFrame, order_cols: list[str], index_col: str = "ro
 def index_within_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
                        index_col: str = "row_index", start: int = 1) -> DataFrame:
     """Row numbers restarting at ``start`` in every group.  A hot group is
-    spread over several range partitions instead of one task."""
+    spread over several range partitions instead of one task, and few groups
+    are broadcast: joined by a shuffle, a group would be one task again."""
     g = consecutive_index(df, group_cols + order_cols, "_g")
-    firsts = g.groupBy(*group_cols).agg(F.min("_g").alias("_first"))
+    firsts = measured(g.groupBy(*group_cols).agg(F.min("_g").alias("_first")), "group-firsts")
     out = g.join(guarded_broadcast(firsts), group_cols)
     return out.withColumn(index_col, (F.col("_g") - F.col("_first") + F.lit(start)).cast("bigint")) \
         .drop("_g", "_first")

@@ -37,17 +37,15 @@ def to_topic_records(df: DataFrame, topic: str, key_cols: list[str], partitions:
     """Encode rows as topic records: JSON key and value, the partition from
     ``partition_expr`` (mod ``partitions``) and gap-free offsets per
     partition in the order of ``order_cols`` (computed without sending a
-    partition's records to one task)."""
-    recs = df.select(
+    partition's records to one task).  Rows are numbered before they are
+    encoded, so that the sort moves columns and not their text."""
+    dealt = df.withColumn("_partition", F.pmod(partition_expr, F.lit(partitions)).cast("int"))
+    numbered = index_within_group(dealt, ["_partition"], order_cols, "_offset", start=0)
+    return numbered.select(
         F.to_json(F.struct(*key_cols)).cast("binary").alias("key"),
         F.to_json(F.struct(*df.columns)).cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        F.pmod(partition_expr, F.lit(partitions)).cast("int").alias("partition"),
-        (F.col(ts_col) if ts_col else F.lit(None).cast("bigint")).alias("_ts"),
-        *[F.col(c).alias(f"_o_{c}") for c in order_cols])
-    numbered = index_within_group(recs, ["partition"], [f"_o_{c}" for c in order_cols], "offset", start=0)
-    return numbered.select("key", "value", "topic", "partition", "offset",
-                           F.timestamp_millis("_ts").alias("timestamp"))
+        F.lit(topic).alias("topic"), F.col("_partition").alias("partition"), F.col("_offset").alias("offset"),
+        F.timestamp_millis(F.col(ts_col) if ts_col else F.lit(None).cast("bigint")).alias("timestamp"))
 
 
 def read_topic_log(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
