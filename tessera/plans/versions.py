@@ -75,14 +75,14 @@ def bronze_atomic_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     def now(state: str) -> None:
         states.append((state, V.load(spark, root)))
     for day in (RUN_DATE, NEXT_RUN_DATE):
-        V.reload_slices(B.with_bronze_metadata(lines, day), root, B.PROCESSING_DATE, [day])
+        V.reload_slices(B.with_bronze_metadata(lines, day), root, B.PROCESSING_DATE, [day], slices=1)
     now("loaded")
     fewer = B.with_bronze_metadata(lines.where(_HALF), RUN_DATE)
-    V.stage(fewer, root, F.col(B.PROCESSING_DATE).cast("string"))
+    V.stage(fewer, root, F.col(B.PROCESSING_DATE).cast("string"), slices=1)
     now("crashed")
-    V.reload_slices(fewer, root, B.PROCESSING_DATE, [RUN_DATE])
+    V.reload_slices(fewer, root, B.PROCESSING_DATE, [RUN_DATE], slices=1)
     now("reloaded")
-    V.reload_slices(B.with_bronze_metadata(lines.limit(0), RUN_DATE), root, B.PROCESSING_DATE, [RUN_DATE])
+    V.reload_slices(B.with_bronze_metadata(lines.limit(0), RUN_DATE), root, B.PROCESSING_DATE, [RUN_DATE], slices=1)
     now("emptied")
     return reduce(DataFrame.unionByName, [
         V.read(spark, root, version).groupBy(F.lit(state).alias("state"), F.col(B.PROCESSING_DATE).cast("string").alias("processing_date"))

@@ -40,7 +40,7 @@ def store(df: DataFrame, root: str, contract: Contract, parents: dict[str, DataF
     if run in base.marks.get("runs", []):
         return base
     flagged = _judged(flag_rules(df, contract, parents, check_duplicates), run, rules)
-    return versioned.append(flagged, root, STATE, {"runs": [*base.marks.get("runs", []), run]})
+    return versioned.append(flagged, root, STATE, {"runs": [*base.marks.get("runs", []), run]}, slices=2)
 
 
 def replay(spark: SparkSession, root: str, contract: Contract, parents: dict[str, DataFrame], rules: str,
@@ -57,7 +57,7 @@ def replay(spark: SparkSession, root: str, contract: Contract, parents: dict[str
     again = again.where(F.col("_was") == QUARANTINED)
     state = F.when(F.size(FAILED) == 0, PASSED).otherwise(QUARANTINED)
     again = again.withColumns({STATE: state, RUN: F.col("_run_was"), RULES: F.lit(rules), "_dq_validated_at": F.current_timestamp()})
-    new = versioned.stage(again.drop("_was", "_run_was"), root, F.col(STATE))
+    new = versioned.stage(again.drop("_was", "_run_was"), root, F.col(STATE), slices=2)
     slices = {PASSED: [*base.slices.get(PASSED, []), *new.get(PASSED, [])], QUARANTINED: new.get(QUARANTINED, [])}
     return versioned.commit(spark, root, replace(base, slices={n: f for n, f in slices.items() if f}))
 

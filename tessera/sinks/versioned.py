@@ -37,6 +37,7 @@ SLICE = "_slice"
 DELETED = "__deleted"
 DELETED_IN = "__deleted_in"
 BUCKET_BYTES = 256 << 20
+FEW_SLICES = 64
 MARKER_VERSIONS = 100
 
 
@@ -129,11 +130,15 @@ def read(spark: SparkSession, root: str, version: Version | None = None, only: l
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def stage(df: DataFrame, root: str, by: Column) -> dict[str, list]:
+def stage(df: DataFrame, root: str, by: Column, slices: int | None = None) -> dict[str, list]:
     """Write ``df`` in slices by ``by`` and return them; no reader sees them
-    before a commit.  Large slices are written by several tasks."""
+    before a commit.  Large slices are written by several tasks.  Where
+    ``slices`` says that there are few, each task files its own rows (at most
+    ``slices`` files); else the rows are gathered by slice first."""
     spark, folder = df.sparkSession, f"data/{uuid.uuid4().hex}"
-    (df.withColumn(SLICE, by).hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(f"{root.rstrip('/')}/{folder}"))
+    rows = df.withColumn(SLICE, by)
+    rows = rows if slices and slices <= FEW_SLICES else rows.hint("rebalance", SLICE)
+    rows.write.option("compression", "zstd").partitionBy(SLICE).parquet(f"{root.rstrip('/')}/{folder}")
     base, fs = _path(spark, f"{root.rstrip('/')}/{folder}")
     found = {}
     for st in fs.listStatus(base):
@@ -164,21 +169,24 @@ def _slice_of(by: str | Column) -> Column:
     return (F.col(by) if isinstance(by, str) else by).cast("string")
 
 
-def reload_slices(df: DataFrame, root: str, by: str | Column, only: list[str] | None = None, marks: dict | None = None) -> Version:
+def reload_slices(df: DataFrame, root: str, by: str | Column, only: list[str] | None = None, marks: dict | None = None,
+                  slices: int | None = None) -> Version:
     """Replace the slices by ``by`` (a column) that ``df`` holds, and empty those
-    named in ``only`` that it doesn't.  The first load makes the table."""
+    named in ``only`` that it doesn't.  The first load makes the table.
+    ``slices``: how many ``df`` holds, if known (``stage``)."""
     spark = df.sparkSession
     base = load(spark, root)
-    new = stage(df, root, _slice_of(by))
+    new = stage(df, root, _slice_of(by), slices)
     gone = {slice_name(spark, v) for v in only or ()}
     kept = {n: f for n, f in base.slices.items() if n not in gone}
     return commit(spark, root, replace(base, schema=_wider(base.schema, df.schema), slices=kept | new, marks=base.marks | (marks or {})))
 
 
-def append(df: DataFrame, root: str, by: str | Column, marks: dict | None = None) -> Version:
-    """Add the rows of ``df`` together with the feed's marks."""
+def append(df: DataFrame, root: str, by: str | Column, marks: dict | None = None, slices: int | None = None) -> Version:
+    """Add the rows of ``df`` together with the feed's marks (``slices``: as
+    for ``reload_slices``)."""
     base = load(df.sparkSession, root)
-    new = stage(df, root, _slice_of(by))
+    new = stage(df, root, _slice_of(by), slices)
     merged = base.slices | {n: [*base.slices.get(n, []), *folders] for n, folders in new.items()}
     return commit(df.sparkSession, root, replace(base, schema=_wider(base.schema, df.schema), slices=merged, marks=base.marks | (marks or {})))
 
@@ -219,7 +227,7 @@ def stage_upsert(batch: DataFrame, root: str, keys: list[str], order_by: list[st
         else:
             forgotten = F.col(DELETED) & (F.col(DELETED_IN) <= base.number - marker_versions)
             merged = latest_per_key(old.unionByName(changes, allowMissingColumns=True), keys, order_by).where(~forgotten)
-        new = stage(merged, root, bucket(keys, buckets))
+        new = stage(merged, root, bucket(keys, buckets), buckets)
         return replace(base, schema=_wider(base.schema, merged.schema), slices=kept | new, buckets=buckets)
     finally:
         changes.unpersist()
