@@ -21,7 +21,7 @@ from tessera.plans.lakehouse import TOPIC_PREFIX
 from tessera.plans.oracle_star import with_star
 from tessera.session import scratch_path
 from tessera.sinks import versioned
-from tessera.sinks.files import TIMESTAMP_OPTIONS, write_hour_partitioned
+from tessera.sinks.files import GZIP, TIMESTAMP_OPTIONS, write_hour_partitioned
 from tessera.sources import files as SRC
 from tessera.sources import incremental, star
 from tessera.streaming import evolving
@@ -31,7 +31,7 @@ from tessera.streaming import jobs as J
 def _flat_landing(spark: SparkSession, df: DataFrame, name: str, rows_per_file: int) -> str:
     """Land ``df`` as flat NDJSON files (the stream's input)."""
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").options(**TIMESTAMP_OPTIONS).option("maxRecordsPerFile", rows_per_file).json(path)
+    df.write.mode("overwrite").options(**TIMESTAMP_OPTIONS, **GZIP).option("maxRecordsPerFile", rows_per_file).json(path)
     return path
 
 
@@ -130,7 +130,7 @@ def stream_dedup_repolls(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = scratch_path(spark, "repoll-src")
     for t in POLL_TIMES:
         (lines.withColumn("polled_at", F.lit(t).cast("timestamp_ntz")).write.mode("append")
-         .options(**TIMESTAMP_OPTIONS).option("maxRecordsPerFile", 20000).json(src))
+         .options(**TIMESTAMP_OPTIONS, **GZIP).option("maxRecordsPerFile", 20000).json(src))
     schema = T.StructType(lines.schema.fields + [T.StructField("polled_at", T.TimestampNTZType())])
     stream = J.file_stream(spark, src, schema, max_files_per_trigger=J.files_per_batch(spark, src, 2)).withColumn(
         "t", TM.ntz_to_instant("polled_at"))
@@ -167,7 +167,7 @@ def stream_upsert_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = star.order_lines(spark, sf_dir).select("order_item_id", "dt_update", "quantity", "return_flag")
     op = F.when(F.col("return_flag") == "R", "d").otherwise("c")
     src = scratch_path(spark, "delete-src")
-    wire.envelope(lines, op, "dt_update").write.option("maxRecordsPerFile", 8000).text(src)
+    wire.envelope(lines, op, "dt_update").write.options(**GZIP).option("maxRecordsPerFile", 8000).text(src)
     root, ckpt = scratch_path(spark, "delete-target"), scratch_path(spark, "delete-ckpt")
     apply = J.upsert_versions(root, ["order_item_id"], ["dt_update", "quantity", "return_flag"], op_col="__op")
 
