@@ -8,9 +8,14 @@ import os
 from pyspark.sql import functions as F
 
 from tessera.operators import sequence as SEQ
+from tessera.plans import analytics
+from tessera.quality.contracts import ColumnSpec, Contract
+from tessera.quality.validation import FAILED, flag_rules
 from tessera.sinks import files as K
 from tessera.sinks import versioned as V
 from tessera.sources import files as S
+from tessera.sources import star
+from tests.conftest import SF_SMOKE
 
 
 def _plan(df) -> str:
@@ -55,3 +60,29 @@ def test_few_slices_are_filed_without_a_shuffle(spark, scratch):
     version = V.reload_slices(df, f"{scratch}/t", "s", slices=2)
     assert len(_files(f"{scratch}/t", ".parquet")) == 8 and set(version.slices) == {"0", "1"}
     assert V.read(spark, f"{scratch}/t").count() == 400
+
+
+def test_the_fact_is_joined_as_numbers_and_once_per_key(spark):
+    plan = star.order_items(spark, SF_SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("concat_ws") < plan.index("Join") and "concat_ws" not in plan[plan.index("Join"):]
+    plan = analytics.denormalized(spark, SF_SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line.strip(" +-:") for line in plan.splitlines() if "Join Inner" in line]
+    fact = joins.index(next(j for j in joins if "l_orderkey" in j))
+    assert any("customer_id" in j or "custkey" in j for j in joins[fact + 1:]) and not any("customer_id" in j for j in joins[:fact])
+
+
+def test_foreign_keys_of_a_large_parent_are_looked_up_by_the_missing_ones(spark):
+    contract = Contract("t", 1, (ColumnSpec("id", "bigint"), ColumnSpec("p", "bigint")), ("id",), foreign_keys={"p": ("parents", "k")})
+    rows = spark.createDataFrame([(1, 5), (2, 200_001), (3, None), (4, 200_001), (5, 7)], "id long, p long")
+    parents = {"parents": spark.range(0, 100_000).select(F.col("id").alias("k"))}
+    expect = {1: [], 2: ["fk:p"], 3: [], 4: ["fk:p"], 5: []}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit, wide in (("20000", rows), ("-1", rows), ("20000", rows.limit(2))):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            flagged = flag_rules(wide, contract, parents, False, keys_from=rows)
+            plan = _plan(flagged)
+            assert {r.id: r[FAILED] for r in flagged.collect()} == {r.id: expect[r.id] for r in wide.collect()}
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert limit == "-1" or "SortMergeJoin" not in plan
