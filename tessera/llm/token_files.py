@@ -28,10 +28,11 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,15 +42,14 @@ from tessera.session import scratch_path
 
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20  # texts encoded at a time
 PAGE_ROWS = 1_000
 CACHE_PIECES = 400_000  # of each generation
-BATCH_IDS = 1 << 28  # ids that a list column's 32-bit offsets safely hold
-
-GROUP = 64
 
 # A space that a piece may start with: the character before it is visible for certain.
 _VISIBLE = "!-~\u00a1-\u167f\u3041-\u9fff"
 _CUT = re.compile(f"(?<=[{_VISIBLE}]) ")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _PLAIN = re.compile(f"\n?[{_VISIBLE}]*[{_VISIBLE}]")
 
 
@@ -66,9 +66,9 @@ class Encoder:
 
     Three places are token bounds for certain: before a single space between
     visible characters, around a single newline between visible characters,
-    and between a letter and one point or comma that ends a word.  Texts are
-    cut there; what is left is encoded by the tokenizer, words of letters by
-    its model alone (one word is one unit for it).  A text that holds
+    and between a letter or digit and the ASCII marks that end a word.  Texts
+    are cut there; what is left is encoded by the tokenizer, words of letters
+    and runs of marks by its model alone (one is one unit for it).  A text that holds
     any other white space is cut at the certain spaces only.  A text that
     holds an added token's string is encoded by the tokenizer as a whole
     where ``added_tokens`` are asked for."""
@@ -81,90 +81,104 @@ class Encoder:
         self.word = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.space = self.letters[32]
-        self.known: dict[str, bytes] = {}  # pieces after a space, without it; those after a newline, with it
-        self.heads: dict[str, bytes] = {}  # pieces as they are
+        self.known: dict[str, bytes] = {}  # pieces after a space, without it; those after a newline, with it; no ids: not plain
         self.older: dict[str, bytes] = {}  # ``known`` before it was full
-        self._learn_heads(["\n", ".", ","])
-        self.newline, self.marks = self.heads["\n"], {m: self.heads[m] for m in ".,"}
+        self.heads: dict[str, bytes] = {}  # pieces as they are
+        self.tails: dict[str, bytes] = {}  # marks that end a word
+        self._learn_heads(["\n"])
+        self.newline = self.heads["\n"]
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _learn_heads(self, pieces: list[str]) -> None:
-        if len(self.heads) > CACHE_PIECES:
-            self.heads.clear()
         self.heads.update(zip(pieces, self._raw(pieces)))
 
-    def _word_ids(self, piece: str) -> bytes | None:
-        """Ids of a piece that is one word of letters, by the model alone."""
-        line = piece[:1] == "\n"
-        body = piece[1:] if line else piece
-        if not body.isalpha():
+    def _units(self, letters: list[str]) -> Iterator[bytes]:
+        """Ids of units that are written in the model's letters."""
+        units = list(map(self.word, letters))
+        ids = array("I", [t.id for unit in units for t in unit]).tobytes()
+        ends = [0, *accumulate(map(len, units))]
+        return (ids[4 * a:4 * b] for a, b in pairwise(ends))
+
+    def _letters(self, word: str) -> str | None:
+        """The model's letters of a word that is one unit for certain."""
+        if not word.isalpha():
             return None
-        if not body.isascii():
-            if max(body) >= "\u0250":
-                return None
-            body = body.encode().decode("latin-1").translate(self.letters)
-        ids = array("I", [t.id for t in self.word(body if line else self.space + body)]).tobytes()
-        return self.newline + ids if line else ids
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Learn the plain ones among ``pieces``.  A mark at the end of a word
-        is a unit of its own, so such a piece follows from the word's."""
-        if len(self.known) > CACHE_PIECES:
-            self.older, self.known = self.known, {}
-        known, older, marks, word_ids = self.known, self.older, self.marks, self._word_ids
-        rest, marked = [], []
+        if word.isascii():
+            return word
+        return word.encode().decode("latin-1").translate(self.letters) if max(word) < "\u0250" else None
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Learn pieces that are not known.  Marks at the end of a word are a
+        unit of their own, so such a piece follows from the word's."""
+        known, older, space, letters_of = self.known, self.older, self.space, self._letters
+        words, letters, marked, rest = [], [], [], []
         for piece in pieces:
-            ids = older.get(piece)
-            if ids is None:
-                if piece[-1:] in marks:
-                    marked.append(piece)
-                    continue
-                ids = word_ids(piece)
-                if ids is None:
-                    rest.append(piece)
-                    continue
-            known[piece] = ids
-        for piece in marked:
-            stem = piece[:-1]
-            ids = known.get(stem) or older.get(stem)
-            if ids is None and (ids := word_ids(stem)) is not None:
-                known[stem] = ids
-            if ids is not None and stem[-1].isalpha() and stem[-1] < "\u0250":
-                known[piece] = ids + marks[piece[-1]]
+            if (ids := older.get(piece)) is not None:
+                known[piece] = ids
+            elif (of := letters_of(piece)) is not None:
+                words.append(piece)
+                letters.append(space + of)
+            elif (stem := piece.rstrip(_MARKS)) != piece and stem[-1:].isalnum() and stem[-1] < "\u0250":
+                marked.append((piece, stem))
             else:
                 rest.append(piece)
-        if rest := [p for p in rest if _PLAIN.fullmatch(p)]:
-            known.update(zip(rest, self._raw([p if p[0] == "\n" else " " + p for p in rest])))
+        known.update(zip(words, self._units(letters)))
+        lines = [(p, of) for p in rest if p[:1] == "\n" and (of := letters_of(p[1:])) is not None]
+        known.update(zip([p for p, _ in lines], map(self.newline.__add__, self._units([of for _, of in lines]))))
+        rest = [p for p in rest if p not in known]
+        known.update(zip(rest, repeat(b"")))
+        plain = [p for p in rest if _PLAIN.fullmatch(p)]
+        known.update(zip(plain, self._raw([p if p[0] == "\n" else " " + p for p in plain])))
+        if marked:
+            if stems := list({s for _, s in marked}.difference(known)):
+                self._learn(stems)
+            if tails := list({p[len(s):] for p, s in marked}.difference(self.tails)):
+                if len(self.tails) > CACHE_PIECES:
+                    self.tails.clear()
+                    tails = list({p[len(s):] for p, s in marked})
+                self.tails.update(zip(tails, self._units(tails)))
+            for piece, stem in marked:
+                known[piece] = (ids := known[stem]) and ids + self.tails[piece[len(stem):]]
 
     def _plainly(self, text: str) -> bytes:
         parts = _CUT.split(text)
         pieces = [parts[0], *[" " + p for p in parts[1:]]]
+        if len(self.heads) > CACHE_PIECES:
+            self.heads.clear()
         if missing := [p for p in set(pieces) if p not in self.heads]:
             self._learn_heads(missing)
         return b"".join([self.heads[p] for p in pieces])
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         whole = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
-        if not whole:
-            return self._encode_plain(texts)
-        plain = iter(self._encode_plain([t for k, t in enumerate(texts) if k not in whole]))
+        rest = [t for k, t in enumerate(texts) if k not in whole]
+        plain = iter(self._encode_plain(rest) if rest else ())
         return [self._raw([t])[0] if k in whole else next(plain) for k, t in enumerate(texts)]
 
     def _encode_plain(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for k in range(0, len(texts), GROUP):
-            # the first piece is taken like one after a newline, less that newline
-            cut = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts[k:k + GROUP]]
-            wanted = set(chain.from_iterable(cut))
-            self._learn(wanted if len(self.known) > CACHE_PIECES else wanted.difference(self.known))
-            for text, pieces in zip(texts[k:k + GROUP], cut):
-                try:
-                    out.append(b"".join(map(self.known.__getitem__, pieces))[len(self.newline):])
-                except KeyError:
-                    out.append(self._plainly(text))
-        return out
+        """Each distinct piece of the texts is looked up once."""
+        # the first piece is taken like one after a newline, less that newline
+        lists = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
+        pieces, bounds = lists.flatten().dictionary_encode(), lists.offsets.to_numpy()
+        wanted = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > CACHE_PIECES:
+            self.older, self.known = self.known, {}
+        self._learn([p for p in wanted if p not in self.known])
+        ids = list(map(self.known.__getitem__, wanted))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        code = pieces.indices.to_numpy()
+        size = sizes[code]
+        plainly = np.minimum.reduceat(size, bounds[:-1]) == 0
+        ends = np.append(0, np.cumsum(size))
+        at = np.repeat((np.cumsum(sizes) - sizes)[code] - ends[:-1], size)
+        at += np.arange(ends[-1])
+        joined = flat[at]
+        skip = len(self.newline) // 4
+        return [self._plainly(t) if odd else joined[x + skip:y].tobytes()
+                for t, odd, x, y in zip(texts, plainly.tolist(), ends[bounds[:-1]].tolist(), ends[bounds[1:]].tolist())]
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -196,7 +210,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, added_
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, before = encoder(tokenizer_path, added_tokens), 0
         for whole in batches:  # a batch lies in one part
-            for batch in cut_by_bytes(whole, 1, BATCH_IDS):  # no text has more ids than bytes
+            for batch in cut_by_bytes(whole, 1, CHUNK_BYTES):
                 raw = [r + end for r in enc.encode_all(batch.column(1).to_pylist())]
                 counts = np.array([len(r) // 4 for r in raw], np.int64)
                 ends = np.append(0, np.cumsum(counts))

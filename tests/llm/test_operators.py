@@ -392,6 +392,25 @@ def test_piece_cache_in_two_generations(monkeypatch):
     assert len(coder.known) < 2_000 and len(coder.older) < 2_000
 
 
+def test_pieces_are_encoded_once_and_full_caches_lose_none(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder = token_files.Encoder(path)
+    wholes: list[str] = []
+    raw = coder._raw
+    monkeypatch.setattr(coder, "_raw", lambda pieces: wholes.extend(pieces) or raw(pieces))
+    texts = [f"{prose(k, 40)} {prose(k % 5, 1)}%%% {prose(k % 3, 1)}$$$." for k in range(80)]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode_all(texts)] == want
+    assert len(wholes) == len(set(wholes)) and not any(p.endswith(("%", "$.")) for p in wholes)  # marks follow from their word
+    monkeypatch.setattr(token_files, "CACHE_PIECES", 4)
+    coder = token_files.Encoder(path)
+    odd = ["a  b", "x\t\u00f1 y", "a  b \u00f1 z", "p  q a", "  a \u00df  c 1,2%"] * 6  # cut at certain spaces only
+    ids = [np.frombuffer(b, "<u4").tolist() for k in range(0, len(odd), 4) for b in coder.encode_all(odd[k:k + 4])]
+    assert ids == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
+
+
 def test_quality_learns_from_one_text_of_a_doc_id(spark, tables):
     """A doc_id with two texts: the fit doesn't depend on the order of rows."""
     docs, labels = tables["documents"], tables["labels"]
