@@ -23,10 +23,14 @@ and fragments of one minimizer go to one bucket.
    packed arrays by hash bucket, sorted and scanned there.
 3. The remaining fragments travel packed by bucket; equal fragments are one
    text of the collection there, with their least doc_id.
-4. Each bucket builds its collection's transform and reports covered ranges.
+4. Each bucket builds the transform of its collection, less the fragments
+   whose bytes around the minimizer no other one has, and reports covered
+   ranges.
 5. Ranges are united per document and cut from the texts.
 
-Bucket counts follow the input, so buckets stay of bounded size.  A fragment
+Bucket counts follow the input, so buckets stay of bounded size.  What they
+find goes packed to blocks of documents, not in a row per document and bucket,
+whose number would grow with both.  A fragment
 that many documents share is one entry of the collection.  Where a minimizer
 occurs more than ``HOT`` times (an edge of a line that very many documents
 hold has another fragment in each), its strings travel one by one, dealt by
@@ -58,8 +62,10 @@ from tessera.llm.common import blocks_for, materialize
 WIDTH = 50
 SEED = 16
 RUN = 35
+PLACES = 7
 KEYS_PER_BUCKET = 1_000_000
 FRAGMENT_BYTES_PER_BUCKET = 1 << 20
+TEXT_BYTES_PER_BLOCK = 32 << 20
 HOT = 20_000
 NULL_ID = -(1 << 63)
 
@@ -69,18 +75,23 @@ _STRING = textnp.constants(WIDTH, 33)
 _STEP = textnp.constants(4, 32) | _U(1)
 
 
+def seed_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of each SEED-byte string."""
+    h = _CODES[data]
+    size = 1
+    for c in _STEP:  # hashes of 2, 4, 8, 16 bytes
+        h = h[:-size] * c + h[size:]
+        size *= 2
+    return textnp.mix64(h)
+
+
 def minimizers(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Fragments of a chunk: (row, start within the text, number of WIDTH-byte
     strings, minimizer value)."""
     n = len(data) - WIDTH + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    h = _CODES[data]
-    size = 1
-    for c in _STEP:  # hashes of 2, 4, 8, 16 bytes
-        h = h[:-size] * c + h[size:]
-        size *= 2
-    h = textnp.mix64(h)
+    h = seed_hashes(data)
     span, want = 1, WIDTH - SEED + 1
     while span < want:  # least of ``want`` successive hashes, by doubling
         step = min(span, want - span)
@@ -182,9 +193,33 @@ def packed_minimizers(texts: DataFrame, n_buckets: int) -> DataFrame:
         run, "bucket int, marks binary, ids binary, row_keys binary, starts binary")
 
 
-def shared_starts(packed: DataFrame) -> DataFrame:
-    """id, row_key, starts: fragments whose minimizer occurs in two documents
-    or more; -1 - start for minimizers that occur more than ``HOT`` times."""
+def _dealt(ids: np.ndarray, keys: np.ndarray, first: np.ndarray, last: np.ndarray, n_blocks: int) -> pd.DataFrame:
+    """Places of documents, packed by block of documents: ``by_document``."""
+    rows = [(block, *_pack([ids, keys, first, last], at)) for block, at in _by_bucket(keys.view(np.uint64), n_blocks)]
+    return pd.DataFrame(rows, columns=["block", "ids", "row_keys", "firsts", "lasts"])
+
+
+_DEALT = "block int, ids binary, row_keys binary, firsts binary, lasts binary"
+
+
+def by_document(dealt: DataFrame) -> DataFrame:
+    """One row per document: id, row_key, parts (its distinct pairs of first
+    and last, packed in ascending order), n (their number)."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, keys, first, last = (_column(rows, c, kind) for c, kind in (
+            ("ids", np.int64), ("row_keys", np.int64), ("firsts", np.int32), ("lasts", np.int32)))
+        order = np.lexsort((last, first, keys, ids))
+        order = order[[a for a, _ in _runs_of(ids[order], keys[order], first[order], last[order])]]
+        parts = _runs_of(ids[order], keys[order])
+        heads, pairs = order[[a for a, _ in parts]], np.stack([first[order], last[order]], axis=1)
+        return pd.DataFrame({"id": ids[heads], "row_key": keys[heads], "parts": [pairs[a:b].tobytes() for a, b in parts],
+                             "n": [b - a for a, b in parts]})
+    return dealt.groupBy("block").applyInPandas(run, "id long, row_key long, parts binary, n long")
+
+
+def shared_starts(packed: DataFrame, n_blocks: int) -> DataFrame:
+    """Fragments whose minimizer occurs in two documents or more, as start and
+    whether it occurs more than ``HOT`` times, for ``by_document``."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         mark, doc, key, start = (_column(rows, c, kind) for c, kind in (
             ("marks", np.uint32), ("ids", np.int64), ("row_keys", np.int64), ("starts", np.int32)))
@@ -193,14 +228,11 @@ def shared_starts(packed: DataFrame) -> DataFrame:
         heads = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
         count = np.diff(np.append(heads, len(order)))
         many = np.minimum.reduceat(doc[order], heads) != np.maximum.reduceat(doc[order], heads)
-        start = start.copy()
-        hot = order[np.repeat(many & (count > HOT), count)]
-        start[hot] = -1 - start[hot]  # to be spread by string instead of by minimizer
+        hot = np.zeros(len(order), np.int32)
+        hot[order[np.repeat(many & (count > HOT), count)]] = 1  # to be spread by string instead of by minimizer
         keep = np.sort(order[np.repeat(many, count)])
-        parts = _runs_of(doc[keep], key[keep])
-        return pd.DataFrame({"id": [int(doc[keep[a]]) for a, _ in parts], "row_key": [int(key[keep[a]]) for a, _ in parts],
-                             "starts": [start[keep[a:b]].tobytes() for a, b in parts]})
-    return packed.groupBy("bucket").applyInPandas(run, "id long, row_key long, starts binary")
+        return _dealt(doc[keep], key[keep], start[keep], hot[keep], n_blocks)
+    return packed.groupBy("bucket").applyInPandas(run, _DEALT)
 
 
 def _runs_of(*columns: np.ndarray) -> list[tuple[int, int]]:
@@ -217,19 +249,19 @@ def _runs_of(*columns: np.ndarray) -> list[tuple[int, int]]:
 
 def packed_fragments(texts: DataFrame, n_buckets: int) -> DataFrame:
     """bucket, marks, ids, row_keys, starts, lengths, bytes of the fragments to
-    compare.  ``texts`` has id, row_key, packed and parts (packed starts)."""
+    compare.  ``texts`` has id, row_key, packed and parts (``shared_starts``)."""
     names = ["bucket", "marks", "ids", "row_keys", "starts", "lengths", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = _longs(batch.column(0)), _longs(batch.column(1))
-            wanted = [np.frombuffer(b"".join(p), np.int32) for p in batch.column(3).to_pylist()]
+            wanted = [np.frombuffer(p, np.int32).reshape(-1, 2) for p in batch.column(3).to_pylist()]
             data, off = _texts(batch.column(2))
             parts = []
             for a, b, d, o in textnp.chunks(data, off):
                 row, start, length, value = minimizers(d, o)
                 bounds = np.searchsorted(row, np.arange(b - a + 1))
-                places = [(lo + np.searchsorted(start[lo:hi], np.where(w < 0, -1 - w, w)), w < 0) for lo, hi, w in
+                places = [(lo + np.searchsorted(start[lo:hi], w[:, 0]), w[:, 1] > 0) for lo, hi, w in
                           zip(bounds[:-1], bounds[1:], wanted[a:b])]
                 take = np.concatenate([p for p, _ in places]).astype(np.int64)
                 hot = np.concatenate([h for _, h in places])
@@ -347,6 +379,38 @@ def collection_index(text: np.ndarray, ends: np.ndarray, sizes: np.ndarray, fold
     return places, common
 
 
+def may_share(pieces: list[bytes]) -> np.ndarray:
+    """Which of the distinct pieces can hold a WIDTH-byte string of another.
+
+    Equal strings hold their minimizer at the same place, so the bytes around
+    it are equal too.  By that place, strings fall into classes of ``PLACES``;
+    a piece stays where a class's common bytes around its minimizer occur in
+    another piece.  A minimizer that occurs twice in a piece leaves the place
+    open: all pieces of that minimizer stay."""
+    sizes = np.array(list(map(len, pieces)))
+    first = np.append(0, np.cumsum(sizes))
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    h = seed_hashes(data)
+    beyond = (first[1:, None] - np.arange(1, SEED)).ravel()  # these reach into the next piece
+    h[beyond[beyond < len(h)]] = ~_U(0)
+    least = np.minimum.reduceat(h, first[:-1])
+    found = np.flatnonzero(h == np.repeat(least, sizes)[:len(h)])
+    piece = np.searchsorted(first, found, side="right") - 1
+    once = np.bincount(piece, minlength=len(pieces)) == 1
+    keep = np.isin(least, least[~once])
+    sure = once[piece]
+    found, piece = found[sure], piece[sure]
+    for lo in range(0, RUN, PLACES):
+        hi = min(lo + PLACES, RUN) - 1
+        size = lo + WIDTH - hi
+        fits = (found - lo >= first[piece]) & (found - lo + size <= first[piece + 1])
+        around = data[(found[fits] - lo)[:, None] + np.arange(size)]
+        _, group, members = np.unique(textnp.mix64((around * _STRING[:size]).sum(axis=1, dtype=np.uint64)),
+                                      return_inverse=True, return_counts=True)
+        keep[piece[fits][members[group] > 1]] = True
+    return keep
+
+
 def least_owners(pieces: list[bytes], owners: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray]:
     """For distinct pieces and each one's least document: (first, least),
     where ``least[first[i] + w]`` is the least document that holds the
@@ -374,8 +438,8 @@ def least_owners(pieces: list[bytes], owners: np.ndarray, folder: str) -> tuple[
     return first, least
 
 
-def covered_ranges(packed: DataFrame) -> DataFrame:
-    """id, row_key, ranges: packed (start, end) byte ranges to remove."""
+def covered_ranges(packed: DataFrame, n_blocks: int) -> DataFrame:
+    """Byte ranges to remove, as start and end, for ``by_document``."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         mark, doc, key, start, size = (_column(rows, c, kind) for c, kind in (
             ("marks", np.uint32), ("ids", np.int64), ("row_keys", np.int64), ("starts", np.int32), ("lengths", np.uint8)))
@@ -386,15 +450,16 @@ def covered_ranges(packed: DataFrame) -> DataFrame:
         pieces = list(number)
         owners = np.full(len(pieces), np.iinfo(np.int64).max)
         np.minimum.at(owners, piece, doc)
-        found: dict[tuple[int, int], list[int]] = {}
         later = doc > owners[piece]  # an earlier document has the whole fragment
-        for i in np.flatnonzero(later).tolist():
-            found.setdefault((int(doc[i]), int(key[i])), []).extend((int(start[i]), int(start[i]) + int(size[i])))
+        found = [np.flatnonzero(later)], [start[later]], [start[later] + size[later]]
         # a least owner's strings may start earlier in another fragment of the same minimizer
         mark_of = np.empty(len(pieces), np.uint32)
         mark_of[piece] = mark
         _, group, members = np.unique(mark_of, return_inverse=True, return_counts=True)
         several = members[group] > 1
+        chosen = np.flatnonzero(several)
+        if len(chosen):
+            several[chosen] = may_share([pieces[i] for i in chosen.tolist()])
         own = np.flatnonzero(~later & several[piece])
         if len(own):
             chosen = np.flatnonzero(several)
@@ -405,15 +470,18 @@ def covered_ranges(packed: DataFrame) -> DataFrame:
             bounds = np.append(0, np.cumsum(count))
             at = np.repeat(first[piece[own]] - bounds[:-1], count) + np.arange(bounds[-1])
             gone = least[at] < np.repeat(doc[own], count)
-            for k in np.flatnonzero(np.add.reduceat(gone, bounds[:-1])).tolist():
-                i, flags = own[k], np.zeros(int(count[k]) + 2, np.int8)
-                flags[1:-1] = gone[bounds[k]:bounds[k + 1]]
-                change = np.diff(flags)
-                for a, b in zip(np.flatnonzero(change == 1).tolist(), np.flatnonzero(change == -1).tolist()):
-                    found.setdefault((int(doc[i]), int(key[i])), []).extend((int(start[i]) + a, int(start[i]) + b + WIDTH - 1))
-        return pd.DataFrame({"id": [k[0] for k in found], "row_key": [k[1] for k in found],
-                             "ranges": [np.array(v, np.int32).tobytes() for v in found.values()]})
-    return packed.groupBy("bucket").applyInPandas(run, "id long, row_key long, ranges binary")
+            # runs of such strings; a fragment's strings follow each other
+            flags = np.zeros(bounds[-1] + len(own) + 1, np.int8)
+            flags[1 + np.arange(bounds[-1]) + np.repeat(np.arange(len(own)), count)] = gone
+            change = np.diff(flags)
+            begin, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+            spread = bounds[:-1] + np.arange(len(own))
+            of = np.searchsorted(spread, begin, side="right") - 1
+            for column, more in zip(found, (own[of], start[own[of]] + begin - spread[of], start[own[of]] + end - spread[of] + WIDTH - 1)):
+                column.append(more)
+        at, first, last = (np.concatenate(c) for c in found)
+        return _dealt(doc[at], key[at], first.astype(np.int32), last.astype(np.int32), n_blocks)
+    return packed.groupBy("bucket").applyInPandas(run, _DEALT)
 
 
 def cut_ranges(texts: DataFrame) -> DataFrame:
@@ -428,7 +496,7 @@ def cut_ranges(texts: DataFrame) -> DataFrame:
                 if copy and n >= WIDTH:
                     out.append((n, n, 1, b""))
                 elif parts:
-                    edges = np.frombuffer(b"".join(parts), np.int32).reshape(-1, 2)
+                    edges = np.frombuffer(parts, np.int32).reshape(-1, 2)
                     depth = np.zeros(n + 1, np.int32)
                     np.add.at(depth, edges[:, 0], 1)
                     np.add.at(depth, edges[:, 1], -1)
@@ -456,15 +524,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packed = packed_minimizers(texts, blocks_for(size // 18, KEYS_PER_BUCKET))
-    shared = shared_starts(packed).join(copies, ["id", "row_key"], "left_anti")
-    shared = materialize(shared.groupBy("id", "row_key").agg(F.array_sort(F.collect_set("starts")).alias("parts"),
-                                                             F.sum(F.octet_length("starts") / 4).alias("n")), "shared")
+    blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks_for(size, TEXT_BYTES_PER_BLOCK))
+    # written before the join, so that it takes one row per document
+    shared = materialize(by_document(shared_starts(packed, blocks)), "shared").join(copies, ["id", "row_key"], "left_anti")
     total = int(shared.agg(F.sum("n")).first()[0] or 0)
     small = squeezed(texts)
     chosen = small.select("id", "row_key", "packed").join(shared.select("id", "row_key", "parts"), ["id", "row_key"])
     fragments = packed_fragments(chosen, blocks_for(total * (WIDTH + RUN // 2), FRAGMENT_BYTES_PER_BUCKET))
-    ranges = materialize(covered_ranges(fragments), "ranges")
-    cuts = ranges.groupBy("id", "row_key").agg(F.collect_list("ranges").alias("parts"), F.lit(False).alias("copy"))
-    whole = copies.select("id", "row_key", F.array().cast("array<binary>").alias("parts"), F.lit(True).alias("copy"))
+    cuts = materialize(by_document(covered_ranges(fragments, blocks)), "ranges").select("id", "row_key", "parts", F.lit(False).alias("copy"))
+    whole = copies.select("id", "row_key", F.lit(None).cast("binary").alias("parts"), F.lit(True).alias("copy"))
     joined = small.join(cuts.unionByName(whole), ["id", "row_key"], "left")
     return cut_ranges(joined.select("doc_id", "packed", "copy", "parts"))

@@ -7,9 +7,10 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tests.llm.conftest import rows_of
+from tests.llm.conftest import prose, rows_of
 
 from tessera.llm import bwt_dedup, components, exact_dedup, line_dedup, minhash_dedup, textnp
 
@@ -216,6 +217,41 @@ def test_short_sentences_lines_and_paragraphs_go_as_a_whole(spark):
     assert got[2].spans == "11:40:1,40:48:1" and got[2].n_spans == 1
 
 
+def test_only_fragments_that_may_share_a_string_are_compared():
+    mark = "marker of sixteen bytes in many texts"
+    alone = [f"{prose(2 * k, 12)} {mark} {prose(2 * k + 1, 12)}" for k in range(40)]
+    twins = [f"{prose(900 + k, 3)} {mark} {prose(500, 12)}" for k in range(3)] + ["ab" * 60, "ab" * 44 + prose(7, 20)]
+    texts = [t.encode() for t in alone + twins]
+    data, off = textnp.column_bytes(pa.array(texts, pa.binary()))
+    row, start, length, value = bwt_dedup.minimizers(data, off)
+    groups: dict[int, set] = {}
+    for r, s, n, v in zip(row.tolist(), start.tolist(), length.tolist(), value.tolist()):
+        groups.setdefault(v, set()).add(texts[r][s:s + n + bwt_dedup.WIDTH - 1])
+    pieces = [p for g in groups.values() if len(g) > 1 for p in sorted(g)]
+    holders: dict[bytes, set] = {}
+    for i, p in enumerate(pieces):
+        for a in range(len(p) - bwt_dedup.WIDTH + 1):
+            holders.setdefault(p[a:a + bwt_dedup.WIDTH], set()).add(i)
+    share = {i for held in holders.values() if len(held) > 1 for i in held}
+    kept = set(np.flatnonzero(bwt_dedup.may_share(pieces)).tolist())
+    assert share and share <= kept and len(kept) < len(pieces) / 2
+
+
+def test_buckets_deal_packed_rows_to_blocks_of_documents(odd, tables, monkeypatch):
+    written, found = {}, []
+    real, deal = bwt_dedup.materialize, bwt_dedup.by_document
+    monkeypatch.setattr(bwt_dedup, "materialize", lambda df, name: written.setdefault(name, real(df, name)))
+    monkeypatch.setattr(bwt_dedup, "by_document", lambda rows: found.append(rows) or deal(rows))
+    docs = tables["documents"]
+    got = rows_of(bwt_dedup.remove_repeats(docs).drop("kept"))
+    assert got == expect_cut([(r.doc_id, r.text) for r in docs.collect()])
+    n_blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for rows in found:  # a row per block and bucket, however many documents they hold
+        assert rows.groupBy("block").count().filter("block >= %d" % n_blocks).count() == 0
+    shared = written["shared"]
+    assert found[0].count() <= n_blocks and shared.count() == shared.select("id", "row_key").distinct().count() > n_blocks
+
+
 def test_nested_units_agree_with_each_cut(odd):
     for text in [r.text for r in odd.collect() if r.text] + ["a b. c\n\n\nd e. f\ng\n", "\n\na. b", "x\n\n"]:
         nested = set(line_dedup.nested_units(text))
