@@ -136,21 +136,12 @@ def _binary_rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
                                        *[pa.array([r[k] for r in rows], pa.binary()) for k in range(1, len(names))]], names=names)
 
 
-def _squeeze(raw: bytes) -> bytes:
-    """Zstandard-compressed bytes after their length; shuffles take these."""
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def _expand(raw: bytes) -> bytes:
-    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
-
-
 def _column(rows: pd.DataFrame, name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(map(_expand, rows[name])), kind)
+    return np.frombuffer(b"".join(map(textnp.expand, rows[name])), kind)
 
 
 def _pack(columns: list[np.ndarray], at: np.ndarray) -> tuple:
-    return tuple(_squeeze(c[at].tobytes()) for c in columns)
+    return tuple(textnp.squeeze(c[at].tobytes()) for c in columns)
 
 
 def squeezed(texts: DataFrame) -> DataFrame:
@@ -158,13 +149,13 @@ def squeezed(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = textnp.column_bytes(batch.column(3))
-            packed = pa.array([_squeeze(data[a:b].tobytes()) for a, b in zip(off[:-1], off[1:])], pa.binary())
+            packed = pa.array([textnp.squeeze(data[a:b].tobytes()) for a, b in zip(off[:-1], off[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], packed], names=["doc_id", "id", "row_key", "packed"])
     return texts.select("doc_id", "id", "row_key", "text").mapInArrow(run, "doc_id long, id long, row_key long, packed binary")
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return textnp.column_bytes(pa.array([_expand(x) for x in column.to_pylist()], pa.binary()))
+    return textnp.column_bytes(pa.array([textnp.expand(x) for x in column.to_pylist()], pa.binary()))
 
 
 def _longs(column: pa.Array) -> np.ndarray:
@@ -280,7 +271,7 @@ def packed_fragments(texts: DataFrame, n_buckets: int) -> DataFrame:
             out = []
             for bucket, at in _by_bucket(value, n_buckets):
                 flat = np.arange(size[at].sum()) + np.repeat(begin[at] - (np.cumsum(size[at]) - size[at]), size[at])
-                out.append((bucket, *_pack(columns, at), _squeeze(data[flat].tobytes())))
+                out.append((bucket, *_pack(columns, at), textnp.squeeze(data[flat].tobytes())))
             yield _binary_rows(out, names)
     return texts.select("id", "row_key", "packed", "parts").mapInArrow(
         run, "bucket int, marks binary, ids binary, row_keys binary, starts binary, lengths binary, bytes binary")
@@ -443,7 +434,7 @@ def covered_ranges(packed: DataFrame, n_blocks: int) -> DataFrame:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         mark, doc, key, start, size = (_column(rows, c, kind) for c, kind in (
             ("marks", np.uint32), ("ids", np.int64), ("row_keys", np.int64), ("starts", np.int32), ("lengths", np.uint8)))
-        raw = b"".join(map(_expand, rows["bytes"]))
+        raw = b"".join(map(textnp.expand, rows["bytes"]))
         cut = np.append(0, np.cumsum(size.astype(np.int64))).tolist()
         number: dict[bytes, int] = {}
         piece = np.array([number.setdefault(raw[a:b], len(number)) for a, b in zip(cut[:-1], cut[1:])], np.int64)

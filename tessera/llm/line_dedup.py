@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import textnp
 from tessera.llm.common import materialize
 
 # Where a text is cut: after these, units tile the text.
@@ -126,6 +127,15 @@ def repeated_units(units: DataFrame) -> DataFrame:
     return spans.select("doc_id", "row_hash", *[F.col(f"spans.{c}").alias(f"{c}s") for c in ("start", "end", "keep_id")])
 
 
+def squeezed(docs: DataFrame) -> DataFrame:
+    """doc_id, row_hash, packed (the compressed text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = pa.array([textnp.squeeze((t or "").encode()) for t in batch.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], packed], names=["doc_id", "row_hash", "packed"])
+    return docs.select("doc_id", row_hash().alias("row_hash"), "text").mapInArrow(run, "doc_id long, row_hash long, packed binary")
+
+
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, kept_text, n_bytes, n_removed (bytes),
     n_spans (maximal removed runs), spans ("start:end:keep_id" joined by
@@ -133,8 +143,8 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text, starts, ends, keeps in zip(*[c.to_pylist() for c in batch.columns]):
-                text = text or ""
+            for doc_id, packed, starts, ends, keeps in zip(*[c.to_pylist() for c in batch.columns]):
+                text = textnp.expand(packed).decode()
                 kept, at, runs, last = [], 0, 0, -1
                 outer: list[tuple[int, int, int]] = []
                 for start, end, keep in sorted(zip(starts or (), ends or (), keeps or ()), key=lambda s: (s[0], -s[1])):
@@ -155,8 +165,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
                         ("spans", pa.string())])
     named = spans.withColumnsRenamed({"doc_id": "span_doc_id", "row_hash": "span_hash"})
     same = F.col("doc_id").eqNullSafe(F.col("span_doc_id")) & (F.col("row_hash") == F.col("span_hash"))
-    joined = (docs.select("doc_id", "text", row_hash().alias("row_hash")).join(named, same, "left")
-              .select("doc_id", "text", "starts", "ends", "keep_ids"))
+    joined = squeezed(docs).join(named, same, "left").select("doc_id", "packed", "starts", "ends", "keep_ids")
     return joined.mapInArrow(cut, "doc_id long, kept_text string, n_bytes long, n_removed long, n_spans long, "
                                   "kept_sha256 string, spans string")
 
@@ -164,4 +173,5 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 def dedup_units(docs: DataFrame, unit: str = "all", min_words: int = MIN_WORDS) -> DataFrame:
     """Remove every unit that an earlier document, or an earlier place of the
     same one, holds: see ``remove_spans`` for the columns."""
-    return remove_spans(docs, repeated_units(materialize(hashed_units(docs, unit, min_words), "units")))
+    units = materialize(hashed_units(docs, unit, min_words), "units", {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"})
+    return remove_spans(docs, repeated_units(units))

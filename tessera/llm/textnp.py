@@ -48,6 +48,15 @@ def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]] if len(off) else data[:0], off - off[0]
 
 
+def squeeze(raw: bytes) -> bytes:
+    """Zstandard-compressed bytes after their length; shuffles take these."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def expand(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
 def chunks(data: np.ndarray, off: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row ranges of at most ``limit`` bytes (or one row): (first row, end
     row, bytes, offsets from 0)."""

@@ -237,6 +237,18 @@ def test_only_fragments_that_may_share_a_string_are_compared():
     assert share and share <= kept and len(kept) < len(pieces) / 2
 
 
+def test_texts_travel_compressed_to_their_units(spark, odd):
+    rows = [(1, "long line of words " * 400), (2, None), (3, "\u00e9" * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = {r.doc_id: bytes(r.packed) for r in line_dedup.squeezed(docs).collect()}
+    assert {k: textnp.expand(v).decode() for k, v in packed.items()} == {k: t or "" for k, t in rows}
+    assert len(packed[1]) < 400
+    spans = spark.createDataFrame([], "doc_id long, row_hash long, starts array<long>, ends array<long>, keep_ids array<long>")
+    joined = line_dedup.remove_spans(docs, spans)._jdf.queryExecution().optimizedPlan().toString()
+    above = joined[:joined.index("Join")]
+    assert "packed" in above and "text#" not in above.replace("kept_text#", "")  # only the compressed text is joined
+
+
 def test_buckets_deal_packed_rows_to_blocks_of_documents(odd, tables, monkeypatch):
     written, found = {}, []
     real, deal = bwt_dedup.materialize, bwt_dedup.by_document
