@@ -86,3 +86,19 @@ def test_foreign_keys_of_a_large_parent_are_looked_up_by_the_missing_ones(spark)
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         assert limit == "-1" or "SortMergeJoin" not in plan
+
+
+def test_rules_are_judged_before_rows_meet_their_repeated_keys(spark):
+    contract = Contract("t", 1, (ColumnSpec("id", "bigint", False), ColumnSpec("amount", "bigint"), ColumnSpec("note", "string")), ("id",),
+                        rules={"amount_positive": "amount > 0", "note_short": "length(note) < 9"})
+    rows = spark.createDataFrame([(1, 5, "a"), (1, -5, "b"), (2, None, "a note too long"), (None, 0, None), (None, 1, None)],
+                                 "id long, amount long, note string")
+    flagged = flag_rules(rows, contract)
+    assert flagged.columns == ["id", "amount", "note", FAILED]
+    got = sorted((r.id or 0, r.amount or 0, list(r[FAILED])) for r in flagged.collect())
+    assert got == [(0, 0, ["amount_positive", "not_null:id"]), (0, 1, ["not_null:id"]), (1, -5, ["amount_positive", "duplicate_key"]),
+                   (1, 5, ["duplicate_key"]), (2, 0, ["note_short"])]
+    plan = flagged.select(FAILED)._jdf.queryExecution().optimizedPlan()
+    while not plan.nodeName().startswith("Join"):
+        plan = plan.children().apply(0)
+    assert plan.children().apply(0).output().size() == 2  # the key and what the rules found, not the columns they read
