@@ -7,6 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from tessera import session
 from tessera.operators import sequence as SEQ
 from tessera.plans import analytics
 from tessera.quality.contracts import ColumnSpec, Contract
@@ -102,3 +103,21 @@ def test_rules_are_judged_before_rows_meet_their_repeated_keys(spark):
     while not plan.nodeName().startswith("Join"):
         plan = plan.children().apply(0)
     assert plan.children().apply(0).output().size() == 2  # the key and what the rules found, not the columns they read
+
+
+def test_the_orders_of_a_large_fact_are_hashed_not_sorted(spark, monkeypatch):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before, partitions = spark.conf.get(key), session.shuffle_partitions(spark)
+    expect = star.order_items(spark, SF_SMOKE).orderBy("order_item_id", *star.fact_sort_keys()).collect()
+    spark.conf.set(key, "1k")
+    try:
+        with session.sized_shuffles(spark, session.SHUFFLE_BYTES * 40 + 1):
+            assert session.shuffle_partitions(spark) == max(41, partitions)
+            items = star.order_items(spark, SF_SMOKE)
+            assert "ShuffledHashJoin" in _plan(items) and "SortMergeJoin" not in _plan(items)
+            assert items.orderBy("order_item_id", *star.fact_sort_keys()).collect() == expect
+        assert session.shuffle_partitions(spark) == partitions
+        monkeypatch.setattr(session, "BUILD_BYTES", 1)  # too many orders for a partition: sorted
+        assert "SortMergeJoin" in _plan(star.order_items(spark, SF_SMOKE))
+    finally:
+        spark.conf.set(key, before)
