@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import estimated_size, measured, sized_shuffles
+
 
 def layer_stats(df: DataFrame, table: str, layer: str, keys: list[str],
                 version_col: str | None = None) -> DataFrame:
@@ -78,25 +80,32 @@ def windowed_reconcile(layers: list[tuple[str, DataFrame]], window_col: str, key
     A layer without rows in one of the source's windows counts as 0 rows.
 
     Keys are counted by aggregation at two levels, combined before the
-    shuffle, so a hot key or month is no hot task; what is compared in the
-    end is one row per window and layer."""
+    shuffle, so a hot key or month is no hot task.  The layers of a key are
+    columns of one row, so the second level moves a row per key, not per key
+    and layer.  What is compared in the end is one row per window: it is
+    counted at once, under shuffles sized by the layers, and read back."""
+    names = [layer for layer, _ in layers]
     rows = reduce(DataFrame.unionByName, [df.select(
-        F.lit(layer).alias("layer"), F.col(window_col).cast("string").alias("w"), F.col(key_col).alias("k"),
-        F.col(version_col).alias("v")) for layer, df in layers])
-    per_key = rows.groupBy("layer", "w", "k").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v"))
-    counts = [F.sum("n").cast("bigint").alias("row_count"), F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
-              F.max("v").alias("version")]
-    months = per_key.groupBy("layer", F.col("w").alias("time_window")).agg(*counts)
-    whole = per_key.groupBy("layer", "k").agg(F.sum("n").alias("n"), F.max("v").alias("v")) \
-        .groupBy("layer", F.lit("all").alias("time_window")).agg(*counts)
-    found = months.unionByName(whole)
-    found = found.select("*", F.explode(F.when(F.col("layer") == "bronze", F.array(F.lit("bronze"), F.lit("silver")))
-                                        .otherwise(F.array("layer"))).alias("as_layer"))
-    stat = F.struct(F.when(F.col("as_layer") == "silver", F.col("distinct_keys")).otherwise(F.col("row_count")).alias("row_count"),
-                    "distinct_keys", "version")
-    # windows by layers is a small table: one row per window, a column per layer
+        F.lit(layer).alias("layer"), F.col(window_col).alias("w"), F.col(key_col).alias("k"),
+        F.col(version_col).cast("bigint").alias("v")) for layer, df in layers])
+    n, v = [f"n_{x}" for x in names], [f"v_{x}" for x in names]
+    per_key = rows.groupBy("w", "k").agg(
+        *[F.count(F.when(F.col("layer") == x, 1)).alias(f"n_{x}") for x in names],
+        *[F.max(F.when(F.col("layer") == x, F.col("v"))).alias(f"v_{x}") for x in names])
+    # a layer without rows in a window has no figures there
+    counts = [F.when(F.sum(f"n_{x}") > 0, F.struct(
+        F.sum(f"n_{x}").alias("row_count"), F.count(F.when(F.col(f"n_{x}") > 0, 1)).alias("distinct_keys"),
+        F.max(f"v_{x}").alias("version"))).alias(x) for x in names]
+    months = per_key.groupBy("w").agg(*counts).select(F.col("w").cast("string").alias("time_window"), *names)
+    whole = per_key.groupBy("k").agg(*[F.sum(c).alias(c) for c in n], *[F.max(c).alias(c) for c in v]) \
+        .agg(*counts).select(F.lit("all").alias("time_window"), *names)
+    with sized_shuffles(rows.sparkSession, estimated_size(rows)):
+        found = measured(months.unionByName(whole), "reconcile_windows")
+    silver = F.when(F.col("bronze").isNotNull(), F.struct(
+        F.col("bronze.distinct_keys").alias("row_count"), F.col("bronze.distinct_keys").alias("distinct_keys"),
+        F.col("bronze.version").alias("version")))
+    wide = found.withColumn("silver", silver)
     names = ["source", "topic", "bronze", "silver"]
-    wide = found.groupBy("time_window").agg(*[F.max(F.when(F.col("as_layer") == n, stat)).alias(n) for n in names])
     each = wide.where(F.col("source").isNotNull()).select("time_window", "source", F.explode(F.array(
         *[F.struct(F.lit(n).alias("layer"), F.col(n).alias("s")) for n in names])).alias("e"))
     keys, total = F.coalesce("e.s.distinct_keys", F.lit(0)), F.coalesce("e.s.row_count", F.lit(0))

@@ -11,6 +11,7 @@ from tessera import session
 from tessera.operators import sequence as SEQ
 from tessera.plans import analytics
 from tessera.quality.contracts import ColumnSpec, Contract
+from tessera.quality.reconcile import windowed_reconcile
 from tessera.quality.validation import FAILED, flag_rules
 from tessera.sinks import files as K
 from tessera.sinks import versioned as V
@@ -121,3 +122,20 @@ def test_the_orders_of_a_large_fact_are_hashed_not_sorted(spark, monkeypatch):
         assert "SortMergeJoin" in _plan(star.order_items(spark, SF_SMOKE))
     finally:
         spark.conf.set(key, before)
+
+
+def test_layers_are_counted_in_one_row_per_key(spark):
+    schema = "w int, k string, v long"
+    source = spark.createDataFrame([(1, "a", 5), (1, "a", 6), (2, "a", 7), (2, "b", 8), (None, None, 9)], schema)
+    topic = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (2, "b", None), (3, "z", 99)], schema)
+    found = windowed_reconcile([("source", source), ("topic", topic), ("bronze", topic.where("w = 1"))], "w", "k", "v")
+    plan = _plan(found)
+    assert "Exchange" not in plan and "FileScan parquet" in plan  # what is left to do is one row per window
+    rows = {(r.time_window, r.layer): tuple(r)[2:] for r in found.collect()}
+    assert len(rows) == 16 and ("3", "topic") not in rows
+    assert rows["1", "source"] == (2, 1, 0, 0.0, 0.5, 0) and rows["1", "topic"] == (2, 1, 0, 0.0, 0.5, 1)
+    assert rows["1", "silver"] == (1, 1, 0, 0.0, 0.0, 1) and rows["2", "bronze"] == (0, 0, 2, 1.0, None, None)
+    assert rows["2", "topic"] == (1, 1, 1, 0.5, 0.0, None) and rows[None, "source"] == (1, 1, 0, 0.0, 0.0, 0)
+    assert rows["all", "source"] == (5, 3, 0, 0.0, 0.4, 0) and rows["all", "topic"][:2] == (4, 3) and rows["all", "silver"][:2] == (1, 1)
+    empty = source.limit(0)
+    assert windowed_reconcile([("source", empty), ("topic", topic), ("bronze", topic)], "w", "k", "v").count() == 0
